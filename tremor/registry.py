@@ -435,3 +435,224 @@ def q_retention(spark, sf):
     """RUN5: rows kept/expired per layer at as-of = newest order date."""
     orders = table(spark, sf, "orders")
     return runs.retention_summary(orders, "o_orderdate", runs.as_of_latest(orders, "o_orderdate"))
+
+
+# --------------------------------------------------------------------------- bronze documents
+
+
+def _landed_flat(spark, sf, with_batch_ts=True):
+    from .plans import staging
+    from .sources import bronze
+
+    docs = bronze.read_documents(spark, staging.landed_bronze(spark, sf))
+    if with_batch_ts:
+        docs = bronze.with_batch_ts(docs)
+    return bronze.flatten(docs)
+
+
+BRONZE_OUT = ", ".join(schemas.BRONZE_FLAT_COLUMNS)
+
+
+@register("bronze_flatten", oracle.sql(f"select {BRONZE_OUT} from bronze", "bronze"))
+def q_bronze_flatten(spark, sf):
+    """SRC1/PRJ1-3/SNK4: catalogue -> GeoJSON documents on disk -> declared-schema scan -> flatten."""
+    return _landed_flat(spark, sf, with_batch_ts=False)
+
+
+@register(
+    "geojson_nest",
+    oracle.sql(
+        "select cast(date_trunc('hour', epoch_ms(time)) as date) as batch_day, cast(count(*) as bigint) as features, "
+        "cast(count(*) as bigint) as declared_features from bronze group by 1",
+        "bronze",
+    ),
+)
+def q_geojson_nest(spark, sf):
+    """SNK4: landed documents per day, features counted two ways (array size, metadata.count)."""
+    from .plans import staging
+    from .sources import bronze
+
+    docs = bronze.with_batch_ts(bronze.read_documents(spark, staging.landed_bronze(spark, sf)))
+    return docs.groupBy(F.to_date("batch_ts").alias("batch_day")).agg(
+        F.sum(F.size("features")).cast("bigint").alias("features"),
+        F.sum("metadata.count").cast("bigint").alias("declared_features"),
+    )
+
+
+@register(
+    "batch_ts_from_path",
+    oracle.sql(
+        "select date_trunc('hour', epoch_ms(time)) as batch_ts, cast(count(*) as bigint) as features "
+        "from bronze group by 1",
+        "bronze",
+    ),
+)
+def q_batch_ts_from_path(spark, sf):
+    """SRC6: landing hour recovered from each file's path."""
+    return _landed_flat(spark, sf).groupBy("batch_ts").agg(F.count(F.lit(1)).alias("features"))
+
+
+@register(
+    "bounded_extract",
+    oracle.sql(
+        f"select {SILVER_SELECT} from selected "
+        "where event_timestamp_utc between (select max(event_timestamp_utc) from selected) - to_days(365) "
+        "and (select max(event_timestamp_utc) from selected) and magnitude >= 2.5 "
+        "order by event_timestamp_utc desc, event_id asc, updated_timestamp_utc desc nulls last limit 20000",
+        "selected",
+    ),
+)
+def q_bounded_extract(spark, sf):
+    """SRC7: one request page - [as_of - 365 d, as_of], magnitude >= 2.5, newest first, at most 20,000."""
+    from .sources import bronze
+
+    rows = selected(spark, sf)
+    end = runs.as_of_latest(rows, "event_timestamp_utc")
+    start = end - F.make_dt_interval(F.lit(bronze.BACKFILL_DAYS))
+    return bronze.bounded_extract(rows, start, end)
+
+
+@register(
+    "incremental_window",
+    oracle.sql(
+        f"select {SILVER_SELECT}, case when exists (select 1 from silver) then 'incremental' else 'backfill' end as mode "
+        "from selected where event_timestamp_utc >= (select max(event_timestamp_utc) from selected) - "
+        "case when exists (select 1 from silver) then to_hours(48) else to_days(365) end",
+        "selected",
+        "silver",
+    ),
+)
+def q_incremental_window(spark, sf):
+    """SRC8: extract mode from table state (Silver has rows -> 48 h look-back, else 365 d backfill)."""
+    from .sources import bronze
+
+    rows = selected(spark, sf)
+    has_rows = silver_rows(spark, sf).exists()
+    as_of = runs.as_of_latest(rows, "event_timestamp_utc")
+    return rows.filter(F.col("event_timestamp_utc") >= bronze.window_start(as_of, has_rows)).withColumn(
+        "mode", bronze.window_mode(has_rows)
+    )
+
+
+# --------------------------------------------------------------------------- written tables
+
+
+@register("silver_write_roundtrip", oracle.sql(f"select {oracle.SILVER_OUT} from silver", "silver"))
+def q_silver_write_roundtrip(spark, sf):
+    """SNK1: Silver written partitioned by year/month, read back whole."""
+    from .plans import staging
+    from .sinks import tables
+
+    s = tables.read_silver(spark, staging.written_silver(spark, sf))
+    return s.select(*[c for c in schemas.SILVER_COLUMNS if c not in schemas.CLOCK_COLUMNS])
+
+
+@register(
+    "silver_scan",
+    oracle.sql(
+        f"select {oracle.SILVER_OUT} from silver where year * 100 + month = "
+        "(select max(year * 100 + month) from silver)",
+        "silver",
+    ),
+)
+def q_silver_scan(spark, sf):
+    """SRC2: Silver scan of the newest month (partition filter on year/month)."""
+    from .plans import staging
+    from .sinks import tables
+
+    s = tables.read_silver(spark, staging.written_silver(spark, sf))
+    newest = s.agg(F.max(F.col("year") * 100 + F.col("month"))).scalar()
+    s = s.filter((F.col("year") == (newest / 100).cast("int")) & (F.col("month") == (newest % 100).cast("int")))
+    return s.select(*[c for c in schemas.SILVER_COLUMNS if c not in schemas.CLOCK_COLUMNS])
+
+
+GOLD_DATABASE = "gold_earthquakes"
+
+
+@register("gold_table_roundtrip", oracle.sql(f"select {oracle.FACT_OUT} from fact", "fact"))
+def q_gold_table_roundtrip(spark, sf):
+    """SNK2-3: fact written as an external table in the Gold database, read through the catalog."""
+    from .plans import staging
+
+    staging.written_gold(spark, sf, GOLD_DATABASE)
+    return _no_clock(spark.table(f"{GOLD_DATABASE}.fact_earthquake_events"))
+
+
+@register(
+    "run_metrics",
+    oracle.sql(
+        "select 'succeeded' as status, 'backfill' as mode, "
+        "(select cast(count(*) as bigint) from bronze) as flattened_rows, "
+        "(select cast(count(*) as bigint) from valid) as valid_rows, "
+        "(select cast(count(*) as bigint) from latest) as latest_rows, "
+        "(select cast(count(*) as bigint) from fact) as fact_rows",
+        "bronze",
+        "valid",
+        "latest",
+        "fact",
+    ),
+)
+def q_run_metrics(spark, sf):
+    """AGG5/RUN4/SNK5: a full Bronze -> Gold run; its observed counts read back from the run log."""
+    import uuid
+
+    from .plans import jobs, staging
+    from .session import dataset_tag, scratch_dir
+    from .sinks import tables
+
+    run_id = uuid.uuid4().hex
+    root = scratch_dir(spark, "runs", dataset_tag(sf), run_id)
+    jobs.run_all(spark, staging.flat_quakes(spark, sf), root, database=f"gold_run_{run_id[:12]}", run_id=run_id)
+    log = tables.read_run_log(spark, f"{root}/run_log")
+    return log.filter(F.col("run_id") == run_id).select(
+        "status", "mode", "flattened_rows", "valid_rows", "latest_rows", "fact_rows"
+    )
+
+
+# --------------------------------------------------------------------------- streaming
+
+
+def _stream_oracle_fetches() -> str:
+    cut = "(select date_trunc('day', min(epoch_ms(time))) + to_days(15) from bronze)"
+    return (
+        f"select * from bronze where epoch_ms(time) < {cut}\n"
+        "union all\n"
+        f"select * from bronze where epoch_ms(time) >= {cut} - to_hours(48)"
+    )
+
+
+@register(
+    "stream_bronze_count",
+    oracle.sql(
+        "select cast(epoch_ms(time) as date) as event_day, cast(count(*) as bigint) as features "
+        f"from ({_stream_oracle_fetches()}) group by 1",
+        "bronze",
+    ),
+)
+def q_stream_bronze_count(spark, sf):
+    """STR1: features drained by the file stream over two overlapping fetches, per event day."""
+    from .plans import staging
+
+    raw = spark.read.parquet(staging.streamed(spark, sf)["raw"])
+    return raw.groupBy(F.to_date(F.timestamp_millis("time")).alias("event_day")).agg(
+        F.count(F.lit(1)).alias("features")
+    )
+
+
+@register("stream_dedup", oracle.sql(f"select {SILVER_SELECT} from valid", "valid"))
+def q_stream_dedup(spark, sf):
+    """STR2/STR4: watermark-bounded removal of re-fetched rows; valid revision history."""
+    from .plans import staging
+
+    hist = spark.read.parquet(staging.streamed(spark, sf)["history"])
+    return hist.select(*schemas.SILVER_SELECTED_COLUMNS)
+
+
+@register("stream_latest_equals_batch", oracle.sql(f"select {oracle.SILVER_OUT} from silver", "silver"))
+def q_stream_latest_equals_batch(spark, sf):
+    """STR3: latest revision computed over the streamed history equals batch Silver."""
+    from .plans import staging
+    from .streaming import incremental
+
+    hist = spark.read.parquet(staging.streamed(spark, sf)["history"])
+    return incremental.latest_from_history(hist, with_clock=False)

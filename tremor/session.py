@@ -77,3 +77,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's parquet tables; column pruning happens downstream."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty marker file (overwrites)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.create(hpath, True).close()
