@@ -4,8 +4,12 @@ Each roll-up first aggregates the fact by the dimension key it needs
 (partial aggregation runs map-side, so the exchange carries one row per key
 per task instead of fact rows, and a hot key is combined before the
 shuffle). Only that small per-key result meets the dimension, and the
-final grouping re-combines the partial sums. Averages are
-``sum / count`` of the re-combined parts, rounded to 6 places.
+final grouping re-combines the partial sums.
+
+Averages are exact: magnitudes and depths are summed as DECIMAL(20,6), so
+the sum does not depend on how rows are spread over tasks (a double sum
+changes in its last bits with the partitioning), and the quotient is
+rounded once, half-up, at 6 places before it is reported as DOUBLE.
 """
 
 from __future__ import annotations
@@ -16,13 +20,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+MEASURE_DECIMAL = "decimal(20,6)"
+
+
+def exact_average(sum_col: str, count_col: str):
+    """sum/count with one half-up rounding at scale 6 (decimal(38,6) division), as DOUBLE."""
+    return (F.sum(sum_col).cast("decimal(38,6)") / F.sum(count_col)).cast("double")
+
+
 def per_key(fact: DataFrame, key: str) -> DataFrame:
     return fact.groupBy(key).agg(
         F.count(F.lit(1)).alias("_n"),
-        F.sum("Magnitude").alias("_sum_mag"),
+        F.sum(F.col("Magnitude").cast(MEASURE_DECIMAL)).alias("_sum_mag"),
         F.count("Magnitude").alias("_n_mag"),
         F.max("Magnitude").alias("_max_mag"),
-        F.sum("DepthKm").alias("_sum_depth"),
+        F.sum(F.col("DepthKm").cast(MEASURE_DECIMAL)).alias("_sum_depth"),
         F.count("DepthKm").alias("_n_depth"),
         F.count_if(F.col("TsunamiWarning")).alias("_n_tsunami"),
     )
@@ -32,8 +44,8 @@ def finish(parts: DataFrame, group_cols: Sequence[str]) -> DataFrame:
     return parts.groupBy(*group_cols).agg(
         F.sum("_n").alias("events"),
         F.max("_max_mag").alias("max_magnitude"),
-        F.round(F.sum("_sum_mag") / F.sum("_n_mag"), 6).alias("avg_magnitude"),
-        F.round(F.sum("_sum_depth") / F.sum("_n_depth"), 6).alias("avg_depth_km"),
+        exact_average("_sum_mag", "_n_mag").alias("avg_magnitude"),
+        exact_average("_sum_depth", "_n_depth").alias("avg_depth_km"),
         F.sum("_n_tsunami").alias("tsunami_events"),
     )
 

@@ -273,6 +273,13 @@ FACT_OUT = (
     "FeltReports, NumberOfStations, RmsTravelTime, AzimuthalGap, SourceURL"
 )
 
-ROLLUP_MEASURES = """cast(count(*) as bigint) as events, max(f.Magnitude) as max_magnitude,
-  round(avg(f.Magnitude), 6) as avg_magnitude, round(avg(f.DepthKm), 6) as avg_depth_km,
+def exact_avg_sql(col: str) -> str:
+    """Half-up rounded average at 6 places from an exact micro-unit integer sum."""
+    s = f"cast(sum(cast({col} as decimal(20,6))) * 1000000 as hugeint)"
+    n = f"count({col})"
+    return f"cast(sign({s}) * ((2 * abs({s}) + {n}) // (2 * {n})) as double) / 1000000.0"
+
+
+ROLLUP_MEASURES = f"""cast(count(*) as bigint) as events, max(f.Magnitude) as max_magnitude,
+  {exact_avg_sql('f.Magnitude')} as avg_magnitude, {exact_avg_sql('f.DepthKm')} as avg_depth_km,
   cast(count(*) filter (where f.TsunamiWarning) as bigint) as tsunami_events"""

@@ -30,6 +30,8 @@ class Query:
 
 REGISTRY: dict[str, Query] = {}
 
+GOLD_DATABASE = "gold_earthquakes"
+
 
 def register(name: str, oracle_sql: str | None):
     def deco(fn: Callable[[SparkSession, str], DataFrame]):
@@ -63,13 +65,28 @@ def silver_rows(spark: SparkSession, sf_dir: str, with_clock: bool = False) -> D
     return silver_plan.silver(bronze_flat(spark, sf_dir), with_clock=with_clock)
 
 
-def gold_tables(spark: SparkSession, sf_dir: str, null_safe: bool = False) -> dict[str, DataFrame]:
-    s = silver_rows(spark, sf_dir)
-    tables = dims.all_dims(s)
-    tables["fact"] = fact.fact_events(s, null_safe=null_safe, with_clock=False)
+def gold_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The written Gold tables (built once per application from the written Silver).
+
+    Roll-ups and checks are queries over the star, so they scan these tables
+    (column-pruned) rather than re-deriving Silver inside their own plans,
+    where the fact and each dimension would each recompute the dedup shuffle.
+    """
+    from .plans import staging
+
+    root = staging.written_gold(spark, sf_dir, GOLD_DATABASE)
+    tables = {name: spark.read.parquet(f"{root}/{name}") for name in ("dim_date", "dim_location", "dim_magnitude", "dim_event_type")}
+    tables["fact"] = spark.read.parquet(f"{root}/fact_earthquake_events")
     return tables
 
 
+def written_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .plans import staging
+    from .sinks import tables
+
+    return tables.read_silver(spark, staging.written_silver(spark, sf_dir))
+
+
 def _no_clock(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in df.columns if c in schemas.CLOCK_COLUMNS])
 
@@ -321,8 +338,8 @@ def q_fact_events_nullsafe(spark, sf):
 
 @register("fact_events_joined", oracle.sql(f"select {oracle.FACT_OUT} from fact", "fact"))
 def q_fact_events_joined(spark, sf):
-    """JON1-4 as literal inner equi-joins against the dimensions."""
-    s = silver_rows(spark, sf)
+    """JON1-4 as literal inner equi-joins of the written Silver against its dimensions."""
+    s = written_silver(spark, sf)
     return fact.fact_events_joined(s, dims.all_dims(s), with_clock=False)
 
 
@@ -566,8 +583,6 @@ def q_silver_scan(spark, sf):
     return s.select(*[c for c in schemas.SILVER_COLUMNS if c not in schemas.CLOCK_COLUMNS])
 
 
-GOLD_DATABASE = "gold_earthquakes"
-
 
 @register("gold_table_roundtrip", oracle.sql(f"select {oracle.FACT_OUT} from fact", "fact"))
 def q_gold_table_roundtrip(spark, sf):
