@@ -89,3 +89,21 @@ def test_event_just_before_midnight_keeps_its_utc_day(spark):
     s = silver_plan.silver(flat, with_clock=False)
     row = s.select("year", "month", "day", "hour", casts.date_key("event_timestamp_utc").alias("k")).first()
     assert (row.year, row.month, row.day, row.hour, row.k) == (2023, 12, 31, 23, 20231231)
+
+
+def test_merge_moves_event_and_drops_emptied_month(spark, scratch):
+    from tremor.plans import jobs
+    from tremor.sinks import tables
+
+    feb = T0 + 31 * 86400000
+    path = f"{scratch}/silver"
+    jobs.run_silver(flat_rows(spark, [base(id="e1", time=T0, updated=T0), base(id="e2", time=feb, updated=feb)]), path)
+    assert {(r.year, r.month) for r in tables.read_silver(spark, path).select("year", "month").collect()} == {(2024, 1), (2024, 2)}
+    jobs.merge_silver(spark, flat_rows(spark, [base(id="e1", mag=5.5, time=feb + 1000, updated=feb + 5000)]), path)
+    got = tables.read_silver(spark, path)
+    rows = sorted((r.event_id, r.month, r.magnitude) for r in got.collect())
+    assert rows == [("e1", 2, 5.5), ("e2", 2, 4.0)]
+    # an older revision arriving later does not win
+    jobs.merge_silver(spark, flat_rows(spark, [base(id="e2", mag=9.0, time=feb, updated=feb - 1)]), path)
+    rows = sorted((r.event_id, r.magnitude) for r in tables.read_silver(spark, path).collect())
+    assert rows == [("e1", 5.5), ("e2", 4.0)]

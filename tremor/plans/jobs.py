@@ -94,3 +94,41 @@ def run_all(spark: SparkSession, flat: DataFrame, root: str, database: str = DEF
     }
     sinks.append_run_log(spark, f"{root}/run_log", record)
     return record
+
+
+def merge_silver(spark: SparkSession, batch_flat: DataFrame, silver_path: str) -> dict:
+    """Upsert one batch of flattened Bronze into a partitioned Silver table.
+
+    Only the affected months are rewritten: the months of the batch's valid
+    rows plus the months where the batch's events live now (a revision can
+    move an event to another month). Those partitions are unioned with the
+    batch, reduced to the latest revision per event and written back with
+    dynamic partition overwrite; all other partitions stay untouched.
+    The merged rows are checkpointed (in the shared checkpoint dir) before
+    the write, because the write replaces files the plan reads. A month left
+    with no rows is removed explicitly, since a dynamic overwrite only
+    replaces partitions that receive rows.
+    """
+    from ..sinks import tables as sink_tables
+    from .. import schemas
+
+    if batch_flat.isEmpty():
+        return {"status": "skipped", "months": 0}
+    cols = schemas.SILVER_SELECTED_COLUMNS
+    incoming = quality.valid(silver_plan.select_typed(batch_flat))
+    current = sink_tables.read_silver(spark, silver_path)
+    month_of = [F.year("event_timestamp_utc").alias("year"), F.month("event_timestamp_utc").alias("month")]
+    old_months = current.join(incoming.select("event_id"), "event_id", "left_semi").select("year", "month")
+    months = old_months.unionByName(incoming.select(*month_of)).distinct()
+    affected = current.join(F.broadcast(months), ["year", "month"], "left_semi")
+    batch_ts = [F.col(silver_plan.BATCH_TS)] if silver_plan.BATCH_TS in incoming.columns else [F.lit(None).cast("timestamp")]
+    candidates = affected.select(*cols, F.lit(None).cast("timestamp").alias(silver_plan.BATCH_TS)).unionByName(
+        incoming.select(*cols, batch_ts[0].alias(silver_plan.BATCH_TS))
+    )
+    merged = silver_plan.enrich(silver_plan.latest(candidates)).checkpoint()
+    touched = {(r.year, r.month) for r in months.collect()}
+    written = {(r.year, r.month) for r in merged.select("year", "month").distinct().collect()}
+    sink_tables.write_silver(merged, silver_path, dynamic=True)
+    for y, m in sorted(touched - written):
+        sink_tables.drop_partition(spark, silver_path, y, m)
+    return {"status": "succeeded", "months": len(touched)}

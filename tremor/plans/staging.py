@@ -101,3 +101,15 @@ def streamed(spark: SparkSession, sf_dir: str) -> dict[str, str]:
         incremental.append_history(spark, out["landing"], out["history"], f"{root}/_checkpoints/history")
     touch(spark, f"{root}/{DONE}")
     return out
+
+
+def merged_silver(spark: SparkSession, sf_dir: str) -> str:
+    """Silver built from the first fetch, then the overlapping second fetch merged in."""
+    root = _root(spark, sf_dir, "merge")
+    path = f"{root}/silver/earthquakes_cleaned"
+    if not _done(spark, path):
+        first, second = fetches(flat_quakes(spark, sf_dir))
+        jobs.run_silver(first, path)
+        jobs.merge_silver(spark, second, path)
+        touch(spark, f"{path}/{DONE}")
+    return path

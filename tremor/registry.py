@@ -306,6 +306,24 @@ def q_dim_event_type(spark, sf):
     return dims.dim_event_type(silver_rows(spark, sf))
 
 
+@register(
+    "dim_magnitude",
+    oracle.sql(
+        "select m.*, cast(coalesce(c.n, 0) as bigint) as silver_events from dim_magnitude m "
+        "left join (select magnitude_category, count(*) as n from silver group by 1) c "
+        "on m.MagnitudeCategory = c.magnitude_category",
+        "dim_magnitude",
+        "silver",
+    ),
+)
+def q_dim_magnitude(spark, sf):
+    """SRC4: the eight fixed magnitude classes with their Silver event counts (Unknown never matches)."""
+    per_class = silver_rows(spark, sf).groupBy("magnitude_category").agg(F.count(F.lit(1)).alias("n"))
+    dm = dims.dim_magnitude(spark)
+    joined = dm.join(per_class, dm["MagnitudeCategory"] == per_class["magnitude_category"], "left")
+    return joined.select(*[dm[c] for c in dm.columns], F.coalesce(F.col("n"), F.lit(0)).alias("silver_events"))
+
+
 @register(
     "surrogate_key",
     oracle.sql(
@@ -418,7 +436,7 @@ def q_gold_by_weekday(spark, sf):
 
 
 @register(
-    "run_gate",
+    "empty_noop",
     oracle.sql(
         "select 'all' as batch, case when count(*) = 0 then 'skipped' else 'processed' end as status, "
         "cast(count(*) as bigint) as records from quakes\n"
@@ -428,7 +446,7 @@ def q_gold_by_weekday(spark, sf):
         "quakes",
     ),
 )
-def q_run_gate(spark, sf):
+def q_empty_noop(spark, sf):
     """SRC5/RUN3: the zero-record gate on a full batch and on an empty one."""
     q = quakes(spark, sf)
     empty = q.filter(F.col("event_ts") > runs.as_of_latest(q, "event_ts"))
@@ -584,6 +602,16 @@ def q_silver_scan(spark, sf):
 
 
 
+@register("silver_incremental_merge", oracle.sql(f"select {oracle.SILVER_OUT} from silver", "silver"))
+def q_silver_incremental_merge(spark, sf):
+    """SNK1 incremental: Silver of the first fetch, second fetch merged by dynamic partition overwrite."""
+    from .plans import staging
+    from .sinks import tables
+
+    s = tables.read_silver(spark, staging.merged_silver(spark, sf))
+    return s.select(*[c for c in schemas.SILVER_COLUMNS if c not in schemas.CLOCK_COLUMNS])
+
+
 @register("gold_table_roundtrip", oracle.sql(f"select {oracle.FACT_OUT} from fact", "fact"))
 def q_gold_table_roundtrip(spark, sf):
     """SNK2-3: fact written as an external table in the Gold database, read through the catalog."""

@@ -64,3 +64,12 @@ def latest_success(run_log: DataFrame, job: str) -> DataFrame:
         .orderBy(F.col("finished_at").desc())
         .limit(1)
     )
+
+
+def drop_partition(spark: SparkSession, path: str, year: int, month: int) -> None:
+    """Delete one year/month partition folder of a path-based table."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{path}/year={year}/month={month}")
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(p):
+        fs.delete(p, True)
