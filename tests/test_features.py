@@ -80,14 +80,27 @@ def test_epoch_ms_keeps_milliseconds(spark):
     assert ts == dt.datetime(2023, 11, 14, 22, 13, 20, 123000)
 
 
-def test_date_key_is_utc_day_under_any_host_zone(spark):
-    from tremor.session import prepare
-
+def test_date_key_is_utc_day_under_any_session_zone(spark):
     spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
     try:
-        prepare(spark)
         df = one_col(spark, [1704067199999], T.LongType())  # 2023-12-31 23:59:59.999 UTC
-        assert df.select(casts.date_key(casts.epoch_ms_to_ts("x"))).first()[0] == 20231231
+        ts = casts.epoch_ms_to_ts("x")
+        row = df.select(casts.date_key(ts), ts, casts.ts_to_epoch_ms(ts)).first()
+        assert tuple(row) == (20231231, dt.datetime(2023, 12, 31, 23, 59, 59, 999000), 1704067199999)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_queries_do_not_depend_on_session_zone(spark):
+    from conftest import SF_SMALL
+    import __spark_entry__ as entry
+
+    names = ["silver_events", "fact_events", "dim_date", "calendar_parts", "incremental_window"]
+    utc = {n: sorted(map(tuple, entry.queries()[n](spark, SF_SMALL).collect())) for n in names}
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kathmandu")
+    try:
+        for n in names:
+            assert sorted(map(tuple, entry.queries()[n](spark, SF_SMALL).collect())) == utc[n], n
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from tremor import registry
+from tremor.functions import casts
 from tremor.operators import quality
 from tremor.plans import silver as silver_plan
 
@@ -26,7 +27,7 @@ def test_profile(spark, sf):
     assert silver.count() == exp["latest"]
     # sum(revision) of the survivors: re-derive revision from the code column of the flat rows
     flat = registry.bronze_flat(spark, sf).select("id", "updated", F.col("code").cast("bigint").alias("rev"))
-    survivors = silver.select(F.col("event_id").alias("id"), F.unix_millis("updated_timestamp_utc").alias("updated"))
+    survivors = silver.select(F.col("event_id").alias("id"), casts.ts_to_epoch_ms("updated_timestamp_utc").alias("updated"))
     assert survivors.join(flat, ["id", "updated"]).agg(F.sum("rev")).first()[0] == exp["rev_sum"]
     wrong = quality.valid(silver_plan.latest(typed))
     assert wrong.count() == exp["wrong"]

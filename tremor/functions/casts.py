@@ -1,8 +1,10 @@
 """Casts that stay null-safe under ANSI mode (never switched off).
 
 ``try_cast`` turns overflow and bad input into null instead of failing the
-job; epoch milliseconds go through ``timestamp_millis`` so no value takes a
-floating-point detour.
+job. Event times are UTC wall-clock ``TIMESTAMP_NTZ`` values computed from
+epoch milliseconds by integer arithmetic against the NTZ epoch: no value
+takes a floating-point detour, and neither the value nor any calendar part
+or DateKey derived from it depends on the reader's session time zone.
 """
 
 from __future__ import annotations
@@ -11,15 +13,29 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def epoch() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
 def epoch_ms_to_ts(col: Column | str) -> Column:
-    """Epoch milliseconds (BIGINT) -> TIMESTAMP, millisecond precision kept."""
-    return F.timestamp_millis(F.col(col) if isinstance(col, str) else col)
+    """Epoch milliseconds (BIGINT) -> UTC wall-clock TIMESTAMP_NTZ, ms precision kept."""
+    return F.timestamp_add("MILLISECOND", F.col(col) if isinstance(col, str) else col, epoch())
 
 
 def ts_to_epoch_ms(col: Column | str) -> Column:
-    """TIMESTAMP or TIMESTAMP_NTZ -> epoch milliseconds (session zone = UTC)."""
+    """UTC wall-clock TIMESTAMP_NTZ -> epoch milliseconds (sub-ms part truncated)."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.unix_millis(c.cast("timestamp"))
+    return F.timestamp_diff("MILLISECOND", epoch(), c)
+
+
+def event_time(col: Column | str) -> Column:
+    """UTC wall clock as an instant (TIMESTAMP), for APIs that need one (watermarks)."""
+    return F.timestamp_millis(ts_to_epoch_ms(col))
+
+
+def now_utc() -> Column:
+    """The query's start time as UTC wall clock (TIMESTAMP_NTZ)."""
+    return epoch_ms_to_ts(F.unix_millis(F.current_timestamp()))
 
 
 def to_double(col: Column | str) -> Column:

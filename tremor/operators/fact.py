@@ -47,7 +47,7 @@ def _clock(silver: DataFrame, with_clock: bool) -> list[Column]:
         return []
     return [
         F.col("silver_processing_timestamp_utc").alias("SilverProcessingTimestampUTC"),
-        F.current_timestamp().alias(CLOCK),
+        casts.now_utc().alias(CLOCK),
     ]
 
 
@@ -125,6 +125,6 @@ def fact_events_joined(silver: DataFrame, dims: dict[str, DataFrame], null_safe:
         s["rms_travel_time"].alias("RmsTravelTime"),
         s["gap_azimuthal"].alias("AzimuthalGap"),
         s["url"].alias("SourceURL"),
-        *([s["silver_processing_timestamp_utc"].alias("SilverProcessingTimestampUTC"), F.current_timestamp().alias(CLOCK)] if with_clock else []),
+        *([s["silver_processing_timestamp_utc"].alias("SilverProcessingTimestampUTC"), casts.now_utc().alias(CLOCK)] if with_clock else []),
     )
     return out.dropDuplicates(["EventID"])

@@ -76,7 +76,7 @@ def enrich(df: DataFrame, with_clock: bool = True) -> DataFrame:
     out = df.withColumns(cols)
     out = out.withColumn("extracted_country", features.country("extracted_region_detail", "place"))
     if with_clock:
-        out = out.withColumn("silver_processing_timestamp_utc", F.current_timestamp())
+        out = out.withColumn("silver_processing_timestamp_utc", casts.now_utc())
     return out
 
 

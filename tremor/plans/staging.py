@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import fixtures
+from ..functions import casts
 from ..session import dataset_tag, path_exists, scratch_dir, table, touch
 from ..sinks import geojson
 from ..streaming import incremental
@@ -36,7 +37,7 @@ def flat_quakes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fetch_hour(flat: DataFrame) -> F.Column:
     """Landing hour of a feature: the hour of its event time."""
-    return F.date_trunc("HOUR", F.timestamp_millis(F.col("time")))
+    return F.date_trunc("HOUR", casts.epoch_ms_to_ts("time"))
 
 
 def landed_bronze(spark: SparkSession, sf_dir: str) -> str:
@@ -71,13 +72,13 @@ def written_gold(spark: SparkSession, sf_dir: str, database: str) -> str:
 
 def overlap_cut(flat: DataFrame) -> F.Column:
     """Split point of the two simulated fetches: first event day + 15 days."""
-    first_day = flat.agg(F.date_trunc("DAY", F.min(F.timestamp_millis("time")))).scalar()
+    first_day = flat.agg(F.date_trunc("DAY", F.min(casts.epoch_ms_to_ts("time")))).scalar()
     return first_day + F.make_dt_interval(F.lit(15))
 
 
 def fetches(flat: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Two fetches overlapping by the 48 h look-back: before the cut, and from cut - 48 h."""
-    ts = F.timestamp_millis("time")
+    ts = casts.epoch_ms_to_ts("time")
     cut = overlap_cut(flat)
     first = flat.filter(ts < cut)
     second = flat.filter(ts >= cut - F.make_dt_interval(F.lit(0), F.lit(48)))

@@ -19,7 +19,7 @@ from .functions import casts, features, keys
 from .operators import dedup, dims, fact, integrity, quality, rollups
 from .plans import runs
 from .plans import silver as silver_plan
-from .session import prepare, table
+from .session import table
 
 
 @dataclass(frozen=True)
@@ -36,7 +36,7 @@ GOLD_DATABASE = "gold_earthquakes"
 def register(name: str, oracle_sql: str | None):
     def deco(fn: Callable[[SparkSession, str], DataFrame]):
         def build(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(prepare(spark), sf_dir)
+            return fn(spark, sf_dir)
 
         build.__name__ = fn.__name__
         build.__doc__ = fn.__doc__
@@ -677,7 +677,7 @@ def q_stream_bronze_count(spark, sf):
     from .plans import staging
 
     raw = spark.read.parquet(staging.streamed(spark, sf)["raw"])
-    return raw.groupBy(F.to_date(F.timestamp_millis("time")).alias("event_day")).agg(
+    return raw.groupBy(F.to_date(casts.epoch_ms_to_ts("time")).alias("event_day")).agg(
         F.count(F.lit(1)).alias("features")
     )
 

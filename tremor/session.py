@@ -1,8 +1,8 @@
-"""Session helpers: UTC pinning, shared scratch space, table loading.
+"""Session helpers: session set-up, shared scratch space, table loading.
 
-Every date/time feature in the pipeline depends on the session time zone
-(calendar parts, DateKey), so the engine pins it to UTC before it builds a
-plan. Intermediate outputs that must survive executor loss (landed Bronze
+Time columns are UTC wall clock (TIMESTAMP_NTZ) derived from epoch
+milliseconds, so no result depends on the session time zone; sessions we
+build still use UTC so that instants print as UTC. Intermediate outputs that must survive executor loss (landed Bronze
 documents, a written Silver table, streaming checkpoints) go under the
 shared folder the cluster names in ``spark.checkpoint.dir``; a private
 folder is created only when the session names none (local tests).
@@ -39,7 +39,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Pin the session time zone; every timestamp feature is defined in UTC."""
+    """Set the session time zone to UTC (display of instants only)."""
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark

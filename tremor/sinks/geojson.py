@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..functions import casts
 
 # Fixed value: the source API returns at most this many features per request.
 MAX_FEATURES_PER_DOCUMENT = 20000
@@ -49,7 +50,7 @@ def nest(flat: DataFrame, batch_ts: Column, max_features: int = MAX_FEATURES_PER
     doc = F.struct(
         F.lit("FeatureCollection").alias("type"),
         F.struct(
-            (F.unix_millis(F.col("batch_ts"))).alias("generated"),
+            casts.ts_to_epoch_ms("batch_ts").alias("generated"),
             F.lit(200).cast("bigint").alias("status"),
             F.size("features").cast("bigint").alias("count"),
         ).alias("metadata"),

@@ -35,8 +35,10 @@ def read_documents(spark: SparkSession, path: str, streaming: bool = False) -> D
 def batch_ts_from_path(path: Column) -> Column:
     """Landing hour encoded in a file path; null when the path has none."""
     parts = [F.regexp_extract(path, BATCH_PATH_PATTERN, i) for i in range(1, 5)]
-    text = F.concat(parts[0], F.lit("-"), parts[1], F.lit("-"), parts[2], F.lit(" "), parts[3], F.lit(":00:00"))
-    return F.when(path.rlike(BATCH_PATH_PATTERN), F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss")))
+    return F.when(
+        path.rlike(BATCH_PATH_PATTERN),
+        F.try_make_timestamp_ntz(*[p.cast("int") for p in parts], F.lit(0), F.lit(0)),
+    )
 
 
 def with_batch_ts(docs: DataFrame) -> DataFrame:

@@ -22,12 +22,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions import casts
 from ..operators import quality
 from ..plans import silver as silver_plan
 from ..sources import bronze
 
 LOOKBACK = "48 hours"
-DEDUP_KEYS = ["event_id", "updated_timestamp_utc", "event_timestamp_utc"]
+WATERMARK_COL = "_event_instant"
+DEDUP_KEYS = ["event_id", "updated_timestamp_utc", WATERMARK_COL]
 
 
 def bronze_stream(spark: SparkSession, landing_path: str) -> DataFrame:
@@ -36,9 +38,14 @@ def bronze_stream(spark: SparkSession, landing_path: str) -> DataFrame:
 
 
 def history_rows(flat_stream: DataFrame, lookback: str = LOOKBACK) -> DataFrame:
-    typed = silver_plan.select_typed(flat_stream)
-    deduped = typed.withWatermark("event_timestamp_utc", lookback).dropDuplicates(DEDUP_KEYS)
-    return quality.valid(deduped)
+    """Watermarks need an instant (TIMESTAMP); Silver keeps UTC wall clock (NTZ).
+
+    The instant twin of the event time carries the watermark and stands in
+    for the event time in the dedup key (one-to-one), then is dropped.
+    """
+    typed = silver_plan.select_typed(flat_stream).withColumn(WATERMARK_COL, casts.event_time("event_timestamp_utc"))
+    deduped = typed.withWatermark(WATERMARK_COL, lookback).dropDuplicates(DEDUP_KEYS)
+    return quality.valid(deduped).drop(WATERMARK_COL)
 
 
 def _run(df: DataFrame, sink_path: str, checkpoint: str, name: str) -> StreamingQuery:
