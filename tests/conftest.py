@@ -20,6 +20,8 @@ def spark():
 
 @pytest.fixture()
 def scratch(spark, request):
+    import re
+
     from tremor.session import scratch_dir
 
-    return scratch_dir(spark, "tests", request.node.name)
+    return scratch_dir(spark, "tests", re.sub(r"[^A-Za-z0-9_.-]", "_", request.node.name))

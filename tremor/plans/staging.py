@@ -92,6 +92,7 @@ def streamed(spark: SparkSession, sf_dir: str) -> dict[str, str]:
         "landing": f"{root}/landing",
         "raw": f"{root}/raw",
         "history": f"{root}/history",
+        "history_stateful": f"{root}/history_stateful",
     }
     if _done(spark, root):
         return out
@@ -100,6 +101,9 @@ def streamed(spark: SparkSession, sf_dir: str) -> dict[str, str]:
         geojson.land(geojson.nest(batch, fetch_hour(batch)), f"{out['landing']}/fetch={i}")
         incremental.capture_raw(spark, out["landing"], out["raw"], f"{root}/_checkpoints/raw")
         incremental.append_history(spark, out["landing"], out["history"], f"{root}/_checkpoints/history")
+        incremental.append_history_stateful(
+            spark, out["landing"], out["history_stateful"], f"{root}/_checkpoints/history_stateful"
+        )
     touch(spark, f"{root}/{DONE}")
     return out
 

@@ -562,7 +562,7 @@ def q_incremental_window(spark, sf):
     from .sources import bronze
 
     rows = selected(spark, sf)
-    has_rows = silver_rows(spark, sf).exists()
+    has_rows = written_silver(spark, sf).exists()  # table state: the Silver table has a row
     as_of = runs.as_of_latest(rows, "event_timestamp_utc")
     return rows.filter(F.col("event_timestamp_utc") >= bronze.window_start(as_of, has_rows)).withColumn(
         "mode", bronze.window_mode(has_rows)
@@ -684,13 +684,22 @@ def q_stream_bronze_count(spark, sf):
 
 @register("stream_dedup", oracle.sql(f"select {SILVER_SELECT} from valid", "valid"))
 def q_stream_dedup(spark, sf):
-    """STR2/STR4: watermark-bounded removal of re-fetched rows; valid revision history."""
+    """STR2/STR4: re-fetched rows removed per micro-batch (pre-aggregated), late rows dropped."""
     from .plans import staging
 
     hist = spark.read.parquet(staging.streamed(spark, sf)["history"])
     return hist.select(*schemas.SILVER_SELECTED_COLUMNS)
 
 
+@register("stream_dedup_stateful", oracle.sql(f"select {SILVER_SELECT} from valid", "valid"))
+def q_stream_dedup_stateful(spark, sf):
+    """STR2 with the state store: withWatermark + dropDuplicates over the same two fetches."""
+    from .plans import staging
+
+    hist = spark.read.parquet(staging.streamed(spark, sf)["history_stateful"])
+    return hist.select(*schemas.SILVER_SELECTED_COLUMNS)
+
+
 @register("stream_latest_equals_batch", oracle.sql(f"select {oracle.SILVER_OUT} from silver", "silver"))
 def q_stream_latest_equals_batch(spark, sf):
     """STR3: latest revision computed over the streamed history equals batch Silver."""

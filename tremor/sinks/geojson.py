@@ -75,8 +75,13 @@ def land(docs: DataFrame, path: str, mode: str = "overwrite") -> None:
     Documents are range-partitioned on (hour, source partition, chunk)
     first, so a task holds a run of consecutive hours and writes one file
     per hour it holds, instead of every task writing into every hour. The
-    secondary keys let a hot hour spread over several tasks.
+    secondary keys let a hot hour spread over several tasks. The partition
+    count is the session's shuffle parallelism, given explicitly: the cost
+    of a landing is per file as much as per byte, and AQE would otherwise
+    coalesce a small-in-bytes shuffle into one task that writes every hour
+    folder in sequence.
     """
-    docs = docs.repartitionByRange("batch_ts", "_part", "_chunk")
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    docs = docs.repartitionByRange(n, "batch_ts", "_part", "_chunk")
     out = docs.select(*[c.alias(n) for n, c in batch_folders(F.col("batch_ts")).items()], F.col("value"))
     out.write.mode(mode).partitionBy(*BATCH_PARTS).text(path)

@@ -15,19 +15,39 @@
 
 Runs use ``trigger(availableNow=True)``: each run drains what has landed
 and stops, resuming from its checkpoint next time (exactly-once file sink).
+
+Two forms of the overlap removal are provided:
+
+* ``append_history`` (default): a stateless file stream whose micro-batches
+  are merged with ``foreachBatch``. Each batch is first deduplicated in
+  batch mode, where partial aggregation collapses a group of copies map-side
+  (a re-sent revision holding a third of the batch does not land in one
+  task). The rows are then checked against the history's look-back days
+  only (history is partitioned by event date, so the anti-join reads about
+  three days) and appended. The watermark is the newest event time of
+  earlier batches minus the look-back, kept in a small per-batch log. Rows
+  behind it are dropped and counted, as the state-store form would do. A
+  replayed batch is a no-op: its log row exists or the anti-join removes
+  its rows.
+* ``append_history_stateful``: ``withWatermark`` + ``dropDuplicates`` with
+  the state store. It is simpler, but every copy of a key is shuffled to
+  the key's task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import casts
 from ..operators import quality
 from ..plans import silver as silver_plan
+from ..session import path_exists
 from ..sources import bronze
 
-LOOKBACK = "48 hours"
+LOOKBACK_HOURS = 48
+LOOKBACK = f"{LOOKBACK_HOURS} hours"
 WATERMARK_COL = "_event_instant"
 DEDUP_KEYS = ["event_id", "updated_timestamp_utc", WATERMARK_COL]
 
@@ -69,12 +89,94 @@ def capture_raw(spark: SparkSession, landing_path: str, sink_path: str, checkpoi
     return _run(bronze_stream(spark, landing_path), sink_path, checkpoint, "bronze_raw")
 
 
-def append_history(spark: SparkSession, landing_path: str, sink_path: str, checkpoint: str,
-                   lookback: str = LOOKBACK) -> StreamingQuery:
-    """Drain newly landed documents into the deduplicated valid-revision history."""
+def append_history_stateful(spark: SparkSession, landing_path: str, sink_path: str, checkpoint: str,
+                            lookback: str = LOOKBACK) -> StreamingQuery:
+    """Drain newly landed documents into the history with state-store dedup."""
     return _run(history_rows(bronze_stream(spark, landing_path), lookback), sink_path, checkpoint, "silver_history")
 
 
+HISTORY_PARTITION = "event_date"
+STATIC_KEYS = ["event_id", "updated_timestamp_utc", "event_timestamp_utc"]
+BATCH_LOG_SCHEMA = (
+    "batch_id bigint, max_event_time timestamp_ntz, input_rows bigint, late_rows bigint, appended_rows bigint"
+)
+
+
+def _log_path(sink_path: str) -> str:
+    return f"{sink_path}_batches"
+
+
+def batch_log(spark: SparkSession, sink_path: str) -> DataFrame:
+    path = _log_path(sink_path)
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], BATCH_LOG_SCHEMA)
+    return spark.read.schema(BATCH_LOG_SCHEMA).parquet(path)
+
+
+def merge_micro_batch(batch: DataFrame, batch_id: int, sink_path: str, lookback_hours: int = LOOKBACK_HOURS) -> None:
+    """Append one micro-batch's new valid revisions to the history (idempotent)."""
+    spark = batch.sparkSession
+    log = batch_log(spark, sink_path)
+    if not log.filter(F.col("batch_id") == batch_id).isEmpty():
+        return
+    # newest event time of earlier batches, carried as epoch ms (no local-zone literal)
+    newest = log.agg(F.max(casts.ts_to_epoch_ms("max_event_time"))).first()[0]
+    typed = silver_plan.select_typed(batch)
+    obs = Observation(f"history_batch_{batch_id}")
+    typed = typed.observe(
+        obs, F.count(F.lit(1)).alias("input_rows"), F.max("event_timestamp_utc").alias("max_event_time")
+    )
+    rows = typed.dropDuplicates(STATIC_KEYS)
+    late = F.lit(False)
+    if newest is not None:
+        watermark = casts.epoch_ms_to_ts(F.lit(newest - lookback_hours * 3600 * 1000))
+        late = F.coalesce(F.col("event_timestamp_utc") < watermark, F.lit(False))
+    obs_late = Observation(f"history_late_{batch_id}")
+    rows = rows.observe(obs_late, F.count_if(late).alias("late_rows")).filter(~late)
+    rows = quality.valid(rows)
+    if newest is not None and path_exists(spark, sink_path):
+        recent = spark.read.parquet(sink_path).filter(F.col(HISTORY_PARTITION) >= F.to_date(watermark))
+        seen = recent.select(*STATIC_KEYS)
+        cond = [rows[k].eqNullSafe(seen[k]) for k in STATIC_KEYS]
+        rows = rows.join(seen, cond, "left_anti")
+    obs_out = Observation(f"history_out_{batch_id}")
+    out = rows.withColumn(HISTORY_PARTITION, F.to_date("event_timestamp_utc")).observe(
+        obs_out, F.count(F.lit(1)).alias("appended_rows")
+    )
+    out.write.mode("append").partitionBy(HISTORY_PARTITION).parquet(sink_path)
+    m_in = obs.get
+    record = {
+        "batch_id": batch_id,
+        "max_event_time": m_in.get("max_event_time"),
+        "input_rows": m_in.get("input_rows", 0),
+        "late_rows": obs_late.get.get("late_rows", 0),
+        "appended_rows": obs_out.get.get("appended_rows", 0),
+    }
+    spark.createDataFrame([record], BATCH_LOG_SCHEMA).write.mode("append").parquet(_log_path(sink_path))
+
+
+def append_history(spark: SparkSession, landing_path: str, sink_path: str, checkpoint: str,
+                   lookback_hours: int = LOOKBACK_HOURS) -> StreamingQuery:
+    """Drain newly landed documents into the history, one pre-aggregated merge per micro-batch."""
+    q = (
+        bronze_stream(spark, landing_path)
+        .writeStream.foreachBatch(lambda df, bid: merge_micro_batch(df, bid, sink_path, lookback_hours))
+        .option("checkpointLocation", checkpoint)
+        .queryName("silver_history_batches")
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(f"stream silver_history_batches failed: {q.exception()}")
+    return q
+
+
+def late_rows(spark: SparkSession, sink_path: str) -> int:
+    """Rows dropped behind the watermark over all merged micro-batches."""
+    return batch_log(spark, sink_path).agg(F.coalesce(F.sum("late_rows"), F.lit(0))).first()[0]
+
+
 def rows_dropped_by_watermark(q: StreamingQuery) -> int:
     total = 0
     for p in q.recentProgress:
@@ -84,4 +186,6 @@ def rows_dropped_by_watermark(q: StreamingQuery) -> int:
 
 
 def latest_from_history(history: DataFrame, with_clock: bool = True) -> DataFrame:
+    if HISTORY_PARTITION in history.columns:
+        history = history.drop(HISTORY_PARTITION)
     return silver_plan.enrich(silver_plan.latest(history), with_clock=with_clock)
