@@ -10,6 +10,9 @@ makes a half-written attempt invisible.
 
 from __future__ import annotations
 
+import functools
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +24,18 @@ from ..streaming import incremental
 from . import jobs
 
 DONE = "_tremor_done"
+_LOCK = threading.RLock()
+
+
+def _serialized(fn):
+    """Build each intermediate once even when queries run from several threads."""
+
+    @functools.wraps(fn)
+    def wrapper(*args, **kwargs):
+        with _LOCK:
+            return fn(*args, **kwargs)
+
+    return wrapper
 
 
 def _root(spark: SparkSession, sf_dir: str, what: str) -> str:
@@ -40,6 +55,7 @@ def fetch_hour(flat: DataFrame) -> F.Column:
     return F.date_trunc("HOUR", casts.epoch_ms_to_ts("time"))
 
 
+@_serialized
 def landed_bronze(spark: SparkSession, sf_dir: str) -> str:
     """The catalogue landed as hourly GeoJSON documents; returns the folder."""
     path = _root(spark, sf_dir, "bronze")
@@ -50,6 +66,7 @@ def landed_bronze(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+@_serialized
 def written_silver(spark: SparkSession, sf_dir: str) -> str:
     """Silver written (partitioned) from the flat catalogue; returns the table folder."""
     root = _root(spark, sf_dir, "lake")
@@ -60,6 +77,7 @@ def written_silver(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+@_serialized
 def written_gold(spark: SparkSession, sf_dir: str, database: str) -> str:
     """Gold tables written from the written Silver; returns the Gold folder."""
     silver_path = written_silver(spark, sf_dir)
@@ -85,6 +103,7 @@ def fetches(flat: DataFrame) -> tuple[DataFrame, DataFrame]:
     return first, second
 
 
+@_serialized
 def streamed(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     """Land two overlapping fetches, draining both streams after each landing."""
     root = _root(spark, sf_dir, "stream")
@@ -108,6 +127,7 @@ def streamed(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     return out
 
 
+@_serialized
 def merged_silver(spark: SparkSession, sf_dir: str) -> str:
     """Silver built from the first fetch, then the overlapping second fetch merged in."""
     root = _root(spark, sf_dir, "merge")
