@@ -24,8 +24,17 @@ def _one(name: str, violations: DataFrame) -> DataFrame:
 
 
 def orphans(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+    """Fact rows whose key has no dimension row.
+
+    Written as a left outer join + ``IS NULL`` on purpose: Catalyst pushes a
+    left-anti join *below* the per-key aggregate, which for a dimension too
+    large to broadcast would shuffle every fact row's key instead of the
+    pre-aggregated distinct keys.
+    """
     per_key = fact.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    return per_key.join(dim.select(key), key, "left_anti").agg(F.sum("n").alias("v"))
+    present = dim.select(F.col(key), F.lit(True).alias("_present"))
+    joined = per_key.join(present, key, "left").filter(F.col("_present").isNull())
+    return joined.agg(F.sum("n").alias("v"))
 
 
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
