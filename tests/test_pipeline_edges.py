@@ -107,3 +107,43 @@ def test_merge_moves_event_and_drops_emptied_month(spark, scratch):
     jobs.merge_silver(spark, flat_rows(spark, [base(id="e2", mag=9.0, time=feb, updated=feb - 1)]), path)
     rows = sorted((r.event_id, r.magnitude) for r in tables.read_silver(spark, path).collect())
     assert rows == [("e1", 5.5), ("e2", 4.0)]
+
+
+def test_backfill_marker_switches_extract_mode(spark, scratch):
+    from tremor.plans import jobs
+    from tremor.sinks import tables
+    from tremor.sources import bronze
+
+    root = f"{scratch}/lake"
+    jobs.run_all(spark, flat_rows(spark, []), root, mode="backfill")  # empty: skipped, no marker
+    log = tables.read_run_log(spark, f"{root}/run_log")
+    one = spark.range(1)
+    assert one.select(bronze.window_mode(tables.backfill_done(log))).first()[0] == "backfill"
+    jobs.run_all(spark, flat_rows(spark, [base()]), root, mode="backfill")
+    log = tables.read_run_log(spark, f"{root}/run_log")
+    assert one.select(bronze.window_mode(tables.backfill_done(log))).first()[0] == "incremental"
+    rows = sorted((r.status, r.flattened_rows, r.fact_rows) for r in log.collect())
+    assert rows == [("skipped", 0, 0), ("succeeded", 1, 1)]
+
+
+def test_silver_of_renested_silver_is_silver(spark):
+    from conftest import SF_SMALL
+    from tremor import registry
+    from tremor.functions import casts
+
+    s = registry.silver_rows(spark, SF_SMALL)
+    back = s.select(
+        F.col("event_id").alias("id"), F.col("magnitude").alias("mag"), "place",
+        casts.ts_to_epoch_ms("event_timestamp_utc").alias("time"),
+        casts.ts_to_epoch_ms("updated_timestamp_utc").alias("updated"), "url",
+        F.col("felt_reports").cast("bigint").alias("felt"),
+        F.lit(None).cast("double").alias("cdi"), F.lit(None).cast("double").alias("mmi"), "alert", "status",
+        F.when(F.col("tsunami_warning"), 1).when(~F.col("tsunami_warning"), 0).cast("bigint").alias("tsunami"),
+        F.col("significance").cast("bigint").alias("sig"), F.lit(None).cast("string").alias("net"),
+        F.lit(None).cast("string").alias("code"), F.col("nst_stations").cast("bigint").alias("nst"),
+        F.lit(None).cast("double").alias("dmin"), F.col("rms_travel_time").alias("rms"),
+        F.col("gap_azimuthal").alias("gap"), "magType", F.col("event_type").alias("type"), "title",
+        "longitude", "latitude", F.col("depth_km").alias("depth"),
+    )
+    again = silver_plan.silver(back, with_clock=False)
+    assert again.exceptAll(s).count() == 0 and s.exceptAll(again).count() == 0

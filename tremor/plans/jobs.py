@@ -84,6 +84,7 @@ def run_all(spark: SparkSession, flat: DataFrame, root: str, database: str = DEF
         "job": "bronze_to_gold",
         "status": g["status"] if s["status"] == "succeeded" else s["status"],
         "mode": mode,
+        "location": root,
         "flattened_rows": s["flattened_rows"],
         "valid_rows": s["valid_rows"],
         "latest_rows": s["latest_rows"],

@@ -42,8 +42,9 @@ def write_gold_table(df: DataFrame, database: str, name: str, path: str) -> None
 
 
 RUN_LOG_SCHEMA = (
-    "run_id string, job string, status string, mode string, flattened_rows bigint, valid_rows bigint, "
-    "latest_rows bigint, fact_rows bigint, started_at timestamp, finished_at timestamp, duration_ms bigint"
+    "run_id string, job string, status string, mode string, location string, flattened_rows bigint, "
+    "valid_rows bigint, latest_rows bigint, fact_rows bigint, started_at timestamp, finished_at timestamp, "
+    "duration_ms bigint"
 )
 
 
@@ -57,6 +58,18 @@ def read_run_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RUN_LOG_SCHEMA).parquet(path)
 
 
+def backfill_done(run_log: DataFrame) -> "F.Column":
+    """Load-complete marker: a successful backfill that loaded rows exists.
+
+    Feeds the extract window (``sources.bronze.window_start``): once true,
+    runs switch from the 365-day backfill to the 48-hour look-back. A
+    skipped (empty) backfill does not count.
+    """
+    return run_log.filter(
+        (F.col("mode") == "backfill") & (F.col("status") == "succeeded") & (F.col("flattened_rows") > 0)
+    ).exists()
+
+
 def latest_success(run_log: DataFrame, job: str) -> DataFrame:
     """The newest successful run of ``job`` (one row or none)."""
     return (
