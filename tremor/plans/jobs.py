@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import quality
+from ..session import ensure_checkpoint_dir
 from ..sinks import tables as sinks
 from . import gold as gold_plan
 from . import silver as silver_plan
@@ -126,6 +127,7 @@ def merge_silver(spark: SparkSession, batch_flat: DataFrame, silver_path: str) -
     candidates = affected.select(*cols, F.lit(None).cast("timestamp").alias(silver_plan.BATCH_TS)).unionByName(
         incoming.select(*cols, batch_ts[0].alias(silver_plan.BATCH_TS))
     )
+    ensure_checkpoint_dir(spark)
     merged = silver_plan.enrich(silver_plan.latest(candidates)).checkpoint()
     touched = {(r.year, r.month) for r in months.collect()}
     written = {(r.year, r.month) for r in merged.select("year", "month").distinct().collect()}

@@ -52,13 +52,19 @@ def scratch_dir(spark: SparkSession, *parts: str) -> str:
     suffix, so concurrent applications never collide. The checkpoint dir is
     set here only when the session has none, which happens in local tests.
     """
+    root = ensure_checkpoint_dir(spark)
+    return "/".join([root.rstrip("/"), "tremor", *parts])
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The session's checkpoint dir; a private one is set only when none is configured."""
     sc = spark.sparkContext
     root = sc.getCheckpointDir()
     if root is None:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
         sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="tremor-ckpt-"))
         root = sc.getCheckpointDir()
-    return "/".join([root.rstrip("/"), "tremor", *parts])
+    return root
 
 
 def dataset_tag(sf_dir: str) -> str:
