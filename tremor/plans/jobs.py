@@ -120,7 +120,8 @@ def merge_silver(spark: SparkSession, batch_flat: DataFrame, silver_path: str) -
     incoming = quality.valid(silver_plan.select_typed(batch_flat))
     current = sink_tables.read_silver(spark, silver_path)
     month_of = [F.year("event_timestamp_utc").alias("year"), F.month("event_timestamp_utc").alias("month")]
-    old_months = current.join(incoming.select("event_id"), "event_id", "left_semi").select("year", "month")
+    touched_ids = incoming.select("event_id").distinct()  # copies of a hot id collapse map-side
+    old_months = current.join(touched_ids, "event_id", "left_semi").select("year", "month")
     months = old_months.unionByName(incoming.select(*month_of)).distinct()
     affected = current.join(F.broadcast(months), ["year", "month"], "left_semi")
     batch_ts = [F.col(silver_plan.BATCH_TS)] if silver_plan.BATCH_TS in incoming.columns else [F.lit(None).cast("timestamp")]

@@ -9,6 +9,11 @@ chunk)`` can never exceed the cap, however many rows one hour holds. The
 group come from one map task, so the partial aggregate already builds the
 whole document before the shuffle.
 
+Recomputation is safe: a group never mixes rows of two map tasks (the
+partition id is part of its key), so a map task re-run after an executor
+loss replaces its own documents whole, and every feature still lands in
+exactly one document of at most ``max_features`` features.
+
 Documents land under ``yyyy=/MM=/dd=/HH=`` folders (one JSON document per
 line), which the Bronze scan reads back with recursive lookup.
 """
