@@ -9,24 +9,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Magnitude classes as (exclusive upper bound, label); values
-# at or above the last bound are "Great".
-MAGNITUDE_CLASSES = [
-    (3.0, "Micro"),
-    (4.0, "Minor"),
-    (5.0, "Light"),
-    (6.0, "Moderate"),
-    (7.0, "Strong"),
-    (8.0, "Major"),
-]
-MAGNITUDE_TOP_CLASS = "Great"
-
-# Depth classes as (inclusive upper bound in km, label).
-DEPTH_CLASSES = [(70, "Shallow"), (300, "Intermediate")]
-DEPTH_TOP_CLASS = "Deep"
-
-# Fixed value: the place text after the first comma is the region detail.
-REGION_PATTERN = r",\s*(.*)$"
+from ..fixed import (  # noqa: E402  (fixed values, stated in tremor.fixed)
+    DEPTH_CLASSES,
+    DEPTH_TOP_CLASS,
+    HEMISPHERE_EW,
+    HEMISPHERE_NS,
+    MAGNITUDE_CLASSES,
+    MAGNITUDE_TOP_CLASS,
+    REGION_PATTERN,
+)
 
 
 def _c(col: Column | str) -> Column:
@@ -50,11 +41,11 @@ def depth_category(depth: Column | str = "depth_km") -> Column:
 
 
 def hemisphere_ns(lat: Column | str = "latitude") -> Column:
-    return F.when(_c(lat) >= 0, "Northern").otherwise("Southern")
+    return F.when(_c(lat) >= 0, HEMISPHERE_NS[0]).otherwise(HEMISPHERE_NS[1])
 
 
 def hemisphere_ew(lon: Column | str = "longitude") -> Column:
-    return F.when(_c(lon) >= 0, "Eastern").otherwise("Western")
+    return F.when(_c(lon) >= 0, HEMISPHERE_EW[0]).otherwise(HEMISPHERE_EW[1])
 
 
 def calendar_parts(ts: Column | str = "event_timestamp_utc") -> dict[str, Column]:

@@ -13,23 +13,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import schemas
+from .. import fixed, schemas
 from ..functions import casts, features, keys
 
-# The magnitude dimension as (category, min, max, description),
-# in published order; the bounds are descriptive, never join conditions.
-MAGNITUDE_ROWS = [
-    ("Micro", -2.0, 2.9, "Not felt or rarely felt."),
-    ("Minor", 3.0, 3.9, "Often felt, rarely causes damage."),
-    ("Light", 4.0, 4.9, "Felt by many, possible minor damage."),
-    ("Moderate", 5.0, 5.9, "Damage to weak structures."),
-    ("Strong", 6.0, 6.9, "Moderate damage to well-built structures."),
-    ("Major", 7.0, 7.9, "Serious damage to most buildings."),
-    ("Great", 8.0, 10.0, "Widespread destruction."),
-    ("Unknown", None, None, "Category not determined."),
-]
-
-CALENDAR_BUFFER_DAYS = 30
+MAGNITUDE_ROWS = fixed.MAGNITUDE_ROWS
+CALENDAR_BUFFER_DAYS = fixed.CALENDAR_BUFFER_DAYS
 
 
 def date_span(silver: DataFrame, ts: str = "event_timestamp_utc") -> DataFrame:

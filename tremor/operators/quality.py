@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import fixed
+
 
 def rules() -> dict[str, Column]:
     """Rule name -> predicate over Silver-named columns. Null never passes.
@@ -18,10 +20,10 @@ def rules() -> dict[str, Column]:
     """
     mag, lat, lon, depth = (F.col(c) for c in ("magnitude", "latitude", "longitude", "depth_km"))
     return {
-        "magnitude_range": mag.isNotNull() & mag.between(-2.0, 10.0),
-        "latitude_range": lat.isNotNull() & lat.between(-90.0, 90.0),
-        "longitude_range": lon.isNotNull() & lon.between(-180.0, 180.0),
-        "depth_range": depth.isNotNull() & (depth >= 0) & (depth < 1000),
+        "magnitude_range": mag.isNotNull() & mag.between(*fixed.MAGNITUDE_RANGE),
+        "latitude_range": lat.isNotNull() & lat.between(*fixed.LATITUDE_RANGE),
+        "longitude_range": lon.isNotNull() & lon.between(*fixed.LONGITUDE_RANGE),
+        "depth_range": depth.isNotNull() & (depth >= fixed.DEPTH_RANGE[0]) & (depth < fixed.DEPTH_RANGE[1]),
         "time_and_id_present": F.col("event_timestamp_utc").isNotNull() & F.col("event_id").isNotNull(),
     }
 

@@ -10,6 +10,7 @@ side builds.
 
 from __future__ import annotations
 
+from . import fixed
 from .functions.features import (
     DEPTH_CLASSES,
     DEPTH_TOP_CLASS,
@@ -26,6 +27,8 @@ MAGNITUDE_CASE = (
     + " ".join(f"when magnitude < {b} then '{label}'" for b, label in MAGNITUDE_CLASSES)
     + f" else '{MAGNITUDE_TOP_CLASS}' end"
 )
+HEMISPHERE_NS_CASE = "case when latitude >= 0 then '{}' else '{}' end".format(*fixed.HEMISPHERE_NS)
+HEMISPHERE_EW_CASE = "case when longitude >= 0 then '{}' else '{}' end".format(*fixed.HEMISPHERE_EW)
 DEPTH_CASE = (
     "case "
     + " ".join(f"when depth_km <= {b} then '{label}'" for b, label in DEPTH_CLASSES)
@@ -119,11 +122,14 @@ select id as event_id, epoch_ms(time) as event_timestamp_utc, epoch_ms(updated)
 from bronze""",
 )
 
-VALID_PREDICATE = """magnitude is not null and magnitude between -2.0 and 10.0
-  and latitude is not null and latitude between -90.0 and 90.0
-  and longitude is not null and longitude between -180.0 and 180.0
-  and depth_km is not null and depth_km >= 0 and depth_km < 1000
-  and event_timestamp_utc is not null and event_id is not null"""
+RULE_PREDICATES = {
+    "magnitude_range": "magnitude is not null and magnitude between {} and {}".format(*fixed.MAGNITUDE_RANGE),
+    "latitude_range": "latitude is not null and latitude between {} and {}".format(*fixed.LATITUDE_RANGE),
+    "longitude_range": "longitude is not null and longitude between {} and {}".format(*fixed.LONGITUDE_RANGE),
+    "depth_range": "depth_km is not null and depth_km >= {} and depth_km < {}".format(*fixed.DEPTH_RANGE),
+    "time_and_id_present": "event_timestamp_utc is not null and event_id is not null",
+}
+VALID_PREDICATE = " and ".join(f"({p})" for p in RULE_PREDICATES.values())
 
 _block("valid", ("selected",), f"select * from selected where {VALID_PREDICATE}")
 
@@ -139,8 +145,8 @@ select * exclude (rn) from (
 FEATURES_SQL = f"""
   {MAGNITUDE_CASE} as magnitude_category,
   {DEPTH_CASE} as depth_category,
-  case when latitude >= 0 then 'Northern' else 'Southern' end as hemisphere_ns,
-  case when longitude >= 0 then 'Eastern' else 'Western' end as hemisphere_ew,
+  {HEMISPHERE_NS_CASE} as hemisphere_ns,
+  {HEMISPHERE_EW_CASE} as hemisphere_ew,
   cast(year(event_timestamp_utc) as integer) as year,
   cast(month(event_timestamp_utc) as integer) as month,
   cast(day(event_timestamp_utc) as integer) as day,
@@ -181,7 +187,7 @@ select *, {loc_key_sql()} as LocationKey from (
 )
 
 def _magnitude_values() -> str:
-    from .operators.dims import MAGNITUDE_ROWS
+    MAGNITUDE_ROWS = fixed.MAGNITUDE_ROWS
 
     def lit(v):
         if v is None:

@@ -20,13 +20,14 @@ import uuid
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from .. import fixed
 from ..operators import quality
 from ..session import ensure_checkpoint_dir
 from ..sinks import tables as sinks
 from . import gold as gold_plan
 from . import silver as silver_plan
 
-DEFAULT_DATABASE = "gold_earthquakes"
+DEFAULT_DATABASE = fixed.GOLD_DATABASE
 
 
 def run_silver(flat: DataFrame, silver_path: str, dynamic: bool = False) -> dict:

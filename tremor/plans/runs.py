@@ -9,8 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Retention per layer in days (object age before expiry).
-RETENTION_DAYS = {"bronze": 365, "silver": 730, "gold": 1825}
+from .. import fixed
+
+RETENTION_DAYS = fixed.RETENTION_DAYS
 
 
 def gate_status(records: Column) -> Column:

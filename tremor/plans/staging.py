@@ -16,7 +16,7 @@ import threading
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import fixtures
+from .. import fixed, fixtures
 from ..functions import casts
 from ..session import dataset_tag, path_exists, scratch_dir, table, touch
 from ..sinks import geojson
@@ -99,7 +99,7 @@ def fetches(flat: DataFrame) -> tuple[DataFrame, DataFrame]:
     ts = casts.epoch_ms_to_ts("time")
     cut = overlap_cut(flat)
     first = flat.filter(ts < cut)
-    second = flat.filter(ts >= cut - F.make_dt_interval(F.lit(0), F.lit(48)))
+    second = flat.filter(ts >= cut - F.make_dt_interval(F.lit(0), F.lit(fixed.INCREMENTAL_HOURS)))
     return first, second
 
 

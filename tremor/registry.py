@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fixtures, oracle, schemas
+from . import fixed, fixtures, oracle, schemas
 from .functions import casts, features, keys
 from .operators import dedup, dims, fact, integrity, quality, rollups
 from .plans import runs
@@ -30,7 +30,7 @@ class Query:
 
 REGISTRY: dict[str, Query] = {}
 
-GOLD_DATABASE = "gold_earthquakes"
+GOLD_DATABASE = fixed.GOLD_DATABASE
 
 
 def register(name: str, oracle_sql: str | None):
@@ -148,17 +148,11 @@ def q_dq_valid(spark, sf):
 
 
 def _reject_sql() -> str:
-    preds = {
-        "magnitude_range": "magnitude is not null and magnitude between -2.0 and 10.0",
-        "latitude_range": "latitude is not null and latitude between -90.0 and 90.0",
-        "longitude_range": "longitude is not null and longitude between -180.0 and 180.0",
-        "depth_range": "depth_km is not null and depth_km >= 0 and depth_km < 1000",
-        "time_and_id_present": "event_timestamp_utc is not null and event_id is not null",
-    }
+    preds = oracle.RULE_PREDICATES
     cols = ["cast(count(*) as bigint) as input_rows"]
     for name, p in preds.items():
         cols.append(f"cast(count(*) filter (where not coalesce({p}, false)) as bigint) as rejected_{name}")
-    allp = " and ".join(f"({p})" for p in preds.values())
+    allp = oracle.VALID_PREDICATE
     cols.append(f"cast(count(*) filter (where not coalesce({allp}, false)) as bigint) as rejected_rows")
     cols.append(f"cast(count(*) filter (where coalesce({allp}, false)) as bigint) as valid_rows")
     return oracle.sql("select " + ",\n  ".join(cols) + " from selected", "selected")
@@ -219,8 +213,7 @@ def q_depth_category(spark, sf):
     "hemispheres",
     oracle.sql(
         "select event_id, latitude, longitude, "
-        "case when latitude >= 0 then 'Northern' else 'Southern' end as hemisphere_ns, "
-        "case when longitude >= 0 then 'Eastern' else 'Western' end as hemisphere_ew from selected",
+        f"{oracle.HEMISPHERE_NS_CASE} as hemisphere_ns, {oracle.HEMISPHERE_EW_CASE} as hemisphere_ew from selected",
         "selected",
     ),
 )
@@ -531,9 +524,10 @@ def q_batch_ts_from_path(spark, sf):
     "bounded_extract",
     oracle.sql(
         f"select {SILVER_SELECT} from selected "
-        "where event_timestamp_utc between (select max(event_timestamp_utc) from selected) - to_days(365) "
-        "and (select max(event_timestamp_utc) from selected) and magnitude >= 2.5 "
-        "order by event_timestamp_utc desc, event_id asc, updated_timestamp_utc desc nulls last limit 20000",
+        f"where event_timestamp_utc between (select max(event_timestamp_utc) from selected) - to_days({fixed.BACKFILL_DAYS}) "
+        f"and (select max(event_timestamp_utc) from selected) and magnitude >= {fixed.MIN_MAGNITUDE} "
+        "order by event_timestamp_utc desc, event_id asc, updated_timestamp_utc desc nulls last "
+        f"limit {fixed.MAX_FEATURES_PER_DOCUMENT}",
         "selected",
     ),
 )
@@ -552,7 +546,8 @@ def q_bounded_extract(spark, sf):
     oracle.sql(
         f"select {SILVER_SELECT}, case when exists (select 1 from silver) then 'incremental' else 'backfill' end as mode "
         "from selected where event_timestamp_utc >= (select max(event_timestamp_utc) from selected) - "
-        "case when exists (select 1 from silver) then to_hours(48) else to_days(365) end",
+        f"case when exists (select 1 from silver) then to_hours({fixed.INCREMENTAL_HOURS}) "
+        f"else to_days({fixed.BACKFILL_DAYS}) end",
         "selected",
         "silver",
     ),
@@ -660,7 +655,7 @@ def _stream_oracle_fetches() -> str:
     return (
         f"select * from bronze where epoch_ms(time) < {cut}\n"
         "union all\n"
-        f"select * from bronze where epoch_ms(time) >= {cut} - to_hours(48)"
+        f"select * from bronze where epoch_ms(time) >= {cut} - to_hours({fixed.INCREMENTAL_HOURS})"
     )
 
 

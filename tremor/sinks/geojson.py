@@ -23,11 +23,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .. import schemas
+from .. import fixed, schemas
 from ..functions import casts
 
-# Fixed value: the source API returns at most this many features per request.
-MAX_FEATURES_PER_DOCUMENT = 20000
+MAX_FEATURES_PER_DOCUMENT = fixed.MAX_FEATURES_PER_DOCUMENT
 
 BATCH_PARTS = ["yyyy", "MM", "dd", "HH"]
 

@@ -10,16 +10,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import schemas
+from .. import fixed, schemas
 
 # Fixed value: hourly landing folders, with or without ``key=`` prefixes
 # (``.../2024/01/05/13/file`` or ``.../yyyy=2024/MM=01/dd=05/HH=13/file``).
 BATCH_PATH_PATTERN = r"(?:yyyy=)?(\d{4})/(?:MM=)?(\d{2})/(?:dd=)?(\d{2})/(?:HH=)?(\d{2})/[^/]+$"
 
-# Extract windows and the minimum magnitude requested.
-BACKFILL_DAYS = 365
-INCREMENTAL_HOURS = 48
-MIN_MAGNITUDE = 2.5
+BACKFILL_DAYS = fixed.BACKFILL_DAYS
+INCREMENTAL_HOURS = fixed.INCREMENTAL_HOURS
+MIN_MAGNITUDE = fixed.MIN_MAGNITUDE
 
 
 def _reader(spark: SparkSession, streaming: bool):
@@ -63,7 +62,7 @@ def flatten(docs: DataFrame) -> DataFrame:
 
 
 def bounded_extract(rows: DataFrame, start: Column, end: Column, ts: str = "event_timestamp_utc",
-                    limit: int = 20000, min_magnitude: float = MIN_MAGNITUDE) -> DataFrame:
+                    limit: int = fixed.MAX_FEATURES_PER_DOCUMENT, min_magnitude: float = MIN_MAGNITUDE) -> DataFrame:
     """The source's request semantics: ``[start, end]``, magnitude floor, newest first, capped.
 
     The cap is the feature (a page of at most ``limit`` rows); the order is

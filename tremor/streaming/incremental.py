@@ -40,13 +40,14 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from .. import fixed
 from ..functions import casts
 from ..operators import quality
 from ..plans import silver as silver_plan
 from ..session import path_exists
 from ..sources import bronze
 
-LOOKBACK_HOURS = 48
+LOOKBACK_HOURS = fixed.INCREMENTAL_HOURS
 LOOKBACK = f"{LOOKBACK_HOURS} hours"
 WATERMARK_COL = "_event_instant"
 DEDUP_KEYS = ["event_id", "updated_timestamp_utc", WATERMARK_COL]
