@@ -35,3 +35,28 @@ def test_batch_ts_from_both_layouts(spark):
     )
     got = [r[0] for r in df.select(bronze.batch_ts_from_path(F.col("p")).cast("string")).collect()]
     assert got == ["2024-03-05 07:00:00", "2023-12-31 23:00:00", None]
+
+
+def test_cli_jobs_end_to_end(spark, scratch):
+    """Land documents, then run the two batch jobs and the stream from the command line."""
+    from tremor.__main__ import main
+    from tremor.plans import silver as silver_plan
+
+    flat = registry.bronze_flat(spark, SF_SMALL)
+    landing = f"{scratch}/bronze"
+    geojson.land(geojson.nest(flat, staging.fetch_hour(flat)), landing)
+    r = main(["bronze-to-silver", "--bronze", landing, "--silver", f"{scratch}/silver"], spark)
+    assert (r["flattened_rows"], r["valid_rows"], r["latest_rows"]) == (1000, 638, 241)
+    # Silver from the landed documents equals Silver from the flat rows
+    written = spark.read.parquet(f"{scratch}/silver").drop("silver_processing_timestamp_utc")
+    direct = silver_plan.silver(flat, with_clock=False)
+    assert written.select(*direct.columns).exceptAll(direct).count() == 0
+    r = main(["bronze-to-silver", "--bronze", landing, "--silver", f"{scratch}/silver", "--merge"], spark)
+    assert r["status"] == "succeeded" and spark.read.parquet(f"{scratch}/silver").count() == 241
+    r = main(["silver-to-gold", "--silver", f"{scratch}/silver", "--gold", f"{scratch}/gold",
+              "--database", "cli_gold"], spark)
+    assert r["fact_rows"] == 186 and spark.table("cli_gold.fact_earthquake_events").count() == 186
+    r = main(["stream", "--bronze", landing, "--history", f"{scratch}/hist", "--checkpoint", f"{scratch}/ck"], spark)
+    assert r["late_rows"] == 0 and spark.read.parquet(f"{scratch}/hist").count() == 638
+    r = main(["retention", "--silver", f"{scratch}/silver", "--as-of", "2024-02-15", "--days", "30"], spark)
+    assert r["rows_kept"] + r["rows_to_expire"] == 241 and r["rows_to_expire"] > 0

@@ -79,6 +79,13 @@ def latest_success(run_log: DataFrame, job: str) -> DataFrame:
     )
 
 
+def path_has_table(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` holds a committed table (writer's success marker)."""
+    from ..session import path_exists
+
+    return path_exists(spark, f"{path}/_SUCCESS")
+
+
 def drop_partition(spark: SparkSession, path: str, year: int, month: int) -> None:
     """Delete one year/month partition folder of a path-based table."""
     jvm = spark.sparkContext._jvm
