@@ -53,6 +53,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     d.add_argument("--history", required=True)
     d.add_argument("--checkpoint", required=True)
     d.add_argument("--stateful", action="store_true")
+    d.add_argument("--compact-into", default=None, help="also keep a compacted Silver table at this path")
     e = sub.add_parser("retention")
     e.add_argument("--silver", required=True)
     e.add_argument("--as-of", required=True)
@@ -73,6 +74,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     elif args.job == "stream":
         run = incremental.append_history_stateful if args.stateful else incremental.append_history
         run(spark, args.bronze, args.history, args.checkpoint)
+        if args.compact_into:
+            incremental.compact_silver(spark, args.bronze, args.compact_into, f"{args.checkpoint}_compacted")
         result = {"status": "succeeded"}
         if not args.stateful:
             result["late_rows"] = incremental.late_rows(spark, args.history)

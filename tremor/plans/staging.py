@@ -112,6 +112,7 @@ def streamed(spark: SparkSession, sf_dir: str) -> dict[str, str]:
         "raw": f"{root}/raw",
         "history": f"{root}/history",
         "history_stateful": f"{root}/history_stateful",
+        "compacted": f"{root}/silver_compacted",
     }
     if _done(spark, root):
         return out
@@ -123,6 +124,7 @@ def streamed(spark: SparkSession, sf_dir: str) -> dict[str, str]:
         incremental.append_history_stateful(
             spark, out["landing"], out["history_stateful"], f"{root}/_checkpoints/history_stateful"
         )
+        incremental.compact_silver(spark, out["landing"], out["compacted"], f"{root}/_checkpoints/compacted")
     touch(spark, f"{root}/{DONE}")
     return out
 

@@ -695,6 +695,16 @@ def q_stream_dedup_stateful(spark, sf):
     return hist.select(*schemas.SILVER_SELECTED_COLUMNS)
 
 
+@register("stream_compacted_silver", oracle.sql(f"select {oracle.SILVER_OUT} from silver", "silver"))
+def q_stream_compacted_silver(spark, sf):
+    """STR3 compacted form: each micro-batch merged into Silver (dynamic partition overwrite)."""
+    from .plans import staging
+    from .sinks import tables
+
+    s = tables.read_silver(spark, staging.streamed(spark, sf)["compacted"])
+    return s.select(*[c for c in schemas.SILVER_COLUMNS if c not in schemas.CLOCK_COLUMNS])
+
+
 @register("stream_latest_equals_batch", oracle.sql(f"select {oracle.SILVER_OUT} from silver", "silver"))
 def q_stream_latest_equals_batch(spark, sf):
     """STR3: latest revision computed over the streamed history equals batch Silver."""

@@ -190,3 +190,33 @@ def latest_from_history(history: DataFrame, with_clock: bool = True) -> DataFram
     if HISTORY_PARTITION in history.columns:
         history = history.drop(HISTORY_PARTITION)
     return silver_plan.enrich(silver_plan.latest(history), with_clock=with_clock)
+
+
+def compact_silver(spark: SparkSession, landing_path: str, silver_path: str, checkpoint: str) -> StreamingQuery:
+    """Keep a compacted, latest-wins Silver table current from the document stream.
+
+    Each micro-batch is merged into Silver with ``plans.jobs.merge_silver``
+    (affected months only, dynamic partition overwrite). Latest-wins is
+    idempotent, so a replayed micro-batch leaves Silver unchanged.
+    """
+    from ..plans import jobs
+    from ..sinks import tables
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        if tables.path_has_table(spark, silver_path):
+            jobs.merge_silver(batch.sparkSession, batch, silver_path)
+        else:
+            jobs.run_silver(batch, silver_path)
+
+    q = (
+        bronze_stream(spark, landing_path)
+        .writeStream.foreachBatch(merge)
+        .option("checkpointLocation", checkpoint)
+        .queryName("silver_compaction")
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(f"stream silver_compaction failed: {q.exception()}")
+    return q
