@@ -147,3 +147,24 @@ def test_silver_of_renested_silver_is_silver(spark):
     )
     again = silver_plan.silver(back, with_clock=False)
     assert again.exceptAll(s).count() == 0 and s.exceptAll(again).count() == 0
+
+
+def test_tie_survivors_match_the_sql_oracle(spark):
+    """Adversarial ties in `updated`: Spark and the DuckDB oracle keep the same row."""
+    import duckdb
+
+    from tremor import oracle
+
+    rows = []
+    for i in range(40):
+        rows.append(base(id=f"t{i % 5}", mag=[2.0, 3.5, None, 2.0][i % 4], place=[None, "b, c", "a"][i % 3],
+                         updated=T0 + (i % 2) * 1000, time=T0 - i, depth=[10.0, 5.0][i % 2], nst=i % 3))
+    flat = flat_rows(spark, rows)
+    got = sorted(map(tuple, silver_plan.latest(silver_plan.quality.valid(silver_plan.select_typed(flat))).collect()))
+    con = duckdb.connect()
+    con.register("bronze_df", flat.toPandas())
+    sql = oracle.sql("select * from latest", "latest").replace(
+        oracle.BLOCKS["bronze"][1], "\nselect * from bronze_df"
+    )
+    want = sorted(map(tuple, con.sql(sql).fetchall()))
+    assert len(got) == 5 and got == want

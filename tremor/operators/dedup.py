@@ -23,8 +23,3 @@ RANK_COL = "__rn"
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(RANK_COL, F.row_number().over(w)).filter(F.col(RANK_COL) == 1).drop(RANK_COL)
-
-
-def row_hash(columns: Sequence[str]) -> Column:
-    """Content hash used as the last tiebreak (identical rows tie harmlessly)."""
-    return F.xxhash64(*[F.col(c) for c in columns])

@@ -11,6 +11,9 @@ side builds.
 from __future__ import annotations
 
 from . import fixed
+from .schemas import SILVER_SELECTED_COLUMNS
+
+TIEBREAK_COLUMNS = [c for c in SILVER_SELECTED_COLUMNS if c not in ("event_id", "updated_timestamp_utc")]
 from .functions.features import (
     DEPTH_CLASSES,
     DEPTH_TOP_CLASS,
@@ -138,8 +141,8 @@ _block(
     ("valid",),
     """
 select * exclude (rn) from (
-  select *, row_number() over (partition by event_id order by updated_timestamp_utc desc nulls last) as rn
-  from valid) where rn = 1""",
+  select *, row_number() over (partition by event_id order by updated_timestamp_utc desc nulls last, {TIEBREAK}) as rn
+  from valid) where rn = 1""".replace("{TIEBREAK}", ", ".join(f"{c} asc nulls last" for c in TIEBREAK_COLUMNS)),
 )
 
 FEATURES_SQL = f"""

@@ -48,12 +48,20 @@ def select_typed(flat: DataFrame) -> DataFrame:
     return flat.select(*out)
 
 
+TIEBREAK_COLUMNS = [c for c in schemas.SILVER_SELECTED_COLUMNS if c not in ("event_id", "updated_timestamp_utc")]
+
+
 def revision_order(columns: list[str]) -> list[Column]:
-    """Newest ``updated`` first (null last), then newest batch, then content hash."""
+    """Newest ``updated`` first (null last), then newest batch, then the row content.
+
+    Ordering by the content columns themselves (rather than by a hash of
+    them) is a total order that costs nothing per row: the sort compares a
+    later key only when all earlier keys tie, which is rare.
+    """
     order = [F.col("updated_timestamp_utc").desc_nulls_last()]
     if BATCH_TS in columns:
         order.append(F.col(BATCH_TS).desc_nulls_last())
-    order.append(dedup.row_hash(schemas.SILVER_SELECTED_COLUMNS).desc())
+    order.extend(F.col(c).asc_nulls_last() for c in TIEBREAK_COLUMNS)
     return order
 
 

@@ -526,8 +526,10 @@ def q_batch_ts_from_path(spark, sf):
         f"select {SILVER_SELECT} from selected "
         f"where event_timestamp_utc between (select max(event_timestamp_utc) from selected) - to_days({fixed.BACKFILL_DAYS}) "
         f"and (select max(event_timestamp_utc) from selected) and magnitude >= {fixed.MIN_MAGNITUDE} "
-        "order by event_timestamp_utc desc, event_id asc, updated_timestamp_utc desc nulls last "
-        f"limit {fixed.MAX_FEATURES_PER_DOCUMENT}",
+        "order by event_timestamp_utc desc, event_id asc, updated_timestamp_utc desc nulls last, "
+        + ", ".join(f"{c} asc nulls last" for c in schemas.SILVER_SELECTED_COLUMNS
+                    if c not in ("event_timestamp_utc", "event_id", "updated_timestamp_utc"))
+        + f" limit {fixed.MAX_FEATURES_PER_DOCUMENT}",
         "selected",
     ),
 )

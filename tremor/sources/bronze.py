@@ -66,12 +66,13 @@ def bounded_extract(rows: DataFrame, start: Column, end: Column, ts: str = "even
     """The source's request semantics: ``[start, end]``, magnitude floor, newest first, capped.
 
     The cap is the feature (a page of at most ``limit`` rows); the order is
-    total (newest event first, then id, newest revision, content hash) so the
-    page is the same on every run.
+    total (newest event first, then id, newest revision, then the remaining
+    columns) so the page is the same on every run.
     """
     hit = rows.filter(F.col(ts).between(start, end) & (F.col("magnitude") >= min_magnitude))
+    first = [ts, "event_id", "updated_timestamp_utc"]
     order = [F.col(ts).desc(), F.col("event_id").asc(), F.col("updated_timestamp_utc").desc_nulls_last()]
-    order.append(F.xxhash64(*[F.col(c) for c in rows.columns]).desc())
+    order.extend(F.col(c).asc_nulls_last() for c in rows.columns if c not in first)
     return hit.orderBy(*order).limit(limit)
 
 
