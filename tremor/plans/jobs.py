@@ -60,14 +60,22 @@ def run_gold(spark: SparkSession, silver_path: str, gold_root: str, database: st
     """
     silver = sinks.read_silver(spark, silver_path)
     if silver.isEmpty():
-        return {"status": "skipped", "fact_rows": 0}
+        return {"status": "skipped", "fact_rows": 0, "dim_date_rows": 0, "dim_location_rows": 0}
     sinks.ensure_database(spark, database, f"{gold_root}/{database}.db")
     tables = gold_plan.gold(silver, drop_duplicate_events=drop_duplicate_events)
-    obs_fact = Observation("gold_fact")
-    tables["fact_earthquake_events"] = tables["fact_earthquake_events"].observe(obs_fact, F.count(F.lit(1)).alias("rows"))
-    for name in gold_plan.TABLE_ORDER:
-        sinks.write_gold_table(tables[name], database, name, f"{gold_root}/{name}")
-    return {"status": "succeeded", "fact_rows": obs_fact.get["rows"]}
+    observed = {}
+    for name in gold_plan.TABLE_ORDER:  # dimensions first, fact last; each count rides on its write
+        observed[name] = Observation(f"gold_{name}")
+        df = tables[name].observe(observed[name], F.count(F.lit(1)).alias("rows"))
+        sinks.write_gold_table(df, database, name, f"{gold_root}/{name}")
+    rows = {name: obs.get["rows"] for name, obs in observed.items()}
+    return {
+        "status": "succeeded",
+        "fact_rows": rows["fact_earthquake_events"],
+        "dim_date_rows": rows["dim_date"],
+        "dim_location_rows": rows["dim_location"],
+        "table_rows": rows,
+    }
 
 
 def run_all(spark: SparkSession, flat: DataFrame, root: str, database: str = DEFAULT_DATABASE,
@@ -77,7 +85,7 @@ def run_all(spark: SparkSession, flat: DataFrame, root: str, database: str = DEF
     started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     t0 = time.monotonic()
     s = run_silver(flat, f"{root}/silver/earthquakes_cleaned")
-    g = {"status": "skipped", "fact_rows": 0}
+    g = {"status": "skipped", "fact_rows": 0, "dim_date_rows": 0, "dim_location_rows": 0}
     if s["status"] == "succeeded":
         g = run_gold(spark, f"{root}/silver/earthquakes_cleaned", f"{root}/gold", database)
     finished = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
@@ -91,6 +99,8 @@ def run_all(spark: SparkSession, flat: DataFrame, root: str, database: str = DEF
         "valid_rows": s["valid_rows"],
         "latest_rows": s["latest_rows"],
         "fact_rows": g["fact_rows"],
+        "dim_date_rows": g["dim_date_rows"],
+        "dim_location_rows": g["dim_location_rows"],
         "started_at": started,
         "finished_at": finished,
         "duration_ms": int((time.monotonic() - t0) * 1000),

@@ -625,7 +625,9 @@ def q_gold_table_roundtrip(spark, sf):
         "(select cast(count(*) as bigint) from bronze) as flattened_rows, "
         "(select cast(count(*) as bigint) from valid) as valid_rows, "
         "(select cast(count(*) as bigint) from latest) as latest_rows, "
-        "(select cast(count(*) as bigint) from fact) as fact_rows",
+        "(select cast(count(*) as bigint) from fact) as fact_rows, "
+        "(select cast(count(*) as bigint) from dim_date) as dim_date_rows, "
+        "(select cast(count(*) as bigint) from dim_location) as dim_location_rows",
         "bronze",
         "valid",
         "latest",
@@ -645,7 +647,8 @@ def q_run_metrics(spark, sf):
     jobs.run_all(spark, staging.flat_quakes(spark, sf), root, database=f"gold_run_{run_id[:12]}", run_id=run_id)
     log = tables.read_run_log(spark, f"{root}/run_log")
     return log.filter(F.col("run_id") == run_id).select(
-        "status", "mode", "flattened_rows", "valid_rows", "latest_rows", "fact_rows"
+        "status", "mode", "flattened_rows", "valid_rows", "latest_rows", "fact_rows", "dim_date_rows",
+        "dim_location_rows",
     )
 
 

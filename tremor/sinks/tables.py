@@ -43,7 +43,8 @@ def write_gold_table(df: DataFrame, database: str, name: str, path: str) -> None
 
 RUN_LOG_SCHEMA = (
     "run_id string, job string, status string, mode string, location string, flattened_rows bigint, "
-    "valid_rows bigint, latest_rows bigint, fact_rows bigint, started_at timestamp, finished_at timestamp, "
+    "valid_rows bigint, latest_rows bigint, fact_rows bigint, dim_date_rows bigint, dim_location_rows bigint, "
+    "started_at timestamp, finished_at timestamp, "
     "duration_ms bigint"
 )
 
