@@ -36,3 +36,16 @@ def test_bounded_extract_is_a_stable_newest_first_page(spark):
     cutoff = ts[-1]
     newer = rows.filter((F.col("magnitude") >= 2.5) & (F.col("event_timestamp_utc") > cutoff)).count()
     assert newer <= 25
+
+
+def test_retain_agrees_with_retention_summary(spark):
+    from tremor.session import table
+
+    orders = table(spark, SF_SMALL, "orders")
+    as_of = runs.as_of_latest(orders, "o_orderdate")
+    summary = {r.layer: (r.rows_kept, r.rows_expired) for r in runs.retention_summary(orders, "o_orderdate", as_of).collect()}
+    total = orders.count()
+    for layer, days in runs.RETENTION_DAYS.items():
+        kept = runs.retain(orders, "o_orderdate", days, as_of).count()
+        assert summary[layer] == (kept, total - kept)
+    assert summary["bronze"][0] <= summary["silver"][0] <= summary["gold"][0]

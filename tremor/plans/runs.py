@@ -25,11 +25,6 @@ def gate(batch: DataFrame, name: str) -> DataFrame:
     return counted.select(F.lit(name).alias("batch"), gate_status(F.col("records")).alias("status"), F.col("records"))
 
 
-def is_empty(batch: DataFrame) -> bool:
-    """Driver-side gate for a run: stops at the first row found."""
-    return batch.isEmpty()
-
-
 def as_of_latest(df: DataFrame, ts: str) -> Column:
     """Scalar subquery: the newest timestamp of ``df`` (stays inside the plan)."""
     return df.agg(F.max(ts)).scalar()

@@ -71,15 +71,6 @@ def backfill_done(run_log: DataFrame) -> "F.Column":
     ).exists()
 
 
-def latest_success(run_log: DataFrame, job: str) -> DataFrame:
-    """The newest successful run of ``job`` (one row or none)."""
-    return (
-        run_log.filter((F.col("job") == job) & (F.col("status") == "succeeded"))
-        .orderBy(F.col("finished_at").desc())
-        .limit(1)
-    )
-
-
 def path_has_table(spark: SparkSession, path: str) -> bool:
     """True when ``path`` holds a committed table (writer's success marker)."""
     from ..session import path_exists
