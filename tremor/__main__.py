@@ -28,7 +28,8 @@ from .streaming import incremental
 
 
 def _flat(spark: SparkSession, path: str):
-    return bronze_src.flatten(bronze_src.with_batch_ts(bronze_src.read_documents(spark, path)))
+    docs = bronze_src.read_documents(spark, path, for_silver=True)
+    return bronze_src.flatten(bronze_src.with_batch_ts(docs))
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> dict:

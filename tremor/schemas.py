@@ -36,7 +36,9 @@ PROPERTY_FIELDS = [
     ("title", T.StringType()),
 ]
 
-PROPERTIES = T.StructType([T.StructField(n, t, True) for n, t in PROPERTY_FIELDS])
+# Properties the Silver job does not carry; a Silver read leaves them out of
+# the declared schema so the JSON parser skips them.
+UNUSED_BY_SILVER = {"cdi", "mmi", "net", "code", "dmin"}
 
 GEOMETRY = T.StructType(
     [
@@ -45,32 +47,38 @@ GEOMETRY = T.StructType(
     ]
 )
 
-FEATURE = T.StructType(
-    [
-        T.StructField("type", T.StringType(), True),
-        T.StructField("id", T.StringType(), True),
-        T.StructField("properties", PROPERTIES, True),
-        T.StructField("geometry", GEOMETRY, True),
-    ]
-)
-
-BRONZE_DOCUMENT = T.StructType(
-    [
-        T.StructField("type", T.StringType(), True),
-        T.StructField(
-            "metadata",
-            T.StructType(
-                [
-                    T.StructField("generated", T.LongType(), True),
-                    T.StructField("status", T.LongType(), True),
-                    T.StructField("count", T.LongType(), True),
-                ]
+def bronze_document(properties: list[tuple[str, T.DataType]] = PROPERTY_FIELDS) -> T.StructType:
+    """Declared document schema with the given ``properties`` fields."""
+    feature = T.StructType(
+        [
+            T.StructField("type", T.StringType(), True),
+            T.StructField("id", T.StringType(), True),
+            T.StructField("properties", T.StructType([T.StructField(n, t, True) for n, t in properties]), True),
+            T.StructField("geometry", GEOMETRY, True),
+        ]
+    )
+    return T.StructType(
+        [
+            T.StructField("type", T.StringType(), True),
+            T.StructField(
+                "metadata",
+                T.StructType(
+                    [
+                        T.StructField("generated", T.LongType(), True),
+                        T.StructField("status", T.LongType(), True),
+                        T.StructField("count", T.LongType(), True),
+                    ]
+                ),
+                True,
             ),
-            True,
-        ),
-        T.StructField("features", T.ArrayType(FEATURE, True), True),
-    ]
-)
+            T.StructField("features", T.ArrayType(feature, True), True),
+        ]
+    )
+
+
+SILVER_DOCUMENT = bronze_document([(n, t) for n, t in PROPERTY_FIELDS if n not in UNUSED_BY_SILVER])
+
+BRONZE_DOCUMENT = bronze_document(PROPERTY_FIELDS)
 
 # Flattened Bronze: one row per feature, properties in API order, then the
 # three coordinates (longitude, latitude, depth).

@@ -21,14 +21,20 @@ INCREMENTAL_HOURS = fixed.INCREMENTAL_HOURS
 MIN_MAGNITUDE = fixed.MIN_MAGNITUDE
 
 
-def _reader(spark: SparkSession, streaming: bool):
+def _reader(spark: SparkSession, streaming: bool, schema):
     r = spark.readStream if streaming else spark.read
-    return r.schema(schemas.BRONZE_DOCUMENT).option("recursiveFileLookup", "true")
+    return r.schema(schema).option("recursiveFileLookup", "true")
 
 
-def read_documents(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
-    """Landed documents (batch scan, or an incremental file stream)."""
-    return _reader(spark, streaming).json(path)
+def read_documents(spark: SparkSession, path: str, streaming: bool = False, for_silver: bool = False) -> DataFrame:
+    """Landed documents (batch scan, or an incremental file stream).
+
+    ``for_silver`` declares only the properties Silver uses: nested fields
+    are not pruned through ``explode``, so the declared schema is what keeps
+    the JSON parser from materialising the unused ones.
+    """
+    schema = schemas.SILVER_DOCUMENT if for_silver else schemas.BRONZE_DOCUMENT
+    return _reader(spark, streaming, schema).json(path)
 
 
 def batch_ts_from_path(path: Column) -> Column:
@@ -53,9 +59,10 @@ def flatten(docs: DataFrame) -> DataFrame:
     keep = [c for c in ("batch_ts",) if c in docs.columns]
     f = docs.select(*keep, F.explode("features").alias("f"))
     coords = F.col("f.geometry.coordinates")
+    declared = set(f.schema["f"].dataType["properties"].dataType.fieldNames())
     cols = (
         [F.col("f.id").alias("id")]
-        + [F.col(f"f.properties.{n}").alias(n) for n, _ in schemas.PROPERTY_FIELDS]
+        + [F.col(f"f.properties.{n}").alias(n) for n, _ in schemas.PROPERTY_FIELDS if n in declared]
         + [F.get(coords, 0).alias("longitude"), F.get(coords, 1).alias("latitude"), F.get(coords, 2).alias("depth")]
     )
     return f.select(*cols, *keep)

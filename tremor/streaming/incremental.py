@@ -53,8 +53,8 @@ WATERMARK_COL = "_event_instant"
 DEDUP_KEYS = ["event_id", "updated_timestamp_utc", WATERMARK_COL]
 
 
-def bronze_stream(spark: SparkSession, landing_path: str) -> DataFrame:
-    docs = bronze.with_batch_ts(bronze.read_documents(spark, landing_path, streaming=True))
+def bronze_stream(spark: SparkSession, landing_path: str, for_silver: bool = False) -> DataFrame:
+    docs = bronze.with_batch_ts(bronze.read_documents(spark, landing_path, streaming=True, for_silver=for_silver))
     return bronze.flatten(docs)
 
 
@@ -93,7 +93,8 @@ def capture_raw(spark: SparkSession, landing_path: str, sink_path: str, checkpoi
 def append_history_stateful(spark: SparkSession, landing_path: str, sink_path: str, checkpoint: str,
                             lookback: str = LOOKBACK) -> StreamingQuery:
     """Drain newly landed documents into the history with state-store dedup."""
-    return _run(history_rows(bronze_stream(spark, landing_path), lookback), sink_path, checkpoint, "silver_history")
+    return _run(history_rows(bronze_stream(spark, landing_path, for_silver=True), lookback), sink_path, checkpoint,
+                "silver_history")
 
 
 HISTORY_PARTITION = "event_date"
@@ -160,7 +161,7 @@ def append_history(spark: SparkSession, landing_path: str, sink_path: str, check
                    lookback_hours: int = LOOKBACK_HOURS) -> StreamingQuery:
     """Drain newly landed documents into the history, one pre-aggregated merge per micro-batch."""
     q = (
-        bronze_stream(spark, landing_path)
+        bronze_stream(spark, landing_path, for_silver=True)
         .writeStream.foreachBatch(lambda df, bid: merge_micro_batch(df, bid, sink_path, lookback_hours))
         .option("checkpointLocation", checkpoint)
         .queryName("silver_history_batches")
@@ -209,7 +210,7 @@ def compact_silver(spark: SparkSession, landing_path: str, silver_path: str, che
             jobs.run_silver(batch, silver_path)
 
     q = (
-        bronze_stream(spark, landing_path)
+        bronze_stream(spark, landing_path, for_silver=True)
         .writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
         .queryName("silver_compaction")
