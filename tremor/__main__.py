@@ -55,6 +55,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     d.add_argument("--checkpoint", required=True)
     d.add_argument("--stateful", action="store_true")
     d.add_argument("--compact-into", default=None, help="also keep a compacted Silver table at this path")
+    d.add_argument("--max-files-per-trigger", type=int, default=None, help="bound each micro-batch")
     e = sub.add_parser("retention")
     e.add_argument("--silver", required=True)
     e.add_argument("--as-of", required=True)
@@ -73,8 +74,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     elif args.job == "run":
         result = jobs.run_all(spark, _flat(spark, args.bronze), args.root, args.database, mode=args.mode)
     elif args.job == "stream":
-        run = incremental.append_history_stateful if args.stateful else incremental.append_history
-        run(spark, args.bronze, args.history, args.checkpoint)
+        if args.stateful:
+            incremental.append_history_stateful(spark, args.bronze, args.history, args.checkpoint)
+        else:
+            incremental.append_history(spark, args.bronze, args.history, args.checkpoint,
+                                       max_files_per_trigger=args.max_files_per_trigger)
         if args.compact_into:
             incremental.compact_silver(spark, args.bronze, args.compact_into, f"{args.checkpoint}_compacted")
         result = {"status": "succeeded"}

@@ -21,20 +21,26 @@ INCREMENTAL_HOURS = fixed.INCREMENTAL_HOURS
 MIN_MAGNITUDE = fixed.MIN_MAGNITUDE
 
 
-def _reader(spark: SparkSession, streaming: bool, schema):
+def _reader(spark: SparkSession, streaming: bool, schema, max_files_per_trigger: int | None = None):
     r = spark.readStream if streaming else spark.read
-    return r.schema(schema).option("recursiveFileLookup", "true")
+    r = r.schema(schema).option("recursiveFileLookup", "true")
+    if streaming and max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return r
 
 
-def read_documents(spark: SparkSession, path: str, streaming: bool = False, for_silver: bool = False) -> DataFrame:
+def read_documents(spark: SparkSession, path: str, streaming: bool = False, for_silver: bool = False,
+                   max_files_per_trigger: int | None = None) -> DataFrame:
     """Landed documents (batch scan, or an incremental file stream).
 
     ``for_silver`` declares only the properties Silver uses: nested fields
     are not pruned through ``explode``, so the declared schema is what keeps
-    the JSON parser from materialising the unused ones.
+    the JSON parser from materialising the unused ones. ``max_files_per_trigger``
+    bounds each micro-batch of a stream (``availableNow`` honours it), so a
+    large backlog drains in many bounded batches instead of one huge one.
     """
     schema = schemas.SILVER_DOCUMENT if for_silver else schemas.BRONZE_DOCUMENT
-    return _reader(spark, streaming, schema).json(path)
+    return _reader(spark, streaming, schema, max_files_per_trigger).json(path)
 
 
 def batch_ts_from_path(path: Column) -> Column:

@@ -53,9 +53,12 @@ WATERMARK_COL = "_event_instant"
 DEDUP_KEYS = ["event_id", "updated_timestamp_utc", WATERMARK_COL]
 
 
-def bronze_stream(spark: SparkSession, landing_path: str, for_silver: bool = False) -> DataFrame:
-    docs = bronze.with_batch_ts(bronze.read_documents(spark, landing_path, streaming=True, for_silver=for_silver))
-    return bronze.flatten(docs)
+def bronze_stream(spark: SparkSession, landing_path: str, for_silver: bool = False,
+                  max_files_per_trigger: int | None = None) -> DataFrame:
+    docs = bronze.read_documents(
+        spark, landing_path, streaming=True, for_silver=for_silver, max_files_per_trigger=max_files_per_trigger
+    )
+    return bronze.flatten(bronze.with_batch_ts(docs))
 
 
 def history_rows(flat_stream: DataFrame, lookback: str = LOOKBACK) -> DataFrame:
@@ -158,10 +161,10 @@ def merge_micro_batch(batch: DataFrame, batch_id: int, sink_path: str, lookback_
 
 
 def append_history(spark: SparkSession, landing_path: str, sink_path: str, checkpoint: str,
-                   lookback_hours: int = LOOKBACK_HOURS) -> StreamingQuery:
+                   lookback_hours: int = LOOKBACK_HOURS, max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Drain newly landed documents into the history, one pre-aggregated merge per micro-batch."""
     q = (
-        bronze_stream(spark, landing_path, for_silver=True)
+        bronze_stream(spark, landing_path, for_silver=True, max_files_per_trigger=max_files_per_trigger)
         .writeStream.foreachBatch(lambda df, bid: merge_micro_batch(df, bid, sink_path, lookback_hours))
         .option("checkpointLocation", checkpoint)
         .queryName("silver_history_batches")
