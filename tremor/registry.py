@@ -8,6 +8,7 @@ left out of query results.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -17,9 +18,12 @@ from pyspark.sql import functions as F
 from . import fixed, fixtures, oracle, schemas
 from .functions import casts, features, keys
 from .operators import dedup, dims, fact, integrity, quality, rollups
-from .plans import runs
+from .plans import jobs, runs, staging
 from .plans import silver as silver_plan
-from .session import table
+from .session import dataset_tag, scratch_dir, table
+from .sinks import tables as sink_tables
+from .sources import bronze
+from .streaming import incremental
 
 
 @dataclass(frozen=True)
@@ -72,8 +76,6 @@ def gold_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     (column-pruned) rather than re-deriving Silver inside their own plans,
     where the fact and each dimension would each recompute the dedup shuffle.
     """
-    from .plans import staging
-
     root = staging.written_gold(spark, sf_dir, GOLD_DATABASE)
     tables = {name: spark.read.parquet(f"{root}/{name}") for name in ("dim_date", "dim_location", "dim_magnitude", "dim_event_type")}
     tables["fact"] = spark.read.parquet(f"{root}/fact_earthquake_events")
@@ -81,10 +83,7 @@ def gold_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def written_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .plans import staging
-    from .sinks import tables
-
-    return tables.read_silver(spark, staging.written_silver(spark, sf_dir))
+    return sink_tables.read_silver(spark, staging.written_silver(spark, sf_dir))
 
 
 def _no_clock(df: DataFrame) -> DataFrame:
@@ -469,9 +468,6 @@ def q_retention(spark, sf):
 
 
 def _landed_flat(spark, sf, with_batch_ts=True):
-    from .plans import staging
-    from .sources import bronze
-
     docs = bronze.read_documents(spark, staging.landed_bronze(spark, sf))
     if with_batch_ts:
         docs = bronze.with_batch_ts(docs)
@@ -497,9 +493,6 @@ def q_bronze_flatten(spark, sf):
 )
 def q_geojson_nest(spark, sf):
     """SNK4: landed documents per day, features counted two ways (array size, metadata.count)."""
-    from .plans import staging
-    from .sources import bronze
-
     docs = bronze.with_batch_ts(bronze.read_documents(spark, staging.landed_bronze(spark, sf)))
     return docs.groupBy(F.to_date("batch_ts").alias("batch_day")).agg(
         F.sum(F.size("features")).cast("bigint").alias("features"),
@@ -535,8 +528,6 @@ def q_batch_ts_from_path(spark, sf):
 )
 def q_bounded_extract(spark, sf):
     """SRC7: one request page - [as_of - 365 d, as_of], magnitude >= 2.5, newest first, at most 20,000."""
-    from .sources import bronze
-
     rows = selected(spark, sf)
     end = runs.as_of_latest(rows, "event_timestamp_utc")
     start = end - F.make_dt_interval(F.lit(bronze.BACKFILL_DAYS))
@@ -556,8 +547,6 @@ def q_bounded_extract(spark, sf):
 )
 def q_incremental_window(spark, sf):
     """SRC8: extract mode from table state (Silver has rows -> 48 h look-back, else 365 d backfill)."""
-    from .sources import bronze
-
     rows = selected(spark, sf)
     has_rows = written_silver(spark, sf).exists()  # table state: the Silver table has a row
     as_of = runs.as_of_latest(rows, "event_timestamp_utc")
@@ -572,10 +561,7 @@ def q_incremental_window(spark, sf):
 @register("silver_write_roundtrip", oracle.sql(f"select {oracle.SILVER_OUT} from silver", "silver"))
 def q_silver_write_roundtrip(spark, sf):
     """SNK1: Silver written partitioned by year/month, read back whole."""
-    from .plans import staging
-    from .sinks import tables
-
-    s = tables.read_silver(spark, staging.written_silver(spark, sf))
+    s = sink_tables.read_silver(spark, staging.written_silver(spark, sf))
     return s.select(*[c for c in schemas.SILVER_COLUMNS if c not in schemas.CLOCK_COLUMNS])
 
 
@@ -589,10 +575,7 @@ def q_silver_write_roundtrip(spark, sf):
 )
 def q_silver_scan(spark, sf):
     """SRC2: Silver scan of the newest month (partition filter on year/month)."""
-    from .plans import staging
-    from .sinks import tables
-
-    s = tables.read_silver(spark, staging.written_silver(spark, sf))
+    s = sink_tables.read_silver(spark, staging.written_silver(spark, sf))
     newest = s.agg(F.max(F.col("year") * 100 + F.col("month"))).scalar()
     s = s.filter((F.col("year") == (newest / 100).cast("int")) & (F.col("month") == (newest % 100).cast("int")))
     return s.select(*[c for c in schemas.SILVER_COLUMNS if c not in schemas.CLOCK_COLUMNS])
@@ -602,18 +585,13 @@ def q_silver_scan(spark, sf):
 @register("silver_incremental_merge", oracle.sql(f"select {oracle.SILVER_OUT} from silver", "silver"))
 def q_silver_incremental_merge(spark, sf):
     """SNK1 incremental: Silver of the first fetch, second fetch merged by dynamic partition overwrite."""
-    from .plans import staging
-    from .sinks import tables
-
-    s = tables.read_silver(spark, staging.merged_silver(spark, sf))
+    s = sink_tables.read_silver(spark, staging.merged_silver(spark, sf))
     return s.select(*[c for c in schemas.SILVER_COLUMNS if c not in schemas.CLOCK_COLUMNS])
 
 
 @register("gold_table_roundtrip", oracle.sql(f"select {oracle.FACT_OUT} from fact", "fact"))
 def q_gold_table_roundtrip(spark, sf):
     """SNK2-3: fact written as an external table in the Gold database, read through the catalog."""
-    from .plans import staging
-
     staging.written_gold(spark, sf, GOLD_DATABASE)
     return _no_clock(spark.table(f"{GOLD_DATABASE}.fact_earthquake_events"))
 
@@ -636,16 +614,10 @@ def q_gold_table_roundtrip(spark, sf):
 )
 def q_run_metrics(spark, sf):
     """AGG5/RUN4/SNK5: a full Bronze -> Gold run; its observed counts read back from the run log."""
-    import uuid
-
-    from .plans import jobs, staging
-    from .session import dataset_tag, scratch_dir
-    from .sinks import tables
-
     run_id = uuid.uuid4().hex
     root = scratch_dir(spark, "runs", dataset_tag(sf), run_id)
     jobs.run_all(spark, staging.flat_quakes(spark, sf), root, database=f"gold_run_{run_id[:12]}", run_id=run_id)
-    log = tables.read_run_log(spark, f"{root}/run_log")
+    log = sink_tables.read_run_log(spark, f"{root}/run_log")
     return log.filter(F.col("run_id") == run_id).select(
         "status", "mode", "flattened_rows", "valid_rows", "latest_rows", "fact_rows", "dim_date_rows",
         "dim_location_rows",
@@ -674,8 +646,6 @@ def _stream_oracle_fetches() -> str:
 )
 def q_stream_bronze_count(spark, sf):
     """STR1: features drained by the file stream over two overlapping fetches, per event day."""
-    from .plans import staging
-
     raw = spark.read.parquet(staging.streamed(spark, sf)["raw"])
     return raw.groupBy(F.to_date(casts.epoch_ms_to_ts("time")).alias("event_day")).agg(
         F.count(F.lit(1)).alias("features")
@@ -685,8 +655,6 @@ def q_stream_bronze_count(spark, sf):
 @register("stream_dedup", oracle.sql(f"select {SILVER_SELECT} from valid", "valid"))
 def q_stream_dedup(spark, sf):
     """STR2/STR4: re-fetched rows removed per micro-batch (pre-aggregated), late rows dropped."""
-    from .plans import staging
-
     hist = spark.read.parquet(staging.streamed(spark, sf)["history"])
     return hist.select(*schemas.SILVER_SELECTED_COLUMNS)
 
@@ -694,8 +662,6 @@ def q_stream_dedup(spark, sf):
 @register("stream_dedup_stateful", oracle.sql(f"select {SILVER_SELECT} from valid", "valid"))
 def q_stream_dedup_stateful(spark, sf):
     """STR2 with the state store: withWatermark + dropDuplicates over the same two fetches."""
-    from .plans import staging
-
     hist = spark.read.parquet(staging.streamed(spark, sf)["history_stateful"])
     return hist.select(*schemas.SILVER_SELECTED_COLUMNS)
 
@@ -703,18 +669,12 @@ def q_stream_dedup_stateful(spark, sf):
 @register("stream_compacted_silver", oracle.sql(f"select {oracle.SILVER_OUT} from silver", "silver"))
 def q_stream_compacted_silver(spark, sf):
     """STR3 compacted form: each micro-batch merged into Silver (dynamic partition overwrite)."""
-    from .plans import staging
-    from .sinks import tables
-
-    s = tables.read_silver(spark, staging.streamed(spark, sf)["compacted"])
+    s = sink_tables.read_silver(spark, staging.streamed(spark, sf)["compacted"])
     return s.select(*[c for c in schemas.SILVER_COLUMNS if c not in schemas.CLOCK_COLUMNS])
 
 
 @register("stream_latest_equals_batch", oracle.sql(f"select {oracle.SILVER_OUT} from silver", "silver"))
 def q_stream_latest_equals_batch(spark, sf):
     """STR3: latest revision computed over the streamed history equals batch Silver."""
-    from .plans import staging
-    from .streaming import incremental
-
     hist = spark.read.parquet(staging.streamed(spark, sf)["history"])
     return incremental.latest_from_history(hist, with_clock=False)
