@@ -60,3 +60,21 @@ def test_cli_jobs_end_to_end(spark, scratch):
     assert r["late_rows"] == 0 and spark.read.parquet(f"{scratch}/hist").count() == 638
     r = main(["retention", "--silver", f"{scratch}/silver", "--as-of", "2024-02-15", "--days", "30"], spark)
     assert r["rows_kept"] + r["rows_to_expire"] == 241 and r["rows_to_expire"] > 0
+
+
+def test_cli_run_and_stream_variants(spark, scratch):
+    from tremor.__main__ import main
+    from tremor.sinks import tables
+
+    flat = registry.bronze_flat(spark, SF_SMALL)
+    landing = f"{scratch}/bronze"
+    geojson.land(geojson.nest(flat, staging.fetch_hour(flat)), landing)
+    r = main(["run", "--bronze", landing, "--root", f"{scratch}/lake", "--database", "cli_run"], spark)
+    assert (r["status"], r["latest_rows"], r["fact_rows"], r["location"]) == ("succeeded", 241, 186, f"{scratch}/lake")
+    assert tables.read_run_log(spark, f"{scratch}/lake/run_log").count() == 1
+    main(["stream", "--bronze", landing, "--history", f"{scratch}/h1", "--checkpoint", f"{scratch}/c1", "--stateful"], spark)
+    assert spark.read.parquet(f"{scratch}/h1").count() == 638
+    main(["stream", "--bronze", landing, "--history", f"{scratch}/h2", "--checkpoint", f"{scratch}/c2",
+          "--compact-into", f"{scratch}/compact", "--max-files-per-trigger", "200"], spark)
+    compact = spark.read.parquet(f"{scratch}/compact")
+    assert compact.count() == 241 and compact.select("event_id").distinct().count() == 241
