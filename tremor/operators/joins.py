@@ -1,0 +1,21 @@
+"""Size-checked broadcast.
+
+A broadcast hint is given only after the side's row count has been checked
+against a limit; beyond it the join is left to Spark (sort-merge, which AQE
+may still convert from measured sizes). Use it on sides that are cheap to
+count: written tables (a parquet count reads file footers only) or small
+aggregates, never on an expensive lineage that the count would recompute.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows a dimension may have and still be broadcast (a few hundred MB at most
+# for the narrow key/attribute projections joined here).
+DEFAULT_BROADCAST_ROWS = 2_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    return F.broadcast(df) if df.count() <= max_rows else df

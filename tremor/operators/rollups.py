@@ -4,7 +4,9 @@ Each roll-up first aggregates the fact by the dimension key it needs
 (partial aggregation runs map-side, so the exchange carries one row per key
 per task instead of fact rows, and a hot key is combined before the
 shuffle). Only that small per-key result meets the dimension, and the
-final grouping re-combines the partial sums.
+final grouping re-combines the partial sums. With ``check_size`` (for
+dimensions read from written tables) a dimension is broadcast only after
+its row count is checked; otherwise the join strategy is Spark's.
 
 Averages are exact: magnitudes and depths are summed as DECIMAL(20,6), so
 the sum does not depend on how rows are spread over tasks (a double sum
@@ -19,6 +21,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .joins import broadcast_if_small
+
 
 MEASURE_DECIMAL = "decimal(20,6)"
 
@@ -50,9 +54,14 @@ def finish(parts: DataFrame, group_cols: Sequence[str]) -> DataFrame:
     )
 
 
-def by_region(fact: DataFrame, dim_location: DataFrame) -> DataFrame:
-    parts = per_key(fact, "LocationKey").join(dim_location.select("LocationKey", "extracted_country"), "LocationKey")
-    return finish(parts, ["extracted_country"])
+def _dim(df: DataFrame, cols: list[str], check_size: bool) -> DataFrame:
+    side = df.select(*cols)
+    return broadcast_if_small(side) if check_size else side
+
+
+def by_region(fact: DataFrame, dim_location: DataFrame, check_size: bool = False) -> DataFrame:
+    dim = _dim(dim_location, ["LocationKey", "extracted_country"], check_size)
+    return finish(per_key(fact, "LocationKey").join(dim, "LocationKey"), ["extracted_country"])
 
 
 def by_magnitude(fact: DataFrame, dim_magnitude: DataFrame) -> DataFrame:
@@ -61,11 +70,11 @@ def by_magnitude(fact: DataFrame, dim_magnitude: DataFrame) -> DataFrame:
     return finish(parts, ["MagnitudeCategory", "MinMagnitude", "MaxMagnitude"])
 
 
-def by_month(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
-    parts = per_key(fact, "DateKey").join(dim_date.select("DateKey", "Year", "Month"), "DateKey")
-    return finish(parts, ["Year", "Month"])
+def by_month(fact: DataFrame, dim_date: DataFrame, check_size: bool = False) -> DataFrame:
+    dim = _dim(dim_date, ["DateKey", "Year", "Month"], check_size)
+    return finish(per_key(fact, "DateKey").join(dim, "DateKey"), ["Year", "Month"])
 
 
-def by_weekday(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
-    parts = per_key(fact, "DateKey").join(dim_date.select("DateKey", "DayOfWeek", "IsWeekend"), "DateKey")
-    return finish(parts, ["DayOfWeek", "IsWeekend"])
+def by_weekday(fact: DataFrame, dim_date: DataFrame, check_size: bool = False) -> DataFrame:
+    dim = _dim(dim_date, ["DateKey", "DayOfWeek", "IsWeekend"], check_size)
+    return finish(per_key(fact, "DateKey").join(dim, "DateKey"), ["DayOfWeek", "IsWeekend"])

@@ -395,7 +395,7 @@ def _rollup_sql(group_cols: str, join: str) -> str:
 def q_gold_by_region(spark, sf):
     """AGG6: events per country/region."""
     t = gold_tables(spark, sf)
-    return rollups.by_region(t["fact"], t["dim_location"])
+    return rollups.by_region(t["fact"], t["dim_location"], check_size=True)
 
 
 @register(
@@ -414,14 +414,14 @@ def q_gold_by_magnitude(spark, sf):
 def q_gold_by_month(spark, sf):
     """AGG6: events per calendar month."""
     t = gold_tables(spark, sf)
-    return rollups.by_month(t["fact"], t["dim_date"])
+    return rollups.by_month(t["fact"], t["dim_date"], check_size=True)
 
 
 @register("gold_by_weekday", _rollup_sql("d.DayOfWeek, d.IsWeekend", "join dim_date d on f.DateKey = d.DateKey"))
 def q_gold_by_weekday(spark, sf):
     """AGG6: events per weekday."""
     t = gold_tables(spark, sf)
-    return rollups.by_weekday(t["fact"], t["dim_date"])
+    return rollups.by_weekday(t["fact"], t["dim_date"], check_size=True)
 
 
 # --------------------------------------------------------------------------- run-level
