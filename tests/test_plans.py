@@ -49,3 +49,19 @@ def test_scans_are_pruned(spark):
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string,value:double>" in text
     text = formatted(entry.queries()["gold_by_region"](spark, SF_SMALL))
     assert "ReadSchema: struct<LocationKey:bigint,Magnitude:double,DepthKm:double,TsunamiWarning:boolean>" in text
+
+
+def test_broadcast_only_after_size_check(spark):
+    from tremor.operators.joins import broadcast_if_small
+
+    big = spark.range(1000).withColumnRenamed("id", "k")
+    dim = spark.range(50).withColumnRenamed("id", "k")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        small_plan = plan_text(big.join(broadcast_if_small(dim, max_rows=100), "k"))
+        large_plan = plan_text(big.join(broadcast_if_small(dim, max_rows=10), "k"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "BroadcastHashJoin" in small_plan
+    assert "BroadcastHashJoin" not in large_plan and "SortMergeJoin" in large_plan
