@@ -86,3 +86,37 @@ def test_dimensions_and_rollups_match_oracle(spark, rows):
         want = oracle_rows(arrow, body, "fact")
         got = sorted(map(tuple, df.collect()), key=repr)
         assert sorted(got) == sorted(want), group
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.lists(row, min_size=10, max_size=60), st.integers(min_value=0, max_value=2**31))
+def test_incremental_merges_equal_one_batch(spark, rows, seed):
+    """Silver from batch 1, then batches 2 and 3 merged in == Silver of all rows (months move, some empty)."""
+    import random
+    import uuid
+
+    from tremor.plans import jobs
+    from tremor.session import scratch_dir
+    from tremor.sinks import tables
+
+    rnd = random.Random(seed)
+    parts = [[], [], []]
+    for r in rows:
+        parts[rnd.randrange(3)].append(r)
+    path = scratch_dir(spark, "tests", "merge_diff", uuid.uuid4().hex, "silver")
+    first = True
+    for part in parts:
+        if not part:
+            continue
+        sdf, _ = flat_frames(spark, part)
+        if first and not silver_plan.silver(sdf, with_clock=False).isEmpty():
+            jobs.run_silver(sdf, path)
+            first = False
+        elif not first:
+            jobs.merge_silver(spark, sdf, path)
+    all_rows, _ = flat_frames(spark, rows)
+    want = sorted(map(tuple, silver_plan.silver(all_rows, with_clock=False).select(*oracle.SILVER_OUT.split(", ")).collect()), key=repr)
+    got = [] if first else sorted(
+        map(tuple, tables.read_silver(spark, path).select(*oracle.SILVER_OUT.split(", ")).collect()), key=repr
+    )
+    assert got == want
