@@ -128,3 +128,10 @@ def test_reject_counts_one_pass(spark):
     assert r["rejected_latitude_range"] == 1
     assert r["rejected_depth_range"] == 1
     assert r["rejected_time_and_id_present"] == 1
+
+
+def test_public_api_is_importable():
+    import tremor
+
+    for name in tremor.__all__:
+        assert callable(getattr(tremor, name)), name
