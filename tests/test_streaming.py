@@ -84,3 +84,13 @@ def test_bounded_micro_batches_process_every_row_once(spark, scratch):
     assert h.count() == h.select(*incremental.STATIC_KEYS).distinct().count()
     assert h.select(*schemas.SILVER_SELECTED_COLUMNS).exceptAll(valid).count() == 0
     assert valid.count() - h.count() <= incremental.late_rows(spark, hist)
+
+
+def test_history_of_only_invalid_rows_reads_empty(spark, scratch):
+    from pyspark.sql import functions as F
+
+    bad = registry.bronze_flat(spark, SF_SMALL).limit(5).withColumn("mag", F.lit(99.0))
+    incremental.merge_micro_batch(bad, 0, f"{scratch}/history")
+    h = incremental.read_history(spark, f"{scratch}/history")
+    assert h.count() == 0 and "event_date" in h.columns
+    assert incremental.batch_log(spark, f"{scratch}/history").first().appended_rows == 0

@@ -655,7 +655,7 @@ def q_stream_bronze_count(spark, sf):
 @register("stream_dedup", oracle.sql(f"select {SILVER_SELECT} from valid", "valid"))
 def q_stream_dedup(spark, sf):
     """STR2/STR4: re-fetched rows removed per micro-batch (pre-aggregated), late rows dropped."""
-    hist = spark.read.parquet(staging.streamed(spark, sf)["history"])
+    hist = incremental.read_history(spark, staging.streamed(spark, sf)["history"])
     return hist.select(*schemas.SILVER_SELECTED_COLUMNS)
 
 
@@ -676,5 +676,5 @@ def q_stream_compacted_silver(spark, sf):
 @register("stream_latest_equals_batch", oracle.sql(f"select {oracle.SILVER_OUT} from silver", "silver"))
 def q_stream_latest_equals_batch(spark, sf):
     """STR3: latest revision computed over the streamed history equals batch Silver."""
-    hist = spark.read.parquet(staging.streamed(spark, sf)["history"])
+    hist = incremental.read_history(spark, staging.streamed(spark, sf)["history"])
     return incremental.latest_from_history(hist, with_clock=False)

@@ -111,6 +111,22 @@ def _log_path(sink_path: str) -> str:
     return f"{sink_path}_batches"
 
 
+HISTORY_SCHEMA = (
+    "event_id string, event_timestamp_utc timestamp_ntz, updated_timestamp_utc timestamp_ntz, magnitude double, "
+    "depth_km double, latitude double, longitude double, place string, event_type string, magType string, "
+    "tsunami_warning boolean, significance int, felt_reports int, nst_stations int, rms_travel_time double, "
+    "gap_azimuthal double, alert string, status string, url string, title string, batch_ts timestamp_ntz, "
+    "event_date date"
+)
+
+
+def read_history(spark: SparkSession, sink_path: str) -> DataFrame:
+    """The micro-batch history with its declared schema (empty until a batch appends rows)."""
+    if not path_exists(spark, sink_path):
+        return spark.createDataFrame([], HISTORY_SCHEMA)
+    return spark.read.schema(HISTORY_SCHEMA).parquet(sink_path)
+
+
 def batch_log(spark: SparkSession, sink_path: str) -> DataFrame:
     path = _log_path(sink_path)
     if not path_exists(spark, path):
@@ -140,7 +156,7 @@ def merge_micro_batch(batch: DataFrame, batch_id: int, sink_path: str, lookback_
     rows = rows.observe(obs_late, F.count_if(late).alias("late_rows")).filter(~late)
     rows = quality.valid(rows)
     if newest is not None and path_exists(spark, sink_path):
-        recent = spark.read.parquet(sink_path).filter(F.col(HISTORY_PARTITION) >= F.to_date(watermark))
+        recent = read_history(spark, sink_path).filter(F.col(HISTORY_PARTITION) >= F.to_date(watermark))
         seen = recent.select(*STATIC_KEYS)
         cond = [rows[k].eqNullSafe(seen[k]) for k in STATIC_KEYS]
         rows = rows.join(seen, cond, "left_anti")
