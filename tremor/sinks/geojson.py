@@ -41,7 +41,18 @@ def feature_struct() -> Column:
 
 
 def nest(flat: DataFrame, batch_ts: Column, max_features: int = MAX_FEATURES_PER_DOCUMENT) -> DataFrame:
-    """One row per document: ``batch_ts`` and the document's JSON text."""
+    """One row per document: ``batch_ts`` and the document's JSON text.
+
+    Rows are range-partitioned on (hour, source partition, chunk) *before*
+    grouping: that exchange already satisfies the grouping, so it is the only
+    shuffle, the range sampler looks at cheap keyed rows rather than finished
+    documents, and each output task holds a run of consecutive hours (one
+    file per hour it holds when landed) while a hot hour still spreads over
+    several tasks. The partition count is the session's shuffle parallelism,
+    given explicitly: a landing costs per file as much as per byte, and AQE
+    would otherwise coalesce a small-in-bytes shuffle into one task that
+    writes every hour folder in sequence.
+    """
     part = F.spark_partition_id().cast("bigint")
     position = F.monotonically_increasing_id() - F.shiftleft(part, 33)
     keyed = flat.select(
@@ -50,6 +61,8 @@ def nest(flat: DataFrame, batch_ts: Column, max_features: int = MAX_FEATURES_PER
         F.floor(position / F.lit(max_features)).alias("_chunk"),
         feature_struct().alias("_feature"),
     )
+    n = int(flat.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = keyed.repartitionByRange(n, "batch_ts", "_part", "_chunk")
     grouped = keyed.groupBy("batch_ts", "_part", "_chunk").agg(F.collect_list("_feature").alias("features"))
     doc = F.struct(
         F.lit("FeatureCollection").alias("type"),
@@ -74,18 +87,6 @@ def batch_folders(batch_ts: Column) -> dict[str, Column]:
 
 
 def land(docs: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write documents as JSON lines under hourly folders.
-
-    Documents are range-partitioned on (hour, source partition, chunk)
-    first, so a task holds a run of consecutive hours and writes one file
-    per hour it holds, instead of every task writing into every hour. The
-    secondary keys let a hot hour spread over several tasks. The partition
-    count is the session's shuffle parallelism, given explicitly: the cost
-    of a landing is per file as much as per byte, and AQE would otherwise
-    coalesce a small-in-bytes shuffle into one task that writes every hour
-    folder in sequence.
-    """
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    docs = docs.repartitionByRange(n, "batch_ts", "_part", "_chunk")
+    """Write documents (as laid out by ``nest``) as JSON lines under hourly folders."""
     out = docs.select(*[c.alias(n) for n, c in batch_folders(F.col("batch_ts")).items()], F.col("value"))
     out.write.mode(mode).partitionBy(*BATCH_PARTS).text(path)
