@@ -10,8 +10,9 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
+from tremor import registry
 
-NAMES = sorted(entry.queries())
+NAMES = sorted(registry.REGISTRY)
 
 
 def norm(v):
@@ -39,7 +40,7 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.oracle_sql()) == set(NAMES)
+    assert set(NAMES) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", NAMES)
