@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tremor.llm import chat, packing, suffix_dedup, token_files, urls
+from tremor.llm import chat, packing, substring_dedup, suffix_dedup, token_files, urls
 
 QUERIES = {
     "op1_token_files": token_files.op1_token_files,
     "op2_suffix_dedup": suffix_dedup.op2_suffix_dedup,
     "op6_packing": packing.op6_packing,
+    "op8_substring_dedup": substring_dedup.op8_substring_dedup,
     "op7_url_filter": urls.op7_url_filter,
     "op10_chat_format": chat.op10_chat_format,
 }
