@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tremor.llm import chat, packing, substring_dedup, suffix_dedup, token_files, urls
+from tremor.llm import chat, jaccard_join, packing, substring_dedup, suffix_dedup, token_files, urls
 
 QUERIES = {
     "op1_token_files": token_files.op1_token_files,
@@ -10,6 +10,7 @@ QUERIES = {
     "op6_packing": packing.op6_packing,
     "op8_substring_dedup": substring_dedup.op8_substring_dedup,
     "op7_url_filter": urls.op7_url_filter,
+    "op9_jaccard_join": jaccard_join.op9_jaccard_join,
     "op10_chat_format": chat.op10_chat_format,
 }
 
