@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tremor.llm import chat, jaccard_join, packing, substring_dedup, suffix_dedup, token_files, urls
+from tremor.llm import chat, imatch, jaccard_join, packing, substring_dedup, suffix_dedup, token_files, urls
 
 QUERIES = {
     "op1_token_files": token_files.op1_token_files,
     "op2_suffix_dedup": suffix_dedup.op2_suffix_dedup,
+    "op5_imatch": imatch.op5_imatch,
     "op6_packing": packing.op6_packing,
     "op8_substring_dedup": substring_dedup.op8_substring_dedup,
     "op7_url_filter": urls.op7_url_filter,
