@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from tremor.llm import chat, imatch, jaccard_join, packing, substring_dedup, suffix_dedup, token_files, urls
+from tremor.llm import chat, decontaminate, imatch, jaccard_join, packing, substring_dedup, suffix_dedup, token_files, toxicity, urls
 
 QUERIES = {
     "op1_token_files": token_files.op1_token_files,
     "op2_suffix_dedup": suffix_dedup.op2_suffix_dedup,
+    "op3_decontamination": decontaminate.op3_decontamination,
+    "op4_toxicity": toxicity.op4_toxicity,
     "op5_imatch": imatch.op5_imatch,
     "op6_packing": packing.op6_packing,
     "op8_substring_dedup": substring_dedup.op8_substring_dedup,
