@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tremor.llm.common import BYTE_CODES, long_array, prefix_hashes, run_hashes, slices, word_hashes, words
+from tremor.llm.common import BYTE_CODES, long_array, mix, prefix_hashes, run_hashes, slices, word_hashes, words
 
 NULL_ID = -(1 << 63)
 SPLIT = 2048
@@ -34,7 +34,9 @@ SLICE = 1 << 19
 #: contexts that a task resolves at a time
 CONTEXTS = 6000
 
-ANCHORS = "ahash long, chash long, uid long, th long, at long"
+ANCHORS = "ahash long, chash long, uid long, th long, at long, state int"
+#: of an occurrence: still open; open, but known to repeat; settled within its batch
+OPEN, TWICE, SETTLED = 0, 1, 2
 CONTEXT = "ahash long, salt long, split boolean, uid long, th long, lo long, lead long, query boolean, index boolean, text binary"
 FOUND = "open boolean, k1 long, k2 long, uid long, th long, first long, end long"
 
@@ -111,17 +113,39 @@ def representatives(texts: DataFrame) -> DataFrame:
     )
 
 
-def find_anchors(texts: DataFrame, units: Units) -> DataFrame:
+def find_anchors(texts: DataFrame, units: Units, earlier: bool) -> DataFrame:
+    """Anchor occurrences. Those that another of their batch settles (equal surroundings; with ``earlier``: of a
+    smaller uid) are marked and dealt by document, so a passage held by very many documents sends one row per batch."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             uid, th = b.column(0).to_numpy(), b.column(1).to_numpy()
+            parts = []
             for i, j, data, offsets in slices(b.column(2), SLICE):
                 codes, rows, _, _ = units.codes(data, offsets)
                 at, r, _, _, gram, context = choose_anchors(codes, rows, units)
-                cols = [long_array(gram), long_array(context), pa.array(uid[i + r]), pa.array(th[i + r]), pa.array(at - rows[r])]
-                yield pa.RecordBatch.from_arrays(cols, names=["ahash", "chash", "uid", "th", "at"])
-
-    return texts.select("uid", "th", "text").mapInArrow(run, ANCHORS)
+                parts.append((gram, context, uid[i + r], th[i + r], at - rows[r]))
+            if not parts:
+                continue
+            gram, context, ids, ths, at = (np.concatenate(x) for x in zip(*parts))
+            order = np.lexsort((at, ths, ids, context, gram))
+            gram, context, ids, ths, at = (x[order] for x in (gram, context, ids, ths, at))
+            state = np.zeros(len(at), np.int32)
+            if len(at):
+                head = np.flatnonzero(np.concatenate([[True], (gram[1:] != gram[:-1]) | (context[1:] != context[:-1])]))
+                size = np.diff(np.concatenate([head, [len(at)]]))
+                lead = np.repeat(head, size)
+                if earlier:
+                    state[ids > ids[lead]] = SETTLED
+                else:
+                    state[np.repeat(size, size) > 1] = SETTLED
+                    state[head[size > 1]] = TWICE
+            done = state == SETTLED
+            gram[done] = mix(ids[done].view(np.uint64) + at[done].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+            cols = [long_array(gram), long_array(context), pa.array(ids), pa.array(ths), pa.array(at), pa.array(state)]
+            yield pa.RecordBatch.from_arrays(cols, names=["ahash", "chash", "uid", "th", "at", "state"])
+
+    return texts.select("uid", "th", "text").mapInArrow(run, ANCHORS).repartition("ahash")
 
 
 def label_any(anchors: DataFrame) -> DataFrame:
@@ -129,9 +153,10 @@ def label_any(anchors: DataFrame) -> DataFrame:
     group, same = Window.partitionBy("ahash"), Window.partitionBy("ahash", "chash")
     seen = anchors.withColumn("rn", F.row_number().over(same.orderBy("uid", "th", "at"))).withColumn("n", F.count("*").over(same))
     seen = seen.withColumn("kinds", F.sum((F.col("rn") == 1).cast("long")).over(group))
-    open_ = (F.col("kinds") > 1) & (F.col("rn") == 1)
-    return seen.filter((F.col("n") > 1) | open_).select(
-        "ahash", "uid", "th", "at", "kinds", (F.col("n") > 1).alias("done"), open_.alias("query"), open_.alias("index")
+    open_ = (F.col("kinds") > 1) & (F.col("rn") == 1) & (F.col("state") != SETTLED)
+    done = (F.col("n") > 1) | (F.col("state") != OPEN)
+    return seen.filter(done | open_).select(
+        "ahash", "uid", "th", "at", "kinds", done.alias("done"), open_.alias("query"), open_.alias("index")
     )
 
 
@@ -142,11 +167,13 @@ def label_earlier(anchors: DataFrame) -> DataFrame:
     seen = seen.withColumn("kinds", F.sum((F.col("rn") == 1).cast("long")).over(group)).withColumn(
         "first", F.min("uid").over(group)
     )
-    done = F.col("least") < F.col("uid")
+    settled = F.col("state") == SETTLED
+    done = (F.col("least") < F.col("uid")) | settled
     several = F.col("kinds") > 1
     query = ~done & several & (F.col("first") < F.col("uid"))
-    return seen.filter(done | query | ((F.col("rn") == 1) & several)).select(
-        "ahash", "uid", "th", "at", "kinds", done.alias("done"), query.alias("query"), ((F.col("rn") == 1) & several).alias("index")
+    index = (F.col("rn") == 1) & several & ~settled
+    return seen.filter(done | query | index).select(
+        "ahash", "uid", "th", "at", "kinds", done.alias("done"), query.alias("query"), index.alias("index")
     )
 
 

@@ -1,6 +1,6 @@
 """Benchmark decontamination by greedy string tiling.
 
-Words are lower-cased runs of bytes other than 0x20 and 0x09-0x0D. Seeds are
+Words are runs of bytes other than 0x20 and 0x09-0x0D of the lower-cased text. Seeds are
 runs of ``MIN_MATCH`` words. Documents and benchmark items are joined on
 shared seeds; before that a bit table of fixed size, filled from the
 benchmark's seeds, drops all other seeds while the documents are read, so what
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tremor.llm.anchors import NULL_ID, keyed
-from tremor.llm.common import gram_hashes, list_array, long_array, lowered, materialize, slices, word_hashes, words
+from tremor.llm.common import gram_hashes, list_array, long_array, materialize, slices, word_hashes, words
 from tremor.session import table
 
 MIN_MATCH = 5
@@ -38,8 +38,7 @@ TABLE_BITS = 22
 
 def _seeds(data: np.ndarray, offsets: np.ndarray, size: int):
     """(seed hashes, first word, last word + 1, row): runs of ``size`` words, and whole shorter texts."""
-    data = lowered(data)
-    starts, ends, row = words(data, offsets, True)
+    starts, ends, row = words(data, offsets, False)
     hashes = word_hashes(data, starts, ends)
     grams = gram_hashes(hashes, size)
     at = np.flatnonzero(row[: len(grams)] == row[size - 1 :]) if len(grams) else np.zeros(0, np.int64)
@@ -97,9 +96,8 @@ def seed_hits(texts: DataFrame, filled: bytes, size: int, longest_short: int, bi
             uid, th = b.column(0).to_numpy(), b.column(1).to_numpy()
             for i, j, data, offsets in slices(b.column(2)):
                 starts, ends, row, hashes, grams, at = _seeds(data, offsets, size)
-                found = [(at[known[grams[at] & low]], size)]
-                found[0] = (found[0][0], size)
-                seeds = [grams[found[0][0]]]
+                place = at[known[grams[at] & low]]
+                found, seeds = [(place, size)], [grams[place]]
                 for k in range(1, min(size, longest_short + 1)):  # seeds of items shorter than ``size``
                     g = gram_hashes(hashes, k)
                     a = np.flatnonzero(row[: len(g)] == row[k - 1 :]) if len(g) else np.zeros(0, np.int64)
@@ -123,7 +121,6 @@ def seed_hits(texts: DataFrame, filled: bytes, size: int, longest_short: int, bi
                 seed, seed_row = seed[new], seed_row[new]
                 rows = np.unique(seed_row)
                 counts = np.bincount(seed_row, minlength=j - i)[rows]
-                low_data = lowered(data)
                 edges = np.searchsorted(row[covered], np.append(rows, j - i))
                 runs = []
                 for x in range(len(rows)):
@@ -132,7 +129,7 @@ def seed_hits(texts: DataFrame, filled: bytes, size: int, longest_short: int, bi
                     for n, w in enumerate(part):
                         if n:
                             out += b" " if w == part[n - 1] + 1 else b"\n"
-                        out += low_data[starts[w] : ends[w]].tobytes()
+                        out += data[starts[w] : ends[w]].tobytes()
                     runs.append(bytes(out))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(uid[i + rows]), pa.array(th[i + rows]), list_array(long_array(seed), counts), pa.array(runs, pa.binary())],
@@ -196,10 +193,10 @@ def tiles(item: list[int], doc: list[int], shortest: int) -> list[tuple[int, int
 
 def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, size: int = MIN_MATCH, bits: int = TABLE_BITS) -> DataFrame:
     """uid, th, item_id, coverage of every leaked item of every document with leaks."""
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text")).distinct()
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.lower(F.coalesce("text", F.lit(""))).alias("text")).distinct()
     seeds = materialize(item_seeds(items, size), "seeds")
     short = seeds.filter(F.col("n_words") < size).agg(F.max("n_words")).first()[0] or 0
-    texts = keyed(docs)
+    texts = keyed(docs).withColumn("text", F.lower("text"))
     hits = materialize(seed_hits(texts, seed_table(seeds, bits), size, int(short), bits).distinct(), "seed-hits")
     pairs = (
         hits.select("uid", "th", F.explode("seeds").alias("seed")).join(seeds, "seed").select("uid", "th", "item_id").distinct()
@@ -211,9 +208,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, siz
             keep, share = [], []
             texts_, runs = b.column(3).to_pylist(), b.column(4).to_pylist()
             for r in range(b.num_rows):
-                raw = texts_[r].encode()
-                data = lowered(np.frombuffer(raw, np.uint8))
-                starts, ends, _ = words(data, np.array([0, len(data)]), True)
+                data = np.frombuffer(texts_[r].encode(), np.uint8)
+                starts, ends, _ = words(data, np.array([0, len(data)]), False)
                 item = [data[s:e].tobytes() for s, e in zip(starts, ends)]
                 number = {w: k + 1 for k, w in enumerate(dict.fromkeys(item))}
                 doc: list[int] = []

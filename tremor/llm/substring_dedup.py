@@ -84,7 +84,7 @@ def word_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataF
     units = anchors.Units(anchors.word_units, length, gram)
     texts = anchors.keyed(docs)
     alone = texts.join(anchors.representatives(texts), ["uid", "th"], "left")
-    marks = anchors.label_earlier(anchors.find_anchors(alone.filter("copies is not null"), units))
+    marks = anchors.label_earlier(anchors.find_anchors(alone.filter("copies is not null"), units, earlier=True))
     found = anchors.resolve(anchors.contexts(texts, marks, units), _resolver(length))
     return alone.join(anchors.spans(found, earlier=True), ["uid", "th"], "left").select(
         "uid", "th", "text", F.col("copies").isNull().alias("whole"), "spans"

@@ -158,7 +158,7 @@ def byte_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     texts = anchors.keyed(docs)
     first = anchors.representatives(texts)
     alone = texts.join(first, ["uid", "th"], "left")
-    marks = anchors.label_any(anchors.find_anchors(alone.filter("copies is not null"), units))
+    marks = anchors.label_any(anchors.find_anchors(alone.filter("copies is not null"), units, earlier=False))
     found = anchors.resolve(anchors.contexts(texts, marks, units), _resolver(length))
     return alone.join(anchors.spans(found, earlier=False), ["uid", "th"], "left").select(
         "uid", "th", "text", (~F.coalesce(F.col("copies") == 1, F.lit(False))).alias("whole"), "spans"
