@@ -1,7 +1,60 @@
-"""Training-data pipeline: placeholder until its stages are in place."""
-STAGES = []
+"""Training-data pipeline over ``documents``: filter, deduplicate, decontaminate, pack.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
+as Parquet and read again as the next stage's ``docs``. All stages but the last
+return the columns of ``documents``; the last returns one row per packed piece.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tremor.llm import decontaminate, jaccard_join, packing, suffix_dedup, toxicity
+from tremor.llm.common import materialize
+from tremor.llm.tokens import tokenizer_path
+from tremor.session import table
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier trained on ``labels`` calls toxic go."""
+    return toxicity.reject(docs, table(spark, sf_dir, "labels"))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays: five-word shingles, similarity of 0.8 or more."""
+    return jaccard_join.deduplicate(docs, 80, 100, 5)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Byte strings of 200 or more that occur elsewhere are cut out of the texts."""
+    return suffix_dedup.cut(docs)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of ``benchmark`` go."""
+    return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of 1024 tokens in the corpus mixture of sources."""
+    return packing.pack(docs, tokenizer_path())
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("jaccard_join", drop_near_copies),
+    ("suffix_dedup", cut_repeats),
+    ("decontamination", drop_leaks),
+    ("packing", pack_sequences),
+]
+
+#: tokenization and the classifier have no SQL form; tests hold the stages against brute force
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

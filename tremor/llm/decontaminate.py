@@ -246,10 +246,10 @@ def report(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, si
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, size: int = MIN_MATCH) -> DataFrame:
     """The documents that hold no leaked item."""
-    found = leaks(docs, benchmark, coverage, size).select(F.col("uid").alias("_uid"), F.col("th").alias("_th")).distinct()
+    found = leaks(docs, benchmark, coverage, size).select(F.col("uid").alias("__uid"), F.col("th").alias("__th")).distinct()
     uid = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))
     th = F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit(0xFFFFFFFF))
-    return docs.withColumn("_uid", uid).withColumn("_th", th).join(found, ["_uid", "_th"], "left_anti").select(*docs.columns)
+    return docs.withColumn("__uid", uid).withColumn("__th", th).join(found, ["__uid", "__th"], "left_anti").select(*docs.columns)
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -333,6 +333,17 @@ def link_components(docs: DataFrame, num: int = NUM, den: int = DEN, n: int = SH
     )
 
 
+def deduplicate(docs: DataFrame, num: int = NUM, den: int = DEN, n: int = SHINGLE) -> DataFrame:
+    """One document of each group of linked documents: the one with the least doc_id (a repeated row stays once)."""
+    kept = link_components(docs, num, den, n).filter("uid = component").groupBy("uid").agg(F.min("th").alias("th"))
+    uid = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))
+    th = F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit(0xFFFFFFFF))
+    own = docs.withColumn("__uid", uid).withColumn("__th", th)
+    own = own.join(kept.select(F.col("uid").alias("__uid"), F.col("th").alias("__th")), ["__uid", "__th"], "left_semi")
+    one = own.withColumn("__n", F.row_number().over(Window.partitionBy("__uid", "__th").orderBy("__uid")))
+    return one.filter("__n = 1").select(*docs.columns)
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract query: every whole text of ``documents``."""
 

@@ -214,20 +214,20 @@ def cut(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             texts = []
             for _, text, gone in _cut(b.column(2), b.column(3).to_numpy(zero_copy_only=False), b.column(4), length):
                 texts.append((text if gone is None else text[~gone]).tobytes().decode("utf-8", "ignore"))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string())], names=["uid", "th", "cut_text"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string())], names=["uid", "th", "__cut"])
 
     kept = byte_spans(docs, length).select("uid", "th", "text", "whole", "spans").filter("whole or spans is not null")
-    kept = kept.mapInArrow(run, "uid long, th long, cut_text string")
+    kept = kept.mapInArrow(run, "uid long, th long, __cut string")
     kept = kept.dropDuplicates(["uid", "th"])  # repeated rows have one result
-    tagged = docs.withColumn("_uid", F.coalesce(F.col("doc_id").cast("long"), F.lit(anchors.NULL_ID))).withColumn(
-        "_th", F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit(0xFFFFFFFF))
+    tagged = docs.withColumn("__uid", F.coalesce(F.col("doc_id").cast("long"), F.lit(anchors.NULL_ID))).withColumn(
+        "__th", F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit(0xFFFFFFFF))
     )
-    joined = tagged.join(kept.select(F.col("uid").alias("_uid"), F.col("th").alias("_th"), "cut_text"), ["_uid", "_th"], "left")
-    changed = F.col("cut_text").isNotNull()
+    joined = tagged.join(kept.select(F.col("uid").alias("__uid"), F.col("th").alias("__th"), "__cut"), ["__uid", "__th"], "left")
+    changed = F.col("__cut").isNotNull()
     out = [
-        F.when(changed, F.col("cut_text")).otherwise(F.col("text")).alias("text")
+        F.when(changed, F.col("__cut")).otherwise(F.col("text")).alias("text")
         if c == "text"
-        else F.when(changed, F.length("cut_text").cast(docs.schema[c].dataType)).otherwise(F.col(c)).alias(c)
+        else F.when(changed, F.length("__cut").cast(docs.schema[c].dataType)).otherwise(F.col(c)).alias(c)
         if c == "n_chars"
         else F.col(c)
         for c in docs.columns

@@ -190,7 +190,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """The documents with ``score`` and ``predicted`` added."""
     hashes, weights, bias = model.hashes, model.weights, model.bias
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields]
-    text, names = docs.columns.index("text"), [*docs.columns, "_score", "_predicted"]
+    text, names = docs.columns.index("text"), [*docs.columns, "__score", "__predicted"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(hashes, weights, bias)
@@ -200,12 +200,12 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             cols = [*b.columns, pa.array(s), pa.array((s >= 0.5).astype(np.int32))]
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    return docs.mapInArrow(run, ", ".join([*fields, "_score double, _predicted int"]))
+    return docs.mapInArrow(run, ", ".join([*fields, "__score double, __predicted int"]))
 
 
 def reject(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the classifier does not call toxic."""
-    return score(docs, fit(docs, labels)).filter("_predicted = 0").select(*docs.columns)
+    return score(docs, fit(docs, labels)).filter("__predicted = 0").select(*docs.columns)
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -213,4 +213,4 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = score(docs, fit(docs, table(spark, sf_dir, "labels")))
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % FOLDS == 0, F.lit(False))
-    return scored.select("doc_id", held.alias("held_out"), F.col("_score").alias("score"), F.col("_predicted").alias("predicted"))
+    return scored.select("doc_id", held.alias("held_out"), F.col("__score").alias("score"), F.col("__predicted").alias("predicted"))
