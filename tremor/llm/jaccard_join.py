@@ -117,37 +117,35 @@ class Segments:
 
 
 class Search:
-    """T-occurrence search over the sets of one group."""
+    """T-occurrence search over inverted lists of some sets."""
 
     def __init__(self, sets: list[np.ndarray], num: int, den: int):
-        self.sets, self.num, self.den = sets, num, den
+        self.num, self.den = num, den
         self.sizes = np.array([len(s) for s in sets], np.int64)
-        flat = np.concatenate(sets)
-        tokens, number = np.unique(flat, return_inverse=True)
-        owner = np.repeat(np.arange(len(sets)), self.sizes)
-        order = np.argsort(number, kind="stable")
-        self.lists = owner[order]
-        self.begin = np.concatenate([[0], np.cumsum(np.bincount(number, minlength=len(tokens)))])
-        self.tokens = np.split(number, np.cumsum(self.sizes)[:-1])
+        self.tokens, number = np.unique(np.concatenate(sets), return_inverse=True)
+        self.lists = np.repeat(np.arange(len(sets)), self.sizes)[np.argsort(number, kind="stable")]
+        self.begin = np.concatenate([[0], np.cumsum(np.bincount(number, minlength=len(self.tokens)))])
 
     def required(self, a: int, b: np.ndarray) -> np.ndarray:
         """Least overlap at which sets of these sizes link."""
         return -(-self.num * (a + b) // (self.num + self.den))
 
-    def partners(self, x: int, allowed: np.ndarray) -> np.ndarray:
-        """Allowed documents that link to ``x``."""
-        a = int(self.sizes[x])
+    def partners(self, query: np.ndarray, allowed: np.ndarray) -> np.ndarray:
+        """Allowed sets that link to the query set."""
+        a = len(query)
         fits = allowed & (self.sizes * self.den >= a * self.num) & (self.sizes * self.num <= a * self.den)
         if not fits.any():
             return np.zeros(0, np.int64)
         least = int(self.required(a, self.sizes[fits].min()))
-        mine = self.tokens[x]
+        at = np.minimum(np.searchsorted(self.tokens, query), len(self.tokens) - 1)
+        mine = at[self.tokens[at] == query]
+        if len(mine) < least:
+            return np.zeros(0, np.int64)
         length = self.begin[mine + 1] - self.begin[mine]
         order = np.argsort(length, kind="stable")
-        longest = int(length.max())
-        aside = min(least - 1, int(least / (MU * np.log2(longest + 1) + 1)))
-        short, long = mine[order[: a - aside]], mine[order[a - aside :]]
-        # merge of the short lists: occurrences of each document
+        aside = min(least - 1, int(least / (MU * np.log2(int(length.max()) + 1) + 1)))
+        short, long = mine[order[: len(mine) - aside]], mine[order[len(mine) - aside :]]
+        # merge of the short lists: occurrences of each set
         pieces = [self.lists[self.begin[t] : self.begin[t + 1]] for t in short]
         merged = np.bincount(np.concatenate(pieces), minlength=len(self.sizes))
         found = np.flatnonzero(fits & (merged >= least - aside))
@@ -169,35 +167,18 @@ class Search:
         return found[count >= need]
 
 
-class Union:
-    def __init__(self, n: int):
-        self.up = np.arange(n)
-
-    def root(self, x: int) -> int:
-        while self.up[x] != x:
-            self.up[x] = self.up[self.up[x]]
-            x = self.up[x]
-        return int(x)
-
-    def join(self, a: int, b: int) -> bool:
-        a, b = self.root(a), self.root(b)
-        if a == b:
-            return False
-        self.up[max(a, b)] = min(a, b)
-        return True
-
-
-def links(sets: list[np.ndarray], label: np.ndarray, query: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
-    """Links that connect documents of different labels (a spanning forest of them)."""
-    search, union = Search(sets, num, den), Union(len(sets))
-    by_label: dict[int, int] = {}
-    for x, m in enumerate(label.tolist()):
-        union.join(by_label.setdefault(m, x), x)
+def links(sets: list[np.ndarray], label: np.ndarray, query: np.ndarray, home: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
+    """Links of queries to home sets that connect different labels (a spanning forest of them)."""
+    here = np.flatnonzero(home)
+    if not len(here) or not query.any():
+        return []
+    search = Search([sets[y] for y in here], num, den)
+    part = np.unique(label, return_inverse=True)[1]
     out = []
     for x in np.flatnonzero(query):
-        roots = np.array([union.root(y) for y in range(len(sets))])
-        for y in search.partners(int(x), roots != roots[x]):
-            if union.join(int(x), int(y)):
+        for y in here[search.partners(sets[x], part[here] != part[x])]:
+            if part[x] != part[y]:
+                part[part == part[y]] = part[x]
                 out.append((int(x), int(y)))
     return out
 
@@ -206,29 +187,30 @@ def find_links(members: DataFrame, num: int, den: int) -> DataFrame:
     """Edges (a, b) found within each (block, chunk)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, last, uid, label, query, sets = None, None, [], [], [], []
+        key, last, uid, label, query, home, sets = None, None, [], [], [], [], []
 
         def close() -> Iterator[pa.RecordBatch]:
             if len(uid) > 1:
-                found = links(sets, np.array(label), np.array(query), num, den)
+                found = links(sets, np.array(label), np.array(query), np.array(home), num, den)
                 if found:
                     pairs = [pa.array([uid[p[k]] for p in found], pa.int64()) for k in (0, 1)]
                     yield pa.RecordBatch.from_arrays(pairs, names=["a", "b"])
 
         for b in batches:
-            block, chunk, ids, texts, labels, queries = (b.column(k).to_pylist() for k in range(6))
-            flat = b.column(6).flatten().to_numpy()
-            ends = np.cumsum(b.column(6).value_lengths().to_numpy())
+            block, chunk, ids, texts, labels, queries, homes = (b.column(k).to_pylist() for k in range(7))
+            flat = b.column(7).flatten().to_numpy().view(U64)
+            ends = np.cumsum(b.column(7).value_lengths().to_numpy())
             for r in range(b.num_rows):
                 if key != (block[r], chunk[r]):
                     yield from close()
-                    key, uid, label, query, sets, last = (block[r], chunk[r]), [], [], [], [], None
+                    key, uid, label, query, home, sets, last = (block[r], chunk[r]), [], [], [], [], [], None
                 if last == (ids[r], texts[r]):  # a repeated row
                     continue
                 last = (ids[r], texts[r])
                 uid.append(ids[r])
                 label.append(labels[r])
                 query.append(queries[r])
+                home.append(homes[r])
                 sets.append(flat[(ends[r - 1] if r else 0) : ends[r]].copy())
         yield from close()
 
@@ -285,29 +267,34 @@ def link_components(docs: DataFrame, num: int = NUM, den: int = DEN, n: int = SH
     placed = placed.join(first.select("uid", "th"), "uid")
 
     def members(where: DataFrame) -> DataFrame:
-        """Sets of the documents that ``where`` (uid, th, block, chunks, chunk, label, query, everywhere) places."""
+        """Sets of the documents that ``where`` places: in their own chunk, or with ``spread`` in all chunks of their
+        block; at ``home`` a document is also indexed."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 for i, j, data, offsets in slices(b.column(1)):
                     h, r = shingle_sets(data, offsets, n)
                     sets = list_array(long_array(h), np.bincount(r, minlength=j - i))
-                    rest = [b.column(k).slice(i, j - i) for k in (0, 2, 3, 4, 5, 6, 7)]
-                    names = ["uid", "th", "block", "chunks", "chunk", "label", "query", "shingles"]
+                    rest = [b.column(k).slice(i, j - i) for k in (0, 2, 3, 4, 5, 6, 7, 8, 9)]
+                    names = ["uid", "th", "block", "chunks", "chunk", "label", "query", "spread", "pivot", "shingles"]
                     yield pa.RecordBatch.from_arrays([*rest, sets], names=names)
 
-        own = texts.join(where, ["uid", "th"]).select("uid", "text", "th", "block", "chunks", "chunk", "label", "query")
+        own = texts.join(where, ["uid", "th"]).select(
+            "uid", "text", "th", "block", "chunks", "chunk", "label", "query", "spread", "pivot"
+        )
         sets = own.mapInArrow(
-            run, "uid long, th long, block long, chunks long, chunk long, label long, query boolean, shingles array<bigint>"
+            run,
+            "uid long, th long, block long, chunks long, chunk long, label long, query boolean, spread boolean, pivot boolean, "
+            "shingles array<bigint>",
         )
-        # chunk -1: in every chunk of its block
-        spread = F.when(F.col("chunk") < 0, F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).otherwise(F.array("chunk"))
-        return sets.select("block", F.explode(spread).alias("chunk"), "uid", "th", "label", "query", "shingles")
-
-    here = F.when((F.col("uid") == F.col("block")) & (F.col("chunks") > 1), F.lit(-1).cast("long")).otherwise(F.col("chunk"))
-    near = find_links(
-        members(placed.withColumn("chunk", here).withColumn("label", F.col("uid")).withColumn("query", F.lit(True))), num, den
-    )
+        places = F.when(F.col("spread"), F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).otherwise(F.array("chunk"))
+        dealt = sets.withColumn("at", F.explode(places))
+        home = F.col("pivot") | (F.col("at") == F.col("chunk"))
+        return dealt.select("block", F.col("at").alias("chunk"), "uid", "th", "label", "query", home.alias("home"), "shingles")
+
+    pivot = (F.col("uid") == F.col("block")) & (F.col("chunks") > 1)
+    all_own = placed.withColumn("label", F.col("uid")).withColumn("query", F.lit(True))
+    near = find_links(members(all_own.withColumn("spread", pivot).withColumn("pivot", pivot)), num, den)
     edges = materialize(near, "links")
     split = placed.filter("chunks > 1")
     if not split.isEmpty():
@@ -317,8 +304,10 @@ def link_components(docs: DataFrame, num: int = NUM, den: int = DEN, n: int = SH
         parts = state.groupBy("block", "label").agg(F.count("*").alias("n"))
         main = parts.groupBy("block").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count("*").alias("parts"))
         todo = state.join(main.filter("parts > 1"), "block").withColumn("query", F.col("label") != F.col("main"))
-        todo = todo.withColumn("chunk", F.when(F.col("query"), F.lit(-1).cast("long")).otherwise(F.col("chunk")))
-        more = find_links(members(todo.select("uid", "th", "block", "chunks", "chunk", "label", "query")), num, den)
+        todo = todo.select(
+            "uid", "th", "block", "chunks", "chunk", "label", "query", F.col("query").alias("spread"), F.lit(False).alias("pivot")
+        )
+        more = find_links(members(todo), num, den)
         edges = edges.unionByName(materialize(more, "links"))
 
     copies = sized.filter("n_shingles > 0").join(first.withColumnRenamed("uid", "rep").drop("th"), ["d1", "d2", "n_shingles"])
