@@ -5,7 +5,8 @@ runs of bytes other than 0x20 and 0x09-0x0D); with fewer words the whole
 sequence is one shingle, without words the set is empty and links to nothing.
 Documents link where ``den * |intersection| >= num * |union|``.
 
-1. Equal sets are grouped by digest; one representative goes on.
+1. Equal sets are grouped by digest; one representative goes on (within a
+   batch of rows already before anything is sent).
 2. Routing, exact by the pigeonhole principle: sets of linked documents differ
    in a bounded number of shingles, so if shingles are dealt into more segments
    than that, some segment is equal in both. Each representative sends one
@@ -69,6 +70,22 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndar
     return h[new], r[new]
 
 
+def set_slices(column, n: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, end row, shingle hashes, rows) of consecutive slices of a text column."""
+    for i, j, data, offsets in slices(column, 1 << 19):
+        yield i, j, *shingle_sets(data, offsets, n)
+
+
+def sums_of(h: np.ndarray, row: np.ndarray, n_rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """128-bit digest of each row's set, as two sums."""
+    sums = np.zeros(n_rows, U64), np.zeros(n_rows, U64)
+    if len(h):
+        head = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
+        for s, x in zip(sums, (mix(h ^ U64(0x1D8E4E27C47D124F)), mix(h + U64(0xEB44ACCAB455D165)))):
+            s[row[head]] = np.add.reduceat(x, head)
+    return sums
+
+
 class Segments:
     """Band limits and segment counts for the threshold."""
 
@@ -224,14 +241,9 @@ def link_components(docs: DataFrame, num: int = NUM, den: int = DEN, n: int = SH
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for i, j, data, offsets in slices(b.column(2)):
-                h, r = shingle_sets(data, offsets, n)
+            for i, j, h, r in set_slices(b.column(2), n):
                 size = np.bincount(r, minlength=j - i)
-                sums = [np.zeros(j - i, U64), np.zeros(j - i, U64)]
-                if len(h):
-                    head = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]]))
-                    for s, x in zip(sums, (mix(h ^ U64(0x1D8E4E27C47D124F)), mix(h + U64(0xEB44ACCAB455D165)))):
-                        s[r[head]] = np.add.reduceat(x, head)
+                sums = sums_of(h, r, j - i)
                 cols = [b.column(0).slice(i, j - i), b.column(1).slice(i, j - i), long_array(size), *map(long_array, sums)]
                 yield pa.RecordBatch.from_arrays(cols, names=["uid", "th", "n_shingles", "d1", "d2"])
 
@@ -248,14 +260,26 @@ def link_components(docs: DataFrame, num: int = NUM, den: int = DEN, n: int = SH
     segments = Segments(num, den, int(largest))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of equal sets in a batch only the least uid sends; the representative always does."""
         for b in batches:
             uid = b.column(0).to_numpy()
-            for i, j, data, offsets in slices(b.column(1), 1 << 19):
-                h, r = shingle_sets(data, offsets, n)
-                digest, row = segments.digests(h, r, j - i)
+            order = np.argsort(uid, kind="stable")
+            seen: set[tuple[int, int]] = set()
+            parts = [(i, j, *sums_of(h, r, j - i), h, r) for i, j, h, r in set_slices(b.column(1), n)]
+            if not parts:
+                continue
+            keys = list(zip(*(np.concatenate([p[k] for p in parts]).tolist() for k in (2, 3))))
+            sends = np.zeros(len(uid), bool)
+            for x in order:
+                if keys[x] not in seen:
+                    seen.add(keys[x])
+                    sends[x] = True
+            for i, j, _, _, h, r in parts:
+                on = sends[i + r]
+                digest, row = segments.digests(h[on], r[on], j - i)
                 yield pa.RecordBatch.from_arrays([long_array(digest), pa.array(uid[i + row])], names=["digest", "uid"])
 
-    routed = texts.join(first.select("uid", "th"), ["uid", "th"]).select("uid", "text").mapInArrow(send, "digest long, uid long")
+    routed = texts.select("uid", "text").mapInArrow(send, "digest long, uid long")
     meets = routed.withColumn("root", F.min("uid").over(Window.partitionBy("digest"))).filter("uid <> root")
     coarse = materialize(components(meets.select(F.col("uid").alias("a"), F.col("root").alias("b"))), "blocks")
     block = coarse.unionByName(coarse.select(F.col("label").alias("id"), "label").distinct())
@@ -272,8 +296,7 @@ def link_components(docs: DataFrame, num: int = NUM, den: int = DEN, n: int = SH
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                for i, j, data, offsets in slices(b.column(1)):
-                    h, r = shingle_sets(data, offsets, n)
+                for i, j, h, r in set_slices(b.column(1), n):
                     sets = list_array(long_array(h), np.bincount(r, minlength=j - i))
                     rest = [b.column(k).slice(i, j - i) for k in (0, 2, 3, 4, 5, 6, 7, 8, 9)]
                     names = ["uid", "th", "block", "chunks", "chunk", "label", "query", "spread", "pivot", "shingles"]
@@ -295,7 +318,7 @@ def link_components(docs: DataFrame, num: int = NUM, den: int = DEN, n: int = SH
     pivot = (F.col("uid") == F.col("block")) & (F.col("chunks") > 1)
     all_own = placed.withColumn("label", F.col("uid")).withColumn("query", F.lit(True))
     near = find_links(members(all_own.withColumn("spread", pivot).withColumn("pivot", pivot)), num, den)
-    edges = materialize(near, "links")
+    known = edges = materialize(near, "links")
     split = placed.filter("chunks > 1")
     if not split.isEmpty():
         labels = components(edges)
@@ -308,13 +331,13 @@ def link_components(docs: DataFrame, num: int = NUM, den: int = DEN, n: int = SH
             "uid", "th", "block", "chunks", "chunk", "label", "query", F.col("query").alias("spread"), F.lit(False).alias("pivot")
         )
         more = find_links(members(todo), num, den)
-        edges = edges.unionByName(materialize(more, "links"))
+        known = materialize(labels.select(F.col("id").alias("a"), F.col("label").alias("b")).unionByName(more), "links")
 
     copies = sized.filter("n_shingles > 0").join(first.withColumnRenamed("uid", "rep").drop("th"), ["d1", "d2", "n_shingles"])
     # rows of one doc_id with different texts are one vertex
     own = copies.groupBy("uid").agg(F.min("rep").alias("b"), F.max("rep").alias("most")).filter("b < most")
     same_id = copies.join(own, "uid").select(F.col("rep").alias("a"), "b")
-    labels = components(edges.unionByName(same_id))
+    labels = components(known.unionByName(same_id))
     member = copies.select("uid", "rep").join(labels.withColumnRenamed("id", "rep"), "rep", "left")
     member = member.groupBy("uid").agg(F.min(F.coalesce("label", "rep")).alias("component"))
     return sized.select("uid", "th", "n_shingles").join(member, "uid", "left").withColumn(
