@@ -55,7 +55,7 @@ def test_cli_jobs_end_to_end(spark, scratch):
     assert r["status"] == "succeeded" and spark.read.parquet(f"{scratch}/silver").count() == 241
     r = main(["silver-to-gold", "--silver", f"{scratch}/silver", "--gold", f"{scratch}/gold",
               "--database", "cli_gold"], spark)
-    assert r["fact_rows"] == 186 and spark.table("cli_gold.fact_earthquake_events").count() == 186
+    assert r["fact_rows"] == 181 and spark.table("cli_gold.fact_earthquake_events").count() == 181
     r = main(["stream", "--bronze", landing, "--history", f"{scratch}/hist", "--checkpoint", f"{scratch}/ck"], spark)
     assert r["late_rows"] == 0 and spark.read.parquet(f"{scratch}/hist").count() == 638
     r = main(["retention", "--silver", f"{scratch}/silver", "--as-of", "2024-02-15", "--days", "30"], spark)
@@ -70,7 +70,7 @@ def test_cli_run_and_stream_variants(spark, scratch):
     landing = f"{scratch}/bronze"
     geojson.land(geojson.nest(flat, staging.fetch_hour(flat)), landing)
     r = main(["run", "--bronze", landing, "--root", f"{scratch}/lake", "--database", "cli_run"], spark)
-    assert (r["status"], r["latest_rows"], r["fact_rows"], r["location"]) == ("succeeded", 241, 186, f"{scratch}/lake")
+    assert (r["status"], r["latest_rows"], r["fact_rows"], r["location"]) == ("succeeded", 241, 181, f"{scratch}/lake")
     assert tables.read_run_log(spark, f"{scratch}/lake/run_log").count() == 1
     main(["stream", "--bronze", landing, "--history", f"{scratch}/h1", "--checkpoint", f"{scratch}/c1", "--stateful"], spark)
     assert spark.read.parquet(f"{scratch}/h1").count() == 638

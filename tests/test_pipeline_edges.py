@@ -168,3 +168,88 @@ def test_tie_survivors_match_the_sql_oracle(spark):
     )
     want = sorted(map(tuple, con.sql(sql).fetchall()))
     assert len(got) == 5 and got == want
+
+
+def test_run_of_only_rejected_rows_leaves_a_readable_lake(spark, scratch):
+    from tremor.plans import jobs
+    from tremor.sinks import tables
+
+    root = f"{scratch}/lake"
+    bad = flat_rows(spark, [base(mag=11.0), base(id="e2", mag=None)])
+    assert jobs.run_all(spark, bad, root, database="gold_rejected")["status"] == "empty"
+    assert tables.read_silver(spark, f"{root}/silver/earthquakes_cleaned").count() == 0
+    assert jobs.run_gold(spark, f"{root}/silver/earthquakes_cleaned", f"{root}/gold", "gold_rejected")["status"] == "skipped"
+    assert jobs.run_all(spark, flat_rows(spark, [base()]), root, database="gold_rejected")["status"] == "succeeded"
+
+
+def test_incremental_run_keeps_earlier_events(spark, scratch):
+    from tremor.plans import jobs
+    from tremor.sinks import tables
+
+    root = f"{scratch}/lake"
+    first = jobs.run_all(spark, flat_rows(spark, [base(id="a"), base(id="b")]), root, database="gold_inc")
+    second = jobs.run_all(spark, flat_rows(spark, [base(id="c")]), root, database="gold_inc")
+    assert (first["mode"], second["mode"]) == ("backfill", "incremental")
+    ids = {r.event_id for r in tables.read_silver(spark, f"{root}/silver/earthquakes_cleaned").collect()}
+    assert ids == {"a", "b", "c"} and second["fact_rows"] == 3
+
+
+def test_failed_run_is_logged(spark, scratch):
+    import pytest
+
+    from tremor.plans import jobs
+    from tremor.sinks import tables
+
+    broken = flat_rows(spark, [base()]).withColumn("mag", F.raise_error(F.lit("no data")).cast("double"))
+    with pytest.raises(Exception, match="no data"):
+        jobs.run_all(spark, broken, f"{scratch}/lake", database="gold_failed")
+    row = tables.read_run_log(spark, f"{scratch}/lake/run_log").first()
+    assert row.status == "failed" and abs((row.finished_at - row.started_at).total_seconds()) < 600
+
+
+def test_merge_result_does_not_depend_on_arrival_order(spark, scratch):
+    from tremor.plans import jobs
+    from tremor.sinks import tables
+
+    batches = [
+        flat_rows(spark, [base(mag=m)]).withColumn("batch_ts", F.lit(f"2024-01-0{d} 00:00:00").cast("timestamp_ntz"))
+        for m, d in ((4.0, 1), (5.0, 2))
+    ]
+    for k, order in enumerate((batches, batches[::-1])):
+        path = f"{scratch}/silver{k}"
+        jobs.run_silver(order[0], path)
+        jobs.merge_silver(spark, order[1], path)
+        assert [r.magnitude for r in tables.read_silver(spark, path).collect()] == [5.0]
+
+
+def test_landing_an_hour_keeps_the_others(spark, scratch):
+    from tremor.sinks import geojson
+    from tremor.sources import bronze
+
+    flat = flat_rows(spark, [base(id=f"e{k}") for k in range(5)])
+    for hour, ids in (("00", ["e0", "e1"]), ("01", ["e2"]), ("00", ["e3"])):
+        part = flat.filter(F.col("id").isin(ids))
+        geojson.land(geojson.nest(part, F.lit(f"2024-01-01 {hour}:00:00").cast("timestamp_ntz")), scratch)
+    got = bronze.flatten(bronze.read_documents(spark, scratch))
+    assert sorted(r.id for r in got.collect()) == ["e2", "e3"]
+
+
+def test_documents_hold_every_feature_once_and_never_too_many(spark):
+    from tremor.sinks import geojson
+
+    flat = flat_rows(spark, [base(id=f"e{k}", time=T0 + k) for k in range(100)])
+    docs = geojson.nest(flat, F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"), max_features=7)
+    sizes = docs.select(F.get_json_object("value", "$.metadata.count").cast("int").alias("n"), "value").collect()
+    assert sum(r.n for r in sizes) == 100 and max(r.n for r in sizes) <= 7
+    again = geojson.nest(flat.repartition(5), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"), max_features=7)
+    assert {r.value for r in again.collect()} == {r.value for r in sizes}
+
+
+def test_keys_tell_close_places_and_separators_apart(spark):
+    from tremor.functions import keys
+
+    rows = [(10.0000001, 1.0, "a"), (10.0000002, 1.0, "a"), (0.0, 1.0, "a"), (-0.0, 1.0, "a"), (1.0, 1.0, "x|1:y"), (1.0, 1.0, None)]
+    df = spark.createDataFrame(rows, "latitude double, longitude double, place string").withColumn("k", keys.location_key())
+    assert df.select("k").distinct().count() == 5
+    pairs = spark.createDataFrame([("x|v:y", "z"), ("x", "y|v:z"), ("x|1:y", "z"), ("x", "y|1:z")], "event_type string, magType string")
+    assert pairs.select(keys.event_type_key().alias("k")).distinct().count() == 4

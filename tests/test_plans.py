@@ -48,20 +48,27 @@ def test_scans_are_pruned(spark):
     text = formatted(entry.queries()["fact_events"](spark, SF_SMALL))
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string,value:double>" in text
     text = formatted(entry.queries()["gold_by_region"](spark, SF_SMALL))
-    assert "ReadSchema: struct<LocationKey:bigint,Magnitude:double,DepthKm:double,TsunamiWarning:boolean>" in text
-
-
-def test_broadcast_only_after_size_check(spark):
-    from tremor.operators.joins import broadcast_if_small
-
-    big = spark.range(1000).withColumnRenamed("id", "k")
-    dim = spark.range(50).withColumnRenamed("id", "k")
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        small_plan = plan_text(big.join(broadcast_if_small(dim, max_rows=100), "k"))
-        large_plan = plan_text(big.join(broadcast_if_small(dim, max_rows=10), "k"))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-    assert "BroadcastHashJoin" in small_plan
-    assert "BroadcastHashJoin" not in large_plan and "SortMergeJoin" in large_plan
+    assert "ReadSchema: struct<LocationKey:string,Magnitude:double,DepthKm:double,TsunamiWarning:boolean>" in text
+
+
+def test_star_integrity_scans_each_table_once(spark):
+    """One scan per table and two shuffles, however many checks there are."""
+    text = plan_text(entry.queries()["star_integrity"](spark, SF_SMALL))
+    assert text.count("Scan parquet") == 5 and text.count("Exchange") <= 2 * 2
+
+
+def test_merge_runs_few_jobs(spark, scratch):
+    """A one-row merge: the batch is parsed once and Silver's ids are scanned once."""
+    from pyspark.sql import functions as F
+
+    from tremor import registry
+    from tremor.plans import jobs
+
+    flat = registry.bronze_flat(spark, SF_SMALL)
+    jobs.run_silver(flat, f"{scratch}/silver")
+    group = "merge-jobs"
+    spark.sparkContext.setJobGroup(group, group)
+    jobs.merge_silver(spark, flat.filter(F.col("mag") > 2).limit(1), f"{scratch}/silver")
+    n = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    spark.sparkContext.setJobGroup("", "")
+    assert n <= 14

@@ -5,15 +5,18 @@ submit-time configuration (master, shuffle partitions, checkpoint dir) is
 used as given.
 
   bronze-to-silver  --bronze PATH --silver PATH [--merge]
-  silver-to-gold    --silver PATH --gold PATH [--database NAME] [--drop-duplicate-events]
+  silver-to-gold    --silver PATH --gold PATH [--database NAME]
   run               --bronze PATH --root PATH [--database NAME] [--mode backfill|incremental]
+                    (without --mode it follows from the run log and Silver)
   stream            --bronze PATH --history PATH --checkpoint PATH [--stateful]
-  retention         --silver PATH --as-of YYYY-MM-DD [--days N]   (prints rows to expire)
+  retention         --silver PATH --as-of YYYY-MM-DD [--days N] [--bronze PATH] [--delete]
+                    (lists expired partitions; removes them with --delete)
 """
 
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import json
 import sys
 
@@ -43,23 +46,24 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     b.add_argument("--silver", required=True)
     b.add_argument("--gold", required=True)
     b.add_argument("--database", default=fixed.GOLD_DATABASE)
-    b.add_argument("--drop-duplicate-events", action="store_true")
     c = sub.add_parser("run")
     c.add_argument("--bronze", required=True)
     c.add_argument("--root", required=True)
     c.add_argument("--database", default=fixed.GOLD_DATABASE)
-    c.add_argument("--mode", default="backfill", choices=["backfill", "incremental"])
+    c.add_argument("--mode", default=None, choices=["backfill", "incremental"])
     d = sub.add_parser("stream")
     d.add_argument("--bronze", required=True)
     d.add_argument("--history", required=True)
     d.add_argument("--checkpoint", required=True)
     d.add_argument("--stateful", action="store_true")
     d.add_argument("--compact-into", default=None, help="also keep a compacted Silver table at this path")
-    d.add_argument("--max-files-per-trigger", type=int, default=None, help="bound each micro-batch")
+    d.add_argument("--max-files-per-trigger", type=int, default=incremental.MAX_FILES_PER_TRIGGER, help="bound each micro-batch")
     e = sub.add_parser("retention")
     e.add_argument("--silver", required=True)
     e.add_argument("--as-of", required=True)
     e.add_argument("--days", type=int, default=fixed.RETENTION_DAYS["silver"])
+    e.add_argument("--bronze", default=None, help="also expire landed hours by the Bronze retention")
+    e.add_argument("--delete", action="store_true", help="remove expired partitions (default: list them)")
     args = p.parse_args(argv)
 
     spark = spark or SparkSession.builder.getOrCreate()
@@ -70,7 +74,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         else:
             result = jobs.run_silver(flat, args.silver)
     elif args.job == "silver-to-gold":
-        result = jobs.run_gold(spark, args.silver, args.gold, args.database, args.drop_duplicate_events)
+        result = jobs.run_gold(spark, args.silver, args.gold, args.database)
     elif args.job == "run":
         result = jobs.run_all(spark, _flat(spark, args.bronze), args.root, args.database, mode=args.mode)
     elif args.job == "stream":
@@ -80,7 +84,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
             incremental.append_history(spark, args.bronze, args.history, args.checkpoint,
                                        max_files_per_trigger=args.max_files_per_trigger)
         if args.compact_into:
-            incremental.compact_silver(spark, args.bronze, args.compact_into, f"{args.checkpoint}_compacted")
+            incremental.compact_silver(spark, args.bronze, args.compact_into, f"{args.checkpoint}_compacted",
+                                       args.max_files_per_trigger)
         result = {"status": "succeeded"}
         if not args.stateful:
             result["late_rows"] = incremental.late_rows(spark, args.history)
@@ -89,6 +94,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         as_of = F.to_timestamp_ntz(F.lit(args.as_of))
         row = runs.retention_summary(silver, "event_timestamp_utc", as_of, {"silver": args.days}).first()
         result = {"status": "succeeded", "rows_kept": row.rows_kept, "rows_to_expire": row.rows_expired}
+        day = dt.datetime.fromisoformat(args.as_of)
+        result["silver_partitions"] = runs.expire(spark, args.silver, "silver", day, args.days, not args.delete)
+        if args.bronze:
+            result["bronze_folders"] = runs.expire(spark, args.bronze, "bronze", day, None, not args.delete)
     print(json.dumps(result, default=str))
     return result
 

@@ -65,3 +65,16 @@ RETENTION_DAYS = {"bronze": 365, "silver": 730, "gold": 1825}
 # --- Fixed values: names --------------------------------------------------
 GOLD_DATABASE = "gold_earthquakes"
 FACT_TABLE = "fact_earthquake_events"
+
+# The published fact mapping: Silver column -> fact column.
+FACT_MEASURES = (
+    ("magnitude", "Magnitude"),
+    ("depth_km", "DepthKm"),
+    ("tsunami_warning", "TsunamiWarning"),
+    ("significance", "Significance"),
+    ("felt_reports", "FeltReports"),
+    ("nst_stations", "NumberOfStations"),
+    ("rms_travel_time", "RmsTravelTime"),
+    ("gap_azimuthal", "AzimuthalGap"),
+    ("url", "SourceURL"),
+)

@@ -1,8 +1,11 @@
 """``quakes``: a seismic event catalogue derived from the driver's ``events``.
 
 Every row of ``events`` becomes one Bronze-shaped revision: four
-consecutive event ids share one quake id, values land out of range on
-purpose, places take every shape the region parser must handle. Only
+consecutive event ids share one quake id, events spread over 20 months,
+some revisions move an event to another month, ``updated`` is null or tied
+for some, coordinates differ past the sixth place, texts hold ``|``, values
+land out of range on purpose, places take every shape the region parser
+must handle. Only
 integer and plain IEEE arithmetic is used, so DuckDB computes the same
 rows (see ``tremor.oracle``).
 """
@@ -18,9 +21,21 @@ from .functions.casts import ts_to_epoch_ms
 
 def quakes(events: DataFrame) -> DataFrame:
     eid, uid, etype = F.col("event_id"), F.col("user_id"), F.col("event_type")
+    quake = F.floor(eid / 4)
+    moved = F.when((eid % 4 == 3) & (quake % 5 == 0), 31).otherwise(0)
+    event_ts = F.col("ts") + F.make_dt_interval((quake % 19 * 30 + moved).cast("int"))
+    updated = (
+        F.when(eid % 31 == 7, F.lit(None).cast("timestamp_ntz"))
+        .when(quake % 7 == 0, F.lit("2026-01-01 00:00:00").cast("timestamp_ntz"))
+        .otherwise(event_ts + F.make_dt_interval(F.lit(0), (eid % 5).cast("int"), F.lit(0), F.lit(0)))
+    )
     place = (
         F.when(uid % 11 == 0, F.lit(None).cast("string"))
         .when(uid % 7 == 0, F.concat(F.lit("Ridge "), (uid % 5).cast("string")))
+        .when(
+            uid % 17 == 0,
+            F.concat(F.lit("a|b:"), (uid % 3).cast("string"), F.lit(", Land|"), (uid % 2).cast("string")),
+        )
         .when(uid % 13 == 0, F.concat(F.lit("near X"), (uid % 3).cast("string"), F.lit(", ")))
         .otherwise(
             F.concat(
@@ -36,17 +51,18 @@ def quakes(events: DataFrame) -> DataFrame:
     )
     return events.select(
         F.concat(F.lit("q"), (eid - eid % 4).cast("string")).alias("id"),
-        F.col("ts").alias("event_ts"),
-        (F.col("ts") + F.make_dt_interval(F.lit(0), (eid % 5).cast("int"), F.lit(0), F.lit(0))).alias("updated_ts"),
+        event_ts.alias("event_ts"),
+        updated.alias("updated_ts"),
         eid.alias("revision"),
         F.when(eid % 97 == 0, F.lit(None).cast("double")).otherwise(F.col("value") / 25.0 - 2.5).alias("magnitude"),
         (((eid * 37) % 1150).cast("double") - 50.0).alias("depth_km"),
-        (((uid * 7) % 191).cast("double") - 95.0).alias("latitude"),
-        (((uid * 13) % 373).cast("double") - 186.0).alias("longitude"),
+        (((uid * 7) % 191).cast("double") - 95.0 + (eid % 4).cast("double") / 10000000.0).alias("latitude"),
+        (((uid * 13) % 373).cast("double") - 186.0 + (uid % 7).cast("double") / 64.0).alias("longitude"),
         place.alias("place"),
         F.when(etype == "signup", "quarry blast").otherwise("earthquake").alias("event_type"),
         F.when(etype == "error", F.lit(None).cast("string"))
         .when(etype == "view", "ml")
+        .when(etype == "click", "m|b")
         .otherwise("mb")
         .alias("mag_type"),
         F.when(eid % 10 == 3, F.lit(None).cast("int")).otherwise((eid % 2).cast("int")).alias("tsunami"),

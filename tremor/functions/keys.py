@@ -1,14 +1,18 @@
 """Deterministic surrogate keys.
 
-A dimension key is a 60-bit prefix of the md5 of a typed, null-tagged
-natural-key text. It depends only on the natural key, so a dimension
+A dimension key is the md5 (128 bits, as 32 hex digits) of an unambiguous
+text of the natural key. It depends only on the natural key, so a dimension
 table and its fact agree however the data is partitioned, re-run or
 recomputed after an executor loss, and the fact can compute its foreign
 keys row by row instead of joining a dimension that grows with the data.
 
-Key text rules: each part is ``'v:' || value`` or ``'<null>'``; doubles are
-rendered through DECIMAL(9,6) so that every engine prints them alike; parts
-are joined with ``'|'``.
+Key text rules: a text part is its length, ``':'`` and the text, so no text
+can imitate a separator; a null part is ``'n'``. A coordinate part holds the
+double's exact value as two integers (units of 2**-20 degrees, and the rest
+in units of 2**-82): plain IEEE arithmetic that every engine computes alike,
+with 0.0 and -0.0 equal. ``coordinate`` is the normal form that dimensions
+group by: values below 2**-30 degrees (a tenth of a millimetre), whose last
+bits the text would not hold, count as 0.
 """
 
 from __future__ import annotations
@@ -16,17 +20,33 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-NULL_TAG = "<null>"
+NULL_PART = "n"
+COARSE = float(1 << 20)
+FINE = float(1 << 62)
+SMALLEST = 2.0**-30
+
+
+def _col(col: Column | str) -> Column:
+    return F.col(col) if isinstance(col, str) else col
 
 
 def text_part(col: Column | str) -> Column:
-    c = F.col(col) if isinstance(col, str) else col
-    return F.coalesce(F.concat(F.lit("v:"), c.cast("string")), F.lit(NULL_TAG))
+    c = _col(col).cast("string")
+    return F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), c), F.lit(NULL_PART))
+
+
+def coordinate(col: Column | str) -> Column:
+    """Normal form of a coordinate: what keys and dimensions agree on."""
+    c = _col(col)
+    return F.when(F.abs(c) < SMALLEST, F.lit(0.0)).otherwise(c)
 
 
 def coordinate_part(col: Column | str) -> Column:
-    c = F.col(col) if isinstance(col, str) else col
-    return F.coalesce(c.try_cast("decimal(9,6)").cast("string"), F.lit(NULL_TAG))
+    scaled = coordinate(col) * COARSE
+    whole = F.floor(scaled)
+    rest = F.floor((scaled - whole.cast("double")) * FINE)
+    exact = F.concat(whole.cast("string"), F.lit("."), rest.cast("string"))
+    return F.coalesce(F.when(F.isnan(scaled), F.lit("nan")).otherwise(exact), F.lit(NULL_PART))
 
 
 def key_text(*parts: Column) -> Column:
@@ -34,8 +54,8 @@ def key_text(*parts: Column) -> Column:
 
 
 def hash_key(text: Column) -> Column:
-    """BIGINT from the first 15 hex digits (60 bits) of md5(text)."""
-    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
+    """128-bit key: the md5 of the key text as hex digits."""
+    return F.md5(text)
 
 
 def location_key(lat="latitude", lon="longitude", place="place") -> Column:

@@ -38,7 +38,11 @@ def dim_date(silver: DataFrame, ts: str = "event_timestamp_utc") -> DataFrame:
 
 
 def dim_location(silver: DataFrame) -> DataFrame:
-    return silver.select(*schemas.LOCATION_COLUMNS).distinct().withColumn("LocationKey", keys.location_key())
+    # distinct on the same normal form of the coordinates that the key is made of
+    normal = silver.withColumns({c: keys.coordinate(c) for c in ("latitude", "longitude")})
+    normal = normal.withColumns({"hemisphere_ns": features.hemisphere_ns(), "hemisphere_ew": features.hemisphere_ew()})
+    places = normal.select(*schemas.LOCATION_COLUMNS)
+    return places.distinct().withColumn("LocationKey", keys.location_key())
 
 
 def dim_magnitude(spark: SparkSession) -> DataFrame:

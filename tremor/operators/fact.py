@@ -23,30 +23,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import fixed
 from ..functions import casts, keys
 
 CLOCK = "DWLoadTimestampUTC"
 
 
-def _measures() -> list[Column]:
-    return [
-        F.col("magnitude").alias("Magnitude"),
-        F.col("depth_km").alias("DepthKm"),
-        F.col("tsunami_warning").alias("TsunamiWarning"),
-        F.col("significance").alias("Significance"),
-        F.col("felt_reports").alias("FeltReports"),
-        F.col("nst_stations").alias("NumberOfStations"),
-        F.col("rms_travel_time").alias("RmsTravelTime"),
-        F.col("gap_azimuthal").alias("AzimuthalGap"),
-        F.col("url").alias("SourceURL"),
-    ]
+def _measures(silver: DataFrame) -> list[Column]:
+    return [silver[source].alias(name) for source, name in fixed.FACT_MEASURES]
 
 
 def _clock(silver: DataFrame, with_clock: bool) -> list[Column]:
     if not with_clock:
         return []
     return [
-        F.col("silver_processing_timestamp_utc").alias("SilverProcessingTimestampUTC"),
+        silver["silver_processing_timestamp_utc"].alias("SilverProcessingTimestampUTC"),
         casts.now_utc().alias(CLOCK),
     ]
 
@@ -85,8 +76,8 @@ def fact_events(
         keys.location_key().alias("LocationKey"),
         keys.magnitude_key("magnitude_category").alias("MagnitudeKey"),
         keys.event_type_key().alias("EventTypeKey"),
-        *_measures(),
-        *_clock(silver, with_clock),
+        *_measures(rows),
+        *_clock(rows, with_clock),
     )
     return out.dropDuplicates(["EventID"]) if drop_duplicate_events else out
 
@@ -99,10 +90,10 @@ def fact_events_joined(silver: DataFrame, dims: dict[str, DataFrame], null_safe:
     mag = F.broadcast(dims["dim_magnitude"].select("MagnitudeCategory", "MagnitudeKey"))
     date = dims["dim_date"].select("DateKey")
     if null_safe:
-        loc_cond = [s[c].eqNullSafe(loc[c]) for c in ("latitude", "longitude", "place")]
+        loc_cond = [keys.coordinate(s[c]).eqNullSafe(loc[c]) for c in ("latitude", "longitude")] + [s["place"].eqNullSafe(loc["place"])]
         type_cond = [s[c].eqNullSafe(etype[c]) for c in ("event_type", "magType")]
     else:
-        loc_cond = [s[c] == loc[c] for c in ("latitude", "longitude", "place")]
+        loc_cond = [keys.coordinate(s[c]) == loc[c] for c in ("latitude", "longitude")] + [s["place"] == loc["place"]]
         type_cond = [s[c] == etype[c] for c in ("event_type", "magType")]
     joined = (
         s.join(date, "DateKey", "inner")
@@ -116,15 +107,7 @@ def fact_events_joined(silver: DataFrame, dims: dict[str, DataFrame], null_safe:
         F.col("LocationKey"),
         F.col("MagnitudeKey"),
         F.col("EventTypeKey"),
-        s["magnitude"].alias("Magnitude"),
-        s["depth_km"].alias("DepthKm"),
-        s["tsunami_warning"].alias("TsunamiWarning"),
-        s["significance"].alias("Significance"),
-        s["felt_reports"].alias("FeltReports"),
-        s["nst_stations"].alias("NumberOfStations"),
-        s["rms_travel_time"].alias("RmsTravelTime"),
-        s["gap_azimuthal"].alias("AzimuthalGap"),
-        s["url"].alias("SourceURL"),
-        *([s["silver_processing_timestamp_utc"].alias("SilverProcessingTimestampUTC"), casts.now_utc().alias(CLOCK)] if with_clock else []),
+        *_measures(s),
+        *_clock(s, with_clock),
     )
     return out.dropDuplicates(["EventID"])

@@ -1,9 +1,7 @@
 """Star integrity checks: orphans, duplicate keys, duplicate event ids.
 
 Every check is an aggregate, so the whole report is one small DataFrame of
-``(check, violations)`` rows. Orphan checks count fact rows per key first
-(partial aggregation shrinks the fact to its distinct keys before any
-shuffle) and anti-join only those keys against the dimension.
+``(check, violations)`` rows.
 """
 
 from __future__ import annotations
@@ -19,37 +17,29 @@ FOREIGN_KEYS = [
 ]
 
 
-def _one(name: str, violations: DataFrame) -> DataFrame:
-    return violations.select(F.lit(name).alias("check"), F.coalesce(F.col("v"), F.lit(0)).cast("bigint").alias("violations"))
-
-
-def orphans(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
-    """Fact rows whose key has no dimension row.
+def star_integrity(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    """All checks from one pass over the fact and one over each dimension.
 
-    Written as a left outer join + ``IS NULL`` on purpose: Catalyst pushes a
-    left-anti join *below* the per-key aggregate, which for a dimension too
-    large to broadcast would shuffle every fact row's key instead of the
-    pre-aggregated distinct keys.
+    Fact rows are counted per (key name, value) with map-side partial aggregation, met by the dimensions' rows per
+    (key name, value) in the same grouping, and one small aggregate per check follows.
     """
-    per_key = fact.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    present = dim.select(F.col(key), F.lit(True).alias("_present"))
-    joined = per_key.join(present, key, "left").filter(F.col("_present").isNull())
-    return joined.agg(F.sum("n").alias("v"))
-
-
-def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
-    """Extra rows sharing a key (0 when the key is unique)."""
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.sum(F.col("n") - 1).alias("v"))
-
-
-def star_integrity(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    names = [key for _, key in FOREIGN_KEYS] + ["EventID"]
+    pairs = F.array(*[F.struct(F.lit(k).alias("name"), F.col(k).cast("string").alias("value")) for k in names])
+    rows = fact.select(F.inline(pairs)).select("name", "value", F.lit(1).alias("in_fact"), F.lit(0).alias("in_dim"))
+    for dim_name, key in FOREIGN_KEYS:
+        rows = rows.unionByName(
+            dims[dim_name].select(
+                F.lit(key).alias("name"), F.col(key).cast("string").alias("value"), F.lit(0).alias("in_fact"), F.lit(1).alias("in_dim")
+            )
+        )
+    per_value = rows.groupBy("name", "value").agg(F.sum("in_fact").alias("f"), F.sum("in_dim").alias("d"))
     checks = []
     for dim_name, key in FOREIGN_KEYS:
-        checks.append(_one(f"fact_{key}_orphans", orphans(fact, dims[dim_name], key)))
+        mine = F.col("name") == key
+        checks.append((f"fact_{key}_orphans", F.sum(F.when(mine & (F.col("d") == 0), F.col("f")))))
     for dim_name, key in FOREIGN_KEYS:
-        checks.append(_one(f"{dim_name}_duplicate_{key}", duplicate_keys(dims[dim_name], key)))
-    checks.append(_one("fact_duplicate_EventID", duplicate_keys(fact, "EventID")))
-    out = checks[0]
-    for c in checks[1:]:
-        out = out.unionByName(c)
-    return out
+        checks.append((f"{dim_name}_duplicate_{key}", F.sum(F.when((F.col("name") == key) & (F.col("d") > 1), F.col("d") - 1))))
+    checks.append(("fact_duplicate_EventID", F.sum(F.when((F.col("name") == "EventID") & (F.col("f") > 1), F.col("f") - 1))))
+    one = per_value.agg(*[F.coalesce(c, F.lit(0)).cast("bigint").alias(name) for name, c in checks])
+    each = F.array(*[F.struct(F.lit(name).alias("check"), F.col(name).alias("violations")) for name, _ in checks])
+    return one.select(F.inline(each))

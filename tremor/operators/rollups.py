@@ -4,14 +4,13 @@ Each roll-up first aggregates the fact by the dimension key it needs
 (partial aggregation runs map-side, so the exchange carries one row per key
 per task instead of fact rows, and a hot key is combined before the
 shuffle). Only that small per-key result meets the dimension, and the
-final grouping re-combines the partial sums. With ``check_size`` (for
-dimensions read from written tables) a dimension is broadcast only after
-its row count is checked; otherwise the join strategy is Spark's.
-
-Averages are exact: magnitudes and depths are summed as DECIMAL(20,6), so
-the sum does not depend on how rows are spread over tasks (a double sum
-changes in its last bits with the partitioning), and the quotient is
-rounded once, half-up, at 6 places before it is reported as DOUBLE.
+final grouping re-combines the partial sums. Whether a dimension is
+broadcast is left to AQE, which goes by measured bytes.
+
+Averages do not depend on how rows are spread over tasks: each magnitude and
+depth is rounded to micro-units, DECIMAL(20,6), and those are summed exactly
+(a double sum changes in its last bits with the partitioning); the quotient
+is rounded once, half-up, at 6 places before it is reported as DOUBLE.
 """
 
 from __future__ import annotations
@@ -21,9 +20,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .joins import broadcast_if_small
-
-
 MEASURE_DECIMAL = "decimal(20,6)"
 
 
@@ -54,13 +50,8 @@ def finish(parts: DataFrame, group_cols: Sequence[str]) -> DataFrame:
     )
 
 
-def _dim(df: DataFrame, cols: list[str], check_size: bool) -> DataFrame:
-    side = df.select(*cols)
-    return broadcast_if_small(side) if check_size else side
-
-
-def by_region(fact: DataFrame, dim_location: DataFrame, check_size: bool = False) -> DataFrame:
-    dim = _dim(dim_location, ["LocationKey", "extracted_country"], check_size)
+def by_region(fact: DataFrame, dim_location: DataFrame) -> DataFrame:
+    dim = dim_location.select("LocationKey", "extracted_country")
     return finish(per_key(fact, "LocationKey").join(dim, "LocationKey"), ["extracted_country"])
 
 
@@ -70,11 +61,11 @@ def by_magnitude(fact: DataFrame, dim_magnitude: DataFrame) -> DataFrame:
     return finish(parts, ["MagnitudeCategory", "MinMagnitude", "MaxMagnitude"])
 
 
-def by_month(fact: DataFrame, dim_date: DataFrame, check_size: bool = False) -> DataFrame:
-    dim = _dim(dim_date, ["DateKey", "Year", "Month"], check_size)
+def by_month(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
+    dim = dim_date.select("DateKey", "Year", "Month")
     return finish(per_key(fact, "DateKey").join(dim, "DateKey"), ["Year", "Month"])
 
 
-def by_weekday(fact: DataFrame, dim_date: DataFrame, check_size: bool = False) -> DataFrame:
-    dim = _dim(dim_date, ["DateKey", "DayOfWeek", "IsWeekend"], check_size)
+def by_weekday(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
+    dim = dim_date.select("DateKey", "DayOfWeek", "IsWeekend")
     return finish(per_key(fact, "DateKey").join(dim, "DateKey"), ["DayOfWeek", "IsWeekend"])

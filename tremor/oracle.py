@@ -11,6 +11,7 @@ side builds.
 from __future__ import annotations
 
 from . import fixed
+from .functions import keys
 from .schemas import SILVER_SELECTED_COLUMNS
 
 TIEBREAK_COLUMNS = [c for c in SILVER_SELECTED_COLUMNS if c not in ("event_id", "updated_timestamp_utc")]
@@ -39,27 +40,38 @@ DEPTH_CASE = (
 )
 
 
-def loc_key_sql(prefix: str = "") -> str:
-    p = prefix
-    text = (
-        f"concat_ws('|', coalesce(cast(try_cast({p}latitude as decimal(9,6)) as varchar), '<null>'), "
-        f"coalesce(cast(try_cast({p}longitude as decimal(9,6)) as varchar), '<null>'), "
-        f"coalesce('v:' || {p}place, '<null>'))"
+def coordinate_sql(col: str) -> str:
+    return f"case when abs({col}) < {keys.SMALLEST!r} then 0.0 else {col} end"
+
+
+def _coordinate_part(col: str) -> str:
+    x = f"(({coordinate_sql(col)}) * {keys.COARSE!r})"
+    return (
+        f"coalesce(concat(cast(cast(floor({x}) as bigint) as varchar), '.', "
+        f"cast(cast(floor(({x} - floor({x})) * {keys.FINE!r}) as bigint) as varchar)) "
+        f"|| case when {col} is null then null else '' end, '{keys.NULL_PART}')"
     )
-    return hash_sql(text)
 
 
-def hash_sql(text: str) -> str:
-    return f"cast(concat('0x', substr(md5({text}), 1, 15)) as bigint)"
+def _text_part(col: str) -> str:
+    return f"coalesce(cast(length({col}) as varchar) || ':' || {col}, '{keys.NULL_PART}')"
 
 
-def type_key_sql(prefix: str = "") -> str:
+def hash_sql(*parts: str) -> str:
+    return f"md5(concat_ws('|', {', '.join(parts)}))"
+
+
+def loc_key_sql(prefix: str = "") -> str:
     p = prefix
-    return hash_sql(f"concat_ws('|', coalesce('v:' || {p}event_type, '<null>'), coalesce('v:' || {p}magType, '<null>'))")
+    return hash_sql(_coordinate_part(f"{p}latitude"), _coordinate_part(f"{p}longitude"), _text_part(f"{p}place"))
+
+
+def type_key_sql(prefix: str = "") -> str:
+    return hash_sql(_text_part(f"{prefix}event_type"), _text_part(f"{prefix}magType"))
 
 
 def mag_key_sql(col: str) -> str:
-    return hash_sql(f"coalesce('v:' || {col}, '<null>')")
+    return hash_sql(_text_part(col))
 
 
 BLOCKS: dict[str, tuple[tuple[str, ...], str]] = {}
@@ -73,23 +85,29 @@ _block(
     "quakes",
     (),
     """
-select concat('q', cast(event_id - event_id % 4 as varchar)) as id,
-  ts as event_ts, ts + to_hours(cast(event_id % 5 as int)) as updated_ts, event_id as revision,
+select id, event_ts,
+  case when event_id % 31 = 7 then null when event_id // 4 % 7 = 0 then timestamp '2026-01-01 00:00:00'
+       else event_ts + to_hours(cast(event_id % 5 as int)) end as updated_ts, event_id as revision,
   case when event_id % 97 = 0 then null else value / 25.0 - 2.5 end as magnitude,
   cast((event_id * 37) % 1150 as double) - 50.0 as depth_km,
-  cast((user_id * 7) % 191 as double) - 95.0 as latitude,
-  cast((user_id * 13) % 373 as double) - 186.0 as longitude,
+  cast((user_id * 7) % 191 as double) - 95.0 + cast(event_id % 4 as double) / 10000000.0 as latitude,
+  cast((user_id * 13) % 373 as double) - 186.0 + cast(user_id % 7 as double) / 64.0 as longitude,
   case when user_id % 11 = 0 then null
        when user_id % 7 = 0 then concat('Ridge ', cast(user_id % 5 as varchar))
+       when user_id % 17 = 0 then concat('a|b:', cast(user_id % 3 as varchar), ', Land|', cast(user_id % 2 as varchar))
        when user_id % 13 = 0 then concat('near X', cast(user_id % 3 as varchar), ', ')
        else concat(cast(user_id as varchar), ' km N of Town', cast(user_id % 9 as varchar),
                    ', Prov', cast(user_id % 4 as varchar), ', Land', cast(user_id % 6 as varchar)) end as place,
   case when event_type = 'signup' then 'quarry blast' else 'earthquake' end as event_type,
-  case when event_type = 'error' then null when event_type = 'view' then 'ml' else 'mb' end as mag_type,
+  case when event_type = 'error' then null when event_type = 'view' then 'ml' when event_type = 'click' then 'm|b'
+       else 'mb' end as mag_type,
   case when event_id % 10 = 3 then null else cast(event_id % 2 as int) end as tsunami,
   cast(event_id % 1000 as int) as sig,
   cast(user_id % 50 as int) as felt
-from events""",
+from (select *, concat('q', cast(event_id - event_id % 4 as varchar)) as id,
+    ts + to_days(cast(event_id // 4 % 19 * 30 + case when event_id % 4 = 3 and event_id // 4 % 5 = 0 then 31 else 0 end as int))
+      as event_ts
+  from events)""",
 )
 
 _block(
@@ -185,8 +203,9 @@ _block(
     ("silver",),
     f"""
 select *, {loc_key_sql()} as LocationKey from (
-  select distinct latitude, longitude, place, extracted_country, extracted_region_detail, hemisphere_ns, hemisphere_ew
-  from silver)""",
+  select distinct latitude, longitude, place, extracted_country, extracted_region_detail,
+    {HEMISPHERE_NS_CASE} as hemisphere_ns, {HEMISPHERE_EW_CASE} as hemisphere_ew
+  from (select * replace ({coordinate_sql('latitude')} as latitude, {coordinate_sql('longitude')} as longitude) from silver))""",
 )
 
 def _magnitude_values() -> str:

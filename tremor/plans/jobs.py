@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed
 from ..operators import quality
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, path_exists
 from ..sinks import tables as sinks
 from . import gold as gold_plan
 from . import silver as silver_plan
@@ -41,7 +41,7 @@ def run_silver(flat: DataFrame, silver_path: str, dynamic: bool = False) -> dict
     sinks.write_silver(silver_plan.enrich(latest), silver_path, dynamic=dynamic)
     m_in, m_latest = obs_in.get, obs_latest.get
     return {
-        "status": "succeeded",
+        "status": "succeeded" if m_latest["rows"] else "empty",
         "flattened_rows": m_in["input_rows"],
         "valid_rows": m_in["valid_rows"],
         "latest_rows": m_latest["rows"],
@@ -50,13 +50,12 @@ def run_silver(flat: DataFrame, silver_path: str, dynamic: bool = False) -> dict
 
 
 def run_gold(spark: SparkSession, silver_path: str, gold_root: str, database: str = DEFAULT_DATABASE,
-             drop_duplicate_events: bool = False) -> dict:
+             drop_duplicate_events: bool = True) -> dict:
     """Write the four dimensions, then the fact, as external tables.
 
-    Silver written by ``run_silver`` is unique per event by construction,
-    so the fact's ``dropDuplicates(EventID)`` safety net (a full shuffle of
-    the fact when Silver is read from storage) is off by default here; the
-    star integrity check counts duplicate EventIDs instead.
+    The fact's ``dropDuplicates(EventID)`` net stays on: a crash between a
+    merge's write and the removal of an emptied month can leave an event in
+    two months until the merge is repeated.
     """
     silver = sinks.read_silver(spark, silver_path)
     if silver.isEmpty():
@@ -78,72 +77,90 @@ def run_gold(spark: SparkSession, silver_path: str, gold_root: str, database: st
     }
 
 
+def run_mode(spark: SparkSession, root: str) -> str:
+    """Incremental once Silver has partitions and the run log holds a backfill that loaded rows, else backfill."""
+    log = f"{root}/run_log"
+    if not sinks.path_has_table(spark, f"{root}/silver/earthquakes_cleaned") or not path_exists(spark, log):
+        return "backfill"
+    done = spark.range(1).select(sinks.backfill_done(sinks.read_run_log(spark, log))).first()[0]
+    return "incremental" if done else "backfill"
+
+
 def run_all(spark: SparkSession, flat: DataFrame, root: str, database: str = DEFAULT_DATABASE,
-            mode: str = "backfill", run_id: str | None = None) -> dict:
-    """Silver then Gold under ``root``; one run-log row per run (skips included)."""
-    run_id = run_id or uuid.uuid4().hex
-    started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+            mode: str | None = None, run_id: str | None = None) -> dict:
+    """Silver then Gold under ``root``; one run-log row per run (skipped and failed runs included).
+
+    The mode follows from the lake's state unless given: a backfill rebuilds Silver, an incremental run merges its
+    rows into it.
+    """
+    record = {"run_id": run_id or uuid.uuid4().hex, "job": "bronze_to_gold", "location": root}
+    record |= dict.fromkeys(("flattened_rows", "valid_rows", "latest_rows", "fact_rows", "dim_date_rows", "dim_location_rows"), 0)
+    record["started_at"] = dt.datetime.now(dt.timezone.utc)
     t0 = time.monotonic()
-    s = run_silver(flat, f"{root}/silver/earthquakes_cleaned")
-    g = {"status": "skipped", "fact_rows": 0, "dim_date_rows": 0, "dim_location_rows": 0}
-    if s["status"] == "succeeded":
-        g = run_gold(spark, f"{root}/silver/earthquakes_cleaned", f"{root}/gold", database)
-    finished = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    record = {
-        "run_id": run_id,
-        "job": "bronze_to_gold",
-        "status": g["status"] if s["status"] == "succeeded" else s["status"],
-        "mode": mode,
-        "location": root,
-        "flattened_rows": s["flattened_rows"],
-        "valid_rows": s["valid_rows"],
-        "latest_rows": s["latest_rows"],
-        "fact_rows": g["fact_rows"],
-        "dim_date_rows": g["dim_date_rows"],
-        "dim_location_rows": g["dim_location_rows"],
-        "started_at": started,
-        "finished_at": finished,
-        "duration_ms": int((time.monotonic() - t0) * 1000),
-    }
-    sinks.append_run_log(spark, f"{root}/run_log", record)
+    try:
+        record["mode"] = mode = mode or run_mode(spark, root)
+        silver_path = f"{root}/silver/earthquakes_cleaned"
+        if mode == "incremental" and sinks.path_has_table(spark, silver_path):
+            s = merge_silver(spark, flat, silver_path)
+        else:
+            s = run_silver(flat, silver_path)
+        g = run_gold(spark, silver_path, f"{root}/gold", database) if s["status"] == "succeeded" else {}
+        record |= {k: v for k, v in {**s, **g}.items() if k in record}
+        record["status"] = g.get("status", s["status"])
+    except Exception:
+        record["status"] = "failed"
+        raise
+    finally:
+        record.setdefault("status", "failed")
+        record.setdefault("mode", mode)
+        record["finished_at"] = dt.datetime.now(dt.timezone.utc)
+        record["duration_ms"] = int((time.monotonic() - t0) * 1000)
+        sinks.append_run_log(spark, f"{root}/run_log", record)
     return record
 
 
 def merge_silver(spark: SparkSession, batch_flat: DataFrame, silver_path: str) -> dict:
     """Upsert one batch of flattened Bronze into a partitioned Silver table.
 
-    Only the affected months are rewritten: the months of the batch's valid
-    rows plus the months where the batch's events live now (a revision can
-    move an event to another month). Those partitions are unioned with the
-    batch, reduced to the latest revision per event and written back with
-    dynamic partition overwrite; all other partitions stay untouched.
-    The merged rows are checkpointed (in the shared checkpoint dir) before
-    the write, because the write replaces files the plan reads. A month left
-    with no rows is removed explicitly, since a dynamic overwrite only
-    replaces partitions that receive rows.
+    The batch is typed, validated and reduced to its latest revisions once (checkpointed in the shared checkpoint
+    dir). Only the affected months are rewritten: the months of those rows plus the months where their events live
+    now (a revision can move an event to another month), found by one scan of Silver's event_id column. Those
+    partitions are unioned with the batch, reduced to the latest revision per event and written back with dynamic
+    partition overwrite; all other partitions stay untouched. Silver keeps each row's ``batch_ts``, so the result
+    does not depend on the order in which batches arrive. The merged rows are checkpointed before the write, because
+    the write replaces files the plan reads. A month left with no rows is removed explicitly, since a dynamic
+    overwrite only replaces partitions that receive rows.
     """
-    from ..sinks import tables as sink_tables
     from .. import schemas
 
     if batch_flat.isEmpty():
-        return {"status": "skipped", "months": 0}
-    cols = schemas.SILVER_SELECTED_COLUMNS
-    incoming = quality.valid(silver_plan.select_typed(batch_flat))
-    current = sink_tables.read_silver(spark, silver_path)
-    month_of = [F.year("event_timestamp_utc").alias("year"), F.month("event_timestamp_utc").alias("month")]
-    touched_ids = incoming.select("event_id").distinct()  # copies of a hot id collapse map-side
-    old_months = current.join(touched_ids, "event_id", "left_semi").select("year", "month")
-    months = old_months.unionByName(incoming.select(*month_of)).distinct()
-    affected = current.join(F.broadcast(months), ["year", "month"], "left_semi")
-    batch_ts = [F.col(silver_plan.BATCH_TS)] if silver_plan.BATCH_TS in incoming.columns else [F.lit(None).cast("timestamp")]
-    candidates = affected.select(*cols, F.lit(None).cast("timestamp").alias(silver_plan.BATCH_TS)).unionByName(
-        incoming.select(*cols, batch_ts[0].alias(silver_plan.BATCH_TS))
-    )
+        return {"status": "skipped", "months": 0, "flattened_rows": 0, "valid_rows": 0, "latest_rows": 0}
     ensure_checkpoint_dir(spark)
-    merged = silver_plan.enrich(silver_plan.latest(candidates)).checkpoint()
-    touched = {(r.year, r.month) for r in months.collect()}
-    written = {(r.year, r.month) for r in merged.select("year", "month").distinct().collect()}
-    sink_tables.write_silver(merged, silver_path, dynamic=True)
-    for y, m in sorted(touched - written):
-        sink_tables.drop_partition(spark, silver_path, y, m)
-    return {"status": "succeeded", "months": len(touched)}
+    cols = [*schemas.SILVER_SELECTED_COLUMNS, silver_plan.BATCH_TS]
+    typed = silver_plan.select_typed(batch_flat)
+    if silver_plan.BATCH_TS not in typed.columns:
+        typed = typed.withColumn(silver_plan.BATCH_TS, F.lit(None).cast("timestamp_ntz"))
+    obs = Observation("merge_input")
+    typed = typed.observe(obs, *quality.reject_count_columns())
+    incoming = silver_plan.latest(quality.valid(typed)).select(*cols).checkpoint()
+    counts = {"flattened_rows": obs.get["input_rows"], "valid_rows": obs.get["valid_rows"]}
+    current = sinks.read_silver(spark, silver_path)
+    month_of = [F.year("event_timestamp_utc").alias("year"), F.month("event_timestamp_utc").alias("month")]
+    old_months = current.join(incoming.select("event_id"), "event_id", "left_semi").select("year", "month")
+    # at most one row per calendar month of the table and the batch
+    touched = {(r.year, r.month) for r in old_months.unionByName(incoming.select(*month_of)).distinct().collect()}
+    if not touched:
+        return {"status": "empty", "months": 0, "latest_rows": 0, **counts}
+    month_number = F.col("year") * 12 + F.col("month")
+    affected = current.filter(month_number.isin(*[y * 12 + m for y, m in touched]))
+    obs_latest = Observation("merge_latest")
+    merged = silver_plan.latest(affected.select(*cols).unionByName(incoming))
+    merged = silver_plan.enrich(merged).observe(
+        obs_latest, F.count(F.lit(1)).alias("rows"), F.collect_set(month_number).alias("months")
+    ).checkpoint()
+    written = set(obs_latest.get["months"])
+    sinks.write_silver(merged, silver_path, dynamic=True)
+    for y, m in sorted(touched):
+        if y * 12 + m not in written:
+            sinks.drop_partition(spark, silver_path, y, m)
+    return {"status": "succeeded", "months": len(touched), "latest_rows": obs_latest.get["rows"], **counts}

@@ -1,12 +1,14 @@
 """Run-level operators: the empty-input gate and retention by layer.
 
-The job runners (``run_silver``/``run_gold``) live in ``tremor.sinks.tables``
-next to the writers they drive.
+The job runners (``run_silver``/``run_gold``) live in ``tremor.plans.jobs``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import calendar
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import fixed
@@ -35,6 +37,31 @@ def retain(df: DataFrame, ts: str, days: int, as_of: Column) -> DataFrame:
     return df.filter(F.col(ts) >= as_of - F.make_dt_interval(F.lit(days)))
 
 
+def expire(spark: SparkSession, path: str, layer: str, as_of: dt.datetime, days: int | None = None, dry_run: bool = True) -> list[str]:
+    """Folders of a layer whose whole time span is older than its retention; deleted unless ``dry_run``.
+
+    Silver expires by month partition, Bronze by landing hour. A partition goes only when its newest possible row
+    has expired, so no row younger than the retention is ever lost.
+    """
+    from ..sinks import tables
+
+    cutoff = as_of - dt.timedelta(days=RETENTION_DAYS[layer] if days is None else days)
+    keys = ["yyyy", "MM", "dd", "HH"] if layer == "bronze" else ["year", "month"]
+    old = []
+    for folder, v in tables.partition_folders(spark, path, keys):
+        if layer == "bronze":
+            end = dt.datetime(v["yyyy"], v["MM"], v["dd"], v["HH"]) + dt.timedelta(hours=1)
+        else:
+            last = calendar.monthrange(v["year"], v["month"])[1]
+            end = dt.datetime(v["year"], v["month"], last) + dt.timedelta(days=1)
+        if end <= cutoff:
+            old.append(folder)
+    if not dry_run:
+        for folder in old:
+            tables.delete_folder(spark, folder)
+    return sorted(old)
+
+
 def retention_summary(df: DataFrame, ts: str, as_of: Column, days_by_layer: dict[str, int] | None = None) -> DataFrame:
     """Rows kept and expired under each layer's retention, in one pass."""
     days_by_layer = days_by_layer or RETENTION_DAYS

@@ -52,23 +52,25 @@ TIEBREAK_COLUMNS = [c for c in schemas.SILVER_SELECTED_COLUMNS if c not in ("eve
 
 
 def revision_order(columns: list[str]) -> list[Column]:
-    """Newest ``updated`` first (null last), then newest batch, then the row content.
+    """Newest ``updated`` first (null last), then event time, then newest batch, then the row content.
+
+    Rows of one (id, updated, event time) that differ were re-sent with changed content: the newest batch wins.
+    Exact re-fetches therefore never change the survivor, so an append-only history need not store them.
 
     Ordering by the content columns themselves (rather than by a hash of
     them) is a total order that costs nothing per row: the sort compares a
     later key only when all earlier keys tie, which is rare.
     """
-    order = [F.col("updated_timestamp_utc").desc_nulls_last()]
+    order = [F.col("updated_timestamp_utc").desc_nulls_last(), F.col("event_timestamp_utc").asc_nulls_last()]
     if BATCH_TS in columns:
         order.append(F.col(BATCH_TS).desc_nulls_last())
-    order.extend(F.col(c).asc_nulls_last() for c in TIEBREAK_COLUMNS)
+    order.extend(F.col(c).asc_nulls_last() for c in TIEBREAK_COLUMNS if c != "event_timestamp_utc")
     return order
 
 
 def latest(valid_rows: DataFrame) -> DataFrame:
-    """One row per ``event_id``: the latest valid revision."""
-    out = dedup.latest_per_key(valid_rows, ["event_id"], revision_order(valid_rows.columns))
-    return out.drop(BATCH_TS) if BATCH_TS in out.columns else out
+    """One row per ``event_id``: the latest valid revision (with its ``batch_ts`` if the input has one)."""
+    return dedup.latest_per_key(valid_rows, ["event_id"], revision_order(valid_rows.columns))
 
 
 def enrich(df: DataFrame, with_clock: bool = True) -> DataFrame:

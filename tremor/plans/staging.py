@@ -20,8 +20,10 @@ from .. import fixed, fixtures
 from ..functions import casts
 from ..session import dataset_tag, path_exists, scratch_dir, table, touch
 from ..sinks import geojson
+from ..sinks import tables as sinks
+from ..sources import bronze
 from ..streaming import incremental
-from . import jobs
+from . import jobs, runs
 
 DONE = "_tremor_done"
 _LOCK = threading.RLock()
@@ -88,10 +90,13 @@ def written_gold(spark: SparkSession, sf_dir: str, database: str) -> str:
     return gold_root
 
 
+OVERLAP_DAYS = 300
+
+
 def overlap_cut(flat: DataFrame) -> F.Column:
-    """Split point of the two simulated fetches: first event day + 15 days."""
+    """Split point of the two simulated fetches: first event day + 300 days."""
     first_day = flat.agg(F.date_trunc("DAY", F.min(casts.epoch_ms_to_ts("time")))).scalar()
-    return first_day + F.make_dt_interval(F.lit(15))
+    return first_day + F.make_dt_interval(F.lit(OVERLAP_DAYS))
 
 
 def fetches(flat: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -140,3 +145,55 @@ def merged_silver(spark: SparkSession, sf_dir: str) -> str:
         jobs.merge_silver(spark, second, path)
         touch(spark, f"{path}/{DONE}")
     return path
+
+
+LATE_HOURS = ("2026-02-01 00:00:00", "2026-02-01 01:00:00")
+
+
+def late_fetches(flat: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Two fetches of which the second is late and corrects the first.
+
+    The first misses some old rows and has other content for some; the second brings the missing rows (far behind the
+    look-back), the right content, and the usual overlap.
+    """
+    ts = casts.epoch_ms_to_ts("time")
+    cut = overlap_cut(flat)
+    number = F.col("code").cast("bigint")
+    missing, wrong = number % 11 == 5, number % 13 == 0
+    first = flat.filter((ts < cut) & ~missing).withColumn("title", F.when(wrong, F.lit("draft")).otherwise(F.col("title")))
+    first = first.withColumn("sig", F.when(wrong, F.col("sig") + 1).otherwise(F.col("sig")))
+    second = flat.filter((ts >= cut - F.make_dt_interval(F.lit(0), F.lit(fixed.INCREMENTAL_HOURS))) | missing | wrong)
+    return first, second
+
+
+@_serialized
+def late(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """The two late fetches landed in one folder, hour by hour, and drained after each landing."""
+    root = _root(spark, sf_dir, "late")
+    out = {"landing": f"{root}/landing", "history": f"{root}/history", "lake": f"{root}/lake"}
+    if _done(spark, root):
+        return out
+    for batch, hour in zip(late_fetches(flat_quakes(spark, sf_dir)), LATE_HOURS):
+        geojson.land(geojson.nest(batch, F.lit(hour).cast("timestamp_ntz")), out["landing"])
+        incremental.append_history(spark, out["landing"], out["history"], f"{root}/_checkpoints/history")
+        # each run sees its own fetch; the mode follows from the lake's state
+        docs = bronze.with_batch_ts(bronze.read_documents(spark, out["landing"], for_silver=True))
+        fetch = bronze.flatten(docs).filter(F.col("batch_ts") == F.lit(hour).cast("timestamp_ntz"))
+        jobs.run_all(spark, fetch, out["lake"], database=f"gold_late_{dataset_tag(sf_dir)}")
+    touch(spark, f"{root}/{DONE}")
+    return out
+
+
+@_serialized
+def expired_silver(spark: SparkSession, sf_dir: str) -> str:
+    """A Silver table of its own from which expired months have been removed (as of the newest event)."""
+    path = f"{_root(spark, sf_dir, 'expired')}/silver"
+    if not _done(spark, path):
+        jobs.run_silver(flat_quakes(spark, sf_dir), path)
+        newest = sinks.read_silver(spark, path).agg(F.max("event_timestamp_utc")).first()[0]
+        runs.expire(spark, path, "silver", newest, EXPIRE_DAYS, dry_run=False)
+        touch(spark, f"{path}/{DONE}")
+    return path
+
+
+EXPIRE_DAYS = 200

@@ -395,7 +395,7 @@ def _rollup_sql(group_cols: str, join: str) -> str:
 def q_gold_by_region(spark, sf):
     """AGG6: events per country/region."""
     t = gold_tables(spark, sf)
-    return rollups.by_region(t["fact"], t["dim_location"], check_size=True)
+    return rollups.by_region(t["fact"], t["dim_location"])
 
 
 @register(
@@ -414,14 +414,14 @@ def q_gold_by_magnitude(spark, sf):
 def q_gold_by_month(spark, sf):
     """AGG6: events per calendar month."""
     t = gold_tables(spark, sf)
-    return rollups.by_month(t["fact"], t["dim_date"], check_size=True)
+    return rollups.by_month(t["fact"], t["dim_date"])
 
 
 @register("gold_by_weekday", _rollup_sql("d.DayOfWeek, d.IsWeekend", "join dim_date d on f.DateKey = d.DateKey"))
 def q_gold_by_weekday(spark, sf):
     """AGG6: events per weekday."""
     t = gold_tables(spark, sf)
-    return rollups.by_weekday(t["fact"], t["dim_date"], check_size=True)
+    return rollups.by_weekday(t["fact"], t["dim_date"])
 
 
 # --------------------------------------------------------------------------- run-level
@@ -500,6 +500,30 @@ def q_geojson_nest(spark, sf):
     )
 
 
+@register(
+    "landing_two_hours",
+    oracle.sql(
+        "select timestamp '{0}' as batch_ts, cast(count(*) as bigint) as features, cast(count(*) as bigint) as declared_features "
+        "from bronze, (select date_trunc('day', min(epoch_ms(time))) + to_days({2}) as cut from bronze) "
+        "where epoch_ms(time) < cut and cast(code as bigint) % 11 <> 5\n"
+        "union all\n"
+        "select timestamp '{1}', cast(count(*) as bigint), cast(count(*) as bigint) "
+        "from bronze, (select date_trunc('day', min(epoch_ms(time))) + to_days({2}) as cut from bronze) "
+        "where epoch_ms(time) >= cut - to_hours({3}) or cast(code as bigint) % 11 = 5 or cast(code as bigint) % 13 = 0".format(
+            *staging.LATE_HOURS, staging.OVERLAP_DAYS, fixed.INCREMENTAL_HOURS
+        ),
+        "bronze",
+    ),
+)
+def q_landing_two_hours(spark, sf):
+    """SNK4: two hours landed one after the other in one folder; the first is still there."""
+    docs = bronze.with_batch_ts(bronze.read_documents(spark, staging.late(spark, sf)["landing"]))
+    return docs.groupBy("batch_ts").agg(
+        F.sum(F.size("features")).cast("bigint").alias("features"),
+        F.sum("metadata.count").cast("bigint").alias("declared_features"),
+    )
+
+
 @register(
     "batch_ts_from_path",
     oracle.sql(
@@ -513,6 +537,32 @@ def q_batch_ts_from_path(spark, sf):
     return _landed_flat(spark, sf).groupBy("batch_ts").agg(F.count(F.lit(1)).alias("features"))
 
 
+PAGE_SIZE = 20
+
+
+def _pages_sql() -> str:
+    order = "event_timestamp_utc desc, event_id asc, updated_timestamp_utc desc nulls last, " + ", ".join(
+        f"{c} asc nulls last" for c in schemas.SILVER_SELECTED_COLUMNS
+        if c not in ("event_timestamp_utc", "event_id", "updated_timestamp_utc")
+    )
+    return oracle.sql(
+        f"select {SILVER_SELECT}, r // {PAGE_SIZE} as page, r % {PAGE_SIZE} as page_row from ("
+        f"select *, row_number() over (order by {order}) - 1 as r from selected "
+        f"where event_timestamp_utc between (select max(event_timestamp_utc) from selected) - to_days({fixed.BACKFILL_DAYS}) "
+        f"and (select max(event_timestamp_utc) from selected) and magnitude >= {fixed.MIN_MAGNITUDE})",
+        "selected",
+    )
+
+
+@register("extract_pages", _pages_sql())
+def q_extract_pages(spark, sf):
+    """SRC7: every row of the request window in pages of 20, newest first."""
+    rows = selected(spark, sf)
+    end = runs.as_of_latest(rows, "event_timestamp_utc")
+    start = end - F.make_dt_interval(F.lit(bronze.BACKFILL_DAYS))
+    return bronze.extract_pages(rows, start, end, page_size=PAGE_SIZE)
+
+
 @register(
     "bounded_extract",
     oracle.sql(
@@ -565,22 +615,49 @@ def q_silver_write_roundtrip(spark, sf):
     return s.select(*[c for c in schemas.SILVER_COLUMNS if c not in schemas.CLOCK_COLUMNS])
 
 
+@register("silver_scan", oracle.sql(f"select {oracle.SILVER_OUT} from silver", "silver"))
+def q_silver_scan(spark, sf):
+    """SRC2: the whole Silver table, declared schema."""
+    s = sink_tables.read_silver(spark, staging.written_silver(spark, sf))
+    return s.select(*[c for c in schemas.SILVER_COLUMNS if c not in schemas.CLOCK_COLUMNS])
+
+
 @register(
-    "silver_scan",
+    "silver_newest_month",
     oracle.sql(
         f"select {oracle.SILVER_OUT} from silver where year * 100 + month = "
         "(select max(year * 100 + month) from silver)",
         "silver",
     ),
 )
-def q_silver_scan(spark, sf):
-    """SRC2: Silver scan of the newest month (partition filter on year/month)."""
+def q_silver_newest_month(spark, sf):
+    """SRC2 pruned: Silver scan of the newest month (partition filter on year/month)."""
     s = sink_tables.read_silver(spark, staging.written_silver(spark, sf))
     newest = s.agg(F.max(F.col("year") * 100 + F.col("month"))).scalar()
     s = s.filter((F.col("year") == (newest / 100).cast("int")) & (F.col("month") == (newest % 100).cast("int")))
     return s.select(*[c for c in schemas.SILVER_COLUMNS if c not in schemas.CLOCK_COLUMNS])
 
 
+@register(
+    "silver_expired",
+    oracle.sql(
+        f"select {oracle.SILVER_OUT} from silver where last_day(event_timestamp_utc) + to_days(1) > "
+        f"(select max(event_timestamp_utc) from silver) - to_days({staging.EXPIRE_DAYS})",
+        "silver",
+    ),
+)
+def q_silver_expired(spark, sf):
+    """RUN5: Silver after months whose every possible row is older than the retention were removed."""
+    s = sink_tables.read_silver(spark, staging.expired_silver(spark, sf))
+    return s.select(*[c for c in schemas.SILVER_COLUMNS if c not in schemas.CLOCK_COLUMNS])
+
+
+@register("run_incremental", oracle.sql(f"select {oracle.SILVER_OUT} from silver", "silver"))
+def q_run_incremental(spark, sf):
+    """RUN1/SRC8/SNK1: a backfill run, then a late, correcting run whose mode (merge) follows from the run log."""
+    s = sink_tables.read_silver(spark, f"{staging.late(spark, sf)['lake']}/silver/earthquakes_cleaned")
+    return s.select(*[c for c in schemas.SILVER_COLUMNS if c not in schemas.CLOCK_COLUMNS])
+
 
 @register("silver_incremental_merge", oracle.sql(f"select {oracle.SILVER_OUT} from silver", "silver"))
 def q_silver_incremental_merge(spark, sf):
@@ -628,7 +705,7 @@ def q_run_metrics(spark, sf):
 
 
 def _stream_oracle_fetches() -> str:
-    cut = "(select date_trunc('day', min(epoch_ms(time))) + to_days(15) from bronze)"
+    cut = f"(select date_trunc('day', min(epoch_ms(time))) + to_days({staging.OVERLAP_DAYS}) from bronze)"
     return (
         f"select * from bronze where epoch_ms(time) < {cut}\n"
         "union all\n"
@@ -654,7 +731,7 @@ def q_stream_bronze_count(spark, sf):
 
 @register("stream_dedup", oracle.sql(f"select {SILVER_SELECT} from valid", "valid"))
 def q_stream_dedup(spark, sf):
-    """STR2/STR4: re-fetched rows removed per micro-batch (pre-aggregated), late rows dropped."""
+    """STR2/STR4: re-fetched rows removed per micro-batch (pre-aggregated); every valid revision kept once."""
     hist = incremental.read_history(spark, staging.streamed(spark, sf)["history"])
     return hist.select(*schemas.SILVER_SELECTED_COLUMNS)
 
@@ -677,4 +754,15 @@ def q_stream_compacted_silver(spark, sf):
 def q_stream_latest_equals_batch(spark, sf):
     """STR3: latest revision computed over the streamed history equals batch Silver."""
     hist = incremental.read_history(spark, staging.streamed(spark, sf)["history"])
-    return incremental.latest_from_history(hist, with_clock=False)
+    return incremental.latest_from_history(hist, with_clock=False).select(
+        *[c for c in schemas.SILVER_COLUMNS if c not in schemas.CLOCK_COLUMNS]
+    )
+
+
+@register("stream_late_equals_batch", oracle.sql(f"select {oracle.SILVER_OUT} from silver", "silver"))
+def q_stream_late_equals_batch(spark, sf):
+    """STR2-4: a second fetch brings rows far behind the look-back and corrects content; latest equals batch Silver."""
+    hist = incremental.read_history(spark, staging.late(spark, sf)["history"])
+    return incremental.latest_from_history(hist, with_clock=False).select(
+        *[c for c in schemas.SILVER_COLUMNS if c not in schemas.CLOCK_COLUMNS]
+    )

@@ -160,24 +160,5 @@ LOCATION_COLUMNS = [
 
 EVENT_TYPE_COLUMNS = ["event_type", "magType"]
 
-FACT_COLUMNS = [
-    "EventID",
-    "DateKey",
-    "LocationKey",
-    "MagnitudeKey",
-    "EventTypeKey",
-    "Magnitude",
-    "DepthKm",
-    "TsunamiWarning",
-    "Significance",
-    "FeltReports",
-    "NumberOfStations",
-    "RmsTravelTime",
-    "AzimuthalGap",
-    "SourceURL",
-    "SilverProcessingTimestampUTC",
-    "DWLoadTimestampUTC",
-]
-
 # Columns whose value is the wall clock of the run; never compared.
 CLOCK_COLUMNS = {"silver_processing_timestamp_utc", "SilverProcessingTimestampUTC", "DWLoadTimestampUTC"}

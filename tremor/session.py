@@ -62,6 +62,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     root = sc.getCheckpointDir()
     if root is None:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
+        if not configured and not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="tremor-ckpt-"))
         root = sc.getCheckpointDir()
     return root

@@ -1,18 +1,12 @@
 """Raw-document landing: flattened rows -> GeoJSON FeatureCollections.
 
 Each document holds the features of one batch hour, and never more than
-``max_features`` of them (the source API's page cap). The cap is exact
-and needs no extra pass: a feature's chunk is its position within its
-input partition divided by the cap, so the group ``(batch hour, partition,
-chunk)`` can never exceed the cap, however many rows one hour holds. The
-``collect_list`` therefore runs over bounded groups, and all rows of a
-group come from one map task, so the partial aggregate already builds the
-whole document before the shuffle.
-
-Recomputation is safe: a group never mixes rows of two map tasks (the
-partition id is part of its key), so a map task re-run after an executor
-loss replaces its own documents whole, and every feature still lands in
-exactly one document of at most ``max_features`` features.
+``max_features`` of them (the source API's page cap). Rows of an hour are
+dealt into as many hash buckets as its row count asks for (one cheap count
+per hour), so no hour gathers in one task. A bucket's features are sorted and
+cut into documents of at most ``max_features``; bucket and order depend on
+the features alone, so a task re-run after an executor loss builds the same
+documents.
 
 Documents land under ``yyyy=/MM=/dd=/HH=`` folders (one JSON document per
 line), which the Bronze scan reads back with recursive lookup.
@@ -41,29 +35,25 @@ def feature_struct() -> Column:
 
 
 def nest(flat: DataFrame, batch_ts: Column, max_features: int = MAX_FEATURES_PER_DOCUMENT) -> DataFrame:
-    """One row per document: ``batch_ts`` and the document's JSON text.
-
-    Rows are range-partitioned on (hour, source partition, chunk) *before*
-    grouping: that exchange already satisfies the grouping, so it is the only
-    shuffle, the range sampler looks at cheap keyed rows rather than finished
-    documents, and each output task holds a run of consecutive hours (one
-    file per hour it holds when landed) while a hot hour still spreads over
-    several tasks. The partition count is the session's shuffle parallelism,
-    given explicitly: a landing costs per file as much as per byte, and AQE
-    would otherwise coalesce a small-in-bytes shuffle into one task that
-    writes every hour folder in sequence.
+    """One row per document: ``batch_ts``, its bucket and part, and the document's JSON text.
+
+    Rows are range-partitioned on (hour, bucket) before grouping: that exchange already satisfies the grouping, and
+    each output task holds a run of consecutive hours (one file per hour it holds when landed) while a hot hour
+    spreads over several tasks. The partition count is the session's shuffle parallelism, given explicitly: AQE
+    would otherwise coalesce a small-in-bytes shuffle into one task that writes every hour folder in sequence.
     """
-    part = F.spark_partition_id().cast("bigint")
-    position = F.monotonically_increasing_id() - F.shiftleft(part, 33)
-    keyed = flat.select(
-        batch_ts.alias("batch_ts"),
-        part.alias("_part"),
-        F.floor(position / F.lit(max_features)).alias("_chunk"),
-        feature_struct().alias("_feature"),
-    )
     n = int(flat.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keyed = keyed.repartitionByRange(n, "batch_ts", "_part", "_chunk")
-    grouped = keyed.groupBy("batch_ts", "_part", "_chunk").agg(F.collect_list("_feature").alias("features"))
+    per_hour = flat.groupBy(batch_ts.alias("batch_ts")).agg(F.ceil(2 * F.count(F.lit(1)) / F.lit(max_features)).alias("_buckets"))
+    keyed = flat.select(batch_ts.alias("batch_ts"), feature_struct().alias("_feature")).alias("f")
+    keyed = keyed.join(per_hour.alias("h"), F.col("f.batch_ts").eqNullSafe(F.col("h.batch_ts"))).select(
+        "f.batch_ts", F.pmod(F.xxhash64("_feature"), F.col("_buckets")).alias("_bucket"), "_feature"
+    )
+    keyed = keyed.repartitionByRange(n, "batch_ts", "_bucket")
+    grouped = keyed.groupBy("batch_ts", "_bucket").agg(F.sort_array(F.collect_list("_feature")).alias("_all"))
+    parts = F.sequence(F.lit(0), F.floor((F.size("_all") - 1) / F.lit(max_features)).cast("int"))
+    parted = grouped.select("batch_ts", "_bucket", "_all", F.explode(parts).alias("_chunk")).select(
+        "batch_ts", "_bucket", "_chunk", F.slice("_all", F.col("_chunk") * max_features + 1, max_features).alias("features")
+    )
     doc = F.struct(
         F.lit("FeatureCollection").alias("type"),
         F.struct(
@@ -73,7 +63,7 @@ def nest(flat: DataFrame, batch_ts: Column, max_features: int = MAX_FEATURES_PER
         ).alias("metadata"),
         F.col("features"),
     )
-    return grouped.select("batch_ts", "_part", "_chunk", F.to_json(doc).alias("value"))
+    return parted.select("batch_ts", "_bucket", "_chunk", F.to_json(doc).alias("value"))
 
 
 def batch_folders(batch_ts: Column) -> dict[str, Column]:
@@ -87,6 +77,10 @@ def batch_folders(batch_ts: Column) -> dict[str, Column]:
 
 
 def land(docs: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write documents (as laid out by ``nest``) as JSON lines under hourly folders."""
+    """Write documents (as laid out by ``nest``) as JSON lines under hourly folders.
+
+    ``overwrite`` replaces the hours that the documents hold; all other landed hours stay.
+    """
     out = docs.select(*[c.alias(n) for n, c in batch_folders(F.col("batch_ts")).items()], F.col("value"))
-    out.write.mode(mode).partitionBy(*BATCH_PARTS).text(path)
+    writer = out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*BATCH_PARTS).text(path)

@@ -20,7 +20,21 @@ from pyspark.sql import functions as F
 SILVER_PARTITIONS = ["year", "month"]
 
 
+SILVER_SCHEMA = (
+    "event_id string, event_timestamp_utc timestamp_ntz, updated_timestamp_utc timestamp_ntz, magnitude double, "
+    "depth_km double, latitude double, longitude double, place string, event_type string, magType string, "
+    "tsunami_warning boolean, significance int, felt_reports int, nst_stations int, rms_travel_time double, "
+    "gap_azimuthal double, alert string, status string, url string, title string, batch_ts timestamp_ntz, "
+    "magnitude_category string, depth_category string, hemisphere_ns string, hemisphere_ew string, day int, hour int, "
+    "day_of_week int, extracted_region_detail string, extracted_country string, "
+    "silver_processing_timestamp_utc timestamp_ntz, year int, month int"
+)
+
+
 def write_silver(silver: DataFrame, path: str, dynamic: bool = False, fmt: str = "parquet") -> None:
+    """Write Silver with the batch time of each row, so that later merges can tell which content is newer."""
+    if "batch_ts" not in silver.columns:
+        silver = silver.withColumn("batch_ts", F.lit(None).cast("timestamp_ntz"))
     w = silver.write.format(fmt).partitionBy(*SILVER_PARTITIONS)
     if dynamic:
         w = w.option("partitionOverwriteMode", "dynamic")
@@ -28,8 +42,8 @@ def write_silver(silver: DataFrame, path: str, dynamic: bool = False, fmt: str =
 
 
 def read_silver(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Silver scan; filters on year/month prune partitions at listing time."""
-    return spark.read.format(fmt).load(path)
+    """Silver scan with its declared schema (a table without rows stays readable); year/month filters prune partitions."""
+    return spark.read.format(fmt).schema(SILVER_SCHEMA).load(path)
 
 
 def ensure_database(spark: SparkSession, name: str, location: str) -> None:
@@ -72,10 +86,26 @@ def backfill_done(run_log: DataFrame) -> "F.Column":
 
 
 def path_has_table(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds a committed table (writer's success marker)."""
-    from ..session import path_exists
+    """True when ``path`` holds partitions (success markers may be switched off on object stores)."""
+    return bool(partition_folders(spark, path, ["year", "month"]))
 
-    return path_exists(spark, f"{path}/_SUCCESS")
+
+def partition_folders(spark: SparkSession, path: str, keys: list[str]) -> list[tuple[str, dict[str, int]]]:
+    """(folder, partition values) of a partitioned path, from one listing by pattern."""
+    jvm = spark.sparkContext._jvm
+    pattern = jvm.org.apache.hadoop.fs.Path("/".join([path.rstrip("/"), *(f"{k}=*" for k in keys)]))
+    found = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    out = []
+    for status in found:
+        folder = status.getPath().toString()
+        values = dict(part.split("=", 1) for part in folder.split("/")[-len(keys) :])
+        out.append((folder, {k: int(v) for k, v in values.items() if v.isdigit()}))
+    return [(f, v) for f, v in out if len(v) == len(keys)]
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def drop_partition(spark: SparkSession, path: str, year: int, month: int) -> None:

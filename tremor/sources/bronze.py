@@ -7,7 +7,7 @@ the file path through the hidden ``_metadata`` column.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import fixed, schemas
@@ -74,19 +74,51 @@ def flatten(docs: DataFrame) -> DataFrame:
     return f.select(*cols, *keep)
 
 
-def bounded_extract(rows: DataFrame, start: Column, end: Column, ts: str = "event_timestamp_utc",
-                    limit: int = fixed.MAX_FEATURES_PER_DOCUMENT, min_magnitude: float = MIN_MAGNITUDE) -> DataFrame:
-    """The source's request semantics: ``[start, end]``, magnitude floor, newest first, capped.
+def extract_pages(rows: DataFrame, start: Column, end: Column, ts: str = "event_timestamp_utc",
+                  page_size: int = fixed.MAX_FEATURES_PER_DOCUMENT, min_magnitude: float = MIN_MAGNITUDE) -> DataFrame:
+    """All rows of ``[start, end]`` above the magnitude floor with ``page`` and ``page_row`` (both from 0), newest first.
 
-    The cap is the feature (a page of at most ``limit`` rows); the order is
-    total (newest event first, then id, newest revision, then the remaining
-    columns) so the page is the same on every run.
+    A row's rank is its rank within its minute plus the rows of all newer minutes (a small table with one row per
+    minute, summed per day first), so no task orders the whole window. The order is total (newest event first, then
+    id, newest revision, then the remaining columns), so pages are the same on every run.
     """
     hit = rows.filter(F.col(ts).between(start, end) & (F.col("magnitude") >= min_magnitude))
     first = [ts, "event_id", "updated_timestamp_utc"]
     order = [F.col(ts).desc(), F.col("event_id").asc(), F.col("updated_timestamp_utc").desc_nulls_last()]
     order.extend(F.col(c).asc_nulls_last() for c in rows.columns if c not in first)
-    return hit.orderBy(*order).limit(limit)
+    hit = hit.withColumn("_day", F.to_date(ts)).withColumn("_minute", F.date_trunc("minute", ts))
+    newer = Window.orderBy(F.desc("_day")).rowsBetween(Window.unboundedPreceding, -1)
+    newer_in_day = Window.partitionBy("_day").orderBy(F.desc("_minute")).rowsBetween(Window.unboundedPreceding, -1)
+    minutes = hit.groupBy("_day", "_minute").agg(F.count(F.lit(1)).alias("_n"))
+    days = minutes.groupBy("_day").agg(F.sum("_n").alias("_n"))  # one row per calendar day
+    days = days.select("_day", F.coalesce(F.sum("_n").over(newer), F.lit(0)).alias("_newer_days"))
+    before = minutes.withColumn("_newer", F.coalesce(F.sum("_n").over(newer_in_day), F.lit(0))).join(days, "_day")
+    before = before.select("_minute", (F.col("_newer") + F.col("_newer_days")).alias("_before"))
+    rank = F.row_number().over(Window.partitionBy("_minute").orderBy(*order)) - 1
+    ranked = hit.withColumn("_rank", rank).join(before, "_minute").withColumn("_rank", F.col("_rank") + F.col("_before"))
+    return ranked.select(
+        *rows.columns,
+        F.floor(F.col("_rank") / F.lit(page_size)).alias("page"),
+        (F.col("_rank") % F.lit(page_size)).cast("bigint").alias("page_row"),
+    )
+
+
+def bounded_extract(rows: DataFrame, start: Column, end: Column, ts: str = "event_timestamp_utc",
+                    limit: int = fixed.MAX_FEATURES_PER_DOCUMENT, min_magnitude: float = MIN_MAGNITUDE) -> DataFrame:
+    """The source's single request: the first page. ``extract_pages`` gives the rows beyond it."""
+    pages = extract_pages(rows, start, end, ts, limit, min_magnitude)
+    return pages.filter(F.col("page") == 0).orderBy("page_row").select(*rows.columns)
+
+
+def document_counts(docs: DataFrame) -> DataFrame:
+    """One row: documents, those that did not parse, features declared by their documents, features present."""
+    broken = F.col("features").isNull() & F.col("metadata").isNull()
+    return docs.agg(
+        F.count(F.lit(1)).alias("documents"),
+        F.count_if(broken).alias("corrupt_documents"),
+        F.coalesce(F.sum("metadata.count"), F.lit(0)).alias("declared_features"),
+        F.coalesce(F.sum(F.greatest(F.size("features"), F.lit(0))), F.lit(0)).cast("bigint").alias("features"),
+    )
 
 
 def window_start(as_of: Column, table_has_rows: Column) -> Column:

@@ -5,8 +5,7 @@
 * ``history_stream``: typed rows, watermark on event time, duplicate
   removal on ``(event_id, updated, event time)`` so exact re-fetches of the
   look-back window vanish while true revisions stay. The watermark bounds
-  the dedup state to the look-back; rows behind it are dropped as late and
-  reported in the query progress. Valid rows are appended to a Silver
+  the dedup state to the look-back. Valid rows are appended to a Silver
   history table.
 * ``latest_from_history``: the latest revision per event, computed on read
   with the same window as the batch job. (Built-in streaming dedup keeps
@@ -20,18 +19,18 @@ Two forms of the overlap removal are provided:
 
 * ``append_history`` (default): a stateless file stream whose micro-batches
   are merged with ``foreachBatch``. Each batch is first deduplicated in
-  batch mode, where partial aggregation collapses a group of copies map-side
-  (a re-sent revision holding a third of the batch does not land in one
-  task). The rows are then checked against the history's look-back days
-  only (history is partitioned by event date, so the anti-join reads about
-  three days) and appended. The watermark is the newest event time of
-  earlier batches minus the look-back, kept in a small per-batch log. Rows
-  behind it are dropped and counted, as the state-store form would do. A
-  replayed batch is a no-op: its log row exists or the anti-join removes
-  its rows.
+  batch mode, where a partial group limit collapses a group of copies
+  map-side (a re-sent revision holding a third of the batch does not land in
+  one task). The rows are then checked against the history's partitions of
+  the same event dates and appended unless the newest stored row of their key
+  has the same content. The watermark is the newest event time of earlier
+  batches minus the look-back, kept in a small per-batch log. Rows behind it
+  are counted as late and kept in their own date partitions. A replayed batch
+  is a no-op: its log row exists or the anti-join removes its rows.
 * ``append_history_stateful``: ``withWatermark`` + ``dropDuplicates`` with
-  the state store. It is simpler, but every copy of a key is shuffled to
-  the key's task.
+  the state store. It is simpler, but every copy of a key is shuffled to the
+  key's task, the first content of a key stays, and the state store drops
+  rows behind the watermark: use it only where late rows may go.
 """
 
 from __future__ import annotations
@@ -40,9 +39,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from .. import fixed
+from .. import fixed, schemas
 from ..functions import casts
-from ..operators import quality
+from ..operators import dedup, quality
 from ..plans import silver as silver_plan
 from ..session import path_exists
 from ..sources import bronze
@@ -50,11 +49,13 @@ from ..sources import bronze
 LOOKBACK_HOURS = fixed.INCREMENTAL_HOURS
 LOOKBACK = f"{LOOKBACK_HOURS} hours"
 WATERMARK_COL = "_event_instant"
+#: landed files per micro-batch: a backlog drains in many bounded batches
+MAX_FILES_PER_TRIGGER = 1000
 DEDUP_KEYS = ["event_id", "updated_timestamp_utc", WATERMARK_COL]
 
 
 def bronze_stream(spark: SparkSession, landing_path: str, for_silver: bool = False,
-                  max_files_per_trigger: int | None = None) -> DataFrame:
+                  max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER) -> DataFrame:
     docs = bronze.read_documents(
         spark, landing_path, streaming=True, for_silver=for_silver, max_files_per_trigger=max_files_per_trigger
     )
@@ -88,16 +89,23 @@ def _run(df: DataFrame, sink_path: str, checkpoint: str, name: str) -> Streaming
     return q
 
 
-def capture_raw(spark: SparkSession, landing_path: str, sink_path: str, checkpoint: str) -> StreamingQuery:
+def capture_raw(spark: SparkSession, landing_path: str, sink_path: str, checkpoint: str,
+                max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER) -> StreamingQuery:
     """Drain newly landed documents into a flat raw-feature table."""
-    return _run(bronze_stream(spark, landing_path), sink_path, checkpoint, "bronze_raw")
+    docs = bronze_stream(spark, landing_path, max_files_per_trigger=max_files_per_trigger)
+    return _run(docs, sink_path, checkpoint, "bronze_raw")
 
 
 def append_history_stateful(spark: SparkSession, landing_path: str, sink_path: str, checkpoint: str,
-                            lookback: str = LOOKBACK) -> StreamingQuery:
-    """Drain newly landed documents into the history with state-store dedup."""
-    return _run(history_rows(bronze_stream(spark, landing_path, for_silver=True), lookback), sink_path, checkpoint,
-                "silver_history")
+                            lookback: str = LOOKBACK,
+                            max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Drain newly landed documents into the history with state-store dedup.
+
+    One micro-batch per run unless bounded: within a run the watermark would move between bounded micro-batches and
+    drop rows of a backlog that is not in event-time order.
+    """
+    docs = bronze_stream(spark, landing_path, for_silver=True, max_files_per_trigger=max_files_per_trigger)
+    return _run(history_rows(docs, lookback), sink_path, checkpoint, "silver_history")
 
 
 HISTORY_PARTITION = "event_date"
@@ -134,8 +142,17 @@ def batch_log(spark: SparkSession, sink_path: str) -> DataFrame:
     return spark.read.schema(BATCH_LOG_SCHEMA).parquet(path)
 
 
+#: days in a micro-batch up to which the history scan is pruned to them
+PRUNED_DATES = 400
+
+
 def merge_micro_batch(batch: DataFrame, batch_id: int, sink_path: str, lookback_hours: int = LOOKBACK_HOURS) -> None:
-    """Append one micro-batch's new valid revisions to the history (idempotent)."""
+    """Append one micro-batch's new valid revisions to the history (idempotent).
+
+    Late rows (event time behind the newest one of earlier batches by more than the look-back) are counted and kept:
+    they go to their own event-date partitions. A row is left out only if the newest stored row of its (id, updated,
+    event time) has the same content, so a replayed batch appends nothing and changed content is never lost.
+    """
     spark = batch.sparkSession
     log = batch_log(spark, sink_path)
     if not log.filter(F.col("batch_id") == batch_id).isEmpty():
@@ -143,41 +160,48 @@ def merge_micro_batch(batch: DataFrame, batch_id: int, sink_path: str, lookback_
     # newest event time of earlier batches, carried as epoch ms (no local-zone literal)
     newest = log.agg(F.max(casts.ts_to_epoch_ms("max_event_time"))).first()[0]
     typed = silver_plan.select_typed(batch)
-    obs = Observation(f"history_batch_{batch_id}")
-    typed = typed.observe(
-        obs, F.count(F.lit(1)).alias("input_rows"), F.max("event_timestamp_utc").alias("max_event_time")
-    )
-    rows = typed.dropDuplicates(STATIC_KEYS)
+    if silver_plan.BATCH_TS not in typed.columns:
+        typed = typed.withColumn(silver_plan.BATCH_TS, F.lit(None).cast("timestamp_ntz"))
     late = F.lit(False)
     if newest is not None:
         watermark = casts.epoch_ms_to_ts(F.lit(newest - lookback_hours * 3600 * 1000))
         late = F.coalesce(F.col("event_timestamp_utc") < watermark, F.lit(False))
-    obs_late = Observation(f"history_late_{batch_id}")
-    rows = rows.observe(obs_late, F.count_if(late).alias("late_rows")).filter(~late)
-    rows = quality.valid(rows)
-    if newest is not None and path_exists(spark, sink_path):
-        recent = read_history(spark, sink_path).filter(F.col(HISTORY_PARTITION) >= F.to_date(watermark))
-        seen = recent.select(*STATIC_KEYS)
-        cond = [rows[k].eqNullSafe(seen[k]) for k in STATIC_KEYS]
-        rows = rows.join(seen, cond, "left_anti")
-    obs_out = Observation(f"history_out_{batch_id}")
-    out = rows.withColumn(HISTORY_PARTITION, F.to_date("event_timestamp_utc")).observe(
-        obs_out, F.count(F.lit(1)).alias("appended_rows")
+    obs = Observation(f"history_batch_{batch_id}")
+    typed = typed.observe(
+        obs,
+        F.count(F.lit(1)).alias("input_rows"),
+        F.max("event_timestamp_utc").alias("max_event_time"),
+        F.count_if(late).alias("late_rows"),
     )
+    order = silver_plan.revision_order(typed.columns)
+    rows = dedup.latest_per_key(quality.valid(typed), STATIC_KEYS, order)
+    rows = rows.withColumn(HISTORY_PARTITION, F.to_date("event_timestamp_utc"))
+    if path_exists(spark, sink_path):
+        stored = read_history(spark, sink_path)
+        dates = [r[0] for r in rows.select(HISTORY_PARTITION).distinct().limit(PRUNED_DATES + 1).collect()]
+        if len(dates) <= PRUNED_DATES:  # static partition pruning; more dates read all partitions, same result
+            stored = stored.filter(F.col(HISTORY_PARTITION).isin(dates)) if dates else stored.limit(0)
+        stored = dedup.latest_per_key(stored, STATIC_KEYS, order).alias("s")
+        content = [c for c in schemas.SILVER_SELECTED_COLUMNS if c not in STATIC_KEYS]
+        same = [F.col(f"r.{c}").eqNullSafe(F.col(f"s.{c}")) for c in STATIC_KEYS + content]
+        rows = rows.alias("r").join(stored, same, "left_anti")
+    obs_out = Observation(f"history_out_{batch_id}")
+    out = rows.observe(obs_out, F.count(F.lit(1)).alias("appended_rows"))
     out.write.mode("append").partitionBy(HISTORY_PARTITION).parquet(sink_path)
     m_in = obs.get
     record = {
         "batch_id": batch_id,
         "max_event_time": m_in.get("max_event_time"),
         "input_rows": m_in.get("input_rows", 0),
-        "late_rows": obs_late.get.get("late_rows", 0),
+        "late_rows": m_in.get("late_rows", 0),
         "appended_rows": obs_out.get.get("appended_rows", 0),
     }
     spark.createDataFrame([record], BATCH_LOG_SCHEMA).write.mode("append").parquet(_log_path(sink_path))
 
 
 def append_history(spark: SparkSession, landing_path: str, sink_path: str, checkpoint: str,
-                   lookback_hours: int = LOOKBACK_HOURS, max_files_per_trigger: int | None = None) -> StreamingQuery:
+                   lookback_hours: int = LOOKBACK_HOURS,
+                   max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER) -> StreamingQuery:
     """Drain newly landed documents into the history, one pre-aggregated merge per micro-batch."""
     q = (
         bronze_stream(spark, landing_path, for_silver=True, max_files_per_trigger=max_files_per_trigger)
@@ -194,7 +218,7 @@ def append_history(spark: SparkSession, landing_path: str, sink_path: str, check
 
 
 def late_rows(spark: SparkSession, sink_path: str) -> int:
-    """Rows dropped behind the watermark over all merged micro-batches."""
+    """Rows that came in behind the watermark (all kept) over all merged micro-batches."""
     return batch_log(spark, sink_path).agg(F.coalesce(F.sum("late_rows"), F.lit(0))).first()[0]
 
 
@@ -212,7 +236,8 @@ def latest_from_history(history: DataFrame, with_clock: bool = True) -> DataFram
     return silver_plan.enrich(silver_plan.latest(history), with_clock=with_clock)
 
 
-def compact_silver(spark: SparkSession, landing_path: str, silver_path: str, checkpoint: str) -> StreamingQuery:
+def compact_silver(spark: SparkSession, landing_path: str, silver_path: str, checkpoint: str,
+                   max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER) -> StreamingQuery:
     """Keep a compacted, latest-wins Silver table current from the document stream.
 
     Each micro-batch is merged into Silver with ``plans.jobs.merge_silver``
@@ -229,7 +254,7 @@ def compact_silver(spark: SparkSession, landing_path: str, silver_path: str, che
             jobs.run_silver(batch, silver_path)
 
     q = (
-        bronze_stream(spark, landing_path, for_silver=True)
+        bronze_stream(spark, landing_path, for_silver=True, max_files_per_trigger=max_files_per_trigger)
         .writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
         .queryName("silver_compaction")
