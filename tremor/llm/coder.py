@@ -24,76 +24,71 @@ import zlib
 
 import numpy as np
 
-BLOCK_IDS = 4096
-ORDER2, ORDER1 = 1 << 10, 1 << 9
-CLASSES = 33
+BLOCK_IDS = 2048
+ORDER2, ORDER1 = 1 << 9, 1 << 8
+CLASSES = 17
 REFRESH = 32
 WORD, TOP, BOT = 12, 48, 1 << 40
 LOW_MASK = (1 << TOP) - 1
-WINDOW = (1 << (TOP + WORD)) - 1
 
 _IDS = np.arange(1 << 16)
-_BITS = np.maximum(np.frexp(_IDS + 1.0)[1] - 1, 0)
-#: class: bit length of id + 1 and its second bit; extra: the bits left
-CLASS = np.where(_BITS == 0, 0, 2 * _BITS - 1 + (((_IDS + 1) >> np.maximum(_BITS - 1, 0)) & 1)).astype(np.int64)
-EXTRA = np.maximum(_BITS - 1, 0).astype(np.int64)
-FIRST = np.zeros(CLASSES + 1, np.int64)
-FIRST[CLASS[::-1]] = _IDS[::-1]
-CLASS_EXTRA = np.zeros(CLASSES + 1, np.int64)
-CLASS_EXTRA[CLASS] = EXTRA
+#: class of an id: bit length of id + 1, less one; so many bits remain
+CLASS = (np.frexp(_IDS + 1.0)[1] - 1).astype(np.int64)
+FIRST = (1 << np.arange(CLASSES, dtype=np.int64)) - 1
 
 
 class Model:
-    """Tables of ``n`` lanes."""
+    """Tables of ``n`` lanes; ``step`` works on lanes [0, a)."""
 
     def __init__(self, n: int):
-        self.t2 = np.zeros(n * ORDER2, np.int32)
-        self.t1 = np.zeros(n * ORDER1, np.int32)
-        self.by2 = np.full(n * 4, 1024, np.int64)
-        self.by1 = np.full(n * 8, 1024, np.int64)
-        self.by0 = np.full(n, 512, np.int64)
-        self.w = np.full((3, n), 1 << 12, np.int64)
-        self.hist = np.ones((n, CLASSES), np.int32)
-        self.lane = np.arange(n)
-        self.cum = np.zeros((n, CLASSES + 1), np.int64)
-        self.p1 = np.zeros(n, np.int64)
-        self.p2 = np.zeros(n, np.int64)
+        self.n, self.lane = n, np.arange(n)
+        self.base2, self.base1 = self.lane * ORDER2, self.lane * ORDER1
+        self.lane4, self.lane8 = self.lane * 4, self.lane * 8
+        self.t2, self.t1 = np.zeros(n * ORDER2, np.int32), np.zeros(n * ORDER1, np.int32)
+        self.by2, self.by1, self.by0 = np.full(n * 4, 1024, np.int32), np.full(n * 8, 1024, np.int32), np.full(n, 512, np.int32)
+        self.w2, self.w1 = np.full(n, 21845, np.int32), np.full(n, 21845, np.int32)
+        self.hist = np.ones(CLASSES * n, np.int32)
+        self.cum = np.zeros((CLASSES + 1, n), np.int32)
+        self.flat = self.cum.ravel()
+        self.p1, self.p2 = np.zeros(n, np.int64), np.zeros(n, np.int64)
         self.refresh()
 
     def refresh(self) -> None:
-        seen = np.cumsum(self.hist, axis=1, dtype=np.int64)
-        self.cum[:, 1:] = np.arange(1, CLASSES + 1) + seen * (4096 - CLASSES) // seen[:, -1:]
+        """Class frequencies out of 4096 from the counts so far, each at least 1."""
+        seen = np.cumsum(self.hist.reshape(CLASSES, self.n), axis=0, dtype=np.int32)
+        self.cum[1:] = np.arange(1, CLASSES + 1, dtype=np.int32)[:, None] + (seen * ((4096 - CLASSES) / seen[-1])).astype(np.int32)
+        self.cum[-1] = 4096
 
     def propose(self, a: int) -> tuple[np.ndarray, np.ndarray]:
         """(proposed id, probability of 1..4095 that it is right) of lanes [0, a)."""
-        lane, p1, p2 = self.lane[:a], self.p1[:a], self.p2[:a]
-        self.i2 = lane * ORDER2 + (((p1 * 40503 + p2 * 30011) >> 5) & (ORDER2 - 1))
-        self.i1 = lane * ORDER1 + ((p1 * 40503 >> 7) & (ORDER1 - 1))
+        h1 = self.p1[:a] * 40503
+        self.i2 = ((h1 + self.p2[:a] * 30011) >> 5 & (ORDER2 - 1)) + self.base2[:a]
+        self.i1 = (h1 >> 7 & (ORDER1 - 1)) + self.base1[:a]
         e2, e1 = self.t2[self.i2], self.t1[self.i1]
-        self.c2, self.n2 = e2 & 0xFFFF, e2 >> 16
-        self.c1, self.n1 = e1 & 0xFFFF, e1 >> 16
-        self.x2 = lane * 4 + self.n2
-        self.x1 = lane * 8 + self.n1 * 2 + (self.c1 == self.c2)
+        self.c2, self.n2, self.c1, self.n1 = e2 & 0xFFFF, e2 >> 16, e1 & 0xFFFF, e1 >> 16
+        self.x2 = self.lane4[:a] + self.n2
+        self.x1 = self.lane8[:a] + (self.n1 * 2 + (self.c1 == self.c2))
         self.q2, self.q1, self.q0 = self.by2[self.x2], self.by1[self.x1], self.by0[:a]
-        w2, w1, w0 = self.w[0, :a], self.w[1, :a], self.w[2, :a]
-        self.p = np.clip((w2 * self.q2 + w1 * self.q1 + w0 * self.q0) // (w2 + w1 + w0), 1, 4095)
+        w2, w1 = self.w2[:a], self.w1[:a]
+        p = (w2 * self.q2 + w1 * self.q1 + (65536 - w2 - w1) * self.q0) >> 16
+        self.p = np.minimum(np.maximum(p, 1), 4095)
         return np.where(self.n2 > 0, self.c2, self.c1), self.p
 
-    def learn(self, a: int, ids: np.ndarray, hit: np.ndarray) -> None:
-        goal = hit * 4096
-        sign = goal * 2 - 4096
-        for k, q in ((0, self.q2), (1, self.q1), (2, self.q0)):
-            w = self.w[k, :a]
-            w += (sign * (q - self.p)) >> 14
-            np.clip(w, 256, 1 << 16, out=w)
-        self.by2[self.x2] += (goal - self.q2) >> 4
-        self.by1[self.x1] += (goal - self.q1) >> 4
+    def learn(self, a: int, ids: np.ndarray, cls: np.ndarray, hit: np.ndarray) -> None:
+        goal = hit * np.int32(4096)
+        right = np.where(hit, np.int32(1), np.int32(-1))
+        for w, q in ((self.w2[:a], self.q2), (self.w1[:a], self.q1)):
+            w += right * (q - self.p) >> 2
+            np.minimum(np.maximum(w, 512, out=w), 31000, out=w)
+        self.by2[self.x2] = self.q2 + ((goal - self.q2) >> 4)
+        self.by1[self.x1] = self.q1 + ((goal - self.q1) >> 4)
         self.by0[:a] += (goal - self.q0) >> 5
+        at = cls * self.n + self.lane[:a]
+        self.hist[at] += ~hit
+        ids = ids.astype(np.int32)
         for table, at, c, n in ((self.t2, self.i2, self.c2, self.n2), (self.t1, self.i1, self.c1, self.n1)):
             same = c == ids
-            keep = same | (n > 0)
-            conf = np.where(same, np.minimum(n + 1, 3), np.where(n > 0, n - 1, 1))
-            table[at] = np.where(keep, c, ids) | (conf << 16)
+            table[at] = np.where(same, c + (np.minimum(n + 1, 3) << 16), np.where(n > 0, c + ((n - 1) << 16), ids + 65536))
         self.p2[:a] = self.p1[:a]
         self.p1[:a] = ids
 
@@ -105,53 +100,60 @@ def _order(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.searchsorted(-lengths[order], -np.arange(steps), "left")
 
 
+def _unsettled(low: np.ndarray, rng: np.ndarray) -> np.ndarray:
+    """Lanes whose next word is settled, or whose interval has become too small to go on."""
+    return np.flatnonzero((low ^ (low + rng - 1) < 1 << TOP) | (rng < BOT))
+
+
+def _cut(low: np.ndarray, rng: np.ndarray) -> np.ndarray:
+    """The interval within its word (shorter only where it is cut at the word's end)."""
+    return np.minimum(rng, (1 << TOP) - (low & LOW_MASK))
+
+
 def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     """Code string of each block of ids below 2**16."""
     lengths = np.array([len(b) for b in blocks], np.int64)
     n = len(blocks)
     order, active = _order(lengths)
-    ids = np.zeros((int(lengths.max(initial=0)), n), np.int64)
+    ids = np.zeros((int(lengths.max(initial=0)), n), np.uint16)
     for lane, k in enumerate(order):
         ids[: lengths[k], lane] = blocks[k]
     model = Model(n)
     low, rng = np.zeros(n, np.int64), np.full(n, 1 << (TOP + WORD), np.int64)
-    words = np.zeros((n, int(lengths.max(initial=0) * 4 + 16)), np.uint16)
-    filled = np.zeros(n, np.int64)
+    room = int(lengths.max(initial=0) * 4 + 16)
+    words = np.zeros(n * room, np.uint16)
+    filled = np.arange(n) * room
     for t, a in enumerate(active):
         if t and t % REFRESH == 0:
             model.refresh()
-        x = ids[t, :a]
+        x = ids[t, :a].astype(np.int64)
         proposed, p = model.propose(a)
         hit = proposed == x
         lo, ra = low[:a], rng[:a]
-        r = (ra >> 12) * p
-        ra = np.where(hit, r, ra - r)
-        lo = lo + np.where(hit, 0, r)
-        m = np.flatnonzero(~hit)
-        xm = x[m]
-        cls = CLASS[xm]
-        c0 = model.cum[m, cls]
-        rm = ra[m] >> 12
-        base = lo[m] + rm * c0
-        rm = (rm * (model.cum[m, cls + 1] - c0)) >> EXTRA[xm]
-        lo[m] = base + rm * (xm - FIRST[cls])
-        ra[m] = rm
-        model.hist[m, cls] += 1
-        model.learn(a, x, hit)
-        at = np.flatnonzero((((lo ^ (lo + ra - 1)) >> TOP) == 0) | (ra < BOT))
+        yes = (ra >> 12) * p
+        no = ra - yes
+        cls = CLASS[x]
+        at = cls * n + model.lane[:a]
+        c0 = model.flat[at]
+        part = no >> 12
+        rest = (part * (model.flat[at + n] - c0)) >> cls
+        lo = np.where(hit, lo, lo + yes + part * c0 + rest * (x - FIRST[cls]))
+        ra = np.where(hit, yes, rest)
+        model.learn(a, x, cls, hit)
+        at = _unsettled(lo, ra)
         while len(at):
-            l, g = lo[at], ra[at]
-            g = np.where(((l ^ (l + g - 1)) >> TOP) == 0, g, (1 << TOP) - (l & LOW_MASK))
-            words[at, filled[at]] = l >> TOP
+            l = lo[at]
+            g = _cut(l, ra[at]) << WORD
+            words[filled[at]] = l >> TOP
             filled[at] += 1
-            l, g = (l & LOW_MASK) << WORD, g << WORD
+            l = (l & LOW_MASK) << WORD
             lo[at], ra[at] = l, g
-            at = at[(((l ^ (l + g - 1)) >> TOP) == 0) | (g < BOT)]
+            at = at[_unsettled(l, g)]
         low[:a], rng[:a] = lo, ra
     out: list[bytes] = [b""] * n
     for lane, k in enumerate(order):
         tail = [(int(low[lane]) >> s) & 0xFFF for s in (48, 36, 24, 12, 0)]
-        out[k] = _pack(np.concatenate([words[lane, : filled[lane]], np.array(tail, np.uint16)]))
+        out[k] = _pack(np.concatenate([words[lane * room : filled[lane]], np.array(tail, np.uint16)]))
     return out
 
 
@@ -190,35 +192,35 @@ def decode_blocks(codes: list[bytes], lengths: np.ndarray) -> list[np.ndarray]:
             model.refresh()
         proposed, p = model.propose(a)
         lo, ra, co = low[:a], rng[:a], code[:a]
-        r = (ra >> 12) * p
-        hit = (co - lo) < r
-        ra = np.where(hit, r, ra - r)
-        lo = lo + np.where(hit, 0, r)
-        m = np.flatnonzero(~hit)
-        rm = ra[m] >> 12
-        slot = np.minimum((co[m] - lo[m]) // rm, 4095)
-        cum = model.cum[m]
-        cls = (cum[:, 1:] <= slot[:, None]).sum(axis=1)
-        c0 = model.cum[m, cls]
-        base = lo[m] + rm * c0
-        rm = (rm * (model.cum[m, cls + 1] - c0)) >> CLASS_EXTRA[cls]
-        rest = np.minimum((co[m] - base) // rm, (1 << CLASS_EXTRA[cls]) - 1)
-        lo[m] = base + rm * rest
-        ra[m] = rm
-        x = proposed.astype(np.int64)
-        x[m] = FIRST[cls] + rest
+        yes = (ra >> 12) * p
+        off = co - lo
+        hit = off < yes
+        off = np.where(hit, 0, off - yes)
+        part = (ra - yes) >> 12
+        slot = _floor_div(off, part).astype(np.int32)
+        cls = np.zeros(a, np.int32)
+        for k in range(1, CLASSES):
+            cls += model.cum[k, :a] <= slot
+        cls = cls.astype(np.int64)
+        at = cls * n + model.lane[:a]
+        c0 = model.flat[at]
+        rest = (part * (model.flat[at + n] - c0)) >> cls
+        off -= part * c0
+        more = np.minimum(_floor_div(off, rest), FIRST[cls])
+        x = np.where(hit, proposed, FIRST[cls] + more)
+        lo = np.where(hit, lo, lo + yes + part * c0 + rest * more)
+        ra = np.where(hit, yes, rest)
         out[t, :a] = x
-        model.hist[m, cls] += 1
-        model.learn(a, x, hit)
-        at = np.flatnonzero((((lo ^ (lo + ra - 1)) >> TOP) == 0) | (ra < BOT))
+        model.learn(a, x, cls, hit)
+        at = _unsettled(lo, ra)
         while len(at):
-            l, g = lo[at], ra[at]
-            g = np.where(((l ^ (l + g - 1)) >> TOP) == 0, g, (1 << TOP) - (l & LOW_MASK))
+            l = lo[at]
+            g = _cut(l, ra[at]) << WORD
             co[at] = ((co[at] & LOW_MASK) << WORD) | words[start[at]]
             start[at] += 1
-            l, g = (l & LOW_MASK) << WORD, g << WORD
+            l = (l & LOW_MASK) << WORD
             lo[at], ra[at] = l, g
-            at = at[(((l ^ (l + g - 1)) >> TOP) == 0) | (g < BOT)]
+            at = at[_unsettled(l, g)]
         low[:a], rng[:a] = lo, ra
     ids: list[np.ndarray] = [out[:0, 0]] * n if n else []
     for lane, k in enumerate(order):
@@ -226,6 +228,13 @@ def decode_blocks(codes: list[bytes], lengths: np.ndarray) -> list[np.ndarray]:
     return ids
 
 
+def _floor_div(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """x // y for 0 <= x < 2**60 and quotients below 2**17: a rounded quotient, put right by at most one."""
+    q = (x / y).astype(np.int64)
+    r = x - q * y
+    return q + (r >= y) - (r < 0)
+
+
 def checksum(ids: np.ndarray) -> int:
     """Unsigned crc32 of the ids as little-endian unsigned 32-bit integers."""
     return zlib.crc32(np.ascontiguousarray(ids, "<u4").tobytes())

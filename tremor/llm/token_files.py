@@ -31,7 +31,7 @@ from tremor.session import table
 END_ID = 2
 SEGMENT_IDS = 1 << 16
 #: ids that a task codes in lockstep at a time
-GROUP_IDS = 1 << 24
+GROUP_IDS = 1 << 23
 MAX_SHARDS = 1_000_000
 
 FILE_SCHEMA = (
