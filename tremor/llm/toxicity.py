@@ -98,12 +98,12 @@ class Model:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
-    """text, toxic of the sampled labelled documents outside the held-out fold, written to the shared folder."""
+    """text, toxic, doc_id of the sampled labelled documents outside the held-out fold, written to the shared folder."""
     known = labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     fold = F.crc32(F.col("doc_id").cast("string")) % FOLDS
     chosen = known.filter(fold != 0).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
-    return materialize(texts.select("text", "toxic"), "toxic-sample")
+    return materialize(texts.select("text", "toxic", "doc_id"), "toxic-sample")
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: int = FEATURES) -> Model:
@@ -158,9 +158,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: int
             for i, j, data, offsets in slices(b.column(0)):
                 row, feature = model.features(data, offsets)
                 lists = list_array(pa.array(feature.astype(np.int32)), np.bincount(row, minlength=j - i))
-                yield pa.RecordBatch.from_arrays([pa.array((b.column(1).to_numpy()[i:j] > 0).astype(np.int32)), lists], names=["y", "x"])
+                y = pa.array((b.column(1).to_numpy()[i:j] > 0).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([b.column(2).slice(i, j - i), y, lists], names=["doc_id", "y", "x"])
 
-    table_ = train.mapInArrow(read, "y int, x array<int>").orderBy(F.xxhash64("x", "y"), "y").toArrow().combine_chunks()
+    read_rows = train.mapInArrow(read, "doc_id long, y int, x array<int>")
+    table_ = read_rows.orderBy("doc_id", F.xxhash64("x")).toArrow().combine_chunks()
     y = table_["y"].to_numpy().astype(float)
     lists = table_["x"].combine_chunks()
     lists = pa.concat_arrays(lists.chunks) if isinstance(lists, pa.ChunkedArray) else lists
