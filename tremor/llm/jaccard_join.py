@@ -364,3 +364,25 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     out = link_components(table(spark, sf_dir, "documents"))
     return out.select(real("uid").alias("doc_id"), "n_shingles", real("component").alias("component_id"))
+
+
+ORACLE_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents
+), sh AS (
+  SELECT DISTINCT doc_id, md5(array_to_string(w[i:i + 3], ' ')) AS s FROM d, unnest(range(1, greatest(len(w) - 2, 2))) t(i) WHERE len(w) > 0
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id
+), common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM sh x JOIN sh y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL
+), linked AS (
+  SELECT a, b FROM common JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * c >= 85 * (p.n + q.n - c)
+), both_ways AS (
+  SELECT a, b FROM linked UNION ALL SELECT b, a FROM linked
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, l.b FROM reach r JOIN both_ways l ON r.b = l.a
+)
+SELECT d.doc_id, coalesce(sizes.n, 0)::BIGINT AS n_shingles, m.component_id
+FROM d LEFT JOIN sizes USING (doc_id) JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) m ON m.a = d.doc_id
+"""

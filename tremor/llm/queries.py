@@ -11,13 +11,15 @@ QUERIES = {
     "op4_toxicity": toxicity.op4_toxicity,
     "op5_imatch": imatch.op5_imatch,
     "op6_packing": packing.op6_packing,
-    "op8_substring_dedup": substring_dedup.op8_substring_dedup,
     "op7_url_filter": urls.op7_url_filter,
+    "op8_substring_dedup": substring_dedup.op8_substring_dedup,
     "op9_jaccard_join": jaccard_join.op9_jaccard_join,
     "op10_chat_format": chat.op10_chat_format,
 }
 
 ORACLES = {
+    "op8_substring_dedup": substring_dedup.ORACLE_SQL,
+    "op9_jaccard_join": jaccard_join.ORACLE_SQL,
     "op7_url_filter": urls.ORACLE_SQL,
     "op10_chat_format": chat.ORACLE_SQL,
 }

@@ -128,3 +128,20 @@ def report(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract query: every whole text of ``documents``."""
     return report(table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), v AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS s FROM d, unnest(range(1, len(w) - 11)) t(i)
+), gone AS (
+  SELECT DISTINCT doc_id, p FROM (
+    SELECT doc_id, unnest(range(i, i + 13)) AS p FROM v JOIN (SELECT s, min(doc_id) AS m FROM v GROUP BY s) USING (s) WHERE m < doc_id)
+), kept AS (
+  SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS t, count(*) AS n
+  FROM (SELECT doc_id, p, w[p] AS x FROM d, unnest(range(1, len(w) + 1)) u(p)) ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
