@@ -35,6 +35,11 @@ def _flat(spark: SparkSession, path: str):
     return bronze_src.flatten(bronze_src.with_batch_ts(docs))
 
 
+def _document_report(spark: SparkSession, path: str) -> dict:
+    """Documents, unreadable ones, and features declared against features found."""
+    return bronze_src.document_counts(bronze_src.read_documents(spark, path, for_silver=True)).first().asDict()
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> dict:
     p = argparse.ArgumentParser(prog="tremor")
     sub = p.add_subparsers(dest="job", required=True)
@@ -50,6 +55,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     c.add_argument("--bronze", required=True)
     c.add_argument("--root", required=True)
     c.add_argument("--database", default=fixed.GOLD_DATABASE)
+    c.add_argument("--check-documents", action="store_true", help="one more pass over Bronze: report unreadable documents")
     c.add_argument("--mode", default=None, choices=["backfill", "incremental"])
     d = sub.add_parser("stream")
     d.add_argument("--bronze", required=True)
@@ -77,6 +83,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         result = jobs.run_gold(spark, args.silver, args.gold, args.database)
     elif args.job == "run":
         result = jobs.run_all(spark, _flat(spark, args.bronze), args.root, args.database, mode=args.mode)
+        if args.check_documents:
+            result["documents"] = _document_report(spark, args.bronze)
     elif args.job == "stream":
         if args.stateful:
             incremental.append_history_stateful(spark, args.bronze, args.history, args.checkpoint)
