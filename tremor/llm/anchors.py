@@ -96,14 +96,24 @@ def choose_anchors(codes: np.ndarray, row_starts: np.ndarray, units: Units):
     return at, r, lo, hi, run_hashes(prefix, at, at + units.gram), context
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """uid, th, text: uid stands for doc_id (null: the least value), th tells texts of one doc_id apart."""
+def keyed(docs: DataFrame, whole_rows: bool = False) -> DataFrame:
+    """uid, th, text: uid stands for doc_id (null: the least value), th tells texts of one doc_id apart.
+
+    With ``whole_rows`` also ``rest``, a struct of the row's columns without the text and ``no_text_`` (it was null).
+    Functions here hand ``rest`` through, so that all steps read the texts from one and the same exchange.
+    """
+    rest = [F.struct(*[F.col(c) for c in docs.columns if c != "text"], F.col("text").isNull().alias("no_text_")).alias("rest")]
     return docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("uid"),
         F.coalesce("text", F.lit("")).alias("text"),
+        *(rest if whole_rows else []),
     ).withColumn("th", F.xxhash64("text").bitwiseAND(F.lit(0xFFFFFFFF)))
 
 
+def rest_of(texts: DataFrame) -> list[str]:
+    return ["rest"] if "rest" in texts.columns else []
+
+
 def representatives(texts: DataFrame) -> DataFrame:
     """uid, th, copies: one document (least id) of each different text."""
     return (
@@ -145,7 +155,7 @@ def find_anchors(texts: DataFrame, units: Units, earlier: bool) -> DataFrame:
             cols = [long_array(gram), long_array(context), pa.array(ids), pa.array(ths), pa.array(at), pa.array(state)]
             yield pa.RecordBatch.from_arrays(cols, names=["ahash", "chash", "uid", "th", "at", "state"])
 
-    return texts.select("uid", "th", "text").mapInArrow(run, ANCHORS).repartition("ahash")
+    return texts.select("uid", "th", "text", *rest_of(texts)).mapInArrow(run, ANCHORS).repartition("ahash")
 
 
 def label_any(anchors: DataFrame) -> DataFrame:
@@ -232,7 +242,8 @@ def contexts(texts: DataFrame, labels: DataFrame, units: Units) -> DataFrame:
                         names=names,
                     )
 
-    return texts.join(marks, ["uid", "th"]).select("uid", "th", "text", "marks").mapInArrow(run, CONTEXT)
+    joined = texts.join(marks, ["uid", "th"])
+    return joined.select("uid", "th", "text", "marks", *rest_of(texts)).mapInArrow(run, CONTEXT)
 
 
 def resolve(rows: DataFrame, resolver: Callable[[pa.Table], Iterator[pa.RecordBatch]]) -> DataFrame:

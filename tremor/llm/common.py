@@ -14,7 +14,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tremor.session import ensure_checkpoint_dir
 
@@ -150,3 +151,24 @@ def list_array(values: pa.Array, counts: np.ndarray) -> pa.ListArray:
     offsets = np.zeros(len(counts) + 1, np.int32)
     np.cumsum(counts, out=offsets[1:])
     return pa.ListArray.from_arrays(pa.array(offsets), values)
+
+
+MEMBER_BITS = 21
+
+
+def maybe_member(ids: DataFrame, bits: int = MEMBER_BITS) -> Column:
+    """Condition on a column ``uid``: false only for values that are not in ``ids`` (one column ``uid``).
+
+    A bit table of fixed size (2**bits bits, as a constant array) that the driver sees whatever the number of ids.
+    It spares rows a shuffle; an exact join must follow on the rows that pass.
+    """
+    slot = F.pmod(F.xxhash64("uid"), F.lit(1 << bits))
+    marks = ids.select(slot.alias("s")).distinct().groupBy(F.floor(F.col("s") / 32).cast("int").alias("w")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(s % 32 as int))")).alias("bits")
+    )
+    words_ = [0] * (1 << (bits - 5))
+    for r in marks.collect():
+        words_[r["w"]] = r["bits"]
+    constant = F.split(F.lit(",".join(map(str, words_))), ",").cast("array<bigint>")
+    word = F.get(constant, F.floor(slot / 32).cast("int"))
+    return word.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), (slot % 32).cast("int"))) != 0

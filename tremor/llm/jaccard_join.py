@@ -35,7 +35,18 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tremor.llm.anchors import NULL_ID, keyed
-from tremor.llm.common import gram_hashes, list_array, long_array, lowered, materialize, mix, slices, word_hashes, words
+from tremor.llm.common import (
+    gram_hashes,
+    list_array,
+    long_array,
+    lowered,
+    materialize,
+    maybe_member,
+    mix,
+    slices,
+    word_hashes,
+    words,
+)
 from tremor.llm.components import components
 from tremor.session import table
 
@@ -302,7 +313,8 @@ def link_components(docs: DataFrame, num: int = NUM, den: int = DEN, n: int = SH
                     names = ["uid", "th", "block", "chunks", "chunk", "label", "query", "spread", "pivot", "shingles"]
                     yield pa.RecordBatch.from_arrays([*rest, sets], names=names)
 
-        own = texts.join(where, ["uid", "th"]).select(
+        near = texts.filter(maybe_member(where.select("uid")))  # other texts are not shuffled
+        own = near.join(where, ["uid", "th"]).select(
             "uid", "text", "th", "block", "chunks", "chunk", "label", "query", "spread", "pivot"
         )
         sets = own.mapInArrow(
@@ -347,13 +359,19 @@ def link_components(docs: DataFrame, num: int = NUM, den: int = DEN, n: int = SH
 
 def deduplicate(docs: DataFrame, num: int = NUM, den: int = DEN, n: int = SHINGLE) -> DataFrame:
     """One document of each group of linked documents: the one with the least doc_id (a repeated row stays once)."""
-    kept = link_components(docs, num, den, n).filter("uid = component").groupBy("uid").agg(F.min("th").alias("th"))
-    uid = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))
-    th = F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit(0xFFFFFFFF))
-    own = docs.withColumn("__uid", uid).withColumn("__th", th)
-    own = own.join(kept.select(F.col("uid").alias("__uid"), F.col("th").alias("__th")), ["__uid", "__th"], "left_semi")
-    one = own.withColumn("__n", F.row_number().over(Window.partitionBy("__uid", "__th").orderBy("__uid")))
-    return one.filter("__n = 1").select(*docs.columns)
+    found = materialize(link_components(docs, num, den, n).groupBy("uid").agg(
+        F.min("th").alias("th"), F.count("*").alias("rows"), F.min("component").alias("component")
+    ), "groups")
+    # rows whose doc_id is certainly alone and kept pass without a shuffle
+    doubtful = maybe_member(found.filter("uid <> component or rows > 1").select("uid"))
+    row = F.struct(*[F.col(c) for c in docs.columns]).alias("row")
+    uid = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("uid")
+    th = F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit(0xFFFFFFFF)).alias("th")
+    keyed_rows = docs.select(row, uid, th)
+    kept = found.filter("uid = component").select("uid", "th")
+    own = keyed_rows.filter(doubtful).join(kept, ["uid", "th"], "left_semi")
+    one = own.withColumn("n", F.row_number().over(Window.partitionBy("uid", "th").orderBy("uid"))).filter("n = 1")
+    return keyed_rows.filter(~doubtful).select("row.*").unionByName(one.select("row.*"))
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

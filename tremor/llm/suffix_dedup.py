@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tremor.llm import anchors
 from tremor.llm.common import BYTE_CODES, prefix_hashes, run_hashes, slices
@@ -152,16 +153,15 @@ def slices_binary(column):
     yield 0, len(arr), data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def byte_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """uid, th, text, whole, spans: ``whole`` marks copies of another text, ``spans`` the repeated byte spans."""
+def byte_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
+    """uid, th, text, whole, spans (and rest) of keyed texts: ``whole`` marks copies of another text, ``spans`` the repeated byte spans."""
     units = anchors.Units(anchors.byte_units, length, length // 2)
-    texts = anchors.keyed(docs)
     first = anchors.representatives(texts)
     alone = texts.join(first, ["uid", "th"], "left")
     marks = anchors.label_any(anchors.find_anchors(alone.filter("copies is not null"), units, earlier=False))
     found = anchors.resolve(anchors.contexts(texts, marks, units), _resolver(length))
     return alone.join(anchors.spans(found, earlier=False), ["uid", "th"], "left").select(
-        "uid", "th", "text", (~F.coalesce(F.col("copies") == 1, F.lit(False))).alias("whole"), "spans"
+        "uid", "th", "text", (~F.coalesce(F.col("copies") == 1, F.lit(False))).alias("whole"), "spans", *anchors.rest_of(texts)
     )
 
 
@@ -198,7 +198,7 @@ def report(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             )
 
     doc_id = F.when(F.col("uid") != anchors.NULL_ID, F.col("uid")).alias("doc_id")
-    return byte_spans(docs, length).select(doc_id, "text", "whole", "spans").mapInArrow(
+    return byte_spans(anchors.keyed(docs), length).select(doc_id, "text", "whole", "spans").mapInArrow(
         run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     )
 
@@ -209,30 +209,29 @@ def cut(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     A character only part of which is covered goes with the span. Rows stay, also where no text is left.
     """
 
+    spans = byte_spans(anchors.keyed(docs, whole_rows=True), length).select("text", "whole", "spans", "rest")
+    schema = T.StructType([T.StructField("text", T.StringType()), T.StructField("changed", T.BooleanType()), spans.schema["rest"]])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = []
-            for _, text, gone in _cut(b.column(2), b.column(3).to_numpy(zero_copy_only=False), b.column(4), length):
+            texts, changed = [], []
+            for _, text, gone in _cut(b.column(0), b.column(1).to_numpy(zero_copy_only=False), b.column(2), length):
+                changed.append(gone is not None)
                 texts.append((text if gone is None else text[~gone]).tobytes().decode("utf-8", "ignore"))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string())], names=["uid", "th", "__cut"])
-
-    kept = byte_spans(docs, length).select("uid", "th", "text", "whole", "spans").filter("whole or spans is not null")
-    kept = kept.mapInArrow(run, "uid long, th long, __cut string")
-    kept = kept.dropDuplicates(["uid", "th"])  # repeated rows have one result
-    tagged = docs.withColumn("__uid", F.coalesce(F.col("doc_id").cast("long"), F.lit(anchors.NULL_ID))).withColumn(
-        "__th", F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit(0xFFFFFFFF))
-    )
-    joined = tagged.join(kept.select(F.col("uid").alias("__uid"), F.col("th").alias("__th"), "__cut"), ["__uid", "__th"], "left")
-    changed = F.col("__cut").isNotNull()
-    out = [
-        F.when(changed, F.col("__cut")).otherwise(F.col("text")).alias("text")
-        if c == "text"
-        else F.when(changed, F.length("__cut").cast(docs.schema[c].dataType)).otherwise(F.col(c)).alias(c)
-        if c == "n_chars"
-        else F.col(c)
-        for c in docs.columns
-    ]
-    return joined.select(*out)
+            cols = [pa.array(texts, pa.string()), pa.array(changed, pa.bool_()), b.column(3)]
+            yield pa.RecordBatch.from_arrays(cols, names=["text", "changed", "rest"])
+
+    out = spans.mapInArrow(run, schema)
+    columns = []
+    for c in docs.columns:
+        own = F.col("rest").getField(c)
+        if c == "text":
+            columns.append(F.when(F.col("rest").getField("no_text_"), F.lit(None)).otherwise(F.col("text")).alias(c))
+        elif c == "n_chars":
+            columns.append(F.when(F.col("changed"), F.length("text").cast(docs.schema[c].dataType)).otherwise(own).alias(c))
+        else:
+            columns.append(own.alias(c))
+    return out.select(*columns)
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
