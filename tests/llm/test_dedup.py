@@ -118,7 +118,7 @@ def near_rows():
     return rows + rows[:3] + [(3, base[5]), (3, base[6])]
 
 
-@pytest.mark.parametrize("chunk", [512, 8])
+@pytest.mark.parametrize("chunk", [1 << 20, 300])
 def test_near_copies_match_brute_force(make_docs, monkeypatch, chunk):
     monkeypatch.setattr(jaccard_join, "CHUNK", chunk)
     rows = near_rows()

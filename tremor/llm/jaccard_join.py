@@ -15,10 +15,11 @@ Documents link where ``den * |intersection| >= num * |union|``.
    are set aside, the short ones merged, candidates with enough occurrences
    are completed by binary search in the long lists, and those reaching the
    required overlap link. Pairs already connected are skipped.
-4. A block larger than ``CHUNK`` is dealt to several tasks; each holds the
-   block's first document too, so copies connect through it. Afterwards only
-   documents outside the block's largest component still search the other
-   chunks. No task holds a whole group, and no pairs are listed within it.
+4. A block with more than ``CHUNK`` shingles is dealt to several tasks; each
+   holds the block's first document too, so copies connect through it.
+   Afterwards only documents outside the block's largest component still ask
+   the other chunks, one by one. No task holds a whole group, and no pairs are
+   listed within it.
 
 Defined cases: null text counts as empty; a null doc_id counts as the smallest
 id; rows with equal doc_id are one vertex; repeated rows repeat their result;
@@ -53,7 +54,8 @@ from tremor.session import table
 U64 = np.uint64
 NUM, DEN = 85, 100
 SHINGLE = 4
-CHUNK = 512
+#: shingles that a task indexes at a time
+CHUNK = 1 << 20
 #: share of the shortest lists' work that long lists are worth (DivideSkip's constant)
 MU = 0.05
 
@@ -195,54 +197,93 @@ class Search:
         return found[count >= need]
 
 
-def links(sets: list[np.ndarray], label: np.ndarray, query: np.ndarray, home: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
-    """Links of queries to home sets that connect different labels (a spanning forest of them)."""
-    here = np.flatnonzero(home)
-    if not len(here) or not query.any():
-        return []
-    search = Search([sets[y] for y in here], num, den)
-    part = np.unique(label, return_inverse=True)[1]
-    out = []
-    for x in np.flatnonzero(query):
-        for y in here[search.partners(sets[x], part[here] != part[x])]:
-            if part[x] != part[y]:
-                part[part == part[y]] = part[x]
-                out.append((int(x), int(y)))
-    return out
+class Group:
+    """Search within one (block, chunk): its own sets are indexed, sets of other chunks are asked one by one.
 
+    Labels stand for what is connected already; a link is reported only if it connects two labels.
+    """
 
-def find_links(members: DataFrame, num: int, den: int) -> DataFrame:
-    """Edges (a, b) found within each (block, chunk)."""
+    def __init__(self, num: int, den: int):
+        self.num, self.den = num, den
+        self.uid: list[int] = []
+        self.sets: list[np.ndarray] = []
+        self.asks: list[int] = []
+        self.number: dict[int, int] = {}
+        self.up: list[int] = []
+        self.own: list[int] = []
+        self.search: Search | None = None
+
+    def _part(self, label: int) -> int:
+        k = self.number.setdefault(label, len(self.up))
+        if k == len(self.up):
+            self.up.append(k)
+        while self.up[k] != k:
+            k = self.up[k]
+        return k
+
+    def add(self, uid: int, label: int, query: bool, shingles: np.ndarray) -> None:
+        if query:
+            self.asks.append(len(self.uid))
+        self.uid.append(uid)
+        self.sets.append(shingles)
+        self.own.append(self._part(label))
+
+    def ask(self, uid: int, label: int, shingles: np.ndarray) -> Iterator[tuple[int, int]]:
+        if not self.uid:
+            return
+        if self.search is None:
+            self.search = Search(self.sets, self.num, self.den)
+            self.part = np.array([self.up[k] for k in self.own])
+        mine = self._part(label)
+        for y in self.search.partners(shingles, self.part != mine):
+            other = int(self.part[y])
+            if other != mine:
+                self.up[other] = mine
+                self.part[self.part == other] = mine
+                yield uid, self.uid[y]
+
+    def finish(self) -> Iterator[tuple[int, int]]:
+        for x in self.asks if len(self.uid) > 1 else []:
+            yield from self.ask(self.uid[x], self.labels[x], self.sets[x])
+
+    @property
+    def labels(self) -> list[int]:
+        if not hasattr(self, "_labels"):
+            names = {k: label for label, k in self.number.items()}
+            self._labels = [names[k] for k in self.own]
+        return self._labels
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, last, uid, label, query, home, sets = None, None, [], [], [], [], []
 
-        def close() -> Iterator[pa.RecordBatch]:
-            if len(uid) > 1:
-                found = links(sets, np.array(label), np.array(query), np.array(home), num, den)
-                if found:
-                    pairs = [pa.array([uid[p[k]] for p in found], pa.int64()) for k in (0, 1)]
-                    yield pa.RecordBatch.from_arrays(pairs, names=["a", "b"])
+def find_links(members: DataFrame, num: int, den: int) -> DataFrame:
+    """Edges (a, b) found within each (block, chunk); memory holds the chunk's own sets only."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, last, group = None, None, Group(num, den)
+        found: list[tuple[int, int]] = []
         for b in batches:
             block, chunk, ids, texts, labels, queries, homes = (b.column(k).to_pylist() for k in range(7))
             flat = b.column(7).flatten().to_numpy().view(U64)
             ends = np.cumsum(b.column(7).value_lengths().to_numpy())
             for r in range(b.num_rows):
                 if key != (block[r], chunk[r]):
-                    yield from close()
-                    key, uid, label, query, home, sets, last = (block[r], chunk[r]), [], [], [], [], [], None
+                    found.extend(group.finish())
+                    key, last, group = (block[r], chunk[r]), None, Group(num, den)
                 if last == (ids[r], texts[r]):  # a repeated row
                     continue
                 last = (ids[r], texts[r])
-                uid.append(ids[r])
-                label.append(labels[r])
-                query.append(queries[r])
-                home.append(homes[r])
-                sets.append(flat[(ends[r - 1] if r else 0) : ends[r]].copy())
-        yield from close()
-
-    dealt = members.repartition("block", "chunk").sortWithinPartitions("block", "chunk", "uid", "th")
+                shingles = flat[(ends[r - 1] if r else 0) : ends[r]]
+                if homes[r]:
+                    group.add(ids[r], labels[r], queries[r], shingles.copy())
+                elif queries[r]:
+                    found.extend(group.ask(ids[r], labels[r], shingles))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+                found = []
+        found.extend(group.finish())
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    dealt = members.repartition("block", "chunk").sortWithinPartitions("block", "chunk", F.desc("home"), "uid", "th")
     return dealt.mapInArrow(run, "a long, b long")
 
 
@@ -294,12 +335,12 @@ def link_components(docs: DataFrame, num: int = NUM, den: int = DEN, n: int = SH
     meets = routed.withColumn("root", F.min("uid").over(Window.partitionBy("digest"))).filter("uid <> root")
     coarse = materialize(components(meets.select(F.col("uid").alias("a"), F.col("root").alias("b"))), "blocks")
     block = coarse.unionByName(coarse.select(F.col("label").alias("id"), "label").distinct())
-    size = block.groupBy("label").agg(F.count("*").alias("members"))
-    chunks = F.ceil(F.col("members") / CHUNK)
-    placed = block.join(size, "label").select(
-        F.col("id").alias("uid"), F.col("label").alias("block"), chunks.alias("chunks"), F.pmod(F.xxhash64("id"), chunks).alias("chunk")
+    block = block.select(F.col("id").alias("uid"), F.col("label").alias("block")).join(first.select("uid", "th", "n_shingles"), "uid")
+    size = block.groupBy("block").agg(F.sum("n_shingles").alias("shingles"))
+    chunks = F.ceil(F.col("shingles") / CHUNK)
+    placed = block.join(size, "block").select(
+        "uid", "th", "block", chunks.alias("chunks"), F.pmod(F.xxhash64("uid", "th"), chunks).alias("chunk")
     )
-    placed = placed.join(first.select("uid", "th"), "uid")
 
     def members(where: DataFrame) -> DataFrame:
         """Sets of the documents that ``where`` places: in their own chunk, or with ``spread`` in all chunks of their
@@ -325,7 +366,9 @@ def link_components(docs: DataFrame, num: int = NUM, den: int = DEN, n: int = SH
         places = F.when(F.col("spread"), F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).otherwise(F.array("chunk"))
         dealt = sets.withColumn("at", F.explode(places))
         home = F.col("pivot") | (F.col("at") == F.col("chunk"))
-        return dealt.select("block", F.col("at").alias("chunk"), "uid", "th", "label", "query", home.alias("home"), "shingles")
+        # where a document is only spread to ask the other chunks, its own chunk has been searched before
+        asks = F.col("query") & ~(home & F.col("spread") & ~F.col("pivot"))
+        return dealt.select("block", F.col("at").alias("chunk"), "uid", "th", "label", asks.alias("query"), home.alias("home"), "shingles")
 
     pivot = (F.col("uid") == F.col("block")) & (F.col("chunks") > 1)
     all_own = placed.withColumn("label", F.col("uid")).withColumn("query", F.lit(True))
