@@ -26,13 +26,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tremor.llm.common import BYTE_CODES, long_array, mix, prefix_hashes, run_hashes, slices, word_hashes, words
+from tremor.llm.common import BYTE_CODES, long_array, mix, parts, prefix_hashes, run_hashes, slices, word_hashes, words
 
 NULL_ID = -(1 << 63)
 SPLIT = 2048
-SLICE = 1 << 19
+SLICE = 1 << 18
 #: contexts that a task resolves at a time
-CONTEXTS = 6000
+CONTEXTS = 3000
 
 ANCHORS = "ahash long, chash long, uid long, th long, at long, state int"
 #: of an occurrence: still open; open, but known to repeat; settled within its batch
@@ -128,16 +128,16 @@ def find_anchors(texts: DataFrame, units: Units, earlier: bool) -> DataFrame:
     smaller uid) are marked and dealt by document, so a passage held by very many documents sends one row per batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in parts(batches, 4000):
             uid, th = b.column(0).to_numpy(), b.column(1).to_numpy()
-            parts = []
+            found = []
             for i, j, data, offsets in slices(b.column(2), SLICE):
                 codes, rows, _, _ = units.codes(data, offsets)
                 at, r, _, _, gram, context = choose_anchors(codes, rows, units)
-                parts.append((gram, context, uid[i + r], th[i + r], at - rows[r]))
-            if not parts:
+                found.append((gram, context, uid[i + r], th[i + r], at - rows[r]))
+            if not found:
                 continue
-            gram, context, ids, ths, at = (np.concatenate(x) for x in zip(*parts))
+            gram, context, ids, ths, at = (np.concatenate(x) for x in zip(*found))
             order = np.lexsort((at, ths, ids, context, gram))
             gram, context, ids, ths, at = (x[order] for x in (gram, context, ids, ths, at))
             state = np.zeros(len(at), np.int32)
@@ -202,7 +202,7 @@ def contexts(texts: DataFrame, labels: DataFrame, units: Units) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [f.split()[0] for f in CONTEXT.split(", ")]
-        for b in batches:
+        for b in parts(batches, 1000):
             uid, th, all_marks = b.column(0).to_numpy(), b.column(1).to_numpy(), b.column(3)
             for i, j, data, offsets in slices(b.column(2), SLICE):
                 _, rows, first, end = units.codes(data, offsets)

@@ -55,6 +55,13 @@ def slices(column, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndar
         i = j
 
 
+def parts(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of few rows, for steps that hold Python objects for each row."""
+    for b in batches:
+        for k in range(0, b.num_rows, rows):
+            yield b.slice(k, rows)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Bit mixer for 64-bit hashes (multiply and shift rounds)."""
     with np.errstate(over="ignore"):

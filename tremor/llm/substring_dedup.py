@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tremor.llm import anchors
-from tremor.llm.common import prefix_hashes, run_hashes, slices, word_hashes, words
+from tremor.llm.common import parts, prefix_hashes, run_hashes, slices, word_hashes, words
 from tremor.llm.fm_index import FMIndex, RangeMinimum
 from tremor.llm.suffix_dedup import slices_binary
 from tremor.session import table
@@ -95,7 +95,7 @@ def report(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in parts(batches):
             whole, lists = b.column(2).to_numpy(zero_copy_only=False), b.column(3).to_pylist()
             out: list[list] = [[], [], []]
             for i, j, data, offsets in slices(b.column(1)):

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tremor.llm import anchors
-from tremor.llm.common import BYTE_CODES, prefix_hashes, run_hashes, slices
+from tremor.llm.common import BYTE_CODES, parts, prefix_hashes, run_hashes, slices
 from tremor.session import table
 
 LENGTH = 200
@@ -185,7 +185,7 @@ def report(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in parts(batches):
             out: list[list] = [[], [], [], []]
             for _, text, gone in _cut(b.column(1), b.column(2).to_numpy(zero_copy_only=False), b.column(3), length):
                 kept = text if gone is None else text[~gone]
@@ -213,7 +213,7 @@ def cut(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     schema = T.StructType([T.StructField("text", T.StringType()), T.StructField("changed", T.BooleanType()), spans.schema["rest"]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in parts(batches):
             texts, changed = [], []
             for _, text, gone in _cut(b.column(0), b.column(1).to_numpy(zero_copy_only=False), b.column(2), length):
                 changed.append(gone is not None)
