@@ -56,6 +56,17 @@ def test_bytes_match_when_groups_are_split(make_docs, small_groups):
     assert rows_of(suffix_dedup.report(make_docs(rows), 24)) == sorted(brute.byte_dedup(rows, 24), key=str)
 
 
+def test_window_with_its_anchor_at_several_places_is_one_place(make_docs, small_groups):
+    """Unique texts around a short periodic run: its gram recurs in one window, but windows at the edges occur once."""
+    rnd = random.Random(12)
+
+    def unique(n):
+        return "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+
+    rows = [(10 * k + j, unique(30) + unit * 9 + unique(30)) for k, unit in enumerate(("a ", "- ", "xy", "* ", "q.", "==")) for j in range(8)]
+    assert rows_of(suffix_dedup.report(make_docs(rows), 24)) == sorted(brute.byte_dedup(rows, 24), key=str)
+
+
 def test_cut_keeps_rows_and_columns(make_docs):
     rows = byte_rows()
     docs = make_docs(rows)

@@ -293,7 +293,9 @@ def spans(found: DataFrame, earlier: bool) -> DataFrame:
     if earlier:
         keep = F.min("uid").over(same) < F.col("uid")
     else:
-        keep = F.count("*").over(same) > 1
+        # one window may come from several occurrences of its anchor: only another place counts
+        place = F.struct("uid", "th", "first")
+        keep = F.min(place).over(same) != F.max(place).over(same)
     kept = found.withColumn("keep", ~F.col("open") | keep).filter("keep and end > first")
     return kept.groupBy("uid", "th").agg(F.collect_list(F.struct("first", "end")).alias("spans"))
 
