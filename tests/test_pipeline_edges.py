@@ -245,6 +245,20 @@ def test_documents_hold_every_feature_once_and_never_too_many(spark):
     assert {r.value for r in again.collect()} == {r.value for r in sizes}
 
 
+def test_copies_of_one_feature_do_not_gather_in_one_bucket(spark):
+    from tremor.sinks import geojson
+
+    flat = flat_rows(spark, [base(id="hot", longitude=-0.0)] * 200 + [base(id=f"e{k}") for k in range(40)])
+    docs = geojson.nest(flat, F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"), max_features=20).persist()
+    features = docs.select("_bucket", F.explode(F.from_json("value", schemas.BRONZE_DOCUMENT)["features"]).alias("f"))
+    got = features.groupBy("_bucket").agg(F.count("*").alias("n"), F.count_if(F.col("f.id") == "hot").alias("hot")).collect()
+    assert sum(r.n for r in got) == 240 and sum(r.hot for r in got) == 200
+    assert max(r.n for r in got) <= 40 and len(got) > 12
+    signs = features.filter("f.id = 'hot'").select(F.col("f.geometry.coordinates")[0].cast("string").alias("x")).distinct()
+    assert [r.x for r in signs.collect()] == ["-0.0"]
+    docs.unpersist()
+
+
 def test_keys_tell_close_places_and_separators_apart(spark):
     from tremor.functions import keys
 

@@ -1,12 +1,13 @@
 """Raw-document landing: flattened rows -> GeoJSON FeatureCollections.
 
 Each document holds the features of one batch hour, and never more than
-``max_features`` of them (the source API's page cap). Rows of an hour are
-dealt into as many hash buckets as its row count asks for (one cheap count
-per hour), so no hour gathers in one task. A bucket's features are sorted and
-cut into documents of at most ``max_features``; bucket and order depend on
-the features alone, so a task re-run after an executor loss builds the same
-documents.
+``max_features`` of them (the source API's page cap). Equal features of an
+hour are counted first and their copies cut into short runs; the runs are
+dealt into as many hash buckets as the hour's row count asks for (one cheap
+count per hour), so neither an hour nor a group of copies gathers in one task.
+A bucket's features are sorted and cut into documents of at most
+``max_features``; bucket and order depend on the features and their counts
+alone, so a task re-run after an executor loss builds the same documents.
 
 Documents land under ``yyyy=/MM=/dd=/HH=`` folders (one JSON document per
 line), which the Bronze scan reads back with recursive lookup.
@@ -21,6 +22,8 @@ from .. import fixed, schemas
 from ..functions import casts
 
 MAX_FEATURES_PER_DOCUMENT = fixed.MAX_FEATURES_PER_DOCUMENT
+#: copies of one feature are dealt in runs of a document's cap over this
+RUNS_PER_DOCUMENT = 8
 
 BATCH_PARTS = ["yyyy", "MM", "dd", "HH"]
 
@@ -43,27 +46,36 @@ def nest(flat: DataFrame, batch_ts: Column, max_features: int = MAX_FEATURES_PER
     would otherwise coalesce a small-in-bytes shuffle into one task that writes every hour folder in sequence.
     """
     n = int(flat.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    run = max(1, max_features // RUNS_PER_DOCUMENT)
     per_hour = flat.groupBy(batch_ts.alias("batch_ts")).agg(F.ceil(2 * F.count(F.lit(1)) / F.lit(max_features)).alias("_buckets"))
-    keyed = flat.select(batch_ts.alias("batch_ts"), feature_struct().alias("_feature")).alias("f")
-    keyed = keyed.join(per_hour.alias("h"), F.col("f.batch_ts").eqNullSafe(F.col("h.batch_ts"))).select(
-        "f.batch_ts", F.pmod(F.xxhash64("_feature"), F.col("_buckets")).alias("_bucket"), "_feature"
+    # counted by its text: a grouped struct would lose the sign of a zero
+    keyed = flat.select(batch_ts.alias("batch_ts"), F.to_json(feature_struct()).alias("_feature"))
+    counted = keyed.groupBy("batch_ts", "_feature").agg(F.count(F.lit(1)).alias("_copies"))
+    first = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_copies") - 1, F.lit(run).cast("bigint")))
+    runs = counted.select("batch_ts", "_feature", "_copies", first.alias("_first")).alias("f")
+    dealt = runs.join(per_hour.alias("h"), F.col("f.batch_ts").eqNullSafe(F.col("h.batch_ts"))).select(
+        "f.batch_ts",
+        F.pmod(F.xxhash64("_feature", "_first"), F.col("_buckets")).alias("_bucket"),
+        "_feature",
+        F.least(F.col("_copies") - F.col("_first"), F.lit(run)).cast("int").alias("_n"),
     )
-    keyed = keyed.repartitionByRange(n, "batch_ts", "_bucket")
-    grouped = keyed.groupBy("batch_ts", "_bucket").agg(F.sort_array(F.collect_list("_feature")).alias("_all"))
+    dealt = dealt.repartitionByRange(n, "batch_ts", "_bucket")
+    grouped = dealt.groupBy("batch_ts", "_bucket").agg(F.sort_array(F.collect_list(F.struct("_feature", "_n"))).alias("_runs"))
+    copies = F.flatten(F.transform("_runs", lambda r: F.array_repeat(r["_feature"], r["_n"])))
+    grouped = grouped.select("batch_ts", "_bucket", copies.alias("_all"))
     parts = F.sequence(F.lit(0), F.floor((F.size("_all") - 1) / F.lit(max_features)).cast("int"))
     parted = grouped.select("batch_ts", "_bucket", "_all", F.explode(parts).alias("_chunk")).select(
         "batch_ts", "_bucket", "_chunk", F.slice("_all", F.col("_chunk") * max_features + 1, max_features).alias("features")
     )
-    doc = F.struct(
-        F.lit("FeatureCollection").alias("type"),
-        F.struct(
-            casts.ts_to_epoch_ms("batch_ts").alias("generated"),
-            F.lit(200).cast("bigint").alias("status"),
-            F.size("features").cast("bigint").alias("count"),
-        ).alias("metadata"),
-        F.col("features"),
+    metadata = F.struct(
+        casts.ts_to_epoch_ms("batch_ts").alias("generated"),
+        F.lit(200).cast("bigint").alias("status"),
+        F.size("features").cast("bigint").alias("count"),
     )
-    return parted.select("batch_ts", "_bucket", "_chunk", F.to_json(doc).alias("value"))
+    value = F.concat(
+        F.lit('{"type":"FeatureCollection","metadata":'), F.to_json(metadata), F.lit(',"features":['), F.array_join("features", ","), F.lit("]}")
+    )
+    return parted.select("batch_ts", "_bucket", "_chunk", value.alias("value"))
 
 
 def batch_folders(batch_ts: Column) -> dict[str, Column]:
