@@ -21,8 +21,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: five-word shingles, similarity of 0.8 or more."""
-    return jaccard_join.deduplicate(docs, 80, 100, 5)
+    """One document of each group of near copies stays: five-word shingles, similarity of 0.8 or more.
+
+    Rows that share a doc_id or have none are documents of their own.
+    """
+    return jaccard_join.deduplicate(docs, 80, 100, 5, by_text=True)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -147,6 +147,23 @@ def test_deduplicate_keeps_one_of_each_group(make_docs):
     assert sorted(str(r.doc_id) for r in out.collect()) == sorted(map(str, groups))
 
 
+def test_pipeline_judges_texts_that_share_an_id_by_themselves(spark, make_docs):
+    import corpus_pipeline
+
+    rnd = random.Random(13)
+
+    def text():
+        return " ".join(str(rnd.randint(0, 999)) for _ in range(60))
+
+    texts = [text() for _ in range(40)]
+    rows = [(None, t) for t in texts[:20]] + [(5, t) for t in texts[20:]]  # nothing is similar
+    rows += [(100, texts[0] + " end"), (101, texts[1] + " end")]  # near copies of two documents without id
+    rows += [(5, texts[25]), (None, texts[3])]  # repeated rows
+    rows += [(6, texts[0] + " end"), (7, texts[39] + " end")]
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.drop_near_copies(spark, make_docs(rows), "").collect()]
+    assert sorted(got, key=str) == sorted(rows[:40], key=str)
+
+
 def test_empty_tables(empty_docs):
     for f in (suffix_dedup.report, suffix_dedup.cut, substring_dedup.report, jaccard_join.link_components, jaccard_join.deduplicate):
         assert f(empty_docs).count() == 0

@@ -22,8 +22,9 @@ Documents link where ``den * |intersection| >= num * |union|``.
    listed within it.
 
 Defined cases: null text counts as empty; a null doc_id counts as the smallest
-id; rows with equal doc_id are one vertex; repeated rows repeat their result;
-an empty table gives no rows; other columns are ignored.
+id; rows with equal doc_id are one vertex (in ``deduplicate`` with ``by_text``
+only rows with equal doc_id and text, by a 64-bit hash of both); repeated rows
+repeat their result; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -288,8 +289,12 @@ def find_links(members: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def link_components(docs: DataFrame, num: int = NUM, den: int = DEN, n: int = SHINGLE) -> DataFrame:
-    """uid, th, n_shingles, component for every row of (doc_id, text)."""
-    texts = keyed(docs)
+    """uid, th, n_shingles, component for every row of (doc_id, text); rows with equal doc_id are one vertex."""
+    return linked(keyed(docs), num, den, n)
+
+
+def linked(texts: DataFrame, num: int, den: int, n: int) -> DataFrame:
+    """uid, th, n_shingles, component (its least uid) for every row of (uid, th, text); ``uid`` is the vertex."""
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -400,18 +405,30 @@ def link_components(docs: DataFrame, num: int = NUM, den: int = DEN, n: int = SH
     )
 
 
-def deduplicate(docs: DataFrame, num: int = NUM, den: int = DEN, n: int = SHINGLE) -> DataFrame:
-    """One document of each group of linked documents: the one with the least doc_id (a repeated row stays once)."""
-    found = materialize(link_components(docs, num, den, n).groupBy("uid").agg(
-        F.min("th").alias("th"), F.count("*").alias("rows"), F.min("component").alias("component")
-    ), "groups")
-    # rows whose doc_id is certainly alone and kept pass without a shuffle
-    doubtful = maybe_member(found.filter("uid <> component or rows > 1").select("uid"))
+def deduplicate(docs: DataFrame, num: int = NUM, den: int = DEN, n: int = SHINGLE, by_text: bool = False) -> DataFrame:
+    """One document of each group of linked documents: the one with the least doc_id (a repeated row stays once).
+
+    Rows with equal doc_id are one document; with ``by_text`` only rows with equal doc_id and text are, so rows that
+    share a doc_id or have none are judged by their own texts.
+    """
     row = F.struct(*[F.col(c) for c in docs.columns]).alias("row")
-    uid = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("uid")
-    th = F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit(0xFFFFFFFF)).alias("th")
-    keyed_rows = docs.select(row, uid, th)
-    kept = found.filter("uid = component").select("uid", "th")
+    own_id, text = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)), F.coalesce("text", F.lit(""))
+    th = F.xxhash64(text).bitwiseAND(F.lit(0xFFFFFFFF)).alias("th")
+    rows = docs.select(row, text.alias("text"), own_id.alias("id"), own_id.alias("uid"), th)
+    if by_text:  # an id that is certainly alone stands for its text (and takes less room than a hash)
+        several = rows.groupBy("uid").agg(F.count("*").alias("n")).filter("n > 1").select("uid")
+        rows = rows.withColumn("uid", F.when(maybe_member(several), F.xxhash64("id", "text")).otherwise(F.col("uid")))
+    found = linked(rows.select("uid", "text", "th"), num, den, n).groupBy("uid").agg(
+        F.min("th").alias("th"), F.count("*").alias("rows"), F.min("component").alias("component")
+    )
+    ids = rows.filter("id <> uid").groupBy("uid").agg(F.min("id").alias("id"))
+    found = materialize(found.join(ids, "uid", "left").withColumn("id", F.coalesce("id", "uid")), "groups")
+    kept = found.groupBy("component").agg(F.min(F.struct("id", "uid", "th")).alias("k")).select("k.uid", "k.th")
+    kept = materialize(kept, "kept")
+    gone = found.join(kept, ["uid", "th"], "left_anti").select("uid")
+    # rows whose document is certainly alone and kept pass without a shuffle
+    doubtful = maybe_member(gone.unionByName(found.filter("rows > 1").select("uid")))
+    keyed_rows = rows.select("row", "uid", "th")
     own = keyed_rows.filter(doubtful).join(kept, ["uid", "th"], "left_semi")
     one = own.withColumn("n", F.row_number().over(Window.partitionBy("uid", "th").orderBy("uid"))).filter("n = 1")
     return keyed_rows.filter(~doubtful).select("row.*").unionByName(one.select("row.*"))
