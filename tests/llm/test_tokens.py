@@ -137,6 +137,31 @@ def test_many_sources_share_queues(make_docs, enc):
     check_pieces(rows, packing.pack(make_docs(rows), tokenizer_path(), 16, 32, max_queues=2).collect(), enc, 16)
 
 
+def test_many_sources_keep_weights_and_names(spark, enc):
+    """More sources than queues: weighted and large ones have their share of each window, small ones share evenly."""
+    sizes = {"big": 400, "heavy": 40} | {f"small{k:02}": 20 for k in range(30)}
+    rows = [(f"{s}", f"word {k}") for s, n in sizes.items() for k in range(n)]
+    docs = spark.createDataFrame([(i, t, s) for i, (s, t) in enumerate(rows)], "doc_id long, text string, source string").repartition(4)
+    pieces = packing.pack(docs, tokenizer_path(), 64, 256, weights={"heavy": 500}, max_queues=3).collect()
+    check_pieces([(i, t) for i, (_, t) in enumerate(rows)], pieces, enc, 64)
+    assert all(p.source == rows[p.doc_id][0] for p in pieces)
+    total, got = {}, {}
+    for p in pieces:
+        total[p.source] = total.get(p.source, 0) + p.length
+        w = got.setdefault(p.sequence_id // 4, {})
+        w[p.source] = w.get(p.source, 0) + p.length
+    target = total | {"heavy": 500}
+    whole = sum(target.values())
+    assert abs(got[0]["heavy"] - min(total["heavy"], 256 * 500 / whole)) < 2
+    assert abs(got[0]["big"] - 256 * total["big"] / whole) < 2
+    served = dict.fromkeys(total, 0)
+    for w in sorted(got):  # small sources of equal size never drift apart by more than two documents
+        for s, n in got[w].items():
+            served[s] += n
+        small = [n for s, n in served.items() if s.startswith("small")]
+        assert max(small) - min(small) <= 2 * max(p.doc_tokens for p in pieces)
+
+
 def test_empty_tables(spark, empty_docs):
     path = shared_path(spark, "t")
     token_files.write_token_files(empty_docs, path, tokenizer_path())

@@ -17,8 +17,11 @@ of ``seq_len`` tokens, so only the very last sequence can need padding.
 Defined cases: a null text counts as empty (its document holds the end id
 alone); null sources form a queue of their own; repeated rows are packed as
 often as they come; an empty table gives no pieces; other columns are ignored.
-At most ``max_queues`` queues are kept: with more sources, sources share
-queues by hash.
+At most ``max_queues`` queues are kept: with more sources, the weighted and the
+largest ones keep queues of their own and the others share one, which carries
+the sum of their weights. In it documents follow one another by (tokens of
+their source before them) / weight, so each source gets its proportion of the
+shared queue to within a document; what it is owed carries on.
 """
 
 from __future__ import annotations
@@ -127,32 +130,56 @@ class Schedule:
             w += 1
 
 
-def tokenized(docs: DataFrame, tokenizer: str, end_id: int, max_queues: int) -> DataFrame:
-    """Written table of (pid, queue, local, doc_id, n, ids): local counts the queue's tokens before it in its partition."""
-    source = F.coalesce(F.col("source"), F.lit(""))
-    if docs.select(source.alias("s")).distinct().limit(max_queues + 1).count() > max_queues:
-        source = F.pmod(F.xxhash64(source), F.lit(max_queues)).cast("string")
+def tokenized(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
+    """Written table of (pid, source, local, doc_id, n, ids): local counts the source's tokens before it in its partition."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, pid = encoder(tokenizer), TaskContext.get().partitionId()
         served: dict[str, int] = {}
         for b in batches:
-            texts, queues = b.column(1).to_pylist(), b.column(2).to_pylist()
+            texts, sources = b.column(1).to_pylist(), b.column(2).to_pylist()
             for i, j in text_groups(texts):
                 ids, sizes = enc.encode([t or "" for t in texts[i:j]], end_id)
                 local = np.zeros(j - i, np.int64)
-                for k, (q, n) in enumerate(zip(queues[i:j], sizes.tolist())):
+                for k, (q, n) in enumerate(zip(sources[i:j], sizes.tolist())):
                     local[k] = served.get(q, 0)
                     served[q] = int(local[k]) + n
                 at = np.concatenate([[0], np.cumsum(sizes) * ids.itemsize]).astype(np.int32)
                 raw = pa.Array.from_buffers(pa.binary(), j - i, [None, pa.py_buffer(at), pa.py_buffer(ids)])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(j - i, pid)), b.column(2).slice(i, j - i), pa.array(local), b.column(0).slice(i, j - i), pa.array(sizes), raw],
-                    names=["pid", "queue", "local", "doc_id", "n", "ids"],
+                    names=["pid", "source", "local", "doc_id", "n", "ids"],
                 )
 
-    rows = docs.select("doc_id", "text", source.alias("queue"))
-    return materialize(rows.mapInArrow(run, "pid long, queue string, local long, doc_id long, n long, ids binary"), "tokens")
+    rows = docs.select("doc_id", "text", F.coalesce(F.col("source"), F.lit("")).alias("source"))
+    return materialize(rows.mapInArrow(run, "pid long, source string, local long, doc_id long, n long, ids binary"), "tokens")
+
+
+def interleaved(rows: DataFrame) -> DataFrame:
+    """Rows (doc_id, source, first, n, ids, weight) of the shared queue with ``first`` as place in that queue."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pid, served = TaskContext.get().partitionId(), 0
+        for b in batches:
+            ends = served + np.cumsum(b.column(3).to_numpy())
+            served = int(ends[-1]) if len(ends) else served
+            local = pa.array(ends - b.column(3).to_numpy())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(b.num_rows, pid)), b.column(0), b.column(1), local, b.column(3), b.column(4)],
+                names=["pid", "doc_id", "source", "local", "n", "ids"],
+            )
+
+    due = (F.col("first") / F.col("weight")).alias("due")
+    dealt = rows.select("doc_id", "source", "first", "n", "ids", due)
+    dealt = dealt.repartitionByRange("due", "source", "first").sortWithinPartitions("due", "source", "first").drop("due")
+    table_ = materialize(dealt.mapInArrow(run, "pid long, doc_id long, source string, local long, n long, ids binary"), "shared-queue")
+    running = Window.orderBy("pid").rowsBetween(Window.unboundedPreceding, 0)  # one row per partition
+    base = table_.groupBy("pid").agg(F.sum("n").alias("n")).select("pid", (F.sum("n").over(running) - F.col("n")).alias("base"))
+    return table_.join(F.broadcast(base), "pid").select("doc_id", "source", (F.col("local") + F.col("base")).alias("first"), "n", "ids")
+
+
+def spark_weights(spark: SparkSession, weights: Mapping[str, int] | None) -> DataFrame:
+    return spark.createDataFrame([(s, int(w)) for s, w in (weights or {}).items()], "source string, weight long")
 
 
 def pack(
@@ -170,31 +197,43 @@ def pack(
     """
     if window_tokens % seq_len:
         raise ValueError("window_tokens must be a multiple of seq_len")
-    tokens = tokenized(docs, tokenizer, end_id, max_queues)
+    tokens = tokenized(docs, tokenizer, end_id)
     width = encoder(tokenizer).dtype.itemsize
-    per_part = materialize(tokens.groupBy("queue", "pid").agg(F.sum("n").alias("n")), "queue-parts")
-    # at most max_queues rows reach the driver
-    totals = {r["queue"]: int(r["n"]) for r in per_part.groupBy("queue").agg(F.sum("n").alias("n")).collect()}
-    names = sorted(totals)
-    schedule = Schedule([totals[q] for q in names], [int((weights or {}).get(q, totals[q])) for q in names], window_tokens)
-    number = {q: k for k, q in enumerate(names)}
-    running = Window.partitionBy("queue").orderBy("pid").rowsBetween(Window.unboundedPreceding, 0)
-    base = per_part.select("queue", "pid", (F.sum("n").over(running) - F.col("n")).alias("base"))
+    per_part = materialize(tokens.groupBy("source", "pid").agg(F.sum("n").alias("n")), "source-parts")
+    totals = per_part.groupBy("source").agg(F.sum("n").alias("n"))
+    given = spark_weights(docs.sparkSession, weights)
+    totals = totals.join(F.broadcast(given), "source", "left")
+    totals = totals.select("source", "n", F.coalesce("weight", "n").alias("weight"), F.col("weight").isNotNull().alias("given"))
+    # at most max_queues + 1 rows reach the driver
+    ranked = totals.orderBy(F.desc("given"), F.desc("n"), "source").limit(max_queues + 1).collect()
+    shared = len(ranked) > max_queues
+    own = sorted((r["source"], r["n"], r["weight"]) for r in (ranked[: max_queues - 1] if shared else ranked))
+    number = {name: k for k, (name, _, _) in enumerate(own)}
+    queues = [(n, w) for _, n, w in own]
+    running = Window.partitionBy("source").orderBy("pid").rowsBetween(Window.unboundedPreceding, 0)
+    base = per_part.select("source", "pid", (F.sum("n").over(running) - F.col("n")).alias("base"))
     if per_part.count() <= BROADCAST_ROWS:
         base = F.broadcast(base)
-    placed = tokens.join(base, ["queue", "pid"]).select(
-        "doc_id", "queue", (F.col("local") + F.col("base")).alias("first"), "n", "ids"
+    placed = tokens.join(base, ["source", "pid"]).select(
+        "doc_id", "source", (F.col("local") + F.col("base")).alias("first"), "n", "ids"
     )
+    if shared:
+        names = docs.sparkSession.createDataFrame([(name,) for name in number], "source string")
+        tail = totals.join(F.broadcast(names), "source", "left_anti")
+        queues.append(tuple(map(int, tail.agg(F.sum("n"), F.sum("weight")).first())))
+        rest = interleaved(placed.join(tail.select("source", "weight"), "source"))
+        placed = placed.join(F.broadcast(names), "source", "left_semi").select(*rest.columns).unionByName(rest)
+    schedule = Schedule([int(n) for n, _ in queues], [int(w) for _, w in queues], window_tokens)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at: dict[int, tuple[int, int]] = {}
         dtype = np.dtype(f"<u{width}")
         for b in batches:
             out: list[list] = [[] for _ in range(8)]
-            doc_ids, queues, firsts, sizes = (b.column(k).to_pylist() for k in range(4))
+            doc_ids, sources, firsts, sizes = (b.column(k).to_pylist() for k in range(4))
             raws = b.column(4)
-            for k, (doc, name, first, n) in enumerate(zip(doc_ids, queues, firsts, sizes)):
-                q = number[name]
+            for k, (doc, name, first, n) in enumerate(zip(doc_ids, sources, firsts, sizes)):
+                q = number.get(name, len(number))  # the shared queue is the last one
                 token, w = at.get(q, (-1, 0))
                 if token != first:
                     w = schedule.window_of(q, first)
