@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from testdata_dirs import SF_SMALL
 from tremor import registry, schemas
 from tremor.plans import staging
 from tremor.sinks import geojson

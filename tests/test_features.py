@@ -92,7 +92,7 @@ def test_date_key_is_utc_day_under_any_session_zone(spark):
 
 
 def test_queries_do_not_depend_on_session_zone(spark):
-    from conftest import SF_SMALL
+    from testdata_dirs import SF_SMALL
     import __spark_entry__ as entry
 
     names = ["silver_events", "fact_events", "dim_date", "calendar_parts", "incremental_window"]

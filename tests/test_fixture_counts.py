@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from testdata_dirs import SF_SMALL
 from tremor import registry
 from tremor.functions import casts
 from tremor.operators import quality

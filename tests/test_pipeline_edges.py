@@ -127,7 +127,7 @@ def test_backfill_marker_switches_extract_mode(spark, scratch):
 
 
 def test_silver_of_renested_silver_is_silver(spark):
-    from conftest import SF_SMALL
+    from testdata_dirs import SF_SMALL
     from tremor import registry
     from tremor.functions import casts
 

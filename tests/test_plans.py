@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF_SMALL
+from testdata_dirs import SF_SMALL
 
 NAMES = sorted(entry.queries())
 

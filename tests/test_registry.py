@@ -9,7 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF_SMALL
+from testdata_dirs import SF_SMALL
 from tremor import registry
 
 NAMES = sorted(registry.REGISTRY)

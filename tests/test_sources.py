@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from testdata_dirs import SF_SMALL
 from tremor import registry
 from tremor.plans import runs
 from tremor.sources import bronze
