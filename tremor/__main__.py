@@ -7,7 +7,8 @@ used as given.
   bronze-to-silver  --bronze PATH --silver PATH [--merge]
   silver-to-gold    --silver PATH --gold PATH [--database NAME]
   run               --bronze PATH --root PATH [--database NAME] [--mode backfill|incremental]
-                    (without --mode it follows from the run log and Silver)
+                    (without --mode it follows from the run log and Silver; an incremental run reads the
+                    folders that no run has read and the last 48 hours)
   stream            --bronze PATH --history PATH --checkpoint PATH [--stateful]
   retention         --silver PATH --as-of YYYY-MM-DD [--days N] [--bronze PATH] [--delete]
                     (lists expired partitions; removes them with --delete)
@@ -82,7 +83,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     elif args.job == "silver-to-gold":
         result = jobs.run_gold(spark, args.silver, args.gold, args.database)
     elif args.job == "run":
-        result = jobs.run_all(spark, _flat(spark, args.bronze), args.root, args.database, mode=args.mode)
+        result = jobs.run_landed(spark, args.bronze, args.root, args.database, mode=args.mode)
         if args.check_documents:
             result["documents"] = _document_report(spark, args.bronze)
     elif args.job == "stream":

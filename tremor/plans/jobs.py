@@ -24,6 +24,7 @@ from .. import fixed
 from ..operators import quality
 from ..session import ensure_checkpoint_dir, path_exists
 from ..sinks import tables as sinks
+from ..sources import bronze, ledger
 from . import gold as gold_plan
 from . import silver as silver_plan
 
@@ -119,6 +120,30 @@ def run_all(spark: SparkSession, flat: DataFrame, root: str, database: str = DEF
     return record
 
 
+def run_landed(spark: SparkSession, bronze_path: str, root: str, database: str = DEFAULT_DATABASE,
+               mode: str | None = None, lookback_hours: int = fixed.INCREMENTAL_HOURS) -> dict:
+    """``run_all`` over landed Bronze, reading no more of it than the mode asks for.
+
+    A backfill reads every folder. An incremental run reads the folders that the ledger under ``root`` does not hold
+    and the last 48 hours; all others are neither listed nor opened. What was read is noted after the tables are
+    written, so the folders of a failed run are read again.
+    """
+    mode = mode or run_mode(spark, root)
+    ledger_path = f"{root}/bronze_ledger"
+    if mode == "incremental":
+        window = ledger.pending(spark, bronze_path, ledger_path, lookback_hours)
+        flat, new = ledger.read_window(spark, window, for_silver=True), window.unread
+        read = window.folders()
+    else:
+        known = ledger.seen(spark, ledger_path)
+        read = ledger.landed(spark, bronze_path)
+        new = [f for f in read if f.key not in known]
+        flat = bronze.flatten(bronze.with_batch_ts(bronze.read_documents(spark, bronze_path, for_silver=True)))
+    result = run_all(spark, flat, root, database, mode=mode)
+    ledger.record(spark, ledger_path, new, result["run_id"])
+    return result | {"folders_read": len(read), "folders_new": len(new)}
+
+
 def merge_silver(spark: SparkSession, batch_flat: DataFrame, silver_path: str) -> dict:
     """Upsert one batch of flattened Bronze into a partitioned Silver table.
 

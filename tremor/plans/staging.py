@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from .. import fixed, fixtures
 from ..functions import casts
 from ..session import dataset_tag, path_exists, scratch_dir, table, touch
-from ..sinks import geojson
+from ..sinks import geojson, packs
 from ..sinks import tables as sinks
 from ..sources import bronze
 from ..streaming import incremental
@@ -61,6 +61,17 @@ def fetch_hour(flat: DataFrame) -> F.Column:
 def landed_bronze(spark: SparkSession, sf_dir: str) -> str:
     """The catalogue landed as hourly GeoJSON documents; returns the folder."""
     path = _root(spark, sf_dir, "bronze")
+    if not _done(spark, path):
+        flat = flat_quakes(spark, sf_dir)
+        packs.land_packed(flat, fetch_hour(flat), path)
+        touch(spark, f"{path}/{DONE}")
+    return path
+
+
+@_serialized
+def landed_by_hour(spark: SparkSession, sf_dir: str) -> str:
+    """The catalogue landed with one folder per hour; returns the folder."""
+    path = _root(spark, sf_dir, "bronze_hours")
     if not _done(spark, path):
         flat = flat_quakes(spark, sf_dir)
         geojson.land(geojson.nest(flat, fetch_hour(flat)), path)
@@ -68,6 +79,41 @@ def landed_bronze(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+LATE_MODULUS, LATE_REMAINDER = 11, 5
+
+
+def lands_late(flat: DataFrame) -> F.Column:
+    """Rows of the hours that the second of two landings brings: every eleventh hour, all over the catalogue."""
+    return F.floor(F.col("time") / F.lit(3_600_000)) % LATE_MODULUS == LATE_REMAINDER
+
+
+@_serialized
+def landed_twice(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """Two landings of packed hours: the first read by a backfill run, the second (late hours) not read yet."""
+    root = _root(spark, sf_dir, "landed_twice")
+    out = {"landing": f"{root}/landing", "lake": f"{root}/lake", "ledger": f"{root}/lake/bronze_ledger"}
+    if not _done(spark, root):
+        flat = flat_quakes(spark, sf_dir)
+        packs.land_packed(flat.filter(~lands_late(flat)), fetch_hour(flat), out["landing"], target_bytes=1 << 20)
+        jobs.run_landed(spark, out["landing"], out["lake"], database=f"gold_twice_{dataset_tag(sf_dir)}")
+        packs.land_packed(flat.filter(lands_late(flat)), fetch_hour(flat), out["landing"], target_bytes=1 << 20)
+        touch(spark, f"{root}/{DONE}")
+    return out
+
+
+@_serialized
+def caught_up(spark: SparkSession, sf_dir: str) -> str:
+    """A lake of its own: a backfill run over the first landing, an incremental run over what the second brought."""
+    root = _root(spark, sf_dir, "caught_up")
+    if not _done(spark, root):
+        flat = flat_quakes(spark, sf_dir)
+        for part in (~lands_late(flat), lands_late(flat)):
+            packs.land_packed(flat.filter(part), fetch_hour(flat), f"{root}/landing", target_bytes=1 << 20)
+            jobs.run_landed(spark, f"{root}/landing", f"{root}/lake", database=f"gold_caught_{dataset_tag(sf_dir)}")
+        touch(spark, f"{root}/{DONE}")
+    return f"{root}/lake"
+
+
 @_serialized
 def written_silver(spark: SparkSession, sf_dir: str) -> str:
     """Silver written (partitioned) from the flat catalogue; returns the table folder."""

@@ -22,7 +22,7 @@ from .plans import jobs, runs, staging
 from .plans import silver as silver_plan
 from .session import dataset_tag, scratch_dir, table
 from .sinks import tables as sink_tables
-from .sources import bronze
+from .sources import bronze, ledger
 from .streaming import incremental
 
 
@@ -534,9 +534,46 @@ def q_landing_two_hours(spark, sf):
 )
 def q_batch_ts_from_path(spark, sf):
     """SRC6: landing hour recovered from each file's path."""
+    docs = bronze.with_batch_ts(bronze.read_documents(spark, staging.landed_by_hour(spark, sf)))
+    return bronze.flatten(docs).groupBy("batch_ts").agg(F.count(F.lit(1)).alias("features"))
+
+
+@register(
+    "batch_ts_packed",
+    oracle.sql(
+        "select date_trunc('hour', epoch_ms(time)) as batch_ts, cast(count(*) as bigint) as features "
+        "from bronze group by 1",
+        "bronze",
+    ),
+)
+def q_batch_ts_packed(spark, sf):
+    """SRC6/SNK4: landing hour of documents in files that hold many hours."""
     return _landed_flat(spark, sf).groupBy("batch_ts").agg(F.count(F.lit(1)).alias("features"))
 
 
+@register(
+    "incremental_bronze",
+    oracle.sql(
+        f"select {BRONZE_OUT}, date_trunc('hour', epoch_ms(time)) as batch_ts from bronze "
+        f"where time // 3600000 % {staging.LATE_MODULUS} = {staging.LATE_REMAINDER} "
+        "or date_trunc('hour', epoch_ms(time)) > (select max(date_trunc('hour', epoch_ms(time))) from bronze) "
+        f"- to_hours({fixed.INCREMENTAL_HOURS})",
+        "bronze",
+    ),
+)
+def q_incremental_bronze(spark, sf):
+    """SRC8/SRC6: what an incremental run reads: hours that no run has read, and the last 48 hours."""
+    lake = staging.landed_twice(spark, sf)
+    return ledger.read_window(spark, ledger.pending(spark, lake["landing"], lake["ledger"]))
+
+
+@register("incremental_run", oracle.sql(f"select {oracle.SILVER_OUT} from silver", "silver"))
+def q_incremental_run(spark, sf):
+    """SRC8/RUN1/SNK1: Silver after a backfill run and an incremental run that read only unseen hours."""
+    s = sink_tables.read_silver(spark, f"{staging.caught_up(spark, sf)}/silver/earthquakes_cleaned")
+    return s.select(*[c for c in schemas.SILVER_COLUMNS if c not in schemas.CLOCK_COLUMNS])
+
+
 PAGE_SIZE = 20
 
 

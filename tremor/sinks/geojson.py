@@ -37,6 +37,18 @@ def feature_struct() -> Column:
     return F.struct(F.lit("Feature").alias("type"), F.col("id").alias("id"), props.alias("properties"), geometry.alias("geometry"))
 
 
+def document(generated: Column | str, features: Column | str) -> Column:
+    """A document's JSON text from its hour (epoch ms) and an array of feature texts."""
+    metadata = F.struct(
+        (F.col(generated) if isinstance(generated, str) else generated).alias("generated"),
+        F.lit(200).cast("bigint").alias("status"),
+        F.size(features).cast("bigint").alias("count"),
+    )
+    return F.concat(
+        F.lit('{"type":"FeatureCollection","metadata":'), F.to_json(metadata), F.lit(',"features":['), F.array_join(features, ","), F.lit("]}")
+    )
+
+
 def nest(flat: DataFrame, batch_ts: Column, max_features: int = MAX_FEATURES_PER_DOCUMENT) -> DataFrame:
     """One row per document: ``batch_ts``, its bucket and part, and the document's JSON text.
 
@@ -67,14 +79,7 @@ def nest(flat: DataFrame, batch_ts: Column, max_features: int = MAX_FEATURES_PER
     parted = grouped.select("batch_ts", "_bucket", "_all", F.explode(parts).alias("_chunk")).select(
         "batch_ts", "_bucket", "_chunk", F.slice("_all", F.col("_chunk") * max_features + 1, max_features).alias("features")
     )
-    metadata = F.struct(
-        casts.ts_to_epoch_ms("batch_ts").alias("generated"),
-        F.lit(200).cast("bigint").alias("status"),
-        F.size("features").cast("bigint").alias("count"),
-    )
-    value = F.concat(
-        F.lit('{"type":"FeatureCollection","metadata":'), F.to_json(metadata), F.lit(',"features":['), F.array_join("features", ","), F.lit("]}")
-    )
+    value = document(casts.ts_to_epoch_ms("batch_ts"), "features")
     return parted.select("batch_ts", "_bucket", "_chunk", value.alias("value"))
 
 

@@ -90,17 +90,30 @@ def path_has_table(spark: SparkSession, path: str) -> bool:
     return bool(partition_folders(spark, path, ["year", "month"]))
 
 
-def partition_folders(spark: SparkSession, path: str, keys: list[str]) -> list[tuple[str, dict[str, int]]]:
-    """(folder, partition values) of a partitioned path, from one listing by pattern."""
+def glob_folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a pattern, from one listing and one call to the JVM."""
     jvm = spark.sparkContext._jvm
-    pattern = jvm.org.apache.hadoop.fs.Path("/".join([path.rstrip("/"), *(f"{k}=*" for k in keys)]))
-    found = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern) or []
-    out = []
-    for status in found:
-        folder = status.getPath().toString()
-        values = dict(part.split("=", 1) for part in folder.split("/")[-len(keys) :])
-        out.append((folder, {k: int(v) for k, v in values.items() if v.isdigit()}))
-    return [(f, v) for f, v in out if len(v) == len(keys)]
+    hpath = jvm.org.apache.hadoop.fs.Path(pattern)
+    found = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(hpath)
+    if not found:
+        return []
+    text = jvm.org.apache.commons.lang3.ArrayUtils.toString(jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(found))[1:-1]
+    parts = pattern.split("/")
+    depth = len(parts) - next(k for k, part in enumerate(parts) if set(part) & set("*[?{"))
+    root = found[0].getPath().toString().rsplit("/", depth)[0]
+    return [root + rest for rest in f",{text}".split(f",{root}")[1:]]
+
+
+def list_folders(spark: SparkSession, path: str, keys: list[str]) -> list[tuple[str, dict[str, str]]]:
+    """(folder, partition values as texts) below ``path``."""
+    folders = glob_folders(spark, "/".join([path.rstrip("/"), *(f"{k}=*" for k in keys)]))
+    return [(f, dict(part.split("=", 1) for part in f.split("/")[-len(keys) :])) for f in folders]
+
+
+def partition_folders(spark: SparkSession, path: str, keys: list[str]) -> list[tuple[str, dict[str, int]]]:
+    """(folder, partition values) of a partitioned path whose values are all numbers."""
+    listed = list_folders(spark, path, keys)
+    return [(f, {k: int(x) for k, x in v.items()}) for f, v in listed if all(x.isdigit() for x in v.values())]
 
 
 def delete_folder(spark: SparkSession, folder: str) -> None:

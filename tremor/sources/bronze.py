@@ -11,11 +11,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import fixed, schemas
+from ..functions import casts
 
 # Fixed value: hourly landing folders, with or without ``key=`` prefixes
 # (``.../2024/01/05/13/file`` or ``.../yyyy=2024/MM=01/dd=05/HH=13/file``).
 BATCH_PATH_PATTERN = r"(?:yyyy=)?(\d{4})/(?:MM=)?(\d{2})/(?:dd=)?(\d{2})/(?:HH=)?(\d{2})/[^/]+$"
 
+# Folder of a packed file (``sinks.packs``): its documents hold several hours, each its own as metadata.generated.
+PACK_PATH_PATTERN = r"/from=\d{10}/to=\d{10}/id=[^/]+/[^/]+$"
+
 BACKFILL_DAYS = fixed.BACKFILL_DAYS
 INCREMENTAL_HOURS = fixed.INCREMENTAL_HOURS
 MIN_MAGNITUDE = fixed.MIN_MAGNITUDE
@@ -29,9 +33,9 @@ def _reader(spark: SparkSession, streaming: bool, schema, max_files_per_trigger:
     return r
 
 
-def read_documents(spark: SparkSession, path: str, streaming: bool = False, for_silver: bool = False,
+def read_documents(spark: SparkSession, path: str | list[str], streaming: bool = False, for_silver: bool = False,
                    max_files_per_trigger: int | None = None) -> DataFrame:
-    """Landed documents (batch scan, or an incremental file stream).
+    """Landed documents (batch scan of a folder or of listed folders, or an incremental file stream).
 
     ``for_silver`` declares only the properties Silver uses: nested fields
     are not pruned through ``explode``, so the declared schema is what keeps
@@ -53,7 +57,10 @@ def batch_ts_from_path(path: Column) -> Column:
 
 
 def with_batch_ts(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("batch_ts", batch_ts_from_path(F.col("_metadata.file_path")))
+    """Adds the landing hour: the path's, or the document's own in a packed file."""
+    path = F.col("_metadata.file_path")
+    own = F.date_trunc("HOUR", casts.epoch_ms_to_ts("metadata.generated"))
+    return docs.withColumn("batch_ts", F.when(path.rlike(PACK_PATH_PATTERN), own).otherwise(batch_ts_from_path(path)))
 
 
 def flatten(docs: DataFrame) -> DataFrame:
