@@ -5,8 +5,9 @@ submit-time configuration (master, shuffle partitions, checkpoint dir) is
 used as given.
 
   bronze-to-silver  --bronze PATH --silver PATH [--merge]
-  silver-to-gold    --silver PATH --gold PATH [--database NAME]
+  silver-to-gold    --silver PATH --gold PATH [--database NAME] [--dense-keys]
   run               --bronze PATH --root PATH [--database NAME] [--mode backfill|incremental]
+                    [--dense-keys]
                     (without --mode it follows from the run log and Silver; an incremental run reads the
                     folders that no run has read and the last 48 hours)
   stream            --bronze PATH --history PATH --checkpoint PATH [--stateful]
@@ -52,11 +53,13 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     b.add_argument("--silver", required=True)
     b.add_argument("--gold", required=True)
     b.add_argument("--database", default=fixed.GOLD_DATABASE)
+    b.add_argument("--dense-keys", action="store_true", help="BIGINT keys from the key tables beside Gold")
     c = sub.add_parser("run")
     c.add_argument("--bronze", required=True)
     c.add_argument("--root", required=True)
     c.add_argument("--database", default=fixed.GOLD_DATABASE)
     c.add_argument("--check-documents", action="store_true", help="one more pass over Bronze: report unreadable documents")
+    c.add_argument("--dense-keys", action="store_true", help="BIGINT keys from the key tables beside Gold")
     c.add_argument("--mode", default=None, choices=["backfill", "incremental"])
     d = sub.add_parser("stream")
     d.add_argument("--bronze", required=True)
@@ -81,9 +84,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         else:
             result = jobs.run_silver(flat, args.silver)
     elif args.job == "silver-to-gold":
-        result = jobs.run_gold(spark, args.silver, args.gold, args.database)
+        result = jobs.run_gold(spark, args.silver, args.gold, args.database, dense_keys=args.dense_keys)
     elif args.job == "run":
-        result = jobs.run_landed(spark, args.bronze, args.root, args.database, mode=args.mode)
+        result = jobs.run_landed(spark, args.bronze, args.root, args.database, mode=args.mode, dense_keys=args.dense_keys)
         if args.check_documents:
             result["documents"] = _document_report(spark, args.bronze)
     elif args.job == "stream":

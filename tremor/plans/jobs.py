@@ -21,14 +21,17 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import fixed
-from ..operators import quality
-from ..session import ensure_checkpoint_dir, path_exists
+from ..operators import dense_keys as dense
+from ..operators import integrity, month_index, quality
+from ..session import ensure_checkpoint_dir, path_exists, touch
 from ..sinks import tables as sinks
 from ..sources import bronze, ledger
 from . import gold as gold_plan
 from . import silver as silver_plan
 
 DEFAULT_DATABASE = fixed.GOLD_DATABASE
+#: folder of the key tables below the Gold folder
+KEY_TABLES = "_keys"
 
 
 def run_silver(flat: DataFrame, silver_path: str, dynamic: bool = False) -> dict:
@@ -39,6 +42,7 @@ def run_silver(flat: DataFrame, silver_path: str, dynamic: bool = False) -> dict
     obs_latest = Observation("silver_latest")
     typed = silver_plan.select_typed(flat).observe(obs_in, *quality.reject_count_columns())
     latest = silver_plan.latest(quality.valid(typed)).observe(obs_latest, F.count(F.lit(1)).alias("rows"))
+    month_index.drop(flat.sparkSession, silver_path)  # it knows other rows; the next merge builds it
     sinks.write_silver(silver_plan.enrich(latest), silver_path, dynamic=dynamic)
     m_in, m_latest = obs_in.get, obs_latest.get
     return {
@@ -50,9 +54,17 @@ def run_silver(flat: DataFrame, silver_path: str, dynamic: bool = False) -> dict
     }
 
 
+class StarViolation(RuntimeError):
+    """The published star breaks a rule of ``operators.integrity``."""
+
+
 def run_gold(spark: SparkSession, silver_path: str, gold_root: str, database: str = DEFAULT_DATABASE,
-             drop_duplicate_events: bool = True) -> dict:
-    """Write the four dimensions, then the fact, as external tables.
+             drop_duplicate_events: bool = True, dense_keys: bool = False, check: bool = True) -> dict:
+    """Write the four dimensions, then the fact, as external tables; then check the published star.
+
+    ``dense_keys``: BIGINT keys from the append-only key tables below ``gold_root`` (``operators.dense_keys``) in place
+    of the digests. A violated check raises ``StarViolation`` with the counts, so a run log never says "succeeded" over
+    a star with orphans or duplicates.
 
     The fact's ``dropDuplicates(EventID)`` net stays on: a crash between a
     merge's write and the removal of an emptied month can leave an event in
@@ -63,12 +75,18 @@ def run_gold(spark: SparkSession, silver_path: str, gold_root: str, database: st
         return {"status": "skipped", "fact_rows": 0, "dim_date_rows": 0, "dim_location_rows": 0}
     sinks.ensure_database(spark, database, f"{gold_root}/{database}.db")
     tables = gold_plan.gold(silver, drop_duplicate_events=drop_duplicate_events)
+    if dense_keys:
+        key_root = f"{gold_root}/{KEY_TABLES}"
+        dense.assign_star(spark, tables, key_root)
+        tables = dense.dense_star(spark, tables, key_root)
     observed = {}
     for name in gold_plan.TABLE_ORDER:  # dimensions first, fact last; each count rides on its write
         observed[name] = Observation(f"gold_{name}")
         df = tables[name].observe(observed[name], F.count(F.lit(1)).alias("rows"))
         sinks.write_gold_table(df, database, name, f"{gold_root}/{name}")
     rows = {name: obs.get["rows"] for name, obs in observed.items()}
+    if check:
+        check_star(spark, gold_root)
     return {
         "status": "succeeded",
         "fact_rows": rows["fact_earthquake_events"],
@@ -78,6 +96,15 @@ def run_gold(spark: SparkSession, silver_path: str, gold_root: str, database: st
     }
 
 
+def check_star(spark: SparkSession, gold_root: str) -> None:
+    """Raise ``StarViolation`` unless the written star passes every check (one pass over its key columns)."""
+    star = {name: spark.read.parquet(f"{gold_root}/{name}") for name in gold_plan.TABLE_ORDER}
+    report = integrity.star_integrity(star[gold_plan.TABLE_ORDER[-1]], star)
+    broken = {r["check"]: r["violations"] for r in report.filter("violations > 0").collect()}
+    if broken:
+        raise StarViolation(f"star at {gold_root}: {broken}")
+
+
 def run_mode(spark: SparkSession, root: str) -> str:
     """Incremental once Silver has partitions and the run log holds a backfill that loaded rows, else backfill."""
     log = f"{root}/run_log"
@@ -88,7 +115,7 @@ def run_mode(spark: SparkSession, root: str) -> str:
 
 
 def run_all(spark: SparkSession, flat: DataFrame, root: str, database: str = DEFAULT_DATABASE,
-            mode: str | None = None, run_id: str | None = None) -> dict:
+            mode: str | None = None, run_id: str | None = None, dense_keys: bool = False) -> dict:
     """Silver then Gold under ``root``; one run-log row per run (skipped and failed runs included).
 
     The mode follows from the lake's state unless given: a backfill rebuilds Silver, an incremental run merges its
@@ -105,7 +132,7 @@ def run_all(spark: SparkSession, flat: DataFrame, root: str, database: str = DEF
             s = merge_silver(spark, flat, silver_path)
         else:
             s = run_silver(flat, silver_path)
-        g = run_gold(spark, silver_path, f"{root}/gold", database) if s["status"] == "succeeded" else {}
+        g = run_gold(spark, silver_path, f"{root}/gold", database, dense_keys=dense_keys) if s["status"] == "succeeded" else {}
         record |= {k: v for k, v in {**s, **g}.items() if k in record}
         record["status"] = g.get("status", s["status"])
     except Exception:
@@ -121,7 +148,7 @@ def run_all(spark: SparkSession, flat: DataFrame, root: str, database: str = DEF
 
 
 def run_landed(spark: SparkSession, bronze_path: str, root: str, database: str = DEFAULT_DATABASE,
-               mode: str | None = None, lookback_hours: int = fixed.INCREMENTAL_HOURS) -> dict:
+               mode: str | None = None, lookback_hours: int = fixed.INCREMENTAL_HOURS, dense_keys: bool = False) -> dict:
     """``run_all`` over landed Bronze, reading no more of it than the mode asks for.
 
     A backfill reads every folder. An incremental run reads the folders that the ledger under ``root`` does not hold
@@ -139,28 +166,56 @@ def run_landed(spark: SparkSession, bronze_path: str, root: str, database: str =
         read = ledger.landed(spark, bronze_path)
         new = [f for f in read if f.key not in known]
         flat = bronze.flatten(bronze.with_batch_ts(bronze.read_documents(spark, bronze_path, for_silver=True)))
-    result = run_all(spark, flat, root, database, mode=mode)
+    result = run_all(spark, flat, root, database, mode=mode, dense_keys=dense_keys)
     ledger.record(spark, ledger_path, new, result["run_id"])
     return result | {"folders_read": len(read), "folders_new": len(new)}
 
 
-def merge_silver(spark: SparkSession, batch_flat: DataFrame, silver_path: str) -> dict:
+PENDING = "_pending"
+
+
+def _apply_pending(spark: SparkSession, silver_path: str, folder: str) -> None:
+    """Write the months of a prepared merge and drop those it emptied; may be repeated any number of times."""
+    rows = spark.read.schema(sinks.SILVER_SCHEMA).parquet(f"{folder}/rows")
+    sinks.write_silver(rows, silver_path, dynamic=True)
+    for _, v in sinks.partition_folders(spark, f"{folder}/emptied", sinks.SILVER_PARTITIONS):
+        sinks.drop_partition(spark, silver_path, v["year"], v["month"])
+    sinks.delete_folder(spark, folder)
+
+
+def recover_merges(spark: SparkSession, silver_path: str) -> int:
+    """Finish merges that were prepared but not (wholly) written; half-prepared ones are removed. Returns how many."""
+    done = 0
+    for folder in sinks.glob_folders(spark, f"{silver_path}/{PENDING}/*"):
+        if path_exists(spark, f"{folder}/ready"):
+            _apply_pending(spark, silver_path, folder)
+            done += 1
+        else:
+            sinks.delete_folder(spark, folder)
+    return done
+
+
+def merge_silver(spark: SparkSession, batch_flat: DataFrame, silver_path: str, use_index: bool = True) -> dict:
     """Upsert one batch of flattened Bronze into a partitioned Silver table.
 
     The batch is typed, validated and reduced to its latest revisions once (checkpointed in the shared checkpoint
     dir). Only the affected months are rewritten: the months of those rows plus the months where their events live
-    now (a revision can move an event to another month), found by one scan of Silver's event_id column. Those
-    partitions are unioned with the batch, reduced to the latest revision per event and written back with dynamic
-    partition overwrite; all other partitions stay untouched. Silver keeps each row's ``batch_ts``, so the result
-    does not depend on the order in which batches arrive. The merged rows are checkpointed before the write, because
-    the write replaces files the plan reads. A month left with no rows is removed explicitly, since a dynamic
-    overwrite only replaces partitions that receive rows.
+    now (a revision can move an event to another month). The key-to-month index (``operators.month_index``) names the
+    months in which these events may live, and only their event_id columns are read; without ``use_index`` all of
+    them are. The affected partitions are unioned with the batch, reduced to the latest revision per event and
+    written back with dynamic partition overwrite; all other partitions stay untouched. Silver keeps each row's
+    ``batch_ts``, so the result does not depend on the order in which batches arrive.
+
+    The merged rows and the list of months that become empty are first prepared in a folder beside the table and
+    marked ready; then the months are written, emptied ones dropped and the folder removed. A run that is lost in
+    between leaves the folder, and the next merge finishes it before its own, whatever its batch holds.
     """
     from .. import schemas
 
     if batch_flat.isEmpty():
         return {"status": "skipped", "months": 0, "flattened_rows": 0, "valid_rows": 0, "latest_rows": 0}
     ensure_checkpoint_dir(spark)
+    recover_merges(spark, silver_path)
     cols = [*schemas.SILVER_SELECTED_COLUMNS, silver_plan.BATCH_TS]
     typed = silver_plan.select_typed(batch_flat)
     if silver_plan.BATCH_TS not in typed.columns:
@@ -171,21 +226,43 @@ def merge_silver(spark: SparkSession, batch_flat: DataFrame, silver_path: str) -
     counts = {"flattened_rows": obs.get["input_rows"], "valid_rows": obs.get["valid_rows"]}
     current = sinks.read_silver(spark, silver_path)
     month_of = [F.year("event_timestamp_utc").alias("year"), F.month("event_timestamp_utc").alias("month")]
-    old_months = current.join(incoming.select("event_id"), "event_id", "left_semi").select("year", "month")
-    # at most one row per calendar month of the table and the batch
-    touched = {(r.year, r.month) for r in old_months.unionByName(incoming.select(*month_of)).distinct().collect()}
-    if not touched:
-        return {"status": "empty", "months": 0, "latest_rows": 0, **counts}
+    # at most one entry per calendar month of the table and the batch
+    own = {(r.year, r.month) for r in incoming.select(*month_of).distinct().collect()}
+    if not own:
+        return {"status": "empty", "months": 0, "latest_rows": 0, "months_searched": 0, **counts}
     month_number = F.col("year") * 12 + F.col("month")
+    there = {(v["year"], v["month"]) for _, v in sinks.partition_folders(spark, silver_path, sinks.SILVER_PARTITIONS)}
+    if use_index:
+        shards = month_index.shard_count(spark, silver_path) or month_index.build(spark, silver_path)
+        searched = month_index.candidate_months(spark, silver_path, incoming.select("event_id"), shards) - own
+    else:
+        searched = there - own  # the batch's own months are rewritten anyway
+    touched = own
+    if searched:
+        old = current.filter(month_number.isin(*[y * 12 + m for y, m in searched]))
+        old = old.join(incoming.select("event_id"), "event_id", "left_semi").select("year", "month")
+        touched = own | {(r.year, r.month) for r in old.distinct().collect()}
     affected = current.filter(month_number.isin(*[y * 12 + m for y, m in touched]))
     obs_latest = Observation("merge_latest")
     merged = silver_plan.latest(affected.select(*cols).unionByName(incoming))
     merged = silver_plan.enrich(merged).observe(
         obs_latest, F.count(F.lit(1)).alias("rows"), F.collect_set(month_number).alias("months")
-    ).checkpoint()
+    )
+    folder = f"{silver_path}/{PENDING}/{uuid.uuid4().hex}"
+    merged.select(*sinks.SILVER_COLUMNS).write.parquet(f"{folder}/rows")
     written = set(obs_latest.get["months"])
-    sinks.write_silver(merged, silver_path, dynamic=True)
-    for y, m in sorted(touched):
+    for y, m in sorted(touched & there):
         if y * 12 + m not in written:
-            sinks.drop_partition(spark, silver_path, y, m)
-    return {"status": "succeeded", "months": len(touched), "latest_rows": obs_latest.get["rows"], **counts}
+            touch(spark, f"{folder}/emptied/year={y}/month={m}/gone")
+    if use_index:
+        ready = spark.read.schema(sinks.SILVER_SCHEMA).parquet(f"{folder}/rows")
+        held = affected.select("event_id", "year", "month").unionByName(ready.select("event_id", "year", "month"))
+        month_index.update(spark, silver_path, held, shards)
+    touch(spark, f"{folder}/ready")
+    _apply_pending(spark, silver_path, folder)
+    if use_index and month_index.outgrown(spark, silver_path):
+        month_index.drop(spark, silver_path)
+    return {
+        "status": "succeeded", "months": len(touched), "latest_rows": obs_latest.get["rows"],
+        "months_searched": len(searched), **counts,
+    }

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed, fixtures
 from ..functions import casts
+from ..operators import dense_keys, dims, month_index
 from ..session import dataset_tag, path_exists, scratch_dir, table, touch
 from ..sinks import geojson, packs
 from ..sinks import tables as sinks
@@ -193,6 +194,31 @@ def merged_silver(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+@_serialized
+def indexed_silver(spark: SparkSession, sf_dir: str) -> str:
+    """The written Silver with its key-to-month index; returns the table folder."""
+    path = written_silver(spark, sf_dir)
+    if month_index.shard_count(spark, path) is None:
+        month_index.build(spark, path)
+    return path
+
+
+KEY_RUNS = 3
+
+
+@_serialized
+def dense_keys_of_three_runs(spark: SparkSession, sf_dir: str) -> str:
+    """Key tables after three runs that see more and more of Silver, each partitioned in another way; returns the folder."""
+    root = _root(spark, sf_dir, "dense_keys")
+    if not _done(spark, root):
+        silver = sinks.read_silver(spark, written_silver(spark, sf_dir))
+        run = (F.col("year") * 12 + F.col("month")) % KEY_RUNS
+        for k in range(KEY_RUNS):
+            dense_keys.assign_star(spark, dims.all_dims(silver.filter(run <= k).repartition(2 * k + 3)), root)
+        touch(spark, f"{root}/{DONE}")
+    return root
+
+
 LATE_HOURS = ("2026-02-01 00:00:00", "2026-02-01 01:00:00")
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from . import fixed, fixtures, oracle, schemas
 from .functions import casts, features, keys
-from .operators import dedup, dims, fact, integrity, quality, rollups
+from .operators import dedup, dense_keys, dims, fact, integrity, month_index, quality, rollups
 from .plans import jobs, runs, staging
 from .plans import silver as silver_plan
 from .session import dataset_tag, scratch_dir, table
@@ -334,6 +334,45 @@ def q_surrogate_key(spark, sf):
     )
 
 
+DENSE_NATURALS = f"""
+select 'dim_location' as dimension, {oracle.loc_key_sql()} as "natural", min((year * 12 + month) % {staging.KEY_RUNS}) as run from silver group by 2
+union all
+select 'dim_event_type', {oracle.type_key_sql()}, min((year * 12 + month) % {staging.KEY_RUNS}) from silver group by 2
+union all
+select 'dim_magnitude', MagnitudeKey, 0 from dim_magnitude
+"""
+DENSE_KEYS = f'select dimension, "natural", row_number() over (partition by dimension order by run, "natural") - 1 as key from ({DENSE_NATURALS})'
+
+
+@register("dense_keys", oracle.sql(DENSE_KEYS, "silver", "dim_magnitude"))
+def q_dense_keys(spark, sf):
+    """KEY1: BIGINT keys of an append-only key table after three runs (numbered by run, then digest; never changed)."""
+    root = staging.dense_keys_of_three_runs(spark, sf)
+    parts = [
+        dense_keys.read_keys(spark, f"{root}/{name}").select(F.lit(name).alias("dimension"), "natural", "key")
+        for name in dense_keys.DENSE_DIMENSIONS
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def _dense_fact_sql() -> str:
+    columns, joins = oracle.FACT_OUT, ""
+    for name, column in dense_keys.DENSE_DIMENSIONS.items():
+        columns = columns.replace(column, f"{name}_k.key as {column}")
+        joins += f" join ({DENSE_KEYS}) {name}_k on {name}_k.dimension = '{name}' and {name}_k.\"natural\" = f.{column}"
+    return oracle.sql(f"select {columns} from fact f{joins}", "fact", "silver", "dim_magnitude")
+
+
+@register("fact_events_dense", _dense_fact_sql())
+def q_fact_events_dense(spark, sf):
+    """KEY1/JON1-4: the fact with BIGINT foreign keys looked up in the key tables."""
+    root = staging.dense_keys_of_three_runs(spark, sf)
+    out = fact.fact_events(written_silver(spark, sf), with_clock=False)
+    for name, column in dense_keys.DENSE_DIMENSIONS.items():
+        out = dense_keys.replace(out, column, dense_keys.read_keys(spark, f"{root}/{name}"))
+    return out
+
+
 @register("fact_events", oracle.sql(f"select {oracle.FACT_OUT} from fact", "fact"))
 def q_fact_events(spark, sf):
     """RUN2/JON1-4/AGG4/PRJ8: fact with hash-derived keys, inner-lookup row loss."""
@@ -703,6 +742,25 @@ def q_silver_incremental_merge(spark, sf):
     return s.select(*[c for c in schemas.SILVER_COLUMNS if c not in schemas.CLOCK_COLUMNS])
 
 
+@register(
+    "merge_month_search",
+    oracle.sql(
+        "select distinct cast(year as integer) as year, cast(month as integer) as month from silver where event_id in "
+        "(select event_id from selected where event_timestamp_utc > (select max(event_timestamp_utc) from selected) "
+        f"- to_hours({fixed.INCREMENTAL_HOURS}))",
+        "silver",
+        "selected",
+    ),
+)
+def q_merge_month_search(spark, sf):
+    """SNK1: the months in which the events of the last 48 hours live, asked of the key-to-month index."""
+    path = staging.indexed_silver(spark, sf)
+    rows = selected(spark, sf)
+    newest = runs.as_of_latest(rows, "event_timestamp_utc")
+    ids = rows.filter(F.col("event_timestamp_utc") > newest - F.make_dt_interval(F.lit(0), F.lit(fixed.INCREMENTAL_HOURS)))
+    return month_index.candidates(spark, path, ids.select("event_id").distinct(), month_index.shard_count(spark, path))
+
+
 @register("gold_table_roundtrip", oracle.sql(f"select {oracle.FACT_OUT} from fact", "fact"))
 def q_gold_table_roundtrip(spark, sf):
     """SNK2-3: fact written as an external table in the Gold database, read through the catalog."""

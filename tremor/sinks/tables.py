@@ -30,6 +30,8 @@ SILVER_SCHEMA = (
     "silver_processing_timestamp_utc timestamp_ntz, year int, month int"
 )
 
+SILVER_COLUMNS = [c.split()[0] for c in SILVER_SCHEMA.split(", ")]
+
 
 def write_silver(silver: DataFrame, path: str, dynamic: bool = False, fmt: str = "parquet") -> None:
     """Write Silver with the batch time of each row, so that later merges can tell which content is newer."""
