@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed
 from ..operators import dense_keys as dense
-from ..operators import integrity, month_index, quality
+from ..operators import delta_rollups, integrity, month_index, quality
 from ..session import ensure_checkpoint_dir, path_exists, touch
 from ..sinks import tables as sinks
 from ..sources import bronze, ledger
@@ -34,8 +34,11 @@ DEFAULT_DATABASE = fixed.GOLD_DATABASE
 KEY_TABLES = "_keys"
 
 
-def run_silver(flat: DataFrame, silver_path: str, dynamic: bool = False) -> dict:
-    """Write Silver from flattened Bronze; returns the observed counts."""
+def run_silver(flat: DataFrame, silver_path: str, dynamic: bool = False, rollups: bool = False) -> dict:
+    """Write Silver from flattened Bronze; returns the observed counts.
+
+    ``rollups``: start a log of signed deltas (``operators.delta_rollups``), which later merges keep current.
+    """
     if flat.isEmpty():
         return {"status": "skipped", "flattened_rows": 0, "valid_rows": 0, "latest_rows": 0}
     obs_in = Observation("bronze_input")
@@ -43,7 +46,10 @@ def run_silver(flat: DataFrame, silver_path: str, dynamic: bool = False) -> dict
     typed = silver_plan.select_typed(flat).observe(obs_in, *quality.reject_count_columns())
     latest = silver_plan.latest(quality.valid(typed)).observe(obs_latest, F.count(F.lit(1)).alias("rows"))
     month_index.drop(flat.sparkSession, silver_path)  # it knows other rows; the next merge builds it
+    delta_rollups.drop(flat.sparkSession, silver_path)
     sinks.write_silver(silver_plan.enrich(latest), silver_path, dynamic=dynamic)
+    if rollups:
+        delta_rollups.rebuild(flat.sparkSession, silver_path)
     m_in, m_latest = obs_in.get, obs_latest.get
     return {
         "status": "succeeded" if m_latest["rows"] else "empty",
@@ -115,7 +121,8 @@ def run_mode(spark: SparkSession, root: str) -> str:
 
 
 def run_all(spark: SparkSession, flat: DataFrame, root: str, database: str = DEFAULT_DATABASE,
-            mode: str | None = None, run_id: str | None = None, dense_keys: bool = False) -> dict:
+            mode: str | None = None, run_id: str | None = None, dense_keys: bool = False,
+            rollups: bool = False) -> dict:
     """Silver then Gold under ``root``; one run-log row per run (skipped and failed runs included).
 
     The mode follows from the lake's state unless given: a backfill rebuilds Silver, an incremental run merges its
@@ -131,7 +138,7 @@ def run_all(spark: SparkSession, flat: DataFrame, root: str, database: str = DEF
         if mode == "incremental" and sinks.path_has_table(spark, silver_path):
             s = merge_silver(spark, flat, silver_path)
         else:
-            s = run_silver(flat, silver_path)
+            s = run_silver(flat, silver_path, rollups=rollups)
         g = run_gold(spark, silver_path, f"{root}/gold", database, dense_keys=dense_keys) if s["status"] == "succeeded" else {}
         record |= {k: v for k, v in {**s, **g}.items() if k in record}
         record["status"] = g.get("status", s["status"])
@@ -148,7 +155,8 @@ def run_all(spark: SparkSession, flat: DataFrame, root: str, database: str = DEF
 
 
 def run_landed(spark: SparkSession, bronze_path: str, root: str, database: str = DEFAULT_DATABASE,
-               mode: str | None = None, lookback_hours: int = fixed.INCREMENTAL_HOURS, dense_keys: bool = False) -> dict:
+               mode: str | None = None, lookback_hours: int = fixed.INCREMENTAL_HOURS, dense_keys: bool = False,
+               rollups: bool = False) -> dict:
     """``run_all`` over landed Bronze, reading no more of it than the mode asks for.
 
     A backfill reads every folder. An incremental run reads the folders that the ledger under ``root`` does not hold
@@ -166,7 +174,7 @@ def run_landed(spark: SparkSession, bronze_path: str, root: str, database: str =
         read = ledger.landed(spark, bronze_path)
         new = [f for f in read if f.key not in known]
         flat = bronze.flatten(bronze.with_batch_ts(bronze.read_documents(spark, bronze_path, for_silver=True)))
-    result = run_all(spark, flat, root, database, mode=mode, dense_keys=dense_keys)
+    result = run_all(spark, flat, root, database, mode=mode, dense_keys=dense_keys, rollups=rollups)
     ledger.record(spark, ledger_path, new, result["run_id"])
     return result | {"folders_read": len(read), "folders_new": len(new)}
 
@@ -180,6 +188,9 @@ def _apply_pending(spark: SparkSession, silver_path: str, folder: str) -> None:
     sinks.write_silver(rows, silver_path, dynamic=True)
     for _, v in sinks.partition_folders(spark, f"{folder}/emptied", sinks.SILVER_PARTITIONS):
         sinks.drop_partition(spark, silver_path, v["year"], v["month"])
+    if path_exists(spark, f"{folder}/deltas"):
+        changes = spark.read.schema(delta_rollups.LOG_SCHEMA).parquet(f"{folder}/deltas")
+        delta_rollups.append(spark, silver_path, changes, folder.rpartition("/")[2])
     sinks.delete_folder(spark, folder)
 
 
@@ -206,6 +217,8 @@ def merge_silver(spark: SparkSession, batch_flat: DataFrame, silver_path: str, u
     written back with dynamic partition overwrite; all other partitions stay untouched. Silver keeps each row's
     ``batch_ts``, so the result does not depend on the order in which batches arrive.
 
+    Where a log of signed deltas exists, the rows that the batch replaces and those it brings are added to it.
+
     The merged rows and the list of months that become empty are first prepared in a folder beside the table and
     marked ready; then the months are written, emptied ones dropped and the folder removed. A run that is lost in
     between leaves the folder, and the next merge finishes it before its own, whatever its batch holds.
@@ -254,8 +267,12 @@ def merge_silver(spark: SparkSession, batch_flat: DataFrame, silver_path: str, u
     for y, m in sorted(touched & there):
         if y * 12 + m not in written:
             touch(spark, f"{folder}/emptied/year={y}/month={m}/gone")
+    ready = spark.read.schema(sinks.SILVER_SCHEMA).parquet(f"{folder}/rows")
+    if delta_rollups.generation(spark, silver_path) is not None:
+        mine = incoming.select("event_id")
+        gone, come = (rows.join(mine, "event_id", "left_semi") for rows in (affected, ready))
+        delta_rollups.deltas(gone, come).write.parquet(f"{folder}/deltas")
     if use_index:
-        ready = spark.read.schema(sinks.SILVER_SCHEMA).parquet(f"{folder}/rows")
         held = affected.select("event_id", "year", "month").unionByName(ready.select("event_id", "year", "month"))
         month_index.update(spark, silver_path, held, shards)
     touch(spark, f"{folder}/ready")

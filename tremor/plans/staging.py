@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed, fixtures
 from ..functions import casts
-from ..operators import dense_keys, dims, month_index
+from ..operators import delta_rollups, dense_keys, dims, month_index
 from ..session import dataset_tag, path_exists, scratch_dir, table, touch
 from ..sinks import geojson, packs
 from ..sinks import tables as sinks
@@ -194,6 +194,29 @@ def merged_silver(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+ROLLUP_MERGES = 3
+
+
+@_serialized
+def rolled_up(spark: SparkSession, sf_dir: str) -> str:
+    """Silver of a part of all revisions with a roll-up log, then three merges of the others; returns the table folder.
+
+    The log is compacted before the last merge.
+    """
+    root = _root(spark, sf_dir, "rolled_up")
+    path = f"{root}/silver"
+    if not _done(spark, root):
+        flat = flat_quakes(spark, sf_dir)
+        part = F.col("code").cast("bigint") % 8  # revisions of one event fall into different parts
+        jobs.run_silver(flat.filter(part >= ROLLUP_MERGES), path, rollups=True)
+        for k in range(ROLLUP_MERGES):
+            if k == ROLLUP_MERGES - 1:
+                delta_rollups.compact(spark, path)
+            jobs.merge_silver(spark, flat.filter(part == k), path)
+        touch(spark, f"{root}/{DONE}")
+    return path
+
+
 @_serialized
 def indexed_silver(spark: SparkSession, sf_dir: str) -> str:
     """The written Silver with its key-to-month index; returns the table folder."""

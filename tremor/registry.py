@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from . import fixed, fixtures, oracle, schemas
 from .functions import casts, features, keys
-from .operators import dedup, dense_keys, dims, fact, integrity, month_index, quality, rollups
+from .operators import dedup, delta_rollups, dense_keys, dims, fact, integrity, month_index, quality, rollups
 from .plans import jobs, runs, staging
 from .plans import silver as silver_plan
 from .session import dataset_tag, scratch_dir, table
@@ -463,6 +463,34 @@ def q_gold_by_weekday(spark, sf):
     return rollups.by_weekday(t["fact"], t["dim_date"])
 
 
+def _rollup_log(spark, sf):
+    return delta_rollups.read_log(spark, staging.rolled_up(spark, sf))
+
+
+@register("rollup_delta_region", REGISTRY["gold_by_region"].oracle)
+def q_rollup_delta_region(spark, sf):
+    """AGG6 incremental: events per country after three merges, from signed deltas."""
+    return delta_rollups.by_region(_rollup_log(spark, sf))
+
+
+@register("rollup_delta_magnitude", REGISTRY["gold_by_magnitude"].oracle)
+def q_rollup_delta_magnitude(spark, sf):
+    """AGG6 incremental: events per magnitude class."""
+    return delta_rollups.by_magnitude(_rollup_log(spark, sf))
+
+
+@register("rollup_delta_month", REGISTRY["gold_by_month"].oracle)
+def q_rollup_delta_month(spark, sf):
+    """AGG6 incremental: events per calendar month."""
+    return delta_rollups.by_month(_rollup_log(spark, sf))
+
+
+@register("rollup_delta_weekday", REGISTRY["gold_by_weekday"].oracle)
+def q_rollup_delta_weekday(spark, sf):
+    """AGG6 incremental: events per weekday."""
+    return delta_rollups.by_weekday(_rollup_log(spark, sf))
+
+
 # --------------------------------------------------------------------------- run-level
 
 
