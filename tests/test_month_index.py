@@ -52,7 +52,7 @@ def test_small_merges_search_few_months_and_equal_a_rebuild(spark, scratch):
     path = f"{scratch}/silver"
     jobs.run_silver(flat.filter("_part >= 4").drop("_part"), path)
     for part in range(4):
-        r = jobs.merge_silver(spark, flat.filter(F.col("_part") == part).drop("_part"), path)
+        r = jobs.merge_silver(spark, flat.filter(F.col("_part") == part).drop("_part"), path, use_index=True)
         assert r["status"] == "succeeded" and r["months_searched"] <= r["months"] + 2
     direct = silver_plan.silver(flat.drop("_part"), with_clock=False)
     assert same(silver_of(spark, path, direct), direct)
@@ -88,12 +88,12 @@ def test_rebuild_drops_the_index_and_outgrown_filters_too(spark, scratch, monkey
     flat = registry.bronze_flat(spark, SF_SMALL)
     path = f"{scratch}/silver"
     jobs.run_silver(flat, path)
-    jobs.merge_silver(spark, flat.limit(5), path)
+    jobs.merge_silver(spark, flat.limit(5), path, use_index=True)
     assert month_index.shard_count(spark, path) == 1
     monkeypatch.setattr(month_index, "KEYS_PER_FILTER", 1)
-    jobs.merge_silver(spark, flat.limit(5), path)
+    jobs.merge_silver(spark, flat.limit(5), path, use_index=True)
     assert month_index.shard_count(spark, path) is None
-    jobs.merge_silver(spark, flat.limit(5), path)
+    jobs.merge_silver(spark, flat.limit(5), path, use_index=True)
     jobs.run_silver(flat, path)
     assert month_index.shard_count(spark, path) is None
 
@@ -112,12 +112,12 @@ def test_next_merge_finishes_a_merge_that_was_cut_off(spark, scratch, monkeypatc
     with monkeypatch.context() as m:
         m.setattr(*target, lost)
         with pytest.raises(RuntimeError):
-            jobs.merge_silver(spark, flat.filter(late), path)
+            jobs.merge_silver(spark, flat.filter(late), path, use_index=True)
     direct = silver_plan.silver(flat, with_clock=False)
     finished = jobs.recover_merges(spark, path)
     assert finished == (0 if step == "before_ready" else 1)
     if step == "before_ready":  # nothing was decided: the batch comes again
-        jobs.merge_silver(spark, flat.filter(late), path)
+        jobs.merge_silver(spark, flat.filter(late), path, use_index=True)
     assert same(silver_of(spark, path, direct), direct)
     assert jobs.recover_merges(spark, path) == 0
 
@@ -130,6 +130,6 @@ def test_moved_event_leaves_its_old_month(spark, scratch):
     jobs.run_silver(one, path)
     moved = one.withColumns({"time": F.col("time") + F.lit(40 * 86_400_000), "updated": F.lit(4_000_000_000_000)})
     for _ in range(2):
-        jobs.merge_silver(spark, moved, path)
+        jobs.merge_silver(spark, moved, path, use_index=True)
         assert tables.read_silver(spark, path).count() == 1
         assert len(tables.partition_folders(spark, path, ["year", "month"])) == 1

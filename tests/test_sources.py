@@ -84,3 +84,27 @@ def test_retain_agrees_with_retention_summary(spark):
         kept = runs.retain(orders, "o_orderdate", days, as_of).count()
         assert summary[layer] == (kept, total - kept)
     assert summary["bronze"][0] <= summary["silver"][0] <= summary["gold"][0]
+
+
+def test_expire_gold_removes_whole_expired_days(spark, scratch):
+    import datetime as dt
+
+    from tremor.operators import integrity
+    from tremor.plans import gold as gold_plan
+    from tremor.plans import jobs
+
+    jobs.run_silver(registry.bronze_flat(spark, SF_SMALL), f"{scratch}/silver")
+    jobs.run_gold(spark, f"{scratch}/silver", f"{scratch}/gold", "expire_gold")
+    facts = spark.table("expire_gold.fact_earthquake_events")
+    as_of, before = dt.datetime(2025, 6, 15, 12), facts.count()
+    old = facts.filter("DateKey < 20250307").count()  # 100 days before: 7 March, noon
+    assert 0 < old < before
+    counted = runs.expire_gold(spark, f"{scratch}/gold", "expire_gold", as_of, 100)
+    assert counted == {"rows_expired": old, "rows_kept": before - old} and facts.count() == before  # dry run
+    runs.expire_gold(spark, f"{scratch}/gold", "expire_gold", as_of, 100, dry_run=False)
+    spark.catalog.refreshTable("expire_gold.fact_earthquake_events")
+    left = spark.table("expire_gold.fact_earthquake_events")
+    assert left.count() == before - old and left.filter("DateKey < 20250307").count() == 0
+    star = {n: spark.read.parquet(f"{scratch}/gold/{n}") for n in gold_plan.TABLE_ORDER}
+    assert integrity.star_integrity(star["fact_earthquake_events"], star).filter("violations > 0").count() == 0
+    assert runs.expire_gold(spark, f"{scratch}/gold", "expire_gold", as_of, 100)["rows_expired"] == 0

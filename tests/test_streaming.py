@@ -124,3 +124,22 @@ def test_history_of_only_invalid_rows_reads_empty(spark, scratch):
     h = incremental.read_history(spark, f"{scratch}/history")
     assert h.count() == 0 and "event_date" in h.columns
     assert incremental.batch_log(spark, f"{scratch}/history").first().appended_rows == 0
+
+
+def test_new_checkpoint_on_an_existing_history_loses_nothing(spark, scratch):
+    """The second half arrives under a new checkpoint, whose batches count from 0 again."""
+    from tremor.operators import quality
+    from tremor.plans import silver as silver_plan
+
+    flat = registry.bronze_flat(spark, SF_SMALL)
+    half = F.col("code").cast("bigint") % 2 == 0
+    history = f"{scratch}/history"
+    for k, part in enumerate((flat.filter(half), flat.filter(~half), flat.filter(half))):
+        geojson.land(geojson.nest(part, F.lit(f"2026-03-0{k + 1} 00:00:00").cast("timestamp_ntz")), f"{scratch}/landing{k}")
+        incremental.append_history(spark, f"{scratch}/landing{k}", history, f"{scratch}/checkpoint{k}")
+    log = incremental.batch_log(spark, history)
+    assert log.select("query_id").distinct().count() == 3
+    valid = quality.valid(silver_plan.select_typed(flat))
+    got = incremental.read_history(spark, history)
+    assert got.count() == valid.count() == 638
+    assert got.select(*valid.columns).exceptAll(valid).count() == 0

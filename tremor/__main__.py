@@ -11,7 +11,8 @@ used as given.
                     (without --mode it follows from the run log and Silver; an incremental run reads the
                     folders that no run has read and the last 48 hours)
   stream            --bronze PATH --history PATH --checkpoint PATH [--stateful]
-  retention         --silver PATH --as-of YYYY-MM-DD [--days N] [--bronze PATH] [--delete]
+  retention         --silver PATH --as-of YYYY-MM-DD [--days N] [--bronze PATH] [--gold PATH]
+                    [--database NAME] [--delete]
                     (lists expired partitions; removes them with --delete)
 """
 
@@ -74,6 +75,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     e.add_argument("--as-of", required=True)
     e.add_argument("--days", type=int, default=fixed.RETENTION_DAYS["silver"])
     e.add_argument("--bronze", default=None, help="also expire landed hours by the Bronze retention")
+    e.add_argument("--gold", default=None, help="also expire fact rows by the Gold retention")
+    e.add_argument("--database", default=fixed.GOLD_DATABASE)
     e.add_argument("--delete", action="store_true", help="remove expired partitions (default: list them)")
     args = p.parse_args(argv)
 
@@ -112,6 +115,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         result["silver_partitions"] = runs.expire(spark, args.silver, "silver", day, args.days, not args.delete)
         if args.bronze:
             result["bronze_folders"] = runs.expire(spark, args.bronze, "bronze", day, None, not args.delete)
+        if args.gold:
+            result["gold"] = runs.expire_gold(spark, args.gold, args.database, day, None, not args.delete)
     print(json.dumps(result, default=str))
     return result
 

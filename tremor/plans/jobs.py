@@ -180,6 +180,8 @@ def run_landed(spark: SparkSession, bronze_path: str, root: str, database: str =
 
 
 PENDING = "_pending"
+#: size of Silver from which a merge builds the key-to-month index; below it, reading all event ids is cheaper
+INDEX_FROM_BYTES = 1 << 30
 
 
 def _apply_pending(spark: SparkSession, silver_path: str, folder: str) -> None:
@@ -206,14 +208,15 @@ def recover_merges(spark: SparkSession, silver_path: str) -> int:
     return done
 
 
-def merge_silver(spark: SparkSession, batch_flat: DataFrame, silver_path: str, use_index: bool = True) -> dict:
+def merge_silver(spark: SparkSession, batch_flat: DataFrame, silver_path: str, use_index: bool | None = None) -> dict:
     """Upsert one batch of flattened Bronze into a partitioned Silver table.
 
     The batch is typed, validated and reduced to its latest revisions once (checkpointed in the shared checkpoint
     dir). Only the affected months are rewritten: the months of those rows plus the months where their events live
     now (a revision can move an event to another month). The key-to-month index (``operators.month_index``) names the
-    months in which these events may live, and only their event_id columns are read; without ``use_index`` all of
-    them are. The affected partitions are unioned with the batch, reduced to the latest revision per event and
+    months in which these events may live, and only their event_id columns are read; without it all of them are.
+    An index is built once the table measures ``INDEX_FROM_BYTES`` and kept from then on; ``use_index`` asks for it, or
+    drops it. The affected partitions are unioned with the batch, reduced to the latest revision per event and
     written back with dynamic partition overwrite; all other partitions stay untouched. Silver keeps each row's
     ``batch_ts``, so the result does not depend on the order in which batches arrive.
 
@@ -245,8 +248,13 @@ def merge_silver(spark: SparkSession, batch_flat: DataFrame, silver_path: str, u
         return {"status": "empty", "months": 0, "latest_rows": 0, "months_searched": 0, **counts}
     month_number = F.col("year") * 12 + F.col("month")
     there = {(v["year"], v["month"]) for _, v in sinks.partition_folders(spark, silver_path, sinks.SILVER_PARTITIONS)}
+    shards = month_index.shard_count(spark, silver_path)
+    if use_index is None:
+        use_index = shards is not None or sinks.folder_bytes(spark, silver_path) >= INDEX_FROM_BYTES
+    if not use_index:
+        month_index.drop(spark, silver_path)  # it would not learn of this merge
     if use_index:
-        shards = month_index.shard_count(spark, silver_path) or month_index.build(spark, silver_path)
+        shards = shards or month_index.build(spark, silver_path)
         searched = month_index.candidate_months(spark, silver_path, incoming.select("event_id"), shards) - own
     else:
         searched = there - own  # the batch's own months are rewritten anyway

@@ -7,11 +7,13 @@ from __future__ import annotations
 
 import calendar
 import datetime as dt
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import fixed
+from ..session import scratch_dir
 
 RETENTION_DAYS = fixed.RETENTION_DAYS
 
@@ -62,6 +64,33 @@ def expire(spark: SparkSession, path: str, layer: str, as_of: dt.datetime, days:
     return sorted(old)
 
 
+def expire_gold(spark: SparkSession, gold_root: str, database: str, as_of: dt.datetime, days: int | None = None,
+                dry_run: bool = True) -> dict:
+    """Fact rows whose day has expired; removed from the published table unless ``dry_run``.
+
+    Gold has no month folders, so the rows that stay are written to the shared scratch folder and from there over the
+    table; a run lost in between leaves that copy (``kept_at``). Dimensions keep their rows, so no key loses its row.
+    """
+    from ..sinks import tables
+
+    path = f"{gold_root}/{fixed.FACT_TABLE}"
+    cutoff = as_of - dt.timedelta(days=RETENTION_DAYS["gold"] if days is None else days)
+    first = cutoff.date()  # a day goes only when all of it has expired
+    key = first.year * 10000 + first.month * 100 + first.day
+    facts = spark.read.parquet(path)
+    old = F.coalesce(F.col("DateKey") < key, F.lit(False))
+    counted = facts.agg(F.count_if(old).alias("expired"), F.count_if(~old).alias("kept")).first()
+    result = {"rows_expired": counted["expired"], "rows_kept": counted["kept"]}
+    if not dry_run and counted["expired"]:
+        copy = scratch_dir(spark, "expire_gold", uuid.uuid4().hex)
+        facts.filter(~old).write.parquet(copy)
+        result["kept_at"] = copy
+        kept = spark.read.schema(facts.schema).parquet(copy)
+        tables.write_gold_table(kept, database, fixed.FACT_TABLE, path)
+        tables.delete_folder(spark, copy)
+    return result
+
+
 def retention_summary(df: DataFrame, ts: str, as_of: Column, days_by_layer: dict[str, int] | None = None) -> DataFrame:
     """Rows kept and expired under each layer's retention, in one pass."""
     days_by_layer = days_by_layer or RETENTION_DAYS

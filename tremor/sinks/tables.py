@@ -118,6 +118,12 @@ def partition_folders(spark: SparkSession, path: str, keys: list[str]) -> list[t
     return [(f, {k: int(x) for k, x in v.items()}) for f, v in listed if all(x.isdigit() for x in v.values())]
 
 
+def folder_bytes(spark: SparkSession, folder: str) -> int:
+    """Bytes of all files below a folder."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+
+
 def delete_folder(spark: SparkSession, folder: str) -> None:
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

@@ -35,6 +35,8 @@ Two forms of the overlap removal are provided:
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -111,7 +113,7 @@ def append_history_stateful(spark: SparkSession, landing_path: str, sink_path: s
 HISTORY_PARTITION = "event_date"
 STATIC_KEYS = ["event_id", "updated_timestamp_utc", "event_timestamp_utc"]
 BATCH_LOG_SCHEMA = (
-    "batch_id bigint, max_event_time timestamp_ntz, input_rows bigint, late_rows bigint, appended_rows bigint"
+    "query_id string, batch_id bigint, max_event_time timestamp_ntz, input_rows bigint, late_rows bigint, appended_rows bigint"
 )
 
 
@@ -146,16 +148,19 @@ def batch_log(spark: SparkSession, sink_path: str) -> DataFrame:
 PRUNED_DATES = 400
 
 
-def merge_micro_batch(batch: DataFrame, batch_id: int, sink_path: str, lookback_hours: int = LOOKBACK_HOURS) -> None:
+def merge_micro_batch(batch: DataFrame, batch_id: int, sink_path: str, lookback_hours: int = LOOKBACK_HOURS,
+                      query_id: str | None = None) -> None:
     """Append one micro-batch's new valid revisions to the history (idempotent).
 
     Late rows (event time behind the newest one of earlier batches by more than the look-back) are counted and kept:
     they go to their own event-date partitions. A row is left out only if the newest stored row of its (id, updated,
     event time) has the same content, so a replayed batch appends nothing and changed content is never lost.
+
+    Batches are logged by (query id, batch id): a new checkpoint counts its batches from 0 again, under an id of its own.
     """
     spark = batch.sparkSession
     log = batch_log(spark, sink_path)
-    if not log.filter(F.col("batch_id") == batch_id).isEmpty():
+    if not log.filter((F.col("batch_id") == batch_id) & F.col("query_id").eqNullSafe(F.lit(query_id))).isEmpty():
         return
     # newest event time of earlier batches, carried as epoch ms (no local-zone literal)
     newest = log.agg(F.max(casts.ts_to_epoch_ms("max_event_time"))).first()[0]
@@ -190,6 +195,7 @@ def merge_micro_batch(batch: DataFrame, batch_id: int, sink_path: str, lookback_
     out.write.mode("append").partitionBy(HISTORY_PARTITION).parquet(sink_path)
     m_in = obs.get
     record = {
+        "query_id": query_id,
         "batch_id": batch_id,
         "max_event_time": m_in.get("max_event_time"),
         "input_rows": m_in.get("input_rows", 0),
@@ -203,14 +209,22 @@ def append_history(spark: SparkSession, landing_path: str, sink_path: str, check
                    lookback_hours: int = LOOKBACK_HOURS,
                    max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER) -> StreamingQuery:
     """Drain newly landed documents into the history, one pre-aggregated merge per micro-batch."""
+    started, query_id = threading.Event(), []
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        started.wait()  # the id is known once start() has returned
+        merge_micro_batch(batch, batch_id, sink_path, lookback_hours, query_id[0])
+
     q = (
         bronze_stream(spark, landing_path, for_silver=True, max_files_per_trigger=max_files_per_trigger)
-        .writeStream.foreachBatch(lambda df, bid: merge_micro_batch(df, bid, sink_path, lookback_hours))
+        .writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
         .queryName("silver_history_batches")
         .trigger(availableNow=True)
         .start()
     )
+    query_id.append(str(q.id))
+    started.set()
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(f"stream silver_history_batches failed: {q.exception()}")
