@@ -167,3 +167,41 @@ def test_pipeline_judges_texts_that_share_an_id_by_themselves(spark, make_docs):
 def test_empty_tables(empty_docs):
     for f in (suffix_dedup.report, suffix_dedup.cut, substring_dedup.report, jaccard_join.link_components, jaccard_join.deduplicate):
         assert f(empty_docs).count() == 0
+
+
+def thue_morse(n, flip):
+    return "".join("ab"[(bin(k).count("1") + flip) % 2] for k in range(n))
+
+
+@pytest.mark.parametrize("n", [1024, 2048])
+def test_words_of_a_pattern_and_its_complement_differ(make_docs, n):
+    head = " ".join(f"w{k}" for k in range(12))
+    rows = [(1, f"{head} {thue_morse(n, 0)}"), (2, f"{head} {thue_morse(n, 1)}"), (3, thue_morse(n, 0)), (4, thue_morse(n, 1))]
+    assert rows_of(substring_dedup.report(make_docs(rows))) == sorted(brute.word_dedup(rows, 13), key=str)
+    got = jaccard_join.link_components(make_docs(rows)).select("uid", "component")
+    assert rows_of(got) == sorted([(d, c) for d, _, c in brute.jaccard(rows, 85, 100, 4)], key=str)
+    assert rows_of(suffix_dedup.report(make_docs(rows), 200)) == sorted(brute.byte_dedup(rows, 200), key=str)
+
+
+def test_rows_without_id_whose_texts_agree_in_32_hash_bits(spark, make_docs):
+    """xxhash64 of the first two texts agrees in its low 32 bits."""
+    from tremor.llm import decontaminate
+
+    rows = [(None, "text number 106349"), (None, "text number 378502"), (7, "a clean row")]
+    docs = make_docs(rows)
+    assert rows_of(suffix_dedup.report(docs, 24)) == sorted(brute.byte_dedup(rows, 24), key=str)
+    assert rows_of(substring_dedup.report(docs, 13)) == sorted(brute.word_dedup(rows, 13), key=str)
+    assert suffix_dedup.cut(docs, 24).count() == jaccard_join.deduplicate(docs, by_text=True).count() == 3
+    benchmark = spark.createDataFrame([(1, "nothing of this occurs in any row at all here")], "item_id long, text string")
+    assert decontaminate.decontaminate(docs, benchmark).count() == 3
+
+
+def test_column_names_with_dots_and_keys_of_our_own(spark, make_docs):
+    from pyspark.sql import functions as F
+
+    from tremor.llm import decontaminate
+
+    docs = make_docs([(1, "some text"), (2, "other text")]).withColumn("a.b", F.lit(1)).withColumn("th", F.lit("mine")).withColumn("__uid", F.lit("x"))
+    benchmark = spark.createDataFrame([(1, "nothing of this occurs in any row at all here")], "item_id long, text string")
+    for out in (decontaminate.decontaminate(docs, benchmark), jaccard_join.deduplicate(docs, by_text=True), suffix_dedup.cut(docs)):
+        assert out.columns == docs.columns and sorted(map(tuple, out.collect())) == sorted(map(tuple, docs.collect()))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tremor.llm.common import BYTE_CODES, long_array, mix, parts, prefix_hashes, run_hashes, slices, word_hashes, words
+from tremor.llm.common import BYTE_CODES, long_array, mix, parts, prefix_hashes, run_hashes, slices, text_key, word_hashes, words
 
 NULL_ID = -(1 << 63)
 SPLIT = 2048
@@ -102,12 +102,12 @@ def keyed(docs: DataFrame, whole_rows: bool = False) -> DataFrame:
     With ``whole_rows`` also ``rest``, a struct of the row's columns without the text and ``no_text_`` (it was null).
     Functions here hand ``rest`` through, so that all steps read the texts from one and the same exchange.
     """
-    rest = [F.struct(*[F.col(c) for c in docs.columns if c != "text"], F.col("text").isNull().alias("no_text_")).alias("rest")]
+    rest = [F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"], F.col("text").isNull().alias("no_text_")).alias("rest")]
     return docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("uid"),
         F.coalesce("text", F.lit("")).alias("text"),
         *(rest if whole_rows else []),
-    ).withColumn("th", F.xxhash64("text").bitwiseAND(F.lit(0xFFFFFFFF)))
+    ).withColumn("th", text_key("text"))
 
 
 def rest_of(texts: DataFrame) -> list[str]:

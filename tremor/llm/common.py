@@ -135,7 +135,23 @@ def lowered(data: np.ndarray) -> np.ndarray:
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return run_hashes(prefix_hashes(BYTE_CODES[data]), starts, ends)
+    """Hash of each word (ascending, disjoint): a sum of mixed (byte, place in the word) codes.
+
+    Prefix hashes modulo a power of two would give words made of one pattern and its complement the same hash whatever
+    the base; here every byte is mixed with its place first, so sums of different words agree by chance only.
+    """
+    first = np.zeros(len(data), np.int64)
+    first[starts] = starts
+    place = (np.arange(len(data)) - np.maximum.accumulate(first)).view(U64) if len(data) else first.view(U64)
+    total = np.zeros(len(data) + 1, U64)
+    with np.errstate(over="ignore"):
+        np.cumsum(mix(BYTE_CODES[data] + place * U64(MULT)), dtype=U64, out=total[1:])
+        return mix(total[ends] - total[starts] + (ends - starts).astype(U64))
+
+
+def text_key(text: Column | str) -> Column:
+    """Tells the texts of one doc_id (or of the rows without one) apart."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 def gram_hashes(items: np.ndarray, n: int) -> np.ndarray:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tremor.llm.anchors import NULL_ID, keyed
-from tremor.llm.common import gram_hashes, list_array, long_array, materialize, slices, word_hashes, words
+from tremor.llm.common import gram_hashes, list_array, long_array, materialize, slices, text_key, word_hashes, words
 from tremor.session import table
 
 MIN_MATCH = 5
@@ -246,10 +246,10 @@ def report(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, si
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, size: int = MIN_MATCH) -> DataFrame:
     """The documents that hold no leaked item."""
-    found = leaks(docs, benchmark, coverage, size).select(F.col("uid").alias("__uid"), F.col("th").alias("__th")).distinct()
+    found = leaks(docs, benchmark, coverage, size).select("uid", "th").distinct()
     uid = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))
-    th = F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit(0xFFFFFFFF))
-    return docs.withColumn("__uid", uid).withColumn("__th", th).join(found, ["__uid", "__th"], "left_anti").select(*docs.columns)
+    rows = docs.select(F.struct("*").alias("row"), uid.alias("uid"), text_key(F.col("text")).alias("th"))
+    return rows.join(found, ["uid", "th"], "left_anti").select("row.*")
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -46,6 +46,7 @@ from tremor.llm.common import (
     maybe_member,
     mix,
     slices,
+    text_key,
     word_hashes,
     words,
 )
@@ -411,9 +412,9 @@ def deduplicate(docs: DataFrame, num: int = NUM, den: int = DEN, n: int = SHINGL
     Rows with equal doc_id are one document; with ``by_text`` only rows with equal doc_id and text are, so rows that
     share a doc_id or have none are judged by their own texts.
     """
-    row = F.struct(*[F.col(c) for c in docs.columns]).alias("row")
+    row = F.struct("*").alias("row")
     own_id, text = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)), F.coalesce("text", F.lit(""))
-    th = F.xxhash64(text).bitwiseAND(F.lit(0xFFFFFFFF)).alias("th")
+    th = text_key(F.col("text")).alias("th")
     rows = docs.select(row, text.alias("text"), own_id.alias("id"), own_id.alias("uid"), th)
     if by_text:  # an id that is certainly alone stands for its text (and takes less room than a hash)
         several = rows.groupBy("uid").agg(F.count("*").alias("n")).filter("n > 1").select("uid")
