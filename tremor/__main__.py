@@ -7,7 +7,7 @@ used as given.
   bronze-to-silver  --bronze PATH --silver PATH [--merge]
   silver-to-gold    --silver PATH --gold PATH [--database NAME] [--dense-keys]
   run               --bronze PATH --root PATH [--database NAME] [--mode backfill|incremental]
-                    [--dense-keys] [--rollups]
+                    [--dense-keys] [--rollups] [--keep-rejected]
                     (without --mode it follows from the run log and Silver; an incremental run reads the
                     folders that no run has read and the last 48 hours)
   stream            --bronze PATH --history PATH --checkpoint PATH [--stateful]
@@ -61,6 +61,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     c.add_argument("--database", default=fixed.GOLD_DATABASE)
     c.add_argument("--check-documents", action="store_true", help="one more pass over Bronze: report unreadable documents")
     c.add_argument("--dense-keys", action="store_true", help="BIGINT keys from the key tables beside Gold")
+    c.add_argument("--keep-rejected", action="store_true", help="rows that fail a quality rule go to ROOT/quarantine")
     c.add_argument("--rollups", action="store_true", help="a backfill starts a log of roll-up deltas that merges keep current")
     c.add_argument("--mode", default=None, choices=["backfill", "incremental"])
     d = sub.add_parser("stream")
@@ -91,7 +92,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         result = jobs.run_gold(spark, args.silver, args.gold, args.database, dense_keys=args.dense_keys)
     elif args.job == "run":
         result = jobs.run_landed(spark, args.bronze, args.root, args.database, mode=args.mode, dense_keys=args.dense_keys,
-                                 rollups=args.rollups)
+                                 rollups=args.rollups, keep_rejected=args.keep_rejected)
         if args.check_documents:
             result["documents"] = _document_report(spark, args.bronze)
     elif args.job == "stream":

@@ -28,24 +28,25 @@ def rules() -> dict[str, Column]:
     }
 
 
-def is_valid() -> Column:
+def is_valid(by=rules) -> Column:
     out = None
-    for pred in rules().values():
+    for pred in by().values():
         out = pred if out is None else out & pred
     return out
 
 
-def valid(df: DataFrame) -> DataFrame:
-    return df.filter(is_valid())
+def valid(df: DataFrame, by=rules) -> DataFrame:
+    """Rows that pass all rules (``by``: other rules than the published ones)."""
+    return df.filter(is_valid(by))
 
 
-def reject_count_columns() -> list[Column]:
+def reject_count_columns(by=rules) -> list[Column]:
     """One-pass aggregate: input rows, rows failing each rule, kept rows."""
     cols = [F.count(F.lit(1)).alias("input_rows")]
-    for name, pred in rules().items():
+    for name, pred in by().items():
         cols.append(F.count_if(~F.coalesce(pred, F.lit(False))).alias(f"rejected_{name}"))
-    cols.append(F.count_if(~F.coalesce(is_valid(), F.lit(False))).alias("rejected_rows"))
-    cols.append(F.count_if(F.coalesce(is_valid(), F.lit(False))).alias("valid_rows"))
+    cols.append(F.count_if(~F.coalesce(is_valid(by), F.lit(False))).alias("rejected_rows"))
+    cols.append(F.count_if(F.coalesce(is_valid(by), F.lit(False))).alias("valid_rows"))
     return cols
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed
 from ..operators import dense_keys as dense
-from ..operators import delta_rollups, integrity, month_index, quality
+from ..operators import delta_rollups, integrity, month_index, quality, quarantine
 from ..session import ensure_checkpoint_dir, path_exists, touch
 from ..sinks import tables as sinks
 from ..sources import bronze, ledger
@@ -122,9 +122,12 @@ def run_mode(spark: SparkSession, root: str) -> str:
 
 def run_all(spark: SparkSession, flat: DataFrame, root: str, database: str = DEFAULT_DATABASE,
             mode: str | None = None, run_id: str | None = None, dense_keys: bool = False,
-            rollups: bool = False) -> dict:
+            rollups: bool = False, keep_rejected: bool = False) -> dict:
     """Silver then Gold under ``root``; one run-log row per run (skipped and failed runs included).
 
+    ``keep_rejected``: rows that fail a quality rule go to ``root``/quarantine (``operators.quarantine``) in the pass
+    that parses Bronze, and the Silver plan reads the others from there.
+
     The mode follows from the lake's state unless given: a backfill rebuilds Silver, an incremental run merges its
     rows into it.
     """
@@ -135,11 +138,19 @@ def run_all(spark: SparkSession, flat: DataFrame, root: str, database: str = DEF
     try:
         record["mode"] = mode = mode or run_mode(spark, root)
         silver_path = f"{root}/silver/earthquakes_cleaned"
+        kept = None
+        if keep_rejected:
+            rejects = Observation("quarantine")
+            flat = flat.observe(rejects, F.count(F.lit(1)).alias("rows"))
+            flat, kept = quarantine.fan_out(flat, f"{root}/quarantine", record["run_id"])
         if mode == "incremental" and sinks.path_has_table(spark, silver_path):
             s = merge_silver(spark, flat, silver_path)
         else:
             s = run_silver(flat, silver_path, rollups=rollups)
         g = run_gold(spark, silver_path, f"{root}/gold", database, dense_keys=dense_keys) if s["status"] == "succeeded" else {}
+        if kept:
+            quarantine.settle(spark, kept)
+            s["flattened_rows"] = rejects.get["rows"]
         record |= {k: v for k, v in {**s, **g}.items() if k in record}
         record["status"] = g.get("status", s["status"])
     except Exception:
@@ -156,7 +167,7 @@ def run_all(spark: SparkSession, flat: DataFrame, root: str, database: str = DEF
 
 def run_landed(spark: SparkSession, bronze_path: str, root: str, database: str = DEFAULT_DATABASE,
                mode: str | None = None, lookback_hours: int = fixed.INCREMENTAL_HOURS, dense_keys: bool = False,
-               rollups: bool = False) -> dict:
+               rollups: bool = False, keep_rejected: bool = False) -> dict:
     """``run_all`` over landed Bronze, reading no more of it than the mode asks for.
 
     A backfill reads every folder. An incremental run reads the folders that the ledger under ``root`` does not hold
@@ -174,7 +185,7 @@ def run_landed(spark: SparkSession, bronze_path: str, root: str, database: str =
         read = ledger.landed(spark, bronze_path)
         new = [f for f in read if f.key not in known]
         flat = bronze.flatten(bronze.with_batch_ts(bronze.read_documents(spark, bronze_path, for_silver=True)))
-    result = run_all(spark, flat, root, database, mode=mode, dense_keys=dense_keys, rollups=rollups)
+    result = run_all(spark, flat, root, database, mode=mode, dense_keys=dense_keys, rollups=rollups, keep_rejected=keep_rejected)
     ledger.record(spark, ledger_path, new, result["run_id"])
     return result | {"folders_read": len(read), "folders_new": len(new)}
 
@@ -208,7 +219,8 @@ def recover_merges(spark: SparkSession, silver_path: str) -> int:
     return done
 
 
-def merge_silver(spark: SparkSession, batch_flat: DataFrame, silver_path: str, use_index: bool | None = None) -> dict:
+def merge_silver(spark: SparkSession, batch_flat: DataFrame, silver_path: str, use_index: bool | None = None,
+                 rules=quality.rules) -> dict:
     """Upsert one batch of flattened Bronze into a partitioned Silver table.
 
     The batch is typed, validated and reduced to its latest revisions once (checkpointed in the shared checkpoint
@@ -237,8 +249,8 @@ def merge_silver(spark: SparkSession, batch_flat: DataFrame, silver_path: str, u
     if silver_plan.BATCH_TS not in typed.columns:
         typed = typed.withColumn(silver_plan.BATCH_TS, F.lit(None).cast("timestamp_ntz"))
     obs = Observation("merge_input")
-    typed = typed.observe(obs, *quality.reject_count_columns())
-    incoming = silver_plan.latest(quality.valid(typed)).select(*cols).checkpoint()
+    typed = typed.observe(obs, *quality.reject_count_columns(rules))
+    incoming = silver_plan.latest(quality.valid(typed, rules)).select(*cols).checkpoint()
     counts = {"flattened_rows": obs.get["input_rows"], "valid_rows": obs.get["valid_rows"]}
     current = sinks.read_silver(spark, silver_path)
     month_of = [F.year("event_timestamp_utc").alias("year"), F.month("event_timestamp_utc").alias("month")]

@@ -18,8 +18,8 @@ from ..operators import dedup, quality
 BATCH_TS = "batch_ts"
 
 
-def select_typed(flat: DataFrame) -> DataFrame:
-    """Casts plus rename/reorder to the 20 Silver columns (``batch_ts`` kept if present)."""
+def select_typed(flat: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Casts plus rename/reorder to the 20 Silver columns (``batch_ts`` kept if present, as are the columns in ``keep``)."""
     cols: dict[str, Column] = {
         "event_id": F.col("id"),
         "event_timestamp_utc": casts.epoch_ms_to_ts("time"),
@@ -45,7 +45,7 @@ def select_typed(flat: DataFrame) -> DataFrame:
     out = [c.alias(n) for n, c in cols.items()]
     if BATCH_TS in flat.columns:
         out.append(F.col(BATCH_TS))
-    return flat.select(*out)
+    return flat.select(*out, *keep)
 
 
 TIEBREAK_COLUMNS = [c for c in schemas.SILVER_SELECTED_COLUMNS if c not in ("event_id", "updated_timestamp_utc")]

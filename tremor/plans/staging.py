@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed, fixtures
 from ..functions import casts
-from ..operators import delta_rollups, dense_keys, dims, month_index
+from ..operators import delta_rollups, dense_keys, dims, month_index, quarantine
 from ..session import dataset_tag, path_exists, scratch_dir, table, touch
 from ..sinks import geojson, packs
 from ..sinks import tables as sinks
@@ -194,6 +194,16 @@ def merged_silver(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+@_serialized
+def quarantined(spark: SparkSession, sf_dir: str) -> str:
+    """Both lanes of all flattened rows, written in one pass; returns the run's folder."""
+    path = _root(spark, sf_dir, "quarantine")
+    if not _done(spark, path):
+        quarantine.fan_out(flat_quakes(spark, sf_dir), path, "all")
+        touch(spark, f"{path}/{DONE}")
+    return f"{path}/run=all"
+
+
 ROLLUP_MERGES = 3
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from . import fixed, fixtures, oracle, schemas
 from .functions import casts, features, keys
-from .operators import dedup, delta_rollups, dense_keys, dims, fact, integrity, month_index, quality, rollups
+from .operators import dedup, delta_rollups, dense_keys, dims, fact, integrity, month_index, quality, quarantine, rollups
 from .plans import jobs, runs, staging
 from .plans import silver as silver_plan
 from .session import dataset_tag, scratch_dir, table
@@ -163,6 +163,52 @@ def q_dq_reject_counts(spark, sf):
     return quality.reject_counts(selected(spark, sf))
 
 
+MASK_SQL = " + ".join(
+    f"case when coalesce({p}, false) then 0 else {1 << k} end" for k, p in enumerate(oracle.RULE_PREDICATES.values())
+)
+
+
+@register(
+    "quarantine_rows",
+    oracle.sql(
+        "select event_id, event_timestamp_utc, magnitude, depth_km, latitude, longitude, cast(m as bigint) as failed_rules, "
+        + "array_to_string(["
+        + ", ".join(f"case when m & {1 << k} > 0 then '{n}' end" for k, n in enumerate(oracle.RULE_PREDICATES))
+        + f"], ',') as failed_names from (select *, {MASK_SQL} as m from selected) where m > 0",
+        "selected",
+    ),
+)
+def q_quarantine_rows(spark, sf):
+    """FLT7: the rejected rows as the quarantine keeps them, with the rules that each fails."""
+    schema = quarantine.lane_schema(bronze_flat(spark, sf))
+    rows = quarantine.read_lane(spark, staging.quarantined(spark, sf), quarantine.REJECTED, schema)
+    return silver_plan.select_typed(rows, keep=(quarantine.MASK,)).select(
+        "event_id", "event_timestamp_utc", "magnitude", "depth_km", "latitude", "longitude", quarantine.MASK,
+        F.array_join(quarantine.rule_names(quarantine.MASK), ",").alias("failed_names"),
+    )
+
+
+def _balance_sql() -> str:
+    rules = [(n, p) for n, p in oracle.RULE_PREDICATES.items()] + [("all", oracle.VALID_PREDICATE)]
+    return oracle.sql(
+        "\nunion all\n".join(
+            f"select '{n}' as rule, cast(count(*) filter (where coalesce({p}, false)) as bigint) as valid_rows, "
+            f"cast(count(*) filter (where not coalesce({p}, false)) as bigint) as quarantined_rows, "
+            "cast(count(*) as bigint) as input_rows from selected"
+            for n, p in rules
+        ),
+        "selected",
+    )
+
+
+@register("quarantine_balance", _balance_sql())
+def q_quarantine_balance(spark, sf):
+    """FLT7: valid and quarantined rows per rule, from the two written lanes."""
+    folder, schema = staging.quarantined(spark, sf), quarantine.lane_schema(bronze_flat(spark, sf))
+    lanes = [quarantine.read_lane(spark, folder, lane, schema) for lane in (quarantine.VALID, quarantine.REJECTED)]
+    return quarantine.balance(lanes[0].unionByName(lanes[1]))
+
+
 @register("dedup_latest", oracle.sql(f"select {SILVER_SELECT} from latest", "latest"))
 def q_dedup_latest(spark, sf):
     """WIN1/FLT6/PRJ6: latest valid revision per event id."""
