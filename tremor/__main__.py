@@ -7,7 +7,7 @@ used as given.
   bronze-to-silver  --bronze PATH --silver PATH [--merge]
   silver-to-gold    --silver PATH --gold PATH [--database NAME] [--dense-keys]
   run               --bronze PATH --root PATH [--database NAME] [--mode backfill|incremental]
-                    [--dense-keys] [--rollups] [--keep-rejected]
+                    [--dense-keys] [--rollups] [--keep-rejected] [--salvage]
                     (without --mode it follows from the run log and Silver; an incremental run reads the
                     folders that no run has read and the last 48 hours)
   stream            --bronze PATH --history PATH --checkpoint PATH [--stateful]
@@ -30,6 +30,7 @@ from . import fixed
 from .plans import jobs, runs
 from .sinks import tables
 from .sources import bronze as bronze_src
+from .sources import salvage
 from .streaming import incremental
 
 
@@ -38,8 +39,10 @@ def _flat(spark: SparkSession, path: str):
     return bronze_src.flatten(bronze_src.with_batch_ts(docs))
 
 
-def _document_report(spark: SparkSession, path: str) -> dict:
-    """Documents, unreadable ones, and features declared against features found."""
+def _document_report(spark: SparkSession, path: str, salvaged: bool = False) -> dict:
+    """Documents, unreadable ones, and features declared against features found, or those salvaged and lost."""
+    if salvaged:
+        return salvage.report(salvage.read_documents(spark, path, for_silver=True)).first().asDict()
     return bronze_src.document_counts(bronze_src.read_documents(spark, path, for_silver=True)).first().asDict()
 
 
@@ -62,6 +65,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     c.add_argument("--check-documents", action="store_true", help="one more pass over Bronze: report unreadable documents")
     c.add_argument("--dense-keys", action="store_true", help="BIGINT keys from the key tables beside Gold")
     c.add_argument("--keep-rejected", action="store_true", help="rows that fail a quality rule go to ROOT/quarantine")
+    c.add_argument("--salvage", action="store_true", help="load the intact features of broken documents")
     c.add_argument("--rollups", action="store_true", help="a backfill starts a log of roll-up deltas that merges keep current")
     c.add_argument("--mode", default=None, choices=["backfill", "incremental"])
     d = sub.add_parser("stream")
@@ -92,9 +96,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         result = jobs.run_gold(spark, args.silver, args.gold, args.database, dense_keys=args.dense_keys)
     elif args.job == "run":
         result = jobs.run_landed(spark, args.bronze, args.root, args.database, mode=args.mode, dense_keys=args.dense_keys,
-                                 rollups=args.rollups, keep_rejected=args.keep_rejected)
+                                 rollups=args.rollups, keep_rejected=args.keep_rejected, salvaged=args.salvage)
         if args.check_documents:
-            result["documents"] = _document_report(spark, args.bronze)
+            result["documents"] = _document_report(spark, args.bronze, args.salvage)
     elif args.job == "stream":
         if args.stateful:
             incremental.append_history_stateful(spark, args.bronze, args.history, args.checkpoint)

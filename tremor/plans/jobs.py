@@ -25,7 +25,7 @@ from ..operators import dense_keys as dense
 from ..operators import delta_rollups, integrity, month_index, quality, quarantine
 from ..session import ensure_checkpoint_dir, path_exists, touch
 from ..sinks import tables as sinks
-from ..sources import bronze, ledger
+from ..sources import bronze, ledger, salvage
 from . import gold as gold_plan
 from . import silver as silver_plan
 
@@ -167,24 +167,27 @@ def run_all(spark: SparkSession, flat: DataFrame, root: str, database: str = DEF
 
 def run_landed(spark: SparkSession, bronze_path: str, root: str, database: str = DEFAULT_DATABASE,
                mode: str | None = None, lookback_hours: int = fixed.INCREMENTAL_HOURS, dense_keys: bool = False,
-               rollups: bool = False, keep_rejected: bool = False) -> dict:
+               rollups: bool = False, keep_rejected: bool = False, salvaged: bool = False) -> dict:
     """``run_all`` over landed Bronze, reading no more of it than the mode asks for.
 
+    ``salvaged``: the intact features of broken documents are loaded too (``sources.salvage``).
+
     A backfill reads every folder. An incremental run reads the folders that the ledger under ``root`` does not hold
     and the last 48 hours; all others are neither listed nor opened. What was read is noted after the tables are
     written, so the folders of a failed run are read again.
     """
     mode = mode or run_mode(spark, root)
     ledger_path = f"{root}/bronze_ledger"
+    read_documents = salvage.read_documents if salvaged else bronze.read_documents
     if mode == "incremental":
         window = ledger.pending(spark, bronze_path, ledger_path, lookback_hours)
-        flat, new = ledger.read_window(spark, window, for_silver=True), window.unread
+        flat, new = ledger.read_window(spark, window, for_silver=True, read=read_documents), window.unread
         read = window.folders()
     else:
         known = ledger.seen(spark, ledger_path)
         read = ledger.landed(spark, bronze_path)
         new = [f for f in read if f.key not in known]
-        flat = bronze.flatten(bronze.with_batch_ts(bronze.read_documents(spark, bronze_path, for_silver=True)))
+        flat = bronze.flatten(bronze.with_batch_ts(read_documents(spark, bronze_path, for_silver=True)))
     result = run_all(spark, flat, root, database, mode=mode, dense_keys=dense_keys, rollups=rollups, keep_rejected=keep_rejected)
     ledger.record(spark, ledger_path, new, result["run_id"])
     return result | {"folders_read": len(read), "folders_new": len(new)}

@@ -80,6 +80,21 @@ def landed_by_hour(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+DAMAGE = r'"nst":(\d*[05]),'
+
+
+@_serialized
+def damaged_bronze(spark: SparkSession, sf_dir: str) -> str:
+    """The landed documents, each without its end, and features whose ``nst`` ends in 0 or 5 without that value."""
+    path = _root(spark, sf_dir, "bronze_damaged")
+    if not _done(spark, path):
+        text = spark.read.option("recursiveFileLookup", "true").text(landed_bronze(spark, sf_dir))
+        cut = F.substring("value", F.lit(1), F.length("value") - 2)
+        text.select(F.regexp_replace(cut, DAMAGE, '"nst":,').alias("value")).write.mode("overwrite").text(path)
+        touch(spark, f"{path}/{DONE}")
+    return path
+
+
 LATE_MODULUS, LATE_REMAINDER = 11, 5
 
 

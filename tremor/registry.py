@@ -22,7 +22,7 @@ from .plans import jobs, runs, staging
 from .plans import silver as silver_plan
 from .session import dataset_tag, scratch_dir, table
 from .sinks import tables as sink_tables
-from .sources import bronze, ledger
+from .sources import bronze, ledger, salvage
 from .streaming import incremental
 
 
@@ -168,6 +168,32 @@ MASK_SQL = " + ".join(
 )
 
 
+_DAMAGED = "nst is not null and nst % 5 = 0"
+
+
+@register(
+    "salvage_rows",
+    oracle.sql(f"select {', '.join(schemas.BRONZE_FLAT_COLUMNS)} from bronze where not ({_DAMAGED})", "bronze"),
+)
+def q_salvage_rows(spark, sf):
+    """SRC1: the intact features of broken documents (all lack their end, some features are damaged inside)."""
+    return bronze.flatten(salvage.read_documents(spark, staging.damaged_bronze(spark, sf)))
+
+
+@register(
+    "salvage_report",
+    oracle.sql(
+        f"select count(*) filter (where not ({_DAMAGED})) as salvaged_features, count(*) filter (where {_DAMAGED}) as lost_features, "
+        "cast(0 as bigint) as unbroken_documents from bronze",
+        "bronze",
+    ),
+)
+def q_salvage_report(spark, sf):
+    """SRC1: features salvaged from broken documents and features lost."""
+    r = salvage.report(salvage.read_documents(spark, staging.damaged_bronze(spark, sf)))
+    return r.select("salvaged_features", "lost_features", (F.col("documents") - F.col("broken_documents")).alias("unbroken_documents"))
+
+
 @register(
     "quarantine_rows",
     oracle.sql(

@@ -104,17 +104,20 @@ def pending(spark: SparkSession, path: str, ledger_path: str, lookback_hours: in
     return Window(unread, recent, since)
 
 
-def read_window(spark: SparkSession, window: Window, for_silver: bool = False) -> DataFrame:
-    """Flattened rows (with ``batch_ts``) of the window's folders; no other folder is listed or opened."""
+def read_window(spark: SparkSession, window: Window, for_silver: bool = False, read=bronze.read_documents) -> DataFrame:
+    """Flattened rows (with ``batch_ts``) of the window's folders; no other folder is listed or opened.
+
+    ``read``: the document reader, ``bronze.read_documents`` or ``salvage.read_documents``.
+    """
     parts = []
     if window.unread:
-        docs = bronze.read_documents(spark, [f.path for f in window.unread], for_silver=for_silver)
+        docs = read(spark, [f.path for f in window.unread], for_silver=for_silver)
         parts.append(bronze.with_batch_ts(docs))
     if window.recent:
-        docs = bronze.with_batch_ts(bronze.read_documents(spark, [f.path for f in window.recent], for_silver=for_silver))
+        docs = bronze.with_batch_ts(read(spark, [f.path for f in window.recent], for_silver=for_silver))
         parts.append(docs.filter(F.col("batch_ts") > F.lit(window.since.isoformat(sep=" ")).cast("timestamp_ntz")))
     if not parts:
         schema = schemas.SILVER_DOCUMENT if for_silver else schemas.BRONZE_DOCUMENT
         parts.append(spark.createDataFrame([], schema).withColumn("batch_ts", F.lit(None).cast("timestamp_ntz")))
-    docs = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    docs = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
     return bronze.flatten(docs)
