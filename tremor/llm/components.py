@@ -1,7 +1,7 @@
 """Connected components of a graph given as edges, by alternating star contraction.
 
 Each round first contracts the edges that a task happens to hold (union-find
-over one Arrow batch, bounded memory), then joins every vertex to the least
+over ``EDGES`` edges at a time, bounded memory), then joins every vertex to the least
 vertex it knows, first among larger neighbours, then among smaller ones. A
 round is written to the shared folder, so lineage stays short. Rounds grow
 with the logarithm of a component's diameter. Minima are pre-aggregated and
@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from tremor.llm.common import materialize
 
 MAX_ROUNDS = 60
+#: edges that a task contracts at a time
+EDGES = 1 << 20
 
 
 def star_forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -48,16 +50,26 @@ def star_forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _contract(edges: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
         for b in batches:
-            x, y = star_forest(b.column(0).to_numpy(), b.column(1).to_numpy())
-            yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], names=["a", "b"])
+            held.append((b.column(0).to_numpy(), b.column(1).to_numpy()))
+            n += b.num_rows
+            if n >= EDGES:
+                yield contracted(held)
+                held, n = [], 0
+        if held:
+            yield contracted(held)
+
+    def contracted(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        x, y = star_forest(*(np.concatenate([h[k] for h in held]) for k in (0, 1)))
+        return pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], names=["a", "b"])
 
     return edges.mapInArrow(run, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(id, label) of every vertex of edges (a, b) except each component's least vertex, which is the label."""
-    now = materialize(_contract(edges.filter("a <> b").select("a", "b")), "edges")
+    now = materialize(_contract(edges.filter("a <> b").select("a", "b").distinct()), "edges")
     seen = None
     for _ in range(MAX_ROUNDS):
         state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
