@@ -39,7 +39,6 @@ from pyspark.sql import functions as F
 from tremor.llm.anchors import NULL_ID, keyed
 from tremor.llm.common import (
     gram_hashes,
-    list_array,
     long_array,
     lowered,
     materialize,
@@ -256,28 +255,31 @@ class Group:
         return self._labels
 
 
-def find_links(members: DataFrame, num: int, den: int) -> DataFrame:
-    """Edges (a, b) found within each (block, chunk); memory holds the chunk's own sets only."""
+def find_links(members: DataFrame, num: int, den: int, n: int) -> DataFrame:
+    """Edges (a, b) found within each (block, chunk); memory holds the chunk's own sets only.
+
+    Texts travel, not sets: a set of 64-bit hashes takes more room than its compressed text.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, last, group = None, None, Group(num, den)
         found: list[tuple[int, int]] = []
         for b in batches:
             block, chunk, ids, texts, labels, queries, homes = (b.column(k).to_pylist() for k in range(7))
-            flat = b.column(7).flatten().to_numpy().view(U64)
-            ends = np.cumsum(b.column(7).value_lengths().to_numpy())
-            for r in range(b.num_rows):
-                if key != (block[r], chunk[r]):
-                    found.extend(group.finish())
-                    key, last, group = (block[r], chunk[r]), None, Group(num, den)
-                if last == (ids[r], texts[r]):  # a repeated row
-                    continue
-                last = (ids[r], texts[r])
-                shingles = flat[(ends[r - 1] if r else 0) : ends[r]]
-                if homes[r]:
-                    group.add(ids[r], labels[r], queries[r], shingles.copy())
-                elif queries[r]:
-                    found.extend(group.ask(ids[r], labels[r], shingles))
+            for i, j, flat, row in set_slices(b.column(7), n):
+                edges = np.searchsorted(row, np.arange(j - i + 1))
+                for r in range(i, j):
+                    if key != (block[r], chunk[r]):
+                        found.extend(group.finish())
+                        key, last, group = (block[r], chunk[r]), None, Group(num, den)
+                    if last == (ids[r], texts[r]):  # a repeated row
+                        continue
+                    last = (ids[r], texts[r])
+                    shingles = flat[edges[r - i] : edges[r - i + 1]]
+                    if homes[r]:
+                        group.add(ids[r], labels[r], queries[r], shingles.copy())
+                    elif queries[r]:
+                        found.extend(group.ask(ids[r], labels[r], shingles))
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
                 found = []
@@ -349,36 +351,23 @@ def linked(texts: DataFrame, num: int, den: int, n: int) -> DataFrame:
     )
 
     def members(where: DataFrame) -> DataFrame:
-        """Sets of the documents that ``where`` places: in their own chunk, or with ``spread`` in all chunks of their
+        """Texts of the documents that ``where`` places: in their own chunk, or with ``spread`` in all chunks of their
         block; at ``home`` a document is also indexed."""
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                for i, j, h, r in set_slices(b.column(1), n):
-                    sets = list_array(long_array(h), np.bincount(r, minlength=j - i))
-                    rest = [b.column(k).slice(i, j - i) for k in (0, 2, 3, 4, 5, 6, 7, 8, 9)]
-                    names = ["uid", "th", "block", "chunks", "chunk", "label", "query", "spread", "pivot", "shingles"]
-                    yield pa.RecordBatch.from_arrays([*rest, sets], names=names)
-
         near = texts.filter(maybe_member(where.select("uid")))  # other texts are not shuffled
         own = near.join(where, ["uid", "th"]).select(
             "uid", "text", "th", "block", "chunks", "chunk", "label", "query", "spread", "pivot"
         )
-        sets = own.mapInArrow(
-            run,
-            "uid long, th long, block long, chunks long, chunk long, label long, query boolean, spread boolean, pivot boolean, "
-            "shingles array<bigint>",
-        )
         places = F.when(F.col("spread"), F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).otherwise(F.array("chunk"))
-        dealt = sets.withColumn("at", F.explode(places))
+        dealt = own.withColumn("at", F.explode(places))
         home = F.col("pivot") | (F.col("at") == F.col("chunk"))
         # where a document is only spread to ask the other chunks, its own chunk has been searched before
         asks = F.col("query") & ~(home & F.col("spread") & ~F.col("pivot"))
-        return dealt.select("block", F.col("at").alias("chunk"), "uid", "th", "label", asks.alias("query"), home.alias("home"), "shingles")
+        return dealt.select("block", F.col("at").alias("chunk"), "uid", "th", "label", asks.alias("query"), home.alias("home"), "text")
 
     pivot = (F.col("uid") == F.col("block")) & (F.col("chunks") > 1)
     all_own = placed.withColumn("label", F.col("uid")).withColumn("query", F.lit(True))
-    near = find_links(members(all_own.withColumn("spread", pivot).withColumn("pivot", pivot)), num, den)
+    near = find_links(members(all_own.withColumn("spread", pivot).withColumn("pivot", pivot)), num, den, n)
     known = edges = materialize(near, "links")
     split = placed.filter("chunks > 1")
     if not split.isEmpty():
@@ -391,7 +380,7 @@ def linked(texts: DataFrame, num: int, den: int, n: int) -> DataFrame:
         todo = todo.select(
             "uid", "th", "block", "chunks", "chunk", "label", "query", F.col("query").alias("spread"), F.lit(False).alias("pivot")
         )
-        more = find_links(members(todo), num, den)
+        more = find_links(members(todo), num, den, n)
         known = materialize(labels.select(F.col("id").alias("a"), F.col("label").alias("b")).unionByName(more), "links")
 
     copies = sized.filter("n_shingles > 0").join(first.withColumnRenamed("uid", "rep").drop("th"), ["d1", "d2", "n_shingles"])
