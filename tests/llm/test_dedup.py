@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 import brute
@@ -205,3 +206,29 @@ def test_column_names_with_dots_and_keys_of_our_own(spark, make_docs):
     benchmark = spark.createDataFrame([(1, "nothing of this occurs in any row at all here")], "item_id long, text string")
     for out in (decontaminate.decontaminate(docs, benchmark), jaccard_join.deduplicate(docs, by_text=True), suffix_dedup.cut(docs)):
         assert out.columns == docs.columns and sorted(map(tuple, out.collect())) == sorted(map(tuple, docs.collect()))
+
+
+@pytest.mark.parametrize("num", [80, 85, 95])
+def test_linked_sets_agree_in_more_digests_than_they_may_leave_out(num):
+    rnd = np.random.default_rng(num)
+    segments = jaccard_join.Segments(num, 100, 2000)
+    for _ in range(400):
+        n = int(rnd.integers(1, 400))
+        base = rnd.integers(1, 1 << 62, n * 2).astype(np.uint64)
+        a, b = np.unique(base[:n]), np.unique(base[int(rnd.integers(0, n // 8 + 1)) : n + int(rnd.integers(0, n // 8 + 1))])
+        both = len(np.intersect1d(a, b))
+        if both * 100 < num * (len(a) + len(b) - both):
+            continue
+        row = np.repeat([0, 1], [len(a), len(b)])
+        digest, owner, spare = segments.digests(np.concatenate([a, b]), row, 2)
+        common = np.intersect1d(digest[owner == 0], digest[owner == 1])
+        # at least in one band's segments, what both keep after leaving out their spares still meets
+        kept = []
+        for x in (0, 1):
+            mine = []
+            for up in (0, 1):
+                at = (owner == x) & (spare & 1 == up)
+                shared = np.sort(np.intersect1d(digest[at], common))
+                mine.append(shared[int((spare[at] >> 1).max(initial=0)) :])
+            kept.append(np.concatenate(mine))
+        assert len(np.intersect1d(*kept)), (len(a), len(b), both)

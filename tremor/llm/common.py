@@ -30,12 +30,17 @@ def shared_path(spark: SparkSession, tag: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{tag}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, tag: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back (cuts lineage; survives lost executors)."""
+def stored(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
+    """``df`` written to the shared folder and read back, and that folder."""
     spark = df.sparkSession
     path = shared_path(spark, tag)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def materialize(df: DataFrame, tag: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back (cuts lineage; survives lost executors)."""
+    return stored(df, tag)[0]
 
 
 def slices(column, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

@@ -3,8 +3,8 @@
 Each round first contracts the edges that a task happens to hold (union-find
 over ``EDGES`` edges at a time, bounded memory), then joins every vertex to the least
 vertex it knows, first among larger neighbours, then among smaller ones. A
-round is written to the shared folder, so lineage stays short. Rounds grow
-with the logarithm of a component's diameter. Minima are pre-aggregated and
+round is written to the shared folder, so lineage stays short, and the one
+before it is removed. Rounds grow with the logarithm of a component's diameter. Minima are pre-aggregated and
 joined back, so a vertex with very many neighbours is split by the adaptive
 skew join.
 """
@@ -18,7 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tremor.llm.common import materialize
+from tremor.llm.common import stored
+from tremor.sinks.tables import delete_folder
 
 MAX_ROUNDS = 60
 #: edges that a task contracts at a time
@@ -69,7 +70,7 @@ def _contract(edges: DataFrame) -> DataFrame:
 
 def components(edges: DataFrame) -> DataFrame:
     """(id, label) of every vertex of edges (a, b) except each component's least vertex, which is the label."""
-    now = materialize(_contract(edges.filter("a <> b").select("a", "b").distinct()), "edges")
+    now, folder = stored(_contract(edges.filter("a <> b").select("a", "b").distinct()), "edges")
     seen = None
     for _ in range(MAX_ROUNDS):
         state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
@@ -83,5 +84,7 @@ def components(edges: DataFrame) -> DataFrame:
         linked = large.join(small, "a").select(
             F.inline(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b"))))
         )
-        now = materialize(_contract(linked.filter("a <> b").distinct()), "edges")
+        last = folder
+        now, folder = stored(_contract(linked.filter("a <> b").distinct()), "edges")
+        delete_folder(edges.sparkSession, last)  # nothing reads an earlier round again
     raise RuntimeError("components did not settle")

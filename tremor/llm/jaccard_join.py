@@ -10,7 +10,9 @@ Documents link where ``den * |intersection| >= num * |union|``.
 2. Routing, exact by the pigeonhole principle: sets of linked documents differ
    in a bounded number of shingles, so if shingles are dealt into more segments
    than that, some segment is equal in both. Each representative sends one
-   digest per segment; documents sharing one fall into one block.
+   digest per segment. Linked sets agree in a number of digests that is known
+   beforehand, so each may leave out that many but one, the most frequent ones
+   (prefix filter); documents sharing one of the others fall into one block.
 3. Within a block, T-occurrence search over inverted lists: the longest lists
    are set aside, the short ones merged, candidates with enough occurrences
    are completed by binary search in the long lists, and those reaching the
@@ -18,7 +20,8 @@ Documents link where ``den * |intersection| >= num * |union|``.
 4. A block with more than ``CHUNK`` shingles is dealt to several tasks; each
    holds the block's first document too, so copies connect through it.
    Afterwards only documents outside the block's largest component still ask
-   the other chunks, one by one. No task holds a whole group, and no pairs are
+   other chunks, one by one, and only those where one of their segment digests
+   is held under another label. No task holds a whole group, and no pairs are
    listed within it.
 
 Defined cases: null text counts as empty; a null doc_id counts as the smallest
@@ -104,6 +107,7 @@ class Segments:
     """Band limits and segment counts for the threshold."""
 
     def __init__(self, num: int, den: int, largest: int):
+        self.num, self.den = num, den
         limits = [1]
         while limits[-1] <= largest * den // num + 1:
             limits.append(limits[-1] * den // num + 1)
@@ -114,14 +118,21 @@ class Segments:
         self.slack = np.where(differ > 0, 1 + differ // 16, 0)
         self.count = differ + 1 + self.slack
 
-    def digests(self, h: np.ndarray, row: np.ndarray, n_rows: int) -> tuple[np.ndarray, np.ndarray]:
-        """(segment digest, row) of each row's set, for its own band and the next."""
+    def digests(self, h: np.ndarray, row: np.ndarray, n_rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(segment digest, row, spare) of each row's set, for its own band and the next.
+
+        Two linked sets of one band's segments agree in more than (spare >> 1) of the digests sent (its last bit tells
+        the two bands apart): all segments, less those that the most differing shingles can touch, less the empty
+        ones that one of the two does not send.
+        """
         sizes = np.bincount(row, minlength=n_rows)
         band = np.searchsorted(self.limits, sizes, "right") - 1
         value, spread = mix(h + U64(0x632BE59BD9B4E019)), mix(h ^ U64(0x8CB92BA72F3D8DD7)) >> U64(8)
-        out, rows = [], []
+        out, rows, spares = [], [], []
         for up in (0, 1):
             g = band + up
+            most = np.minimum(sizes * self.den // self.num, self.limits[np.minimum(np.maximum(g, 0) + 1, len(self.limits) - 1)] - 1)
+            differ = (self.den - self.num) * (sizes + most) // (self.den + self.num)
             k = self.count[np.maximum(g, 0)]
             seg = (spread % k[row].astype(U64)).astype(np.int64)
             base = np.cumsum(np.where(sizes > 0, k, 0)) - np.where(sizes > 0, k, 0)
@@ -138,13 +149,17 @@ class Segments:
             rows.append(r)
             # rows with so many empty segments that an empty one may be the only equal one send those as well
             empty = np.where(sizes > 0, k, 0) - np.bincount(r, minlength=n_rows)
+            unsent = np.minimum(empty, self.slack[np.maximum(g, 0)])
+            spare = np.maximum(k - differ - unsent - 1, 0) * 2 + up
+            spares.append(spare[r])
             for x in np.flatnonzero((sizes > 0) & (empty > self.slack[np.maximum(g, 0)])):
                 free = np.setdiff1d(np.arange(k[x]), s[r == x])
                 out.append(mix(mix((g[x] * (1 << 32) + free + 1).astype(U64)) ^ U64(0x5851F42D4C957F2D)))
                 rows.append(np.full(len(free), x))
+                spares.append(np.full(len(free), spare[x]))
         if not out:
-            return np.zeros(0, U64), np.zeros(0, np.int64)
-        return np.concatenate(out), np.concatenate(rows)
+            return np.zeros(0, U64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.concatenate(out), np.concatenate(rows), np.concatenate(spares)
 
 
 class Search:
@@ -291,6 +306,33 @@ def find_links(members: DataFrame, num: int, den: int, n: int) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long")
 
 
+def other_places(state: DataFrame, meets: DataFrame) -> DataFrame:
+    """Where documents of split blocks (uid, th, block, chunk, label) must still be compared: (uid, th, block, chunk,
+    label, query, home).
+
+    Only documents outside their block's largest component ask, and each asks only the chunks where a document with
+    another label holds one of its segment digests (linked sets share one). Only such documents are indexed there.
+    ``meets`` has (digest, uid, root) for every digest of several documents.
+    """
+    parts = state.groupBy("block", "label").agg(F.count("*").alias("n"))
+    main = parts.groupBy("block").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count("*").alias("parts"))
+    several = state.join(main.filter("parts > 1"), "block")
+    holds = meets.select("digest", "uid").unionByName(meets.select("digest", F.col("root").alias("uid")).distinct())
+    placed = several.select("uid", "th", "block", "chunk", "label")
+    asking = holds.join(several.filter("label <> main").select(*placed.columns), "uid")
+    asking = materialize(asking, "asking")
+    both = [F.min("label").alias("low"), F.max("label").alias("high")]
+    other = "low <> label or high <> label"
+    asked = holds.join(asking.groupBy("digest").agg(*both), "digest").join(placed, "uid").filter(other)
+    asked = materialize(asked.drop("low", "high"), "asked")
+    homes = asked.select(*placed.columns, F.lit(False).alias("query"), F.lit(True).alias("home"))
+    there = asked.groupBy("digest", F.col("chunk").alias("at")).agg(*both)
+    # a document's own chunk has been searched before
+    asks = asking.join(there, "digest").filter("at <> chunk").filter(other)
+    asks = asks.select("uid", "th", "block", F.col("at").alias("chunk"), "label", F.lit(True).alias("query"), F.lit(False).alias("home"))
+    return homes.distinct().unionByName(asks.distinct())
+
+
 def link_components(docs: DataFrame, num: int = NUM, den: int = DEN, n: int = SHINGLE) -> DataFrame:
     """uid, th, n_shingles, component for every row of (doc_id, text); rows with equal doc_id are one vertex."""
     return linked(keyed(docs), num, den, n)
@@ -336,11 +378,21 @@ def linked(texts: DataFrame, num: int, den: int, n: int) -> DataFrame:
                     sends[x] = True
             for i, j, _, _, h, r in parts:
                 on = sends[i + r]
-                digest, row = segments.digests(h[on], r[on], j - i)
-                yield pa.RecordBatch.from_arrays([long_array(digest), pa.array(uid[i + row])], names=["digest", "uid"])
-
-    routed = texts.select("uid", "text").mapInArrow(send, "digest long, uid long")
-    meets = routed.withColumn("root", F.min("uid").over(Window.partitionBy("digest"))).filter("uid <> root")
+                digest, row, spare = segments.digests(h[on], r[on], j - i)
+                cols = [long_array(digest), pa.array(uid[i + row]), pa.array(spare.astype(np.int32))]
+                yield pa.RecordBatch.from_arrays(cols, names=["digest", "uid", "spare"])
+
+    routed = texts.select("uid", "text").mapInArrow(send, "digest long, uid long, spare int")
+    sharing = Window.partitionBy("digest")
+    shared = routed.withColumn("n", F.count("*").over(sharing)).filter("n > 1")
+    several = sized.groupBy("uid").agg(F.count("*").alias("n")).filter("n > 1").select("uid")
+    # rows that share a uid keep all digests: theirs cannot be told apart here
+    shared = shared.withColumn("spare", F.when(maybe_member(several), 0).otherwise(F.col("spare")))
+    shared = materialize(shared, "shared-digests")
+    common = Window.partitionBy("uid", "spare").orderBy(F.desc("n"), "digest")
+    rare = shared.filter("spare > 1").withColumn("at", F.row_number().over(common)).filter("at > shiftright(spare, 1)").drop("at")
+    rare = rare.unionByName(shared.filter("spare <= 1")).select("digest", "uid")
+    meets = materialize(rare.withColumn("root", F.min("uid").over(sharing)).filter("uid <> root"), "rare-digests")
     coarse = materialize(components(meets.select(F.col("uid").alias("a"), F.col("root").alias("b"))), "blocks")
     block = coarse.unionByName(coarse.select(F.col("label").alias("id"), "label").distinct())
     block = block.select(F.col("id").alias("uid"), F.col("label").alias("block")).join(first.select("uid", "th", "n_shingles"), "uid")
@@ -351,36 +403,21 @@ def linked(texts: DataFrame, num: int, den: int, n: int) -> DataFrame:
     )
 
     def members(where: DataFrame) -> DataFrame:
-        """Texts of the documents that ``where`` places: in their own chunk, or with ``spread`` in all chunks of their
-        block; at ``home`` a document is also indexed."""
-
+        """Texts of the documents at the places (block, chunk) that ``where`` names; at ``home`` they are indexed."""
         near = texts.filter(maybe_member(where.select("uid")))  # other texts are not shuffled
-        own = near.join(where, ["uid", "th"]).select(
-            "uid", "text", "th", "block", "chunks", "chunk", "label", "query", "spread", "pivot"
-        )
-        places = F.when(F.col("spread"), F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).otherwise(F.array("chunk"))
-        dealt = own.withColumn("at", F.explode(places))
-        home = F.col("pivot") | (F.col("at") == F.col("chunk"))
-        # where a document is only spread to ask the other chunks, its own chunk has been searched before
-        asks = F.col("query") & ~(home & F.col("spread") & ~F.col("pivot"))
-        return dealt.select("block", F.col("at").alias("chunk"), "uid", "th", "label", asks.alias("query"), home.alias("home"), "text")
-
-    pivot = (F.col("uid") == F.col("block")) & (F.col("chunks") > 1)
-    all_own = placed.withColumn("label", F.col("uid")).withColumn("query", F.lit(True))
-    near = find_links(members(all_own.withColumn("spread", pivot).withColumn("pivot", pivot)), num, den, n)
-    known = edges = materialize(near, "links")
+        return near.join(where, ["uid", "th"]).select("block", "chunk", "uid", "th", "label", "query", "home", "text")
+
+    everywhere = F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)
+    first_of_split = (F.col("uid") == F.col("block")) & (F.col("chunks") > 1)
+    at = F.explode(F.when(first_of_split, everywhere).otherwise(F.array("chunk"))).alias("chunk")
+    own = placed.select("uid", "th", "block", at, F.col("uid").alias("label"), F.lit(True).alias("query"), F.lit(True).alias("home"))
+    known = edges = materialize(find_links(members(own), num, den, n), "links")
     split = placed.filter("chunks > 1")
     if not split.isEmpty():
         labels = components(edges)
         state = split.join(labels.withColumnRenamed("id", "uid"), "uid", "left").withColumn("label", F.coalesce("label", "uid"))
-        state = materialize(state, "split-blocks")
-        parts = state.groupBy("block", "label").agg(F.count("*").alias("n"))
-        main = parts.groupBy("block").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count("*").alias("parts"))
-        todo = state.join(main.filter("parts > 1"), "block").withColumn("query", F.col("label") != F.col("main"))
-        todo = todo.select(
-            "uid", "th", "block", "chunks", "chunk", "label", "query", F.col("query").alias("spread"), F.lit(False).alias("pivot")
-        )
-        more = find_links(members(todo), num, den, n)
+        places = other_places(materialize(state, "split-blocks"), meets)
+        more = find_links(members(materialize(places, "places")), num, den, n)
         known = materialize(labels.select(F.col("id").alias("a"), F.col("label").alias("b")).unionByName(more), "links")
 
     copies = sized.filter("n_shingles > 0").join(first.withColumnRenamed("uid", "rep").drop("th"), ["d1", "d2", "n_shingles"])
