@@ -8,7 +8,7 @@ from tremor.functions import casts
 from tremor.operators import quality
 from tremor.plans import silver as silver_plan
 from tremor.plans import staging
-from tremor.sinks import geojson
+from tremor.sinks import geojson, packs
 from tremor.streaming import incremental
 
 
@@ -143,3 +143,32 @@ def test_new_checkpoint_on_an_existing_history_loses_nothing(spark, scratch):
     got = incremental.read_history(spark, history)
     assert got.count() == valid.count() == 638
     assert got.select(*valid.columns).exceptAll(valid).count() == 0
+
+
+def test_micro_batches_bounded_by_bytes(spark, scratch):
+    """Packed files are drained by their size: a bound below two files gives one file per batch, and no row is lost."""
+    flat = registry.bronze_flat(spark, SF_SMALL)
+    landing, hist = f"{scratch}/landing", f"{scratch}/history"
+    packed = packs.land_packed(flat, staging.fetch_hour(flat), landing, target_bytes=100_000)
+    assert packed["packs"] > 2
+    incremental.append_history(spark, landing, hist, f"{scratch}/ckpt", max_bytes_per_trigger=110_000)
+    log = incremental.batch_log(spark, hist)
+    assert log.count() > 2
+    assert log.agg(F.sum("input_rows")).first()[0] == flat.count()
+
+
+def test_streamed_fetches_are_few_files(spark):
+    """A fetch of many hours lands packed: the streams list and open a few files, not one per hour."""
+    out = staging.streamed(spark, SF_SMALL)
+    files = spark.read.option("recursiveFileLookup", "true").text(out["landing"]).select("_metadata.file_path").distinct()
+    assert 2 <= files.count() < 20
+
+
+def test_history_tasks_do_not_write_every_date(spark, scratch):
+    """Rows are brought together by event date before they are written, so files grow with dates, not with dates x tasks."""
+    flat = registry.bronze_flat(spark, SF_SMALL)
+    wide = flat.repartition(16)
+    incremental.merge_micro_batch(wide, 0, f"{scratch}/history")
+    h = spark.read.parquet(f"{scratch}/history")
+    files = h.select("_metadata.file_path").distinct().count()
+    assert files <= 2 * h.select("event_date").distinct().count()

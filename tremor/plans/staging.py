@@ -184,14 +184,16 @@ def streamed(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     if _done(spark, root):
         return out
     flat = flat_quakes(spark, sf_dir)
+    # a fetch brings many hours: packed, their documents are few files, which the streams list and drain in few batches
+    size = {"max_bytes_per_trigger": incremental.MAX_BYTES_PER_TRIGGER}
     for i, batch in enumerate(fetches(flat)):
-        geojson.land(geojson.nest(batch, fetch_hour(batch)), f"{out['landing']}/fetch={i}")
-        incremental.capture_raw(spark, out["landing"], out["raw"], f"{root}/_checkpoints/raw")
-        incremental.append_history(spark, out["landing"], out["history"], f"{root}/_checkpoints/history")
+        packs.land_packed(batch, fetch_hour(batch), f"{out['landing']}/fetch={i}")
+        incremental.capture_raw(spark, out["landing"], out["raw"], f"{root}/_checkpoints/raw", **size)
+        incremental.append_history(spark, out["landing"], out["history"], f"{root}/_checkpoints/history", **size)
         incremental.append_history_stateful(
             spark, out["landing"], out["history_stateful"], f"{root}/_checkpoints/history_stateful"
         )
-        incremental.compact_silver(spark, out["landing"], out["compacted"], f"{root}/_checkpoints/compacted")
+        incremental.compact_silver(spark, out["landing"], out["compacted"], f"{root}/_checkpoints/compacted", **size)
     touch(spark, f"{root}/{DONE}")
     return out
 

@@ -25,26 +25,30 @@ INCREMENTAL_HOURS = fixed.INCREMENTAL_HOURS
 MIN_MAGNITUDE = fixed.MIN_MAGNITUDE
 
 
-def _reader(spark: SparkSession, streaming: bool, schema, max_files_per_trigger: int | None = None):
+def _reader(spark: SparkSession, streaming: bool, schema, max_files_per_trigger: int | None = None,
+            max_bytes_per_trigger: int | None = None):
     r = spark.readStream if streaming else spark.read
     r = r.schema(schema).option("recursiveFileLookup", "true")
-    if streaming and max_files_per_trigger:
+    if streaming and max_bytes_per_trigger:  # Spark takes one of the two bounds
+        r = r.option("maxBytesPerTrigger", str(max_bytes_per_trigger))
+    elif streaming and max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return r
 
 
 def read_documents(spark: SparkSession, path: str | list[str], streaming: bool = False, for_silver: bool = False,
-                   max_files_per_trigger: int | None = None) -> DataFrame:
+                   max_files_per_trigger: int | None = None, max_bytes_per_trigger: int | None = None) -> DataFrame:
     """Landed documents (batch scan of a folder or of listed folders, or an incremental file stream).
 
     ``for_silver`` declares only the properties Silver uses: nested fields
     are not pruned through ``explode``, so the declared schema is what keeps
     the JSON parser from materialising the unused ones. ``max_files_per_trigger``
     bounds each micro-batch of a stream (``availableNow`` honours it), so a
-    large backlog drains in many bounded batches instead of one huge one.
+    large backlog drains in many bounded batches instead of one huge one;
+    ``max_bytes_per_trigger`` bounds it by size instead, for packed files.
     """
     schema = schemas.SILVER_DOCUMENT if for_silver else schemas.BRONZE_DOCUMENT
-    return _reader(spark, streaming, schema, max_files_per_trigger).json(path)
+    return _reader(spark, streaming, schema, max_files_per_trigger, max_bytes_per_trigger).json(path)
 
 
 def batch_ts_from_path(path: Column) -> Column:

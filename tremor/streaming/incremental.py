@@ -53,13 +53,17 @@ LOOKBACK = f"{LOOKBACK_HOURS} hours"
 WATERMARK_COL = "_event_instant"
 #: landed files per micro-batch: a backlog drains in many bounded batches
 MAX_FILES_PER_TRIGGER = 1000
+#: bytes of packed documents per micro-batch (``sinks.packs``: files of up to 128 MB, where a count of files bounds little)
+MAX_BYTES_PER_TRIGGER = 8 << 30
 DEDUP_KEYS = ["event_id", "updated_timestamp_utc", WATERMARK_COL]
 
 
 def bronze_stream(spark: SparkSession, landing_path: str, for_silver: bool = False,
-                  max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER) -> DataFrame:
+                  max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER,
+                  max_bytes_per_trigger: int | None = None) -> DataFrame:
     docs = bronze.read_documents(
-        spark, landing_path, streaming=True, for_silver=for_silver, max_files_per_trigger=max_files_per_trigger
+        spark, landing_path, streaming=True, for_silver=for_silver, max_files_per_trigger=max_files_per_trigger,
+        max_bytes_per_trigger=max_bytes_per_trigger,
     )
     return bronze.flatten(bronze.with_batch_ts(docs))
 
@@ -92,9 +96,10 @@ def _run(df: DataFrame, sink_path: str, checkpoint: str, name: str) -> Streaming
 
 
 def capture_raw(spark: SparkSession, landing_path: str, sink_path: str, checkpoint: str,
-                max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER) -> StreamingQuery:
+                max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER,
+                max_bytes_per_trigger: int | None = None) -> StreamingQuery:
     """Drain newly landed documents into a flat raw-feature table."""
-    docs = bronze_stream(spark, landing_path, max_files_per_trigger=max_files_per_trigger)
+    docs = bronze_stream(spark, landing_path, False, max_files_per_trigger, max_bytes_per_trigger)
     return _run(docs, sink_path, checkpoint, "bronze_raw")
 
 
@@ -191,7 +196,8 @@ def merge_micro_batch(batch: DataFrame, batch_id: int, sink_path: str, lookback_
         same = [F.col(f"r.{c}").eqNullSafe(F.col(f"s.{c}")) for c in STATIC_KEYS + content]
         rows = rows.alias("r").join(stored, same, "left_anti")
     obs_out = Observation(f"history_out_{batch_id}")
-    out = rows.observe(obs_out, F.count(F.lit(1)).alias("appended_rows"))
+    # one task's rows lie in few dates, and a crowded date is cut by the adaptive rebalance: else every task writes every date
+    out = rows.hint("rebalance", F.col(HISTORY_PARTITION)).observe(obs_out, F.count(F.lit(1)).alias("appended_rows"))
     out.write.mode("append").partitionBy(HISTORY_PARTITION).parquet(sink_path)
     m_in = obs.get
     record = {
@@ -207,7 +213,8 @@ def merge_micro_batch(batch: DataFrame, batch_id: int, sink_path: str, lookback_
 
 def append_history(spark: SparkSession, landing_path: str, sink_path: str, checkpoint: str,
                    lookback_hours: int = LOOKBACK_HOURS,
-                   max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER) -> StreamingQuery:
+                   max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER,
+                   max_bytes_per_trigger: int | None = None) -> StreamingQuery:
     """Drain newly landed documents into the history, one pre-aggregated merge per micro-batch."""
     started, query_id = threading.Event(), []
 
@@ -216,7 +223,7 @@ def append_history(spark: SparkSession, landing_path: str, sink_path: str, check
         merge_micro_batch(batch, batch_id, sink_path, lookback_hours, query_id[0])
 
     q = (
-        bronze_stream(spark, landing_path, for_silver=True, max_files_per_trigger=max_files_per_trigger)
+        bronze_stream(spark, landing_path, True, max_files_per_trigger, max_bytes_per_trigger)
         .writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
         .queryName("silver_history_batches")
@@ -251,7 +258,8 @@ def latest_from_history(history: DataFrame, with_clock: bool = True) -> DataFram
 
 
 def compact_silver(spark: SparkSession, landing_path: str, silver_path: str, checkpoint: str,
-                   max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER) -> StreamingQuery:
+                   max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER,
+                   max_bytes_per_trigger: int | None = None) -> StreamingQuery:
     """Keep a compacted, latest-wins Silver table current from the document stream.
 
     Each micro-batch is merged into Silver with ``plans.jobs.merge_silver``
@@ -268,7 +276,7 @@ def compact_silver(spark: SparkSession, landing_path: str, silver_path: str, che
             jobs.run_silver(batch, silver_path)
 
     q = (
-        bronze_stream(spark, landing_path, for_silver=True, max_files_per_trigger=max_files_per_trigger)
+        bronze_stream(spark, landing_path, True, max_files_per_trigger, max_bytes_per_trigger)
         .writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
         .queryName("silver_compaction")
