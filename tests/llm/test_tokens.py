@@ -34,6 +34,16 @@ def test_encoder_equals_the_library(texts):
         assert ids[z - n : z].tolist() == plain(e, t, 2)
 
 
+def test_piece_ends_by_bytes_equal_the_library_s_words(enc):
+    """Ids and ids per piece of the fast form, whose pieces are told by bytes, against the form that numbers words."""
+    pieces = [" and,", " of", "12３４", " é́日本", "\n\n", " 😀x", "</s>", "a" * 300]
+    full = enc.tokenizer.encode(pieces, is_pretokenized=True, add_special_tokens=False)
+    ids, lengths = enc._encoded(pieces)
+    assert ids.tolist() == full.ids
+    assert lengths.tolist() == np.bincount(full.word_ids, minlength=len(pieces)).tolist()
+    assert enc.id_bytes[ids].sum() == len("".join(pieces).encode())
+
+
 @settings(max_examples=25, deadline=None)
 @given(st.lists(st.lists(st.sampled_from([0, 1, 5, 300, 65535, 257, 1024]), max_size=200), max_size=6))
 def test_coder_round_trip(blocks):

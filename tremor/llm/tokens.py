@@ -13,14 +13,20 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterable
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 CACHE_PIECES = 1_200_000
 #: white space on both sides of a space: the pattern's tokens may cross it
 BESIDE_SPACE = re.compile(r"\s \s").search
+#: what every such place holds; found faster
+SPACE_FIRST = re.compile(r" \s").search
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -51,6 +57,10 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.split = regex.compile(public_tokenizers.PATTERN).findall
+        vocabulary = self.tokenizer.get_vocab()
+        self.id_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, number in vocabulary.items():  # the byte-level alphabet has one character per byte
+            self.id_bytes[number] = len(token)
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self._reset()
 
@@ -67,11 +77,25 @@ class Encoder:
     def _room(a: np.ndarray, n: int) -> np.ndarray:
         return a if len(a) >= n else np.concatenate([a, np.zeros(max(n - len(a), len(a)), a.dtype)])
 
+    def _encoded(self, queue: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ids per piece) of the pieces.
+
+        The library's fast form keeps no word numbers; an id stands for a known number of bytes, so the pieces' ends are
+        found by their bytes. Should they not fall on ids, the library's full form tells the words.
+        """
+        fast = self.tokenizer.encode_batch_fast([queue], is_pretokenized=True, add_special_tokens=False)[0]
+        ids = np.array(fast.ids, self.dtype)
+        ends = np.cumsum(self.id_bytes[ids])
+        wanted = np.cumsum(pc.binary_length(pa.array(queue, pa.large_string())).to_numpy())
+        after = np.searchsorted(ends, wanted, "right")
+        if len(ids) and after[-1] == len(ids) and after[0] > 0 and np.array_equal(ends[after - 1], wanted):
+            return ids, np.diff(after, prepend=0)
+        full = self.tokenizer.encode(queue, is_pretokenized=True, add_special_tokens=False)
+        return np.array(full.ids, self.dtype), np.bincount(np.array(full.word_ids, np.int64), minlength=len(queue))
+
     def _learn(self) -> None:
         queue = self.queue
-        found = self.tokenizer.encode(queue, is_pretokenized=True, add_special_tokens=False)
-        ids = np.array(found.ids, self.dtype)
-        lengths = np.bincount(np.array(found.word_ids, np.int64), minlength=len(queue))
+        ids, lengths = self._encoded(queue)
         total, n = len(ids), self.n_words + len(queue)
         self.starts, self.lengths = self._room(self.starts, n), self._room(self.lengths, n)
         self.flat = self._room(self.flat, self.used + total)
@@ -87,21 +111,22 @@ class Encoder:
         if self.n_words > CACHE_PIECES:
             self._reset()
         spaced, plain, split = self.spaced.__getitem__, self.plain.__getitem__, self.split
-        numbers_, counts = [], np.zeros(len(texts), np.int64)
+        parts: list[Iterable[int]] = []  # numbers of the pieces, looked up as they are read
+        counts = np.zeros(len(texts), np.int64)
         for k, text in enumerate(texts):
             pieces = text.split(" ")
-            if "" in pieces or BESIDE_SPACE(text):
+            if "" in pieces or SPACE_FIRST(text) and BESIDE_SPACE(text):
                 pieces = split(text)
-                numbers_.extend(map(plain, pieces))
+                parts.append(map(plain, pieces))
             else:
-                numbers_.append(plain(pieces[0]))
+                parts.append((plain(pieces[0]),))
                 del pieces[0]
-                numbers_.extend(map(spaced, pieces))
+                parts.append(map(spaced, pieces))
                 counts[k] = 1
             counts[k] += len(pieces)
+        numbers = np.fromiter(chain.from_iterable(parts), np.int64, int(counts.sum()))
         if self.queue:
             self._learn()
-        numbers = np.array(numbers_, np.int64)
         lengths = self.lengths[numbers]
         ends = np.cumsum(lengths)
         at = np.repeat(self.starts[numbers] - (ends - lengths), lengths)
