@@ -111,3 +111,20 @@ def test_checksums_carry_on():
     starts, ends = np.array([0, 3, 9, 0]), np.array([2, 9, 9, 300])
     state = resample.extend(np.full(4, resample.ONES), data, starts, ends) ^ resample.ONES
     assert [int(x) for x in state] == [zlib.crc32(data[a:b].tobytes()) for a, b in zip(starts, ends)]
+
+
+def test_only_rows_that_can_be_drawn_are_sorted(spark, make_docs, monkeypatch):
+    rows, target = sample(), ["the of the", "été wordy"]
+    bench = spark.createDataFrame([(t,) for t in target], "text string")
+    sorted_rows, sort = [], resample.sort_positions
+
+    def counting(df, keys):
+        sorted_rows.append(df.count())
+        return sort(df, keys)
+
+    monkeypatch.setattr(resample, "sort_positions", counting)
+    got = resample.rank(resample.score(make_docs(rows), bench), percent=5).collect()
+    expected = brute(rows, target, percent=5)
+    drawn = sum(r["rank"] is not None for r in got)
+    assert sorted((tuple(r) for r in got), key=str) == expected
+    assert 0 < drawn <= sorted_rows[0] <= 2 * drawn + 10

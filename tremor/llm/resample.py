@@ -5,7 +5,8 @@ runs of letters, digits and characters beyond ASCII, a feature's bucket is the c
 ``buckets``. All documents and all target texts are counted per bucket; a bucket's gain is 1000 times the logarithm of
 the ratio of its smoothed shares, floor taken. A document's weight is the sum of gains over its features, its score the
 weight plus Gumbel noise that depends on the seed and doc_id only, so the highest scores are a weighted draw without
-replacement. Ranks come from a distributed LSD radix sort of (score descending, doc_id).
+replacement. Ranks come from a distributed LSD radix sort of (score descending, doc_id) of the rows whose class of scores
+can be drawn.
 
 Memory is bounded: a task holds the bucket counts and a slice of texts; the driver sees ``buckets`` counts. Checksums of
 n-grams are carried on byte by byte over all words at once (:func:`extend`), so no Python object is made per feature.
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from tremor.llm.common import lowered, materialize, slices
-from tremor.llm.radix_sort import LOWEST, sort_positions
+from tremor.llm.radix_sort import DIGIT_BITS, LOWEST, sort_positions
 from tremor.session import table
 
 BUCKETS = 10_000
@@ -163,13 +164,33 @@ def rank(scored: DataFrame, percent: int = 5, min_words: int = MIN_WORDS) -> Dat
     eligible = scored.filter(enough).withColumns(
         {"_by_score": -F.col("score"), "_by_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST).cast("long"))}
     )
-    drawn = eligible.count() * percent // 100
-    place = sort_positions(eligible, ["_by_score", "_by_id"])
+    rows, low, high = eligible.agg(F.count(F.lit(1)), F.min("_by_score"), F.max("_by_score")).first()
+    drawn = rows * percent // 100
+    ahead = enough & _reaches(eligible, drawn, low, high)
+    place = sort_positions(eligible.filter(ahead), ["_by_score", "_by_id"])
     ranks = place.select(*columns, F.when(F.col("position") < drawn, F.col("position") + 1).alias("rank"))
-    others = scored.filter(~enough).select(*columns, F.lit(None).cast("long").alias("rank"))
+    others = scored.filter(~ahead).select(*columns, F.lit(None).cast("long").alias("rank"))
     return ranks.unionByName(others)
 
 
+def _reaches(eligible: DataFrame, drawn: int, low: int | None, high: int | None) -> Column:
+    """Condition on ``score``: true for the ``drawn`` highest scores and those of the last one's class, so only these are sorted.
+
+    Scores fall into at most 2**DIGIT_BITS + 1 classes of equal width, whose counts the driver sees.
+    """
+    if not drawn:
+        return F.lit(False)
+    width = max(0, (high - low).bit_length() - DIGIT_BITS)
+    kind = F.shiftright(-F.col("score") - F.lit(low), width)
+    counts = sorted((r["kind"], r["n"]) for r in eligible.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("n")).collect())
+    reached = 0
+    for last, n in counts:
+        reached += n
+        if reached >= drawn:
+            break
+    return kind <= last
+
+
 def resample(docs: DataFrame, target: DataFrame, percent: int = 5, min_words: int = MIN_WORDS, seed: int = 42) -> DataFrame:
     """The drawn documents with all their columns: those at or above the score and doc_id of the last rank."""
     scored = score(docs, target, seed)
