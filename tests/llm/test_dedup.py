@@ -7,6 +7,7 @@ import pytest
 
 import brute
 from tremor.llm import anchors, jaccard_join, substring_dedup, suffix_dedup
+from tremor.llm.components import components
 from tremor.llm.fm_index import FMIndex
 
 
@@ -232,3 +233,13 @@ def test_linked_sets_agree_in_more_digests_than_they_may_leave_out(num):
                 mine.append(shared[int((spare[at] >> 1).max(initial=0)) :])
             kept.append(np.concatenate(mine))
         assert len(np.intersect1d(*kept)), (len(a), len(b), both)
+
+
+def test_star_edges_keep_components_with_few_edges(spark):
+    """A group whose documents share the same roots: one edge per document and one per root, not one per pair of both."""
+    roots, docs = range(10), range(100, 200)
+    meets = spark.createDataFrame([(d, r) for d in docs for r in roots] + [(900, 800)], "uid long, root long")
+    edges = jaccard_join.star_edges(meets)
+    assert edges.count() == len(docs) + len(roots) - 1 + 1
+    got = {(r.id, r.label) for r in components(edges).collect()}
+    assert got == {(x, 0) for x in [*docs, *roots] if x} | {(900, 800)}

@@ -333,6 +333,14 @@ def other_places(state: DataFrame, meets: DataFrame) -> DataFrame:
     return homes.distinct().unionByName(asks.distinct())
 
 
+def star_edges(meets: DataFrame) -> DataFrame:
+    """Edges (a, b) that connect the same documents as (uid, root): of a uid only the one to its least root, and each of its
+    other roots to that one. Documents of a large group share most of their roots, so these pairs are few."""
+    least = meets.select("uid", "root", F.min("root").over(Window.partitionBy("uid")).alias("m"))
+    own = meets.groupBy("uid").agg(F.min("root").alias("b")).select(F.col("uid").alias("a"), "b")
+    return own.unionByName(least.filter("root <> m").select(F.col("root").alias("a"), F.col("m").alias("b")).distinct())
+
+
 def link_components(docs: DataFrame, num: int = NUM, den: int = DEN, n: int = SHINGLE) -> DataFrame:
     """uid, th, n_shingles, component for every row of (doc_id, text); rows with equal doc_id are one vertex."""
     return linked(keyed(docs), num, den, n)
@@ -393,7 +401,7 @@ def linked(texts: DataFrame, num: int, den: int, n: int) -> DataFrame:
     rare = shared.filter("spare > 1").withColumn("at", F.row_number().over(common)).filter("at > shiftright(spare, 1)").drop("at")
     rare = rare.unionByName(shared.filter("spare <= 1")).select("digest", "uid")
     meets = materialize(rare.withColumn("root", F.min("uid").over(sharing)).filter("uid <> root"), "rare-digests")
-    coarse = materialize(components(meets.select(F.col("uid").alias("a"), F.col("root").alias("b"))), "blocks")
+    coarse = materialize(components(star_edges(meets)), "blocks")
     block = coarse.unionByName(coarse.select(F.col("label").alias("id"), "label").distinct())
     block = block.select(F.col("id").alias("uid"), F.col("label").alias("block")).join(first.select("uid", "th", "n_shingles"), "uid")
     size = block.groupBy("block").agg(F.sum("n_shingles").alias("shingles"))
