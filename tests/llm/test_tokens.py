@@ -177,3 +177,17 @@ def test_empty_tables(spark, empty_docs):
     token_files.write_token_files(empty_docs, path, tokenizer_path())
     assert token_files.read_token_files(spark, path).count() == 0
     assert packing.pack(empty_docs, tokenizer_path()).count() == 0
+
+
+def test_pieces_are_looked_up_once_for_a_group_of_texts(enc):
+    """The cache is asked for a distinct piece of a group, not for each of its words."""
+    e = Encoder(tokenizer_path())
+    asked = []
+    e.spaced = type("Counted", (dict,), {"__getitem__": lambda s, k: (asked.append(k), dict.__getitem__(s, k))[1], "__missing__": lambda s, k: type(enc.spaced).__missing__(s, k)})()
+    e.spaced.before, e.spaced.queue, e.spaced.done = " ", e.queue, 0
+    texts = ["x " + "one two " * 500 + "y"] * 3 + ["a  b\x1c \x1cc one", "   ", " one"]
+    ids, sizes = e.encode(texts, 2)
+    assert sorted(asked) == ["one", "two", "y"]
+    ends = np.cumsum(sizes)
+    for t, n, z in zip(texts, sizes, ends):
+        assert ids[z - n : z].tolist() == plain(e, t, 2)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tremor.llm import coder
-from tremor.llm.common import list_array, shared_path
+from tremor.llm.common import parts, shared_path
 from tremor.llm.tokens import encoder, text_groups, tokenizer_path
 from tremor.session import table
 
@@ -32,6 +32,8 @@ END_ID = 2
 SEGMENT_IDS = 1 << 16
 #: ids that a task codes in lockstep at a time
 GROUP_IDS = 1 << 23
+#: segments that a task decodes in lockstep at a time, whatever batches they come in
+GROUP_SEGMENTS = 128
 MAX_SHARDS = 1_000_000
 
 FILE_SCHEMA = (
@@ -47,7 +49,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
         shard, encode = TaskContext.get().partitionId(), encoder(tokenizer).encode
         names = [f.split()[0] for f in FILE_SCHEMA.split(", ")]
         segments, pending = [], 0
-        docs_, sizes_, parts, held = [], [], [], 0
+        docs_, sizes_, pieces, held = [], [], [], 0
         number = before = 0
 
         def flush() -> pa.RecordBatch:
@@ -62,10 +64,10 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
         def close() -> None:
-            nonlocal number, before, held, docs_, sizes_, parts
-            ids = np.concatenate(parts)
+            nonlocal number, before, held, docs_, sizes_, pieces
+            ids = np.concatenate(pieces)
             segments.append((number, before, docs_, sizes_, ids))
-            number, before, held, docs_, sizes_, parts = number + 1, before + len(ids), 0, [], [], []
+            number, before, held, docs_, sizes_, pieces = number + 1, before + len(ids), 0, [], [], []
 
         for b in batches:
             doc_ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
@@ -79,7 +81,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
                     a, z = int(ends[first - 1]) if first else 0, int(ends[last - 1])
                     docs_ += doc_ids[i + first : i + last]
                     sizes_ += sizes[first:last].tolist()
-                    parts.append(ids[a:z])
+                    pieces.append(ids[a:z])
                     held += z - a
                     pending += z - a
                     if held >= SEGMENT_IDS:
@@ -103,12 +105,17 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32, ids (little-endian unsigned 16-bit) decoded from the files."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[dict] = []
         for b in batches:
-            for k in range(0, b.num_rows, 64):
-                yield decode(b.slice(k, 64))
-
-    def decode(b: pa.RecordBatch) -> pa.RecordBatch:
-        rows = b.to_pylist()
+            for r in parts(iter([b]), 16):
+                rows += r.to_pylist()
+                if len(rows) >= GROUP_SEGMENTS:
+                    yield decode(rows)
+                    rows = []
+        if rows:
+            yield decode(rows)
+
+    def decode(rows: list[dict]) -> pa.RecordBatch:
         codes, lengths, crcs = [], [], []
         for r in rows:
             at = 0

@@ -2,7 +2,8 @@
 
 Byte-level BPE never merges across pre-tokens, and a pre-token starts at
 every space that is followed by a character other than white space, so a
-text's ids are the concatenated ids of the pieces between such spaces. Each
+text's ids are the concatenated ids of the pieces between such spaces. Arrow
+cuts a group of texts at its spaces and numbers the distinct pieces; each
 Python worker encodes a distinct piece once (a bounded cache, emptied when
 full) and assembles texts by array indexing. Texts with other runs of white
 space around a space are split by the library's own pattern. Tests hold the
@@ -12,7 +13,6 @@ result against the library's ``encode``.
 from __future__ import annotations
 
 import os
-import re
 from collections.abc import Iterable
 from functools import lru_cache
 from itertools import chain
@@ -23,10 +23,6 @@ import pyarrow.compute as pc
 import regex
 
 CACHE_PIECES = 1_200_000
-#: white space on both sides of a space: the pattern's tokens may cross it
-BESIDE_SPACE = re.compile(r"\s \s").search
-#: what every such place holds; found faster
-SPACE_FIRST = re.compile(r" \s").search
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -68,8 +64,8 @@ class Encoder:
         self.queue: list[str] = []
         self.spaced, self.plain = _Cache(" ", self.queue), _Cache("", self.queue)
         self.n_words = 0
-        self.starts = np.zeros(1 << 12, np.int64)
-        self.lengths = np.zeros(1 << 12, np.int64)
+        self.starts = np.zeros(1 << 12, np.int32)
+        self.lengths = np.zeros(1 << 12, np.int32)
         self.flat = np.zeros(1 << 14, self.dtype)
         self.used = 0
 
@@ -106,29 +102,57 @@ class Encoder:
         self.used += total
         queue.clear()
 
+    def _numbers(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(piece numbers of all texts in order, pieces per text); Arrow cuts the texts and tells the distinct pieces,
+        so that only those are looked up in Python."""
+        cut = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        coded = cut.flatten().dictionary_encode()
+        at, index, names = cut.offsets.to_numpy().astype(np.int64), coded.indices.to_numpy(), coded.dictionary
+        one = pa.ListArray.from_arrays(pa.array([0, len(names)], pa.int32()), names)
+        names = pc.binary_join(one, pa.scalar(" ", pa.large_string()))[0].as_py().split(" ")  # no piece holds a space
+        counts, first = np.diff(at), at[:-1]
+        # pieces with white space at an end: where two of them meet (an empty one meets any), the pattern's tokens may cross the space
+        bare = np.array([k for k, x in enumerate(names) if not x or x != x.strip()], np.int64)
+        head, tail, empty = np.zeros((3, len(names)), bool)
+        head[bare] = [names[k][:1].isspace() for k in bare]
+        tail[bare] = [names[k][-1:].isspace() for k in bare]
+        empty[bare] = [not names[k] for k in bare]
+        crossed = head[index]
+        crossed[1:] &= tail[index[:-1]]
+        crossed[first] = False
+        odd = np.logical_or.reduceat(crossed | empty[index], first)
+        usual = np.repeat(~odd, counts)
+        spaced = usual.copy()
+        spaced[first] = False
+        used = np.zeros(len(names), bool)
+        used[index[spaced]] = True
+        used = np.flatnonzero(used)
+        number = np.zeros(len(names), np.int32)
+        number[used] = np.fromiter(map(self.spaced.__getitem__, map(names.__getitem__, used.tolist())), np.int32, len(used))
+        mine, plain = number[index], self.plain.__getitem__
+        begin = np.flatnonzero(~odd)
+        mine[first[begin]] = [plain(names[k]) for k in index[first[begin]].tolist()]
+        if len(begin) == len(texts):
+            return mine, counts
+        others = [self.split(texts[k]) for k in np.flatnonzero(odd).tolist()]
+        counts[odd] = [len(x) for x in others]
+        usual_now = np.repeat(~odd, counts)
+        numbers = np.empty(len(usual_now), np.int32)
+        numbers[usual_now] = mine[usual]
+        numbers[~usual_now] = np.fromiter(map(plain, chain.from_iterable(others)), np.int32, len(usual_now) - int(usual_now.sum()))
+        return numbers, counts
+
     def encode(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(all ids in order, ids per text), each text followed by ``end_id``."""
         if self.n_words > CACHE_PIECES:
             self._reset()
-        spaced, plain, split = self.spaced.__getitem__, self.plain.__getitem__, self.split
-        parts: list[Iterable[int]] = []  # numbers of the pieces, looked up as they are read
-        counts = np.zeros(len(texts), np.int64)
-        for k, text in enumerate(texts):
-            pieces = text.split(" ")
-            if "" in pieces or SPACE_FIRST(text) and BESIDE_SPACE(text):
-                pieces = split(text)
-                parts.append(map(plain, pieces))
-            else:
-                parts.append((plain(pieces[0]),))
-                del pieces[0]
-                parts.append(map(spaced, pieces))
-                counts[k] = 1
-            counts[k] += len(pieces)
-        numbers = np.fromiter(chain.from_iterable(parts), np.int64, int(counts.sum()))
+        if not texts:
+            return np.zeros(0, self.dtype), np.zeros(0, np.int64)
+        numbers, counts = self._numbers(texts)
         if self.queue:
             self._learn()
         lengths = self.lengths[numbers]
-        ends = np.cumsum(lengths)
+        ends = np.cumsum(lengths, dtype=np.int64)
         at = np.repeat(self.starts[numbers] - (ends - lengths), lengths)
         at += np.arange(len(at))
         before = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
@@ -147,7 +171,7 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def text_groups(texts: list[str | None], limit: int = 1 << 20):
+def text_groups(texts: list[str | None], limit: int = 1 << 21):
     """(first, end) of consecutive texts of about ``limit`` characters."""
     i, size = 0, 0
     for j, t in enumerate(texts):
